@@ -322,16 +322,19 @@ def ridge_job(
     spark: SparkSession,
     source,
     response: str = "Creditability",
+    excluded: Sequence[str] = (),
     profile_column: str | None = None,
     reg: float = 0.01,
     seed: int = 1099,
     out_dir: str | None = None,
     **kw,
 ) -> JobResult:
-    """The R script: ridge logistic regression (alpha 0) on all columns but the response."""
+    """The R script: ridge logistic regression (alpha 0) on all columns but the response
+    (and ``excluded``, e.g. a key), class profile of ``profile_column``, named partitions
+    ``training`` / ``test`` from seed 1099."""
     kw.setdefault("model_prefix", "model.ridge")
     kw.setdefault("weights", {"training": 0.8, "test": 0.2})
     cfg = JobConfig(
-        "ridge", response, (), ",", "l2", reg, 0.0, 100, seed=seed, out_dir=out_dir, profile_column=profile_column, **kw
+        "ridge", response, excluded, ",", "l2", reg, 0.0, 100, seed=seed, out_dir=out_dir, profile_column=profile_column, **kw
     )
     return run_job(spark, source, cfg)
