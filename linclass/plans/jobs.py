@@ -20,6 +20,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -116,14 +117,23 @@ def _fit(spark: SparkSession, train: DataFrame, features: list[str], cfg: JobCon
     if cfg.mode == "sgd":
         if cfg.job == "logistic":
             model, trace = sgd_fit(
-                train, features, LABEL, "logistic", cfg.penalty, cfg.reg, cfg.iterations, intercept=True
+                train, features, LABEL, "logistic", cfg.penalty, cfg.reg, cfg.iterations, intercept=True, persist=False
             )
             return model, trace.iterations
         if cfg.job == "svm":
             stats = fit_scaler(train, features)
             inputs = [scaled_expr(stats, i) for i in range(len(features))]
             model, trace = sgd_fit(
-                train, features, LABEL, "hinge", cfg.penalty, cfg.reg, cfg.iterations, intercept=False, inputs=inputs
+                train,
+                features,
+                LABEL,
+                "hinge",
+                cfg.penalty,
+                cfg.reg,
+                cfg.iterations,
+                intercept=False,
+                inputs=inputs,
+                persist=False,
             )
             model.means, model.stds = stats.means, stats.stds
             return model, trace.iterations
@@ -136,7 +146,7 @@ def _fit(spark: SparkSession, train: DataFrame, features: list[str], cfg: JobCon
         pipe = svm_pipeline(features, reg=cfg.reg, max_iter=cfg.iterations)
     else:
         raise ValueError(f"unknown job {cfg.job!r}")
-    return fit_pipeline(pipe, train), None
+    return fit_pipeline(pipe, train, persist=False), None
 
 
 def run_job(spark: SparkSession, source, cfg: JobConfig) -> JobResult:
@@ -169,6 +179,19 @@ def run_job(spark: SparkSession, source, cfg: JobConfig) -> JobResult:
     if cfg.profile_column is not None:
         profile = class_profile(raw, cfg.target, cfg.profile_column)
 
+    # The narrow prepared rows (label, d doubles, key, fold) are read by the checks, the
+    # fit (many times) and the metrics: parse / derive them once. A lost block is
+    # recomputed from the scan by lineage.
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _run_prepared(spark, cfg, data, raw, names, cols, corrupt, input_name, profile, started)
+    finally:
+        data.unpersist()
+
+
+def _run_prepared(spark, cfg, data, raw, names, cols, corrupt, input_name, profile, started) -> JobResult:
+    train_name, test_name = list(cfg.weights)
+    fold_names = [train_name, test_name]
     check_rows, counts = run_checks(
         data,
         LABEL,
@@ -191,8 +214,12 @@ def run_job(spark: SparkSession, source, cfg: JobConfig) -> JobResult:
         save_model(model, path, spark)
 
     scored = score(model, data)
-    metrics = binary_metrics(scored, LABEL, "margin", "prediction", by=[FOLD])
-    by_fold = {r[FOLD]: r for r in metrics.collect()}
+    lazy_metrics = binary_metrics(scored, LABEL, "margin", "prediction", by=[FOLD])
+    metric_rows = lazy_metrics.collect()  # one row per fold
+    by_fold = {r[FOLD]: r for r in metric_rows}
+    # kept as the collected rows: the lazy plan would re-derive everything once the
+    # prepared rows are released
+    metrics = spark.createDataFrame(metric_rows, lazy_metrics.schema)
 
     weights, intercept = coefficients(model)
     coeffs = coefficient_report(coefficient_frame(spark, cols.features, weights, intercept))
