@@ -33,6 +33,9 @@ from linclass.functions.expressions import dot, sigmoid
 from linclass.operators.linear import LinearModel
 
 PENALTIES = ("l2", "l1", "none")
+# Above this many features the per-iteration aggregate of d + 1 sums is planned and
+# compiled anew each step (weights are literals); the NumPy block form keeps one plan.
+BLOCK_ABOVE = 16
 LOSSES = ("logistic", "hinge")
 
 
@@ -108,8 +111,13 @@ def _gradient_sums_blocks(
         yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], type=pa.list_(pa.float64()))], ["g"])
 
     parts = train.select(label, *features).mapInArrow(part, "g array<double>")
-    row = parts.agg(*[F.sum(F.col("g")[i]) for i in range(d + 2)]).first()
-    return [float(v) if v is not None else 0.0 for v in row]
+    # element-wise sum of the partial vectors: (index, value) pairs summed per index, with
+    # partial aggregation on every task; d + 2 rows reach the driver
+    sums = parts.select(F.posexplode("g").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("s")).collect()
+    out = [0.0] * (d + 2)
+    for r in sums:
+        out[r["i"]] = float(r["s"])
+    return out
 
 
 def sgd_fit(
@@ -124,13 +132,14 @@ def sgd_fit(
     intercept: bool = True,
     tol: float = 0.001,
     inputs: Sequence[Column] | None = None,
-    block_gradient: bool = False,
+    block_gradient: bool | None = None,
     persist: bool = True,
 ) -> tuple[LinearModel, SgdTrace]:
     """Fit by full-batch gradient descent; returns (model, trace).
 
     ``inputs`` may give one column expression per feature (e.g. standardised values);
     the model then scores with the same expressions through its ``means`` / ``stds``.
+    ``block_gradient``: None picks the NumPy block form above ``BLOCK_ABOVE`` features.
     """
     if loss not in LOSSES:
         raise ValueError(f"loss must be one of {LOSSES}")
@@ -138,6 +147,8 @@ def sgd_fit(
         raise ValueError(f"penalty must be one of {PENALTIES}, got {penalty!r}")
     features = list(features)
     d = len(features)
+    if block_gradient is None:
+        block_gradient = d > BLOCK_ABOVE
     exprs = list(inputs) if inputs is not None else [F.col(c).cast("double") for c in features]
     if len(exprs) != d:
         raise ValueError(f"{len(exprs)} input expressions for {d} features")

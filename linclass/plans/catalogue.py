@@ -49,6 +49,9 @@ SGD_ITERATIONS = 5
 SGD_REG = 0.01
 DOC_FEATURES = ["n_chars", "non_letter", "distinct_share"]
 CHECK_FEATURES = ["value", "user_id", "spike", "gap", "flat"]
+WIDE_DIM = 64
+WIDE_FEATURES = [f"e{i}" for i in range(WIDE_DIM)]
+WIDE_LABEL_BELOW = 5
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -253,6 +256,44 @@ def _coef_query(penalty: str, svm: bool) -> Callable[[SparkSession, str], DataFr
     return run
 
 
+def embedding_folds(spark, sf_dir) -> DataFrame:
+    """embeddings: one double column per vector element, label = class below 5."""
+    emb = _t(spark, sf_dir, "embeddings")
+    df = emb.select(
+        "vec_id",
+        F.when(F.col("label") < WIDE_LABEL_BELOW, F.lit(1.0)).otherwise(F.lit(0.0)).alias(LABEL),
+        *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(WIDE_FEATURES)],
+    )
+    return hash_split(df, "vec_id", seed=SEED)
+
+
+def _wide_query(loss: str, penalty: str) -> Callable[[SparkSession, str], DataFrame]:
+    """64 features: per-partition gradient blocks in NumPy over Arrow batches."""
+
+    def run(spark, sf_dir):
+        train = embedding_folds(spark, sf_dir).where(F.col(FOLD) == "train")
+        inputs = None
+        stats = None
+        if loss == "hinge":
+            stats = fit_scaler(train, WIDE_FEATURES)
+            inputs = [scaled_expr(stats, i) for i in range(WIDE_DIM)]
+        model, _ = sgd_fit(
+            train,
+            WIDE_FEATURES,
+            LABEL,
+            loss,
+            penalty,
+            SGD_REG,
+            SGD_ITERATIONS,
+            intercept=(loss == "logistic"),
+            inputs=inputs,
+            block_gradient=True,
+        )
+        return _coef_rows(spark, model).select("variable", r6("coefficient").alias("coefficient"))
+
+    return run
+
+
 def q_coefficient_report(spark, sf_dir):
     rep = coefficient_report(_coef_rows(spark, _logit_sgd(spark, sf_dir, "l1")))
     return rep.select("variable", r6("coefficient").alias("coefficient"), "is_nonzero", "rank")
@@ -349,6 +390,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "logit_sgd_none": _coef_query("none", svm=False),
     "svm_sgd_l2": _coef_query("l2", svm=True),
     "svm_sgd_l1": _coef_query("l1", svm=True),
+    "wide_logit_sgd": _wide_query("logistic", "l2"),
+    "wide_svm_sgd": _wide_query("hinge", "l1"),
     "coefficient_report": q_coefficient_report,
     "logit_closed_form": q_logit_closed_form,
     "enet_all_zero": q_enet_all_zero,

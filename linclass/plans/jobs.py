@@ -40,6 +40,7 @@ from linclass.operators.scale import fit_scaler, scaled_expr
 from linclass.operators.score import score
 from linclass.operators.sgd import sgd_fit
 from linclass.operators.split import FOLD, hash_split, random_split
+from linclass.session import checkpoint_root
 from linclass.sources.delimited import CORRUPT, load_csv_inferred, load_delimited
 from linclass.sources.models import save_model, timestamped_path
 from linclass.sources.reports import write_tables
@@ -69,6 +70,7 @@ class JobConfig:
     model_prefix: str = "model"
     timestamped: bool = False
     profile_column: str | None = None
+    stage: str = "persist"  # persist | checkpoint (written to spark.checkpoint.dir)
 
 
 @dataclass
@@ -182,6 +184,13 @@ def run_job(spark: SparkSession, source, cfg: JobConfig) -> JobResult:
     # The narrow prepared rows (label, d doubles, key, fold) are read by the checks, the
     # fit (many times) and the metrics: parse / derive them once. A lost block is
     # recomputed from the scan by lineage.
+    if cfg.stage == "checkpoint":
+        # a written copy in the shared checkpoint folder: lineage cut, survives lost executors
+        checkpoint_root(spark)
+        data = data.checkpoint(eager=True)
+        return _run_prepared(spark, cfg, data, raw, names, cols, corrupt, input_name, profile, started)
+    if cfg.stage != "persist":
+        raise ValueError(f"stage must be 'persist' or 'checkpoint', got {cfg.stage!r}")
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return _run_prepared(spark, cfg, data, raw, names, cols, corrupt, input_name, profile, started)

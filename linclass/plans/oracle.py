@@ -210,12 +210,16 @@ def sgd_chain(
     intercept: bool,
     scaled: bool,
     step: float = 1.0,
+    source: str | None = None,
 ) -> str:
-    """CTEs ending in ``w{iterations}`` (columns w0..w{d-1}[, b]) for the train fold."""
+    """CTEs ending in ``w{iterations}`` (columns w0..w{d-1}[, b]) for the train fold.
+
+    ``source`` yields label, the feature columns and fold (default: lineitem)."""
     import math
 
     dcount = len(features)
-    ctes = [f"d AS ({lineitem_folds(features)})", "tr0 AS (SELECT * FROM d WHERE fold = 'train')"]
+    src = source or lineitem_folds(features)
+    ctes = [f"d AS ({src})", "tr0 AS (SELECT * FROM d WHERE fold = 'train')"]
     if scaled:
         ctes.append(_stats_cte(features, "tr0"))
         zs = ", ".join(f"{_z(c)} AS x{i}" for i, c in enumerate(features))
@@ -255,20 +259,28 @@ def sgd_chain(
     return "WITH " + ",\n".join(ctes)
 
 
-def sgd_coefficients(features, loss, penalty, intercept, scaled) -> str:
-    chain = sgd_chain(features, loss, penalty, C.SGD_REG, C.SGD_ITERATIONS, intercept, scaled)
+def sgd_coefficients(features, loss, penalty, intercept, scaled, source=None) -> str:
+    chain = sgd_chain(features, loss, penalty, C.SGD_REG, C.SGD_ITERATIONS, intercept, scaled, source=source)
     last = f"w{C.SGD_ITERATIONS}"
     rows = [f"SELECT '{c}' AS variable, w{i} AS coefficient FROM {last}" for i, c in enumerate(features)]
     rows.append(f"SELECT 'Intercept' AS variable, {'b' if intercept else '0.0::DOUBLE'} AS coefficient FROM {last}")
     return chain + ",\ncoef AS (" + "\nUNION ALL ".join(rows) + ")"
 
 
-def sgd_query(features, loss, penalty, intercept, scaled) -> str:
-    return sgd_coefficients(features, loss, penalty, intercept, scaled) + (
+def sgd_query(features, loss, penalty, intercept, scaled, source=None) -> str:
+    return sgd_coefficients(features, loss, penalty, intercept, scaled, source) + (
         f"\nSELECT variable, {r6('coefficient')} AS coefficient FROM coef"
     )
 
 
+def embedding_folds() -> str:
+    cols = ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS {c}" for i, c in enumerate(C.WIDE_FEATURES))
+    return (
+        f"SELECT vec_id, CASE WHEN label < {C.WIDE_LABEL_BELOW} THEN 1.0 ELSE 0.0 END AS label, {cols}, "
+        f"{fold_sql('vec_id')} AS fold FROM embeddings"
+    )
+
+
 def coefficient_report() -> str:
     return sgd_coefficients(C.LOGIT_FEATURES, "logistic", "l1", True, False) + (
         f"\nSELECT variable, {r6('coefficient')} AS coefficient, coefficient <> 0 AS is_nonzero, "
@@ -330,6 +342,8 @@ def oracle_sql() -> dict[str, str]:
         "logit_sgd_none": sgd_query(C.LOGIT_FEATURES, "logistic", "none", True, False),
         "svm_sgd_l2": sgd_query(C.SCALE_FEATURES, "hinge", "l2", False, True),
         "svm_sgd_l1": sgd_query(C.SCALE_FEATURES, "hinge", "l1", False, True),
+        "wide_logit_sgd": sgd_query(C.WIDE_FEATURES, "logistic", "l2", True, False, embedding_folds()),
+        "wide_svm_sgd": sgd_query(C.WIDE_FEATURES, "hinge", "l1", False, True, embedding_folds()),
         "coefficient_report": coefficient_report(),
         "logit_closed_form": LOGIT_CLOSED_FORM,
         "enet_all_zero": enet_all_zero(),
