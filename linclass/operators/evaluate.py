@@ -18,13 +18,17 @@ would run in one task, so the plan is:
    checked at run time by AQE, else sort-merge);
 4. a window partitioned by (group, bucket) adds the running sum inside each bucket.
 
-Every score of one value lands in one bucket, so ties stay exact.
+Every score of one value lands in one bucket, so ties stay exact. The per-score counts
+are persisted while the metric is computed (the quantile job, the bucket totals and the
+running sums all read them), so the scored input is scanned once; the result (one row
+per group) is returned as a small DataFrame.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -71,10 +75,20 @@ def binary_metrics(
 
     ``auc`` ranks ``score``; ``balanced_accuracy`` = (TPR + TNR) / 2 of ``prediction``,
     equal to the AUC of the hard 0/1 prediction. Both are null for a group with one class.
+    Runs its jobs now and returns the computed rows.
     """
     by = list(by)
-    counts = _score_counts(scored, label, score, prediction, by)
-    bucketed = _bucketed(counts, bins or default_bins(scored))
+    counts = _score_counts(scored, label, score, prediction, by).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        plan = _metrics_plan(counts, prediction, by, bins or default_bins(scored))
+        rows = plan.collect()
+    finally:
+        counts.unpersist()
+    return scored.sparkSession.createDataFrame(rows, plan.schema)
+
+
+def _metrics_plan(counts: DataFrame, prediction: str | None, by: list[str], bins: int) -> DataFrame:
+    bucketed = _bucketed(counts, bins)
 
     totals = bucketed.groupBy(*by, _B).agg(F.sum(_P).alias("_bp"))
     w_off = Window.partitionBy(*by).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)

@@ -223,12 +223,8 @@ def _run_prepared(spark, cfg, data, raw, names, cols, corrupt, input_name, profi
         save_model(model, path, spark)
 
     scored = score(model, data)
-    lazy_metrics = binary_metrics(scored, LABEL, "margin", "prediction", by=[FOLD])
-    metric_rows = lazy_metrics.collect()  # one row per fold
-    by_fold = {r[FOLD]: r for r in metric_rows}
-    # kept as the collected rows: the lazy plan would re-derive everything once the
-    # prepared rows are released
-    metrics = spark.createDataFrame(metric_rows, lazy_metrics.schema)
+    metrics = binary_metrics(scored, LABEL, "margin", "prediction", by=[FOLD])  # computed: one row per fold
+    by_fold = {r[FOLD]: r for r in metrics.collect()}
 
     weights, intercept = coefficients(model)
     coeffs = coefficient_report(coefficient_frame(spark, cols.features, weights, intercept))

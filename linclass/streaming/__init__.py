@@ -1,0 +1,9 @@
+"""Streaming: no operators of its own.
+
+The reference has no streaming, watermark, window or state. Scoring (``operators.score``)
+is a stateless projection, so a fitted model - pipeline or weight model - scores a
+streaming DataFrame exactly as it scores a batch one:
+
+    stream = spark.readStream.schema(schema).parquet(folder)
+    score(load_model(spark, path), stream).writeStream...
+"""
