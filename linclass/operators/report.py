@@ -1,8 +1,8 @@
 """Coefficient table and run record as DataFrames.
 
 The coefficient table has d + 1 rows (the features and ``Intercept``): its size is the
-model's, not the data's. Rows are ranked by coefficient, largest first, the variable name
-breaking ties, and flagged non-zero.
+model's, not the data's, and the values are already on the driver, so they are ranked
+there: largest coefficient first, the variable name breaking ties, flagged non-zero.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,14 +33,31 @@ def coefficient_frame(
     return spark.createDataFrame(rows, COEFFICIENT_SCHEMA)
 
 
-def coefficient_report(coeffs: DataFrame) -> DataFrame:
-    """Adds ``is_nonzero`` and ``rank`` (1 = largest coefficient) and sorts by rank."""
-    w = Window.orderBy(F.desc("coefficient"), F.asc("variable"))
-    return (
-        coeffs.withColumn("is_nonzero", F.col("coefficient") != 0.0)
-        .withColumn("rank", F.row_number().over(w))
-        .orderBy("rank")
-    )
+REPORT_SCHEMA = T.StructType(
+    [
+        *COEFFICIENT_SCHEMA.fields,
+        T.StructField("is_nonzero", T.BooleanType(), False),
+        T.StructField("rank", T.IntegerType(), False),
+    ]
+)
+
+
+def coefficient_table(
+    spark: SparkSession, features: Sequence[str], weights: Sequence[float], intercept: float | None
+) -> DataFrame:
+    """DataFrame[variable, coefficient, is_nonzero, rank]: rank 1 = largest coefficient,
+    the name breaking ties; ``Intercept`` is ranked with the rest.
+
+    The d + 1 model parameters are already on the driver, so they are ranked there.
+    """
+    if len(features) != len(weights):
+        raise ValueError(f"{len(features)} names against {len(weights)} weights")
+    pairs = [(n, float(w)) for n, w in zip(features, weights)]
+    if intercept is not None:
+        pairs.append((INTERCEPT, float(intercept)))
+    ordered = sorted(pairs, key=lambda p: (-p[1], p[0]))
+    rows = [(n, w, w != 0.0, i + 1) for i, (n, w) in enumerate(ordered)]
+    return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
 def nonzero(report: DataFrame) -> DataFrame:

@@ -63,7 +63,7 @@ def update(
     moved = [wi - step_t * gi for wi, gi in zip(w, g)]
     if penalty == "l1":
         shrink = reg * step_t
-        return [math.copysign(max(0.0, abs(v) - shrink), v) if v != 0.0 else 0.0 for v in moved]
+        return [math.copysign(abs(v) - shrink, v) if abs(v) > shrink else 0.0 for v in moved]
     return moved
 
 

@@ -19,7 +19,7 @@ from linclass.operators.evaluate import auc, balanced_accuracy
 from linclass.operators.fit import coefficients, fit_pipeline, penalised_logistic, logistic_pipeline
 from linclass.operators.linear import LinearModel
 from linclass.operators.profile import class_counts, class_profile, dimensions
-from linclass.operators.report import coefficient_frame, coefficient_report
+from linclass.operators.report import coefficient_frame, coefficient_table
 from linclass.operators.scale import fit_scaler, scaled_expr, scaler_stats_frame, apply_scaler
 from linclass.operators.score import score
 from linclass.operators.sgd import sgd_fit
@@ -295,7 +295,8 @@ def _wide_query(loss: str, penalty: str) -> Callable[[SparkSession, str], DataFr
 
 
 def q_coefficient_report(spark, sf_dir):
-    rep = coefficient_report(_coef_rows(spark, _logit_sgd(spark, sf_dir, "l1")))
+    model = _logit_sgd(spark, sf_dir, "l1")
+    rep = coefficient_table(spark, model.features, model.weights, model.intercept)
     return rep.select("variable", r6("coefficient").alias("coefficient"), "is_nonzero", "rank")
 
 
@@ -315,7 +316,7 @@ def q_enet_all_zero(spark, sf_dir):
     li = _t(spark, sf_dir, "lineitem").select(returnflag_label().alias(LABEL), *SCALE_FEATURES)
     model = fit_pipeline(logistic_pipeline(SCALE_FEATURES, reg=0.5, elastic_net=0.8, max_iter=10), li)
     w, b = coefficients(model)
-    rep = coefficient_report(coefficient_frame(spark, SCALE_FEATURES, w, b))
+    rep = coefficient_table(spark, SCALE_FEATURES, w, b)
     return rep.select("variable", r6("coefficient").alias("coefficient"), "is_nonzero", "rank")
 
 

@@ -35,7 +35,7 @@ from linclass.operators.fit import (
     svm_pipeline,
 )
 from linclass.operators.profile import class_profile
-from linclass.operators.report import coefficient_frame, coefficient_report, run_record
+from linclass.operators.report import coefficient_table, run_record
 from linclass.operators.scale import fit_scaler, scaled_expr
 from linclass.operators.score import score
 from linclass.operators.sgd import sgd_fit
@@ -227,7 +227,7 @@ def _run_prepared(spark, cfg, data, raw, names, cols, corrupt, input_name, profi
     by_fold = {r[FOLD]: r for r in metrics.collect()}
 
     weights, intercept = coefficients(model)
-    coeffs = coefficient_report(coefficient_frame(spark, cols.features, weights, intercept))
+    coeffs = coefficient_table(spark, cols.features, weights, intercept)
     n_nonzero = sum(1 for v in [*weights, intercept] if v != 0.0)
     finished = datetime.now().strftime(STAMP)
 
