@@ -108,3 +108,22 @@ def test_columnar_table_input(spark):
     )
     res = logistic_job(spark, li, target="y", excluded=["l_orderkey"], key="l_orderkey", save=False)
     assert res.run.first().rows == li.count()
+
+
+def test_cli_main(spark, workdir, capsys):
+    import json
+
+    from linclass.plans.cli import main
+
+    path = credit_file(workdir)
+    assert main(["svm", "-f", path, "-t", "Creditability", "-c", "Purpose", "-p", "l1", "-r", "0.01", "-d", workdir]) == 0
+    rec = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert rec["job"] == "svm" and rec["penalty"] == "l1" and rec["rows"] == 600
+    assert os.path.isdir(f"{workdir}/model.svm") and os.path.isdir(f"{workdir}/report.svm/run")
+
+
+def test_checkpoint_stage(spark, workdir):
+    res = logistic_job(
+        spark, credit_file(workdir), target="Creditability", excluded=["Purpose"], save=False, stage="checkpoint"
+    )
+    assert res.run.first().rows == 600
