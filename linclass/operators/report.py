@@ -37,7 +37,7 @@ REPORT_SCHEMA = T.StructType(
     [
         *COEFFICIENT_SCHEMA.fields,
         T.StructField("is_nonzero", T.BooleanType(), False),
-        T.StructField("rank", T.IntegerType(), False),
+        T.StructField("rank", T.LongType(), False),
     ]
 )
 

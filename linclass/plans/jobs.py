@@ -87,6 +87,7 @@ class JobResult:
     set_aside: DataFrame | None = None
     profile: DataFrame | None = None
     sgd_iterations: int | None = None
+    class_counts: DataFrame | None = None
 
 
 def _load(spark: SparkSession, source, cfg: JobConfig) -> tuple[DataFrame, list[str], str | None, str]:
@@ -208,7 +209,19 @@ def _run_prepared(spark, cfg, data, raw, names, cols, corrupt, input_name, profi
         fold_col=FOLD,
         fold_names=fold_names,
         corrupt_col=corrupt,
-        extra={"rows": F.count(F.lit(1))},
+        extra={
+            "rows": F.count(F.lit(1)),
+            **{
+                f"{f}|{c}": F.count_if((F.col(FOLD) == f) & (F.col(LABEL) == float(c)))
+                for f in fold_names
+                for c in (0, 1)
+            },
+        },
+    )
+    # A3: rows per fold and class, from the same pass
+    class_counts = spark.createDataFrame(
+        [(f, c, int(counts[f"{f}|{c}"])) for f in fold_names for c in (0, 1)],
+        "fold string, class int, n bigint",
     )
     enforce(check_rows, cfg.strict)
     aside = None
@@ -274,7 +287,7 @@ def _run_prepared(spark, cfg, data, raw, names, cols, corrupt, input_name, profi
     )
     checks = checks_frame(spark, check_rows)
     if cfg.out_dir is not None:
-        tables = {"run": run, "coefficients": coeffs, "checks": checks}
+        tables = {"run": run, "coefficients": coeffs, "checks": checks, "class_counts": class_counts}
         if profile is not None:
             tables["profile"] = profile
         write_tables(tables, f"{cfg.out_dir.rstrip('/')}/report.{cfg.job}")
@@ -291,6 +304,7 @@ def _run_prepared(spark, cfg, data, raw, names, cols, corrupt, input_name, profi
         set_aside=aside,
         profile=profile,
         sgd_iterations=iterations,
+        class_counts=class_counts,
     )
 
 

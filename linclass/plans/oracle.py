@@ -42,7 +42,7 @@ def scan_delimited() -> str:
 LABEL_RECODE = """
 SELECT c_custkey,
        CASE WHEN c_acctbal >= 0 THEN 1 ELSE -1 END AS raw_label,
-       CASE WHEN c_acctbal >= 0 THEN 1.0 ELSE 0.0 END AS label
+       CAST(CASE WHEN c_acctbal >= 0 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS label
 FROM customer"""
 
 DROP_COLUMNS = f"""
@@ -157,7 +157,7 @@ def score_logistic_hard() -> str:
     s = _scored(C.LOGIT_WEIGHTS, C.LOGIT_INTERCEPT)
     return (
         f"WITH s AS ({s}) SELECT l_orderkey, l_linenumber, "
-        "CASE WHEN 1.0 / (1.0 + exp(-margin)) > 0.5 THEN 1.0 ELSE 0.0 END AS prediction FROM s"
+        "CAST(CASE WHEN 1.0 / (1.0 + exp(-margin)) > 0.5 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS prediction FROM s"
     )
 
 
@@ -166,7 +166,7 @@ def score_logistic_soft() -> str:
     return (
         f"WITH s AS ({s}) SELECT l_orderkey, l_linenumber, {r6('margin')} AS margin, "
         f"{r6('1.0 / (1.0 + exp(-margin))')} AS probability, "
-        "CASE WHEN 1.0 / (1.0 + exp(-margin)) > 0.5 THEN 1.0 ELSE 0.0 END AS prediction FROM s"
+        "CAST(CASE WHEN 1.0 / (1.0 + exp(-margin)) > 0.5 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS prediction FROM s"
     )
 
 
@@ -174,7 +174,7 @@ def score_svm() -> str:
     s = _scored(C.SVM_WEIGHTS, C.SVM_INTERCEPT)
     return (
         f"WITH s AS ({s}) SELECT l_orderkey, l_linenumber, {r6('margin')} AS margin, "
-        "CASE WHEN margin > 0.0 THEN 1.0 ELSE 0.0 END AS prediction FROM s"
+        "CAST(CASE WHEN margin > 0.0 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS prediction FROM s"
     )
 
 

@@ -47,6 +47,22 @@ def rows_of(cols, rows):
     return sorted((tuple(norm(r[i]) for i in order) for r in rows), key=repr)
 
 
+DUCK_TO_SPARK = {
+    "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean",
+    "FLOAT": "float", "SMALLINT": "smallint", "TINYINT": "tinyint", "DATE": "date",
+}
+
+
+def type_mismatches(df, res) -> list[str]:
+    spark_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    out = []
+    for col, typ in zip([c[0] for c in res.description], [str(c[1]) for c in res.description]):
+        want = DUCK_TO_SPARK.get(typ.upper(), typ)
+        if spark_types.get(col) != want:
+            out.append(f"{col}: spark {spark_types.get(col)} vs duckdb {typ}")
+    return out
+
+
 def compare(spark, con, name, fn, sql, sf_dir):
     t = time.time()
     df = fn(spark, sf_dir)
@@ -59,8 +75,11 @@ def compare(spark, con, name, fn, sql, sf_dir):
     d_cols = [c[0] for c in res.description]
     d_rows = res.fetchall()
     out = {"name": name, "rows": len(s_rows), "spark_s": round(spark_s, 2)}
+    types = type_mismatches(df, res)
     if sorted(s_cols) != sorted(d_cols):
         out.update(ok=False, why=f"columns {s_cols} vs {d_cols}")
+    elif types:
+        out.update(ok=False, why=f"types {types}")
     elif len(s_rows) != len(d_rows):
         out.update(ok=False, why=f"rows {len(s_rows)} vs {len(d_rows)}")
     else:

@@ -37,7 +37,9 @@ def test_logistic_job_writes_model_and_reports(spark, workdir):
     assert os.path.isdir(res.model_path)
     coeffs = [r.variable for r in res.coefficients.collect()]
     assert sorted(coeffs) == ["Age_years", "Amount", "Duration", "Intercept"]
-    for name in ("run", "coefficients", "checks"):
+    counts = {(r.fold, r["class"]): r.n for r in res.class_counts.collect()}
+    assert sum(counts.values()) == 600 and counts[("train", 1)] > 0 and counts[("test", 0)] > 0
+    for name in ("run", "coefficients", "checks", "class_counts"):
         assert os.path.isdir(f"{workdir}/report.logistic/{name}")
 
 
