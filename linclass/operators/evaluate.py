@@ -11,8 +11,10 @@ would run in one task, so the plan is:
 
 1. aggregate rows to one row per (group, distinct score) (partial aggregation; a score
    held by a third of the rows becomes one row here, so no skew survives this step);
-2. approximate quantiles of the distinct scores give at most ``bins`` bucket edges (one
-   small job; the edge list is bounded by ``bins``, never by the data);
+2. approximate quantiles of the distinct scores give ``bins`` bucket edges (one small
+   job). ``bins`` grows with the number of distinct scores so that a bucket holds about
+   ``ROWS_PER_BUCKET`` of them, within [4 x shuffle partitions, ``MAX_BINS``]: the edge
+   list is bounded by that cap, never by the data;
 3. per-bucket positive totals (groups x bins rows) give each bucket its offset by a small
    window; the join back is planned by Spark (broadcast only under the size threshold,
    checked at run time by AQE, else sort-merge);
@@ -36,11 +38,22 @@ from pyspark.sql import functions as F
 _S, _P, _N, _TP, _FP, _B = "_s", "_p", "_n", "_tp", "_fp", "_b"
 
 
+# Distinct-score rows per bucket (one window task sorts one bucket) and the most buckets
+# (the edge list and the relative error of the quantile sketch grow with it).
+ROWS_PER_BUCKET = 1_000_000
+MAX_BINS = 1 << 16
+
+
 def default_bins(df: DataFrame) -> int:
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     return max(16, min(4096, 4 * parts))
 
 
+def bins_for(n_distinct: int, floor: int) -> int:
+    """Enough buckets that one holds about ``ROWS_PER_BUCKET`` distinct scores."""
+    return max(floor, min(MAX_BINS, -(-n_distinct // ROWS_PER_BUCKET)))
+
+
 def _score_counts(
     scored: DataFrame, label: str, score: str | Column, prediction: str | None, by: Sequence[str]
 ) -> DataFrame:
@@ -55,7 +68,8 @@ def _score_counts(
 
 def _bucketed(counts: DataFrame, bins: int) -> DataFrame:
     probs = [i / bins for i in range(1, bins)]
-    edges = counts.approxQuantile(_S, probs, 1.0 / (4 * bins)) if bins > 1 else []
+    # rank error below half a bucket keeps every bucket under ~1.5x its share
+    edges = counts.approxQuantile(_S, probs, 1.0 / (2 * bins)) if bins > 1 else []
     inner = sorted({e for e in edges if e == e and abs(e) != float("inf")})
     splits = [float("-inf"), *inner, float("inf")]
     if len(splits) < 3:
@@ -80,7 +94,9 @@ def binary_metrics(
     by = list(by)
     counts = _score_counts(scored, label, score, prediction, by).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        plan = _metrics_plan(counts, prediction, by, bins or default_bins(scored))
+        if bins is None:
+            bins = bins_for(counts.count(), default_bins(scored))  # materialises the counts
+        plan = _metrics_plan(counts, prediction, by, bins)
         rows = plan.collect()
     finally:
         counts.unpersist()

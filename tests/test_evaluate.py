@@ -77,3 +77,14 @@ def test_balanced_accuracy_is_hard_label_auc(spark):
     assert ba == pytest.approx((2 / 3 + 3 / 4) / 2)
     hard = auc(df.withColumn("score", F.col("prediction")), "label", "score").first().auc
     assert hard == pytest.approx(ba)
+
+
+def test_adaptive_bins_stay_exact(sample, monkeypatch):
+    import linclass.operators.evaluate as ev
+
+    data, df = sample
+    monkeypatch.setattr(ev, "ROWS_PER_BUCKET", 3)  # ~ distinct scores / 3 buckets
+    assert ev.bins_for(10_000, 16) == 3334 and ev.bins_for(10, 16) == 16
+    assert ev.bins_for(10**15, 16) == ev.MAX_BINS
+    got = auc(df, "label", "score").first().auc
+    assert got == pytest.approx(brute_auc([(s, y) for _, y, s in data]), abs=1e-12)
