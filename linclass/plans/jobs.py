@@ -91,6 +91,8 @@ class JobResult:
 
 
 def _load(spark: SparkSession, source, cfg: JobConfig) -> tuple[DataFrame, list[str], str | None, str]:
+    if type(source).__name__ == "DataFrame" and type(source).__module__.startswith("pandas"):
+        source = spark.createDataFrame(source)  # S5: a local table copied to Spark (Arrow)
     if isinstance(source, DataFrame):
         names = [c for c in source.columns if c != CORRUPT]
         return source, names, (CORRUPT if CORRUPT in source.columns else None), "<DataFrame>"

@@ -129,3 +129,13 @@ def test_checkpoint_stage(spark, workdir):
         spark, credit_file(workdir), target="Creditability", excluded=["Purpose"], save=False, stage="checkpoint"
     )
     assert res.run.first().rows == 600
+
+
+def test_pandas_source(spark):
+    import pandas as pd
+
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=300)
+    pdf = pd.DataFrame({"x": x, "Creditability": (x + rng.normal(size=300) > 0).astype(int)})
+    res = ridge_job(spark, pdf, save=False)
+    assert res.run.first().rows == 300
