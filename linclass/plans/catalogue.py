@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linclass.functions.expressions import distinct_word_share, non_letter_share, recode_label
-from linclass.operators.checks import data_checks, set_aside
+from linclass.operators.checks import data_checks, row_ok
 from linclass.operators.columns import LABEL, prepare, resolve_columns
 from linclass.operators.evaluate import auc, balanced_accuracy
 from linclass.operators.fit import coefficients, fit_pipeline, penalised_logistic, logistic_pipeline
@@ -150,10 +150,10 @@ def q_data_checks(spark, sf_dir):
 
 
 def q_set_aside(spark, sf_dir):
-    good, bad = set_aside(check_input(spark, sf_dir), LABEL, CHECK_FEATURES)
-    return good.select(F.lit("kept").alias("part")).unionByName(bad.select(F.lit("set_aside").alias("part"))).groupBy(
-        "part"
-    ).agg(F.count(F.lit(1)).alias("n"))
+    """Rows kept / set aside by the permissive mode's row rule, in one pass."""
+    ok = row_ok(LABEL, CHECK_FEATURES)
+    part = F.when(ok, F.lit("kept")).otherwise(F.lit("set_aside")).alias("part")
+    return check_input(spark, sf_dir).groupBy(part).agg(F.count(F.lit(1)).alias("n"))
 
 
 # ---- split, scaling ----------------------------------------------------------------------
