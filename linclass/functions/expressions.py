@@ -16,7 +16,8 @@ TWO_32 = 4294967296.0
 
 
 def col(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+    """A column by its exact name (quoted: dots, spaces and backticks are literal)."""
+    return F.col("`" + c.replace("`", "``") + "`") if isinstance(c, str) else c
 
 
 def recode_label(c: str | Column) -> Column:

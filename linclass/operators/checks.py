@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linclass.functions.expressions import is_finite
+from linclass.functions.expressions import col, is_finite
 
 # Checks that stop a strict run; the others are reported only.
 FATAL = frozenset({"corrupt", "null", "non_finite", "label_domain", "empty", "single_class"})
@@ -49,28 +49,28 @@ def check_specs(
 ) -> list[CheckSpec]:
     specs = [CheckSpec("empty", "*", _flag(F.count(F.lit(1)) == 0))]
     if corrupt_col is not None:
-        specs.append(CheckSpec("corrupt", "*", F.count_if(F.col(corrupt_col).isNotNull())))
+        specs.append(CheckSpec("corrupt", "*", F.count_if(col(corrupt_col).isNotNull())))
     if label is not None:
-        y = F.col(label)
+        y = col(label)
         specs += [
             CheckSpec("null", label, F.count_if(y.isNull())),
             CheckSpec("label_domain", label, F.count_if(~y.isin(0.0, 1.0))),
             CheckSpec("single_class", label, _flag((F.count_if(y == 1.0) == 0) | (F.count_if(y == 0.0) == 0))),
         ]
     for c in features:
-        x = F.col(c)
+        x = col(c)
         specs += [
             CheckSpec("null", c, F.count_if(x.isNull())),
             CheckSpec("non_finite", c, F.count_if(~is_finite(x))),
             CheckSpec("constant", c, _flag((F.min(x) == F.max(x)) | (F.count(x) == 0))),
         ]
     if fold_col is not None:
-        f = F.col(fold_col)
+        f = col(fold_col)
         for name in fold_names:
             in_fold = f == F.lit(name)
             specs.append(CheckSpec("empty_fold", name, _flag(F.count_if(in_fold) == 0)))
             if label is not None:
-                y = F.col(label)
+                y = col(label)
                 specs.append(
                     CheckSpec(
                         "single_class_fold",
@@ -122,11 +122,11 @@ def row_ok(label: str | None, features: Sequence[str], corrupt_col: str | None =
     """True for a row that passes every row check."""
     cond = F.lit(True)
     if corrupt_col is not None:
-        cond = cond & F.col(corrupt_col).isNull()
+        cond = cond & col(corrupt_col).isNull()
     if label is not None:
-        cond = cond & F.col(label).isNotNull() & F.col(label).isin(0.0, 1.0)
+        cond = cond & col(label).isNotNull() & col(label).isin(0.0, 1.0)
     for c in features:
-        cond = cond & F.col(c).isNotNull() & is_finite(c)
+        cond = cond & col(c).isNotNull() & is_finite(c)
     return F.coalesce(cond, F.lit(False))
 
 

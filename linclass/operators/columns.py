@@ -6,14 +6,14 @@ Every bad name is an error that lists the available columns.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linclass.functions.expressions import recode_label
+from linclass.functions.expressions import col, recode_label
 
 LABEL = "label"
 FEATURES = "features"
@@ -70,16 +70,42 @@ def prepare(
     keep: Sequence[str] = (),
     recode: bool = True,
     label: str = LABEL,
+    rename: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Rows as (keep..., label, feature doubles...): label recoded -1 -> 0 when ``recode``."""
-    y = recode_label(cols.target) if recode else F.col(cols.target).cast("double")
+    """Rows as (keep..., label, feature doubles...): label recoded -1 -> 0 when ``recode``;
+    features renamed by ``rename`` (original -> new name) where given."""
+    y = recode_label(cols.target) if recode else col(cols.target).cast("double")
+    names = rename or {}
     return df.select(
-        *keep,
+        *[col(k) for k in keep],
         y.alias(label),
-        *[F.col(c).cast("double").alias(c) for c in cols.features],
+        *[col(c).cast("double").alias(names.get(c, c)) for c in cols.features],
     )
 
 
+def safe_names(features: Sequence[str], reserved: Sequence[str] = ()) -> dict[str, str]:
+    """Original -> name usable by every Spark ML stage (no '.', no '`', not a reserved
+    column such as the label or the fold), unique."""
+    res = set(reserved)
+
+    def ok(c: str) -> bool:
+        return "." not in c and "`" not in c and c not in res
+
+    taken = res | {c for c in features if ok(c)}
+    out = {}
+    for c in features:
+        if ok(c):
+            out[c] = c
+            continue
+        base = c.replace(".", "_").replace("`", "_")
+        name, i = base, 1
+        while name in taken:
+            name, i = f"{base}_{i}", i + 1
+        taken.add(name)
+        out[c] = name
+    return out
+
+
 def assembler(features: Sequence[str], output: str = FEATURES, handle_invalid: str = "error") -> VectorAssembler:
     """Feature vector stage. Rows with nulls or NaN fail by default: the checks run first."""
     return VectorAssembler(inputCols=list(features), outputCol=output, handleInvalid=handle_invalid)

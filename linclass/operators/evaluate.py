@@ -35,6 +35,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from linclass.functions.expressions import col
+
 _S, _P, _N, _TP, _FP, _B = "_s", "_p", "_n", "_tp", "_fp", "_b"
 
 
@@ -57,11 +59,11 @@ def bins_for(n_distinct: int, floor: int) -> int:
 def _score_counts(
     scored: DataFrame, label: str, score: str | Column, prediction: str | None, by: Sequence[str]
 ) -> DataFrame:
-    y = F.col(label)
-    s = F.col(score) if isinstance(score, str) else score
+    y = col(label)
+    s = col(score)
     aggs = [F.count_if(y == 1.0).alias(_P), F.count_if(y == 0.0).alias(_N)]
     if prediction is not None:
-        p = F.col(prediction)
+        p = col(prediction)
         aggs += [F.count_if((y == 1.0) & (p == 1.0)).alias(_TP), F.count_if((y == 0.0) & (p == 1.0)).alias(_FP)]
     return scored.where(y.isin(0.0, 1.0) & s.isNotNull()).groupBy(*by, s.cast("double").alias(_S)).agg(*aggs)
 
@@ -150,7 +152,7 @@ def balanced_accuracy(
 
     This is what an AUC on hard 0/1 predictions measures (the reference's train / test AUC).
     """
-    y, p = F.col(label), F.col(prediction)
+    y, p = col(label), col(prediction)
     g = (
         scored.where(y.isin(0.0, 1.0))
         .groupBy(*by)

@@ -14,7 +14,7 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linclass.functions.expressions import dot, sigmoid
+from linclass.functions.expressions import col, dot, sigmoid
 from linclass.operators.scale import ScalerStats, scaled_expr
 
 MODEL_CLASS = "linclass.LinearModel"
@@ -40,7 +40,7 @@ class LinearModel:
     # ---- scoring -------------------------------------------------------------------
     def inputs(self) -> list[Column]:
         if self.means is None:
-            return [F.col(c).cast("double") for c in self.features]
+            return [col(c).cast("double") for c in self.features]
         stats = ScalerStats(self.features, self.means, self.stds or [])
         return [scaled_expr(stats, i) for i in range(len(self.features))]
 

@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from linclass.functions.expressions import col
+
 
 @dataclass(frozen=True)
 class ScalerStats:
@@ -30,7 +32,7 @@ def scaler_stats_frame(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """DataFrame[feature, mean, std]: one aggregation, one row per feature."""
     aggs = []
     for i, c in enumerate(features):
-        x = F.col(c).cast("double")
+        x = col(c).cast("double")
         aggs += [F.avg(x).alias(f"_m{i}"), F.stddev_samp(x).alias(f"_s{i}")]
     wide = df.agg(*aggs)
     rows = F.array(
@@ -53,11 +55,11 @@ def fit_scaler(df: DataFrame, features: Sequence[str]) -> ScalerStats:
 def scaled_expr(stats: ScalerStats, i: int):
     c = stats.features[i]
     inv = stats.inverse_stds()[i]
-    return (F.col(c).cast("double") - F.lit(stats.means[i])) * F.lit(inv)
+    return (col(c).cast("double") - F.lit(stats.means[i])) * F.lit(inv)
 
 
 def apply_scaler(df: DataFrame, stats: ScalerStats, prefix: str = "") -> DataFrame:
     """Replace (or add, with ``prefix``) each feature by its standardised value."""
     scaled = {prefix + c: scaled_expr(stats, i).alias(prefix + c) for i, c in enumerate(stats.features)}
-    kept = [scaled.pop(c) if c in scaled else F.col(c) for c in df.columns]
+    kept = [scaled.pop(c) if c in scaled else col(c) for c in df.columns]
     return df.select(*kept, *scaled.values())

@@ -29,7 +29,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linclass.functions.expressions import dot, sigmoid
+from linclass.functions.expressions import col, dot, sigmoid
 from linclass.operators.linear import LinearModel
 
 PENALTIES = ("l2", "l1", "none")
@@ -149,13 +149,13 @@ def sgd_fit(
     d = len(features)
     if block_gradient is None:
         block_gradient = d > BLOCK_ABOVE
-    exprs = list(inputs) if inputs is not None else [F.col(c).cast("double") for c in features]
+    exprs = list(inputs) if inputs is not None else [col(c).cast("double") for c in features]
     if len(exprs) != d:
         raise ValueError(f"{len(exprs)} input expressions for {d} features")
 
     # Narrow rows (label + one double per feature, inputs evaluated once) are what is cached.
     names = [f"_f{i}" for i in range(d)]
-    data = train.select(F.col(label).cast("double").alias("_y"), *[x.alias(n) for x, n in zip(exprs, names)])
+    data = train.select(col(label).cast("double").alias("_y"), *[x.alias(n) for x, n in zip(exprs, names)])
     feats = [F.col(n) for n in names]
     if persist:
         data = data.persist(StorageLevel.MEMORY_AND_DISK)

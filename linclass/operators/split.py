@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linclass.functions.expressions import hash_unit, row_hash_unit
+from linclass.functions.expressions import col, hash_unit, row_hash_unit
 
 FOLD = "fold"
 DEFAULT_WEIGHTS = {"train": 0.8, "test": 0.2}
@@ -61,7 +61,7 @@ def hash_split(
 
 def folds(df: DataFrame, fold_col: str = FOLD, names: Sequence[str] = ("train", "test")) -> dict[str, DataFrame]:
     """One filtered DataFrame per fold name (filters on the fold expression)."""
-    return {n: df.where(F.col(fold_col) == n) for n in names}
+    return {n: df.where(col(fold_col) == n) for n in names}
 
 
 def random_split(

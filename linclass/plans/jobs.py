@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linclass.operators.checks import checks_frame, enforce, failures, run_checks, set_aside
-from linclass.operators.columns import LABEL, Columns, prepare, resolve_columns
+from linclass.functions.expressions import col
+from linclass.operators.columns import LABEL, Columns, prepare, resolve_columns, safe_names
 from linclass.operators.evaluate import binary_metrics
 from linclass.operators.fit import (
     coefficients,
@@ -160,7 +161,10 @@ def run_job(spark: SparkSession, source, cfg: JobConfig) -> JobResult:
     cols = resolve_columns(names, cfg.target, cfg.excluded)
     keys = [] if cfg.key is None else ([cfg.key] if isinstance(cfg.key, str) else list(cfg.key))
     carry = [k for k in keys if k not in (cfg.target, *cols.features)] + ([corrupt] if corrupt else [])
-    prepared = prepare(raw, cols, keep=carry)
+    # features under names every ML stage accepts (reports use the original names)
+    safe = safe_names(cols.features, reserved=[LABEL, FOLD, *carry])
+    feats = [safe[c] for c in cols.features]
+    prepared = prepare(raw, cols, keep=carry, rename=safe)
 
     fold_names = list(cfg.weights)
     if len(fold_names) != 2:
@@ -169,7 +173,7 @@ def run_job(spark: SparkSession, source, cfg: JobConfig) -> JobResult:
     if cfg.split == "hash":
         split_key = keys or None
         if split_key is None:
-            data = hash_split(prepared.select(LABEL, *cols.features, *carry), None, cfg.weights, cfg.seed)
+            data = hash_split(prepared.select(*[col(c) for c in [LABEL, *feats, *carry]]), None, cfg.weights, cfg.seed)
         else:
             data = hash_split(prepared, split_key, cfg.weights, cfg.seed)
     elif cfg.split == "random":
@@ -191,23 +195,23 @@ def run_job(spark: SparkSession, source, cfg: JobConfig) -> JobResult:
         # a written copy in the shared checkpoint folder: lineage cut, survives lost executors
         checkpoint_root(spark)
         data = data.checkpoint(eager=True)
-        return _run_prepared(spark, cfg, data, raw, names, cols, corrupt, input_name, profile, started)
+        return _run_prepared(spark, cfg, data, raw, names, cols, feats, corrupt, input_name, profile, started)
     if cfg.stage != "persist":
         raise ValueError(f"stage must be 'persist' or 'checkpoint', got {cfg.stage!r}")
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _run_prepared(spark, cfg, data, raw, names, cols, corrupt, input_name, profile, started)
+        return _run_prepared(spark, cfg, data, raw, names, cols, feats, corrupt, input_name, profile, started)
     finally:
         data.unpersist()
 
 
-def _run_prepared(spark, cfg, data, raw, names, cols, corrupt, input_name, profile, started) -> JobResult:
+def _run_prepared(spark, cfg, data, raw, names, cols, feats, corrupt, input_name, profile, started) -> JobResult:
     train_name, test_name = list(cfg.weights)
     fold_names = [train_name, test_name]
     check_rows, counts = run_checks(
         data,
         LABEL,
-        cols.features,
+        feats,
         fold_col=FOLD,
         fold_names=fold_names,
         corrupt_col=corrupt,
@@ -225,13 +229,16 @@ def _run_prepared(spark, cfg, data, raw, names, cols, corrupt, input_name, profi
         [(f, c, int(counts[f"{f}|{c}"])) for f in fold_names for c in (0, 1)],
         "fold string, class int, n bigint",
     )
+    original = dict(zip(feats, cols.features))
+    for r in check_rows:
+        r["column"] = original.get(r["column"], r["column"])
     enforce(check_rows, cfg.strict)
     aside = None
     if not cfg.strict:
-        data, aside = set_aside(data, LABEL, cols.features, corrupt)
+        data, aside = set_aside(data, LABEL, feats, corrupt)
 
-    train = data.where(F.col(FOLD) == train_name).select(LABEL, *cols.features)
-    model, iterations = _fit(spark, train, cols.features, cfg)
+    train = data.where(F.col(FOLD) == train_name).select(*[col(c) for c in [LABEL, *feats]])
+    model, iterations = _fit(spark, train, feats, cfg)
 
     path = _model_path(cfg)
     if path is not None:

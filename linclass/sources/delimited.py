@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from linclass.functions.expressions import col
+
 CORRUPT = "_corrupt_record"
 
 
@@ -116,5 +118,5 @@ def lines_from_table(df: DataFrame, columns: Sequence[str], sep: str = ",") -> t
     Builds delimited input from a table inside Spark (no files); the header line is
     returned apart so it can be placed among the lines.
     """
-    line = F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+    line = F.concat_ws(sep, *[F.coalesce(col(c).cast("string"), F.lit("")) for c in columns])
     return df.select(line.alias("value")), header_of(sep.join(columns), sep)

@@ -104,3 +104,19 @@ def test_strict_job_reports_counts(spark, workdir):
     p = write_file(workdir, "a.csv", "x,Target\n1,1\nabc,0\n2,0\n3,1\n")
     with pytest.raises(DataCheckError, match=r"corrupt\(\*\)=1"):
         logistic_job(spark, p, save=False)
+
+
+def test_names_with_spaces_and_backticks(spark, workdir):
+    p = write_file(workdir, "a.csv", '"Age years","odd`name",Target\n30,1,1\n40,2,0\n')
+    df, h = load_delimited(spark, p)
+    assert h.names == ["Age years", "odd`name", "Target"]
+    cols = resolve_columns(h.names, "Target")
+    assert sorted(rows(prepare(df, cols), "label", "Age years")) == [(0.0, 40.0), (1.0, 30.0)]
+
+
+def test_infinite_and_nan_values_fail_checks(spark, workdir):
+    p = write_file(workdir, "a.csv", "x,Target\nInf,1\nNaN,0\n2,1\n3,0\n")
+    df, h = load_delimited(spark, p)
+    cols = resolve_columns(h.names, "Target")
+    checks = {(r.check, r.column): r.n_bad for r in data_checks(prepare(df, cols), "label", cols.features).collect()}
+    assert checks[("non_finite", "x")] == 2 and checks[("null", "x")] == 0

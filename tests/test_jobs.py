@@ -139,3 +139,18 @@ def test_pandas_source(spark):
     pdf = pd.DataFrame({"x": x, "Creditability": (x + rng.normal(size=300) > 0).astype(int)})
     res = ridge_job(spark, pdf, save=False)
     assert res.run.first().rows == 300
+
+
+def test_awkward_feature_names(spark, workdir):
+    rng = np.random.default_rng(2)
+    lines = ['"a.b","label","x`y",fold,Target']
+    for _ in range(400):
+        a, b, c, d = rng.normal(size=4)
+        lines.append(f"{a},{b},{c},{d},{1 if a + b - c + rng.normal() > 0 else 0}")
+    path = write_file(workdir, "odd.csv", "\n".join(lines) + "\n")
+    for job in (logistic_job, svm_job):
+        res = job(spark, path, save=False)
+        names = sorted(r.variable for r in res.coefficients.collect())
+        assert names == sorted(["a.b", "label", "x`y", "fold", "Intercept"])
+        assert res.run.first().auc_test > 0.7
+        assert {r.column for r in res.checks.collect()} >= {"a.b", "x`y", "label", "fold"}
