@@ -117,3 +117,51 @@ def test_linear_model_scoring_rules(spark):
     assert lg[1].probability == pytest.approx(0.5)
     hg = LinearModel(["x"], [1.0], -1.0, "hinge").transform(df).orderBy("x").collect()
     assert [r.prediction for r in hg] == [0.0, 0.0, 1.0]
+
+
+@pytest.mark.parametrize(
+    "loss,penalty", [("logistic", "l2"), ("logistic", "l1"), ("logistic", "none"), ("hinge", "l2"), ("hinge", "l1")]
+)
+def test_sgd_matches_spark_library_trainers(spark, small, loss, penalty):
+    """Same numbers as the RDD trainers the reference calls (intercept only for logistic)."""
+    import warnings
+
+    from pyspark.mllib.classification import LogisticRegressionWithSGD, SVMWithSGD
+    from pyspark.mllib.regression import LabeledPoint
+
+    x, y, df = small
+    rdd = spark.sparkContext.parallelize([LabeledPoint(t, row.tolist()) for row, t in zip(x, y)], 4)
+    reg_type = None if penalty == "none" else penalty
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        if loss == "logistic":
+            lib = LogisticRegressionWithSGD.train(rdd, iterations=40, regParam=0.01, regType=reg_type, intercept=True)
+        else:
+            lib = SVMWithSGD.train(rdd, iterations=40, regParam=0.01, regType=reg_type)
+    model, _ = sgd_fit(df, ["a", "b", "c"], "label", loss, penalty, 0.01, 40, intercept=(loss == "logistic"))
+    assert np.max(np.abs(np.array(model.weights) - lib.weights.toArray())) < 1e-9
+    assert model.intercept == pytest.approx(lib.intercept, abs=1e-9)
+
+
+def test_scaled_svm_matches_library_flow(spark, small):
+    """The SVM job's steps (train statistics, standardise, 100 hinge steps, no intercept)
+    against mllib's StandardScaler + SVMWithSGD on the same rows."""
+    from pyspark.mllib.classification import SVMWithSGD
+    from pyspark.mllib.feature import StandardScaler as OldScaler
+    from pyspark.mllib.regression import LabeledPoint
+
+    from linclass.operators.scale import fit_scaler, scaled_expr
+
+    x, y, df = small
+    x = x * np.array([10.0, 0.1, 3.0]) + np.array([5.0, -1.0, 0.0])
+    df = spark.createDataFrame([(*map(float, r), float(t)) for r, t in zip(x, y)], "a double, b double, c double, label double")
+    feats = spark.sparkContext.parallelize([r.tolist() for r in x], 3)
+    labels = spark.sparkContext.parallelize(y.tolist(), 3)
+    scaler = OldScaler(withMean=True, withStd=True).fit(feats)
+    rdd = labels.zip(scaler.transform(feats)).map(lambda p: LabeledPoint(p[0], p[1]))
+    lib = SVMWithSGD.train(rdd, iterations=100)
+
+    stats = fit_scaler(df, ["a", "b", "c"])
+    inputs = [scaled_expr(stats, i) for i in range(3)]
+    model, _ = sgd_fit(df, ["a", "b", "c"], "label", "hinge", "l2", 0.01, 100, intercept=False, inputs=inputs)
+    assert np.max(np.abs(np.array(model.weights) - lib.weights.toArray())) < 1e-9
