@@ -65,16 +65,28 @@ def row_hash_unit(columns: Sequence[str | Column], seed: int) -> Column:
     return (F.pmod(h, F.lit(TWO_32).cast("long"))).cast("double") / F.lit(TWO_32)
 
 
+# The letters and the space that ``non_letter_share`` does not count, and the
+# white-space characters of Java's \s (space, tab, newline, vertical tab, form feed, return).
+ASCII_LETTERS_AND_SPACE = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ "
+WHITESPACE = " \t\n\x0b\f\r"
+
+
 def non_letter_share(text: str | Column) -> Column:
-    """Share of the characters of a text that are not in [a-zA-Z ] (0 for an empty text)."""
+    """Share of the characters of a text that are not in [a-zA-Z ] (0 for an empty text).
+
+    ``translate`` deletes the counted set character by character (no regex)."""
     t = col(text)
     n = F.length(t)
-    return F.when(n > 0, F.length(F.regexp_replace(t, "[a-zA-Z ]", "")) / n).otherwise(F.lit(0.0))
+    rest = F.length(F.translate(t, ASCII_LETTERS_AND_SPACE, ""))
+    return F.when(n > 0, rest / n).otherwise(F.lit(0.0))
 
 
 def distinct_word_share(text: str | Column) -> Column:
     """Distinct words over words, words split on runs of white space (0 for no words)."""
     # After trim the split yields no empty token, except the single one of a blank text.
-    trimmed = F.regexp_replace(col(text), r"^\s+|\s+$", "")
+    # The ratio is kept out of a CASE branch so that the split is computed once per row
+    # (common subexpressions are shared only among always-evaluated expressions).
+    trimmed = F.trim(col(text), F.lit(WHITESPACE))
     words = F.split(trimmed, r"\s+")
-    return F.when(trimmed != "", F.size(F.array_distinct(words)) / F.size(words)).otherwise(F.lit(0.0))
+    ratio = F.size(F.array_distinct(words)) / F.size(words)
+    return ratio * (trimmed != F.lit("")).cast("double")
