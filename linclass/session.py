@@ -43,6 +43,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if root:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(root)  # DataFrame.checkpoint() reads the context's setting
         return root.rstrip("/")
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, S3, ...) for this job")
