@@ -175,7 +175,9 @@ def run_job(spark: SparkSession, source, cfg: JobConfig) -> JobResult:
         if split_key is None:
             data = hash_split(prepared.select(*[col(c) for c in [LABEL, *feats, *carry]]), None, cfg.weights, cfg.seed)
         else:
-            data = hash_split(prepared, split_key, cfg.weights, cfg.seed)
+            # a key that is also a feature or the target is hashed under its prepared name
+            split_cols = [safe.get(k, LABEL if k == cfg.target else k) for k in split_key]
+            data = hash_split(prepared, split_cols, cfg.weights, cfg.seed)
     elif cfg.split == "random":
         parts = random_split(prepared, cfg.weights, cfg.seed)
         data = parts[train_name].withColumn(FOLD, F.lit(train_name)).unionByName(

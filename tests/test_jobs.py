@@ -154,3 +154,9 @@ def test_awkward_feature_names(spark, workdir):
         assert names == sorted(["a.b", "label", "x`y", "fold", "Intercept"])
         assert res.run.first().auc_test > 0.7
         assert {r.column for r in res.checks.collect()} >= {"a.b", "x`y", "label", "fold"}
+
+
+def test_split_key_that_is_a_feature(spark, workdir):
+    res = logistic_job(spark, credit_file(workdir), target="Creditability", key="Age_years", save=False)
+    run = res.run.first()
+    assert run.train_rows + run.test_rows == 600 and run.train_rows > run.test_rows
