@@ -77,7 +77,7 @@ def _gradient_sums_columns(train: DataFrame, feats: list[Column], margin: Column
     proj = train.select(m.alias("_m"), *[x.alias(f"_x{i}") for i, x in enumerate(feats)])
     aggs = [F.sum(F.col("_m") * F.col(f"_x{i}")) for i in range(len(feats))]
     aggs += [F.sum("_m"), F.count(F.lit(1))]
-    row = proj.agg(*aggs).first()
+    row = proj.agg(*aggs).collect()[0]  # one row; collect() plans no limit
     return [float(v) if v is not None else 0.0 for v in row]
 
 

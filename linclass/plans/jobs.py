@@ -72,6 +72,10 @@ class JobConfig:
     timestamped: bool = False
     profile_column: str | None = None
     stage: str = "persist"  # persist | checkpoint (written to spark.checkpoint.dir)
+    # spread the narrow prepared rows evenly over the cluster's cores before they are
+    # cached (one shuffle of d + 2 columns); for inputs read by few tasks, such as
+    # non-splittable compressed files, where every later pass would wait on those tasks
+    rebalance: bool = False
 
 
 @dataclass
@@ -193,6 +197,8 @@ def run_job(spark: SparkSession, source, cfg: JobConfig) -> JobResult:
     # The narrow prepared rows (label, d doubles, key, fold) are read by the checks, the
     # fit (many times) and the metrics: parse / derive them once. A lost block is
     # recomputed from the scan by lineage.
+    if cfg.rebalance:
+        data = data.repartition(spark.sparkContext.defaultParallelism)
     if cfg.stage == "checkpoint":
         # a written copy in the shared checkpoint folder: lineage cut, survives lost executors
         checkpoint_root(spark)

@@ -160,3 +160,14 @@ def test_split_key_that_is_a_feature(spark, workdir):
     res = logistic_job(spark, credit_file(workdir), target="Creditability", key="Age_years", save=False)
     run = res.run.first()
     assert run.train_rows + run.test_rows == 600 and run.train_rows > run.test_rows
+
+
+def test_rebalance_gives_the_same_fit(spark, workdir):
+    path = credit_file(workdir)
+    args = dict(target="Creditability", excluded=["Purpose"], mode="sgd", save=False, key="Age_years")
+    a = logistic_job(spark, path, **args)
+    b = logistic_job(spark, path, rebalance=True, **args)
+    wa = {r.variable: r.coefficient for r in a.coefficients.collect()}
+    wb = {r.variable: r.coefficient for r in b.coefficients.collect()}
+    assert wa.keys() == wb.keys() and all(abs(wa[k] - wb[k]) < 1e-9 for k in wa)
+    assert a.run.first().auc_test == pytest.approx(b.run.first().auc_test, abs=1e-12)
