@@ -104,12 +104,20 @@ def load_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
-def load_csv_inferred(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """CSV with a header line and inferred column types (the R script's reader).
+GUESS_ROWS = 1000  # rows the R reader looks at to guess column types
 
-    Costs one extra pass over the data for inference; use an explicit schema at scale.
+
+def load_csv_inferred(spark: SparkSession, path: str, sep: str = ",", guess_rows: int = GUESS_ROWS) -> DataFrame:
+    """CSV with a header line and column types guessed from its first ``guess_rows`` rows
+    (as the R script's reader does), then read in full with that explicit schema.
+
+    Only the head lines are read for the guess (not a full inference pass over the data);
+    every row is then read and parsed with the guessed types.
     """
-    return spark.read.csv(path, sep=sep, header=True, inferSchema=True)
+    head = read_lines(spark, path).limit(guess_rows + 1).collect()  # header + guess rows
+    sample = spark.sparkContext.parallelize([r["value"] for r in head], 1)
+    schema = spark.read.csv(sample, sep=sep, header=True, inferSchema=True).schema
+    return spark.read.csv(path, sep=sep, header=True, schema=schema)
 
 
 def lines_from_table(df: DataFrame, columns: Sequence[str], sep: str = ",") -> tuple[DataFrame, Header]:
