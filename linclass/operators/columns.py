@@ -11,7 +11,6 @@ from dataclasses import dataclass
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from linclass.functions.expressions import col, recode_label
 
