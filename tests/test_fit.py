@@ -165,3 +165,23 @@ def test_scaled_svm_matches_library_flow(spark, small):
     inputs = [scaled_expr(stats, i) for i in range(3)]
     model, _ = sgd_fit(df, ["a", "b", "c"], "label", "hinge", "l2", 0.01, 100, intercept=False, inputs=inputs)
     assert np.max(np.abs(np.array(model.weights) - lib.weights.toArray())) < 1e-9
+
+
+@pytest.mark.parametrize("kind", ["logistic", "svm", "svm_unscaled"])
+def test_expression_scoring_equals_spark_transform(spark, small, kind):
+    from linclass.operators.fit import svm_pipeline
+    from linclass.operators.score import linear_view
+
+    _, _, df = small
+    if kind == "logistic":
+        pipe = logistic_pipeline(["a", "b", "c"], reg=0.01, elastic_net=0.3)
+    else:
+        pipe = svm_pipeline(["a", "b", "c"], reg=0.01, scale=(kind == "svm"))
+    model = fit_pipeline(pipe, df)
+    assert linear_view(model) is not None
+    fast = score(model, df).select("margin", "prediction", *(["probability"] if kind == "logistic" else [])).collect()
+    slow = score(model, df, native=False).select("margin", "prediction", *(["probability"] if kind == "logistic" else [])).collect()
+    for f, s_ in zip(fast, slow):
+        assert f.margin == pytest.approx(s_.margin, abs=1e-12) and f.prediction == s_.prediction
+        if kind == "logistic":
+            assert f.probability == pytest.approx(s_.probability, abs=1e-12)
