@@ -71,7 +71,10 @@ class JobConfig:
     model_prefix: str = "model"
     timestamped: bool = False
     profile_column: str | None = None
-    stage: str = "persist"  # persist | checkpoint (written to spark.checkpoint.dir)
+    # persist: cache the narrow prepared rows for checks, fit and metrics; checkpoint: write
+    # them to spark.checkpoint.dir (lineage cut); none: no job-level copy - each of the
+    # three reads the source once and the trainer keeps its own single cache (least memory)
+    stage: str = "persist"
     # spread the narrow prepared rows evenly over the cluster's cores before they are
     # cached (one shuffle of d + 2 columns); for inputs read by few tasks, such as
     # non-splittable compressed files, where every later pass would wait on those tasks
@@ -121,13 +124,14 @@ def _model_path(cfg: JobConfig) -> str | None:
 
 
 def _fit(spark: SparkSession, train: DataFrame, features: list[str], cfg: JobConfig):
+    own_cache = cfg.stage == "none"  # the trainer caches its input only when the job does not
     """(model, mode actually used, iterations run or None)."""
     if cfg.job == "svm" and cfg.penalty in ("l1", "none") and cfg.mode == "converged":
         cfg.mode = "sgd"  # no built-in L1 / unpenalised linear SVM: gradient descent
     if cfg.mode == "sgd":
         if cfg.job == "logistic":
             model, trace = sgd_fit(
-                train, features, LABEL, "logistic", cfg.penalty, cfg.reg, cfg.iterations, intercept=True, persist=False
+                train, features, LABEL, "logistic", cfg.penalty, cfg.reg, cfg.iterations, intercept=True, persist=own_cache
             )
             return model, trace.iterations
         if cfg.job == "svm":
@@ -143,7 +147,7 @@ def _fit(spark: SparkSession, train: DataFrame, features: list[str], cfg: JobCon
                 cfg.iterations,
                 intercept=False,
                 inputs=inputs,
-                persist=False,
+                persist=own_cache,
             )
             model.means, model.stds = stats.means, stats.stds
             return model, trace.iterations
@@ -204,8 +208,10 @@ def run_job(spark: SparkSession, source, cfg: JobConfig) -> JobResult:
         checkpoint_root(spark)
         data = data.checkpoint(eager=True)
         return _run_prepared(spark, cfg, data, raw, names, cols, feats, corrupt, input_name, profile, started)
+    if cfg.stage == "none":
+        return _run_prepared(spark, cfg, data, raw, names, cols, feats, corrupt, input_name, profile, started)
     if cfg.stage != "persist":
-        raise ValueError(f"stage must be 'persist' or 'checkpoint', got {cfg.stage!r}")
+        raise ValueError(f"stage must be 'persist', 'checkpoint' or 'none', got {cfg.stage!r}")
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return _run_prepared(spark, cfg, data, raw, names, cols, feats, corrupt, input_name, profile, started)

@@ -171,3 +171,12 @@ def test_rebalance_gives_the_same_fit(spark, workdir):
     wb = {r.variable: r.coefficient for r in b.coefficients.collect()}
     assert wa.keys() == wb.keys() and all(abs(wa[k] - wb[k]) < 1e-9 for k in wa)
     assert a.run.first().auc_test == pytest.approx(b.run.first().auc_test, abs=1e-12)
+
+
+@pytest.mark.parametrize("mode", ["converged", "sgd"])
+def test_stage_none_same_result(spark, workdir, mode):
+    path = credit_file(workdir)
+    args = dict(target="Creditability", excluded=["Purpose"], mode=mode, save=False)
+    a = logistic_job(spark, path, **args).run.first()
+    b = logistic_job(spark, path, stage="none", **args).run.first()
+    assert a.rows == b.rows and a.auc_test == pytest.approx(b.auc_test, abs=1e-9)
