@@ -14,7 +14,8 @@ would run in one task, so the plan is:
 2. approximate quantiles of the distinct scores give ``bins`` bucket edges (one small
    job). ``bins`` grows with the number of distinct scores so that a bucket holds about
    ``ROWS_PER_BUCKET`` of them, within [4 x shuffle partitions, ``MAX_BINS``]: the edge
-   list is bounded by that cap, never by the data;
+   list is bounded by that cap, never by the data. Up to ``SINGLE_BUCKET_UP_TO`` distinct
+   scores there is one bucket per group and no quantile job;
 3. per-bucket positive totals (groups x bins rows) give each bucket its offset by a small
    window; the join back is planned by Spark (broadcast only under the size threshold,
    checked at run time by AQE, else sort-merge);
@@ -44,6 +45,9 @@ _S, _P, _N, _TP, _FP, _B = "_s", "_p", "_n", "_tp", "_fp", "_b"
 # (the edge list and the relative error of the quantile sketch grow with it).
 ROWS_PER_BUCKET = 1_000_000
 MAX_BINS = 1 << 16
+# Up to this many distinct scores in all, one bucket per group: the quantile job is skipped
+# and a group's running sum is one bounded window task.
+SINGLE_BUCKET_UP_TO = 200_000
 
 
 def default_bins(df: DataFrame) -> int:
@@ -52,7 +56,10 @@ def default_bins(df: DataFrame) -> int:
 
 
 def bins_for(n_distinct: int, floor: int) -> int:
-    """Enough buckets that one holds about ``ROWS_PER_BUCKET`` distinct scores."""
+    """Enough buckets that one holds about ``ROWS_PER_BUCKET`` distinct scores (one
+    bucket for a small table)."""
+    if n_distinct <= SINGLE_BUCKET_UP_TO:
+        return 1
     return max(floor, min(MAX_BINS, -(-n_distinct // ROWS_PER_BUCKET)))
 
 

@@ -84,6 +84,7 @@ def test_adaptive_bins_stay_exact(sample, monkeypatch):
 
     data, df = sample
     monkeypatch.setattr(ev, "ROWS_PER_BUCKET", 3)  # ~ distinct scores / 3 buckets
+    monkeypatch.setattr(ev, "SINGLE_BUCKET_UP_TO", 0)
     assert ev.bins_for(10_000, 16) == 3334 and ev.bins_for(10, 16) == 16
     assert ev.bins_for(10**15, 16) == ev.MAX_BINS
     got = auc(df, "label", "score").first().auc
