@@ -314,6 +314,15 @@ f AS (SELECT quality, {fold_sql('doc_id', seed, names)} AS fold FROM j)
 SELECT fold, count(*)::BIGINT AS n_rows, sum(quality)::BIGINT AS n_pos, true AS auc_ok FROM f GROUP BY fold"""
 
 
+RUN_RECORD = f"""
+WITH j AS (SELECT d.doc_id FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+f AS (SELECT {fold_sql('doc_id')} AS fold FROM j)
+SELECT 'enet' AS job, count(*)::BIGINT AS rows, 5 AS columns, 'quality' AS target,
+       count(*) FILTER (WHERE fold = 'train')::BIGINT AS train_rows,
+       count(*) FILTER (WHERE fold = 'test')::BIGINT AS test_rows,
+       'elastic-net logistic regression' AS model
+FROM f"""
+
 MODEL_ROUND_TRIP = """
 SELECT count(*)::BIGINT AS n_rows, 0::BIGINT AS n_mismatch
 FROM documents d JOIN labels l ON d.doc_id = l.doc_id"""
@@ -353,4 +362,5 @@ def oracle_sql() -> dict[str, str]:
         "svm_fit": doc_folds(),
         "ridge_fit": doc_folds(C.R_SEED, ("training", "test")),
         "model_round_trip": MODEL_ROUND_TRIP,
+        "run_record": RUN_RECORD,
     }
