@@ -115,6 +115,8 @@ FROM d GROUP BY 1"""
 
 HASH_SPLIT = f"SELECT o_orderkey, {fold_sql('o_orderkey')} AS fold FROM orders"
 
+RANDOM_SPLIT = "SELECT count(*)::BIGINT AS n_rows, true AS share_ok FROM orders"
+
 
 # ---- scaling ---------------------------------------------------------------------------
 def lineitem_folds(features: list[str]) -> str:
@@ -339,6 +341,7 @@ def oracle_sql() -> dict[str, str]:
         "data_checks": data_checks(),
         "set_aside": set_aside(),
         "hash_split": HASH_SPLIT,
+        "random_split": RANDOM_SPLIT,
         "scaler_fit": scaler_fit(),
         "scaler_transform": scaler_transform(),
         "score_logistic_hard": score_logistic_hard(),
