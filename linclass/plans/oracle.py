@@ -313,7 +313,10 @@ SELECT variable, {r6('coefficient')} AS coefficient, coefficient <> 0 AS is_nonz
 def doc_folds(seed: int = C.SEED, names: tuple[str, str] = ("train", "test")) -> str:
     return f"""WITH j AS (SELECT d.doc_id, l.quality FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
 f AS (SELECT quality, {fold_sql('doc_id', seed, names)} AS fold FROM j)
-SELECT fold, count(*)::BIGINT AS n_rows, sum(quality)::BIGINT AS n_pos, true AS auc_ok FROM f GROUP BY fold"""
+SELECT fold, count(*)::BIGINT AS n_rows, sum(quality)::BIGINT AS n_pos,
+       -- AUC is defined (and expected above 0.9) only for a fold holding both classes
+       (count(*) FILTER (WHERE quality = 1) > 0 AND count(*) FILTER (WHERE quality = 0) > 0) AS auc_ok
+FROM f GROUP BY fold"""
 
 
 RUN_RECORD = f"""
