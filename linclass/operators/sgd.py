@@ -83,7 +83,7 @@ def _gradient_sums_columns(train: DataFrame, feats: list[Column], margin: Column
     m = multiplier(loss, margin, F.col(label))
     proj = train.select(m.alias("_m"), *[x.alias(f"_x{i}") for i, x in enumerate(feats)])
     sums = [F.sum(F.col("_m") * F.col(f"_x{i}")).alias(f"g{i}") for i in range(d)]
-    obs = Observation("gradient")
+    obs = Observation()  # unique name per pass
     proj.observe(obs, *sums, F.sum("_m").alias("gb"), F.count(F.lit(1)).alias("n")).write.format("noop").mode(
         "overwrite"
     ).save()
