@@ -1,10 +1,9 @@
 """Gradient-descent trainer for logistic and hinge loss, as DataFrame aggregations.
 
-Each iteration is one pass over the cached train rows: a projection computes the per-row
-multiplier once, then d + 1 sums (plus the row count) are folded on every task and the
-per-task vectors merged on the driver (observed metrics; one stage, no exchange), so only
-d + 2 numbers per task travel per iteration. The weight update is d + 1 floating-point
-operations on the driver.
+Each iteration is one aggregation over the cached train rows: a projection computes the
+per-row multiplier once, then d + 1 sums (plus the row count) are combined partially on
+every task and finally in one small reduce, so only d + 2 numbers per task travel per
+iteration. The weight update is d + 1 floating-point operations on the driver.
 
 Rules (those of the classic gradient-descent trainers the reference calls):
 
@@ -27,7 +26,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linclass.functions.expressions import col, dot, sigmoid
@@ -73,22 +72,17 @@ def _norm(v: Sequence[float]) -> float:
 
 
 def _gradient_sums_columns(train: DataFrame, feats: list[Column], margin: Column, loss: str, label: str) -> list[float]:
-    """[sum m*x_1, ..., sum m*x_d, sum m, n] in one stage.
+    """[sum m*x_1, ..., sum m*x_d, sum m, n] by one aggregation (partial sums per task).
 
-    The sums are observed metrics of a pass that writes nothing: every task folds its rows
-    into d + 2 partial sums and the driver merges one such vector per task, counting each
-    task once even when it is retried. No exchange, unlike a global aggregate.
+    (Observed metrics would save the exchange, but once a session has used them, Spark ML
+    models holding a training summary can no longer be serialised into tasks.)
     """
-    d = len(feats)
     m = multiplier(loss, margin, F.col(label))
     proj = train.select(m.alias("_m"), *[x.alias(f"_x{i}") for i, x in enumerate(feats)])
-    sums = [F.sum(F.col("_m") * F.col(f"_x{i}")).alias(f"g{i}") for i in range(d)]
-    obs = Observation()  # unique name per pass
-    proj.observe(obs, *sums, F.sum("_m").alias("gb"), F.count(F.lit(1)).alias("n")).write.format("noop").mode(
-        "overwrite"
-    ).save()
-    got = obs.get
-    return [float(got[k]) if got[k] is not None else 0.0 for k in [*[f"g{i}" for i in range(d)], "gb", "n"]]
+    aggs = [F.sum(F.col("_m") * F.col(f"_x{i}")) for i in range(len(feats))]
+    aggs += [F.sum("_m"), F.count(F.lit(1))]
+    row = proj.agg(*aggs).collect()[0]  # one row; collect() plans no limit
+    return [float(v) if v is not None else 0.0 for v in row]
 
 
 def _gradient_sums_blocks(

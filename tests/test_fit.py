@@ -185,3 +185,12 @@ def test_expression_scoring_equals_spark_transform(spark, small, kind):
         assert f.margin == pytest.approx(s_.margin, abs=1e-12) and f.prediction == s_.prediction
         if kind == "logistic":
             assert f.probability == pytest.approx(s_.probability, abs=1e-12)
+
+
+def test_ml_transform_still_works_after_sgd_fit(spark, small):
+    """A gradient-descent fit must leave the session able to run Spark ML transforms of
+    models that keep their training summary."""
+    _, _, df = small
+    model = fit_pipeline(logistic_pipeline(["a", "b", "c"], reg=0.01), df)
+    sgd_fit(df, ["a", "b", "c"], "label", "logistic", "l2", 0.01, 3)
+    assert score(model, df, native=False).count() == df.count()
