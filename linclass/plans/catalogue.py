@@ -278,8 +278,7 @@ def _wide_query(loss: str, penalty: str) -> Callable[[SparkSession, str], DataFr
 
     def run(spark, sf_dir):
         train = embedding_folds(spark, sf_dir).where(F.col(FOLD) == "train")
-        inputs = None
-        stats = None
+        inputs = stats = None
         if loss == "hinge":
             stats = fit_scaler(train, WIDE_FEATURES)
             inputs = [scaled_expr(stats, i) for i in range(WIDE_DIM)]
@@ -295,6 +294,8 @@ def _wide_query(loss: str, penalty: str) -> Callable[[SparkSession, str], DataFr
             inputs=inputs,
             block_gradient=True,
         )
+        if stats is not None:
+            model.means, model.stds = stats.means, stats.stds
         return _coef_rows(spark, model).select("variable", r6("coefficient").alias("coefficient"))
 
     return run
