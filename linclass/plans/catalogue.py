@@ -350,6 +350,14 @@ def q_ridge_fit(spark, sf_dir):
     return _fold_summary(res)
 
 
+def q_wide_enet_fit(spark, sf_dir):
+    """The elastic-net job on 64 embedding features (its label is noise, so only the exact
+    parts are reported: rows and positives per fold)."""
+    emb = embedding_folds(spark, sf_dir).drop(FOLD)
+    res = enet_job(spark, emb, target=LABEL, excluded=["vec_id"], key="vec_id", save=False)
+    return res.metrics.select(FOLD, "n_rows", "n_pos")
+
+
 def q_model_round_trip(spark, sf_dir):
     data = doc_table(spark, sf_dir)
     res = enet_job(spark, data, save=False, **DOC_ARGS)
@@ -411,6 +419,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lasso_fit": _doc_job(logistic_job, penalty="l1", **DOC_ARGS),
     "svm_fit": _doc_job(svm_job, **DOC_ARGS),
     "ridge_fit": q_ridge_fit,
+    "wide_enet_fit": q_wide_enet_fit,
     "model_round_trip": q_model_round_trip,
     "run_record": q_run_record,
 }

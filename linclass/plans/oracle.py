@@ -328,6 +328,11 @@ SELECT 'enet' AS job, count(*)::BIGINT AS rows, 5 AS columns, 'quality' AS targe
        'elastic-net logistic regression' AS model
 FROM f"""
 
+def wide_enet_fit() -> str:
+    return f"""WITH d AS ({embedding_folds()})
+SELECT fold, count(*)::BIGINT AS n_rows, sum(label)::BIGINT AS n_pos FROM d GROUP BY fold"""
+
+
 MODEL_ROUND_TRIP = """
 SELECT count(*)::BIGINT AS n_rows, 0::BIGINT AS n_mismatch
 FROM documents d JOIN labels l ON d.doc_id = l.doc_id"""
@@ -367,6 +372,7 @@ def oracle_sql() -> dict[str, str]:
         "lasso_fit": doc_folds(),
         "svm_fit": doc_folds(),
         "ridge_fit": doc_folds(C.R_SEED, ("training", "test")),
+        "wide_enet_fit": wide_enet_fit(),
         "model_round_trip": MODEL_ROUND_TRIP,
         "run_record": RUN_RECORD,
     }
