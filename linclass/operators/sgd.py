@@ -85,22 +85,25 @@ def _gradient_sums_columns(train: DataFrame, feats: list[Column], margin: Column
     return [float(v) if v is not None else 0.0 for v in row]
 
 
-def _gradient_sums_blocks(
-    train: DataFrame, features: list[str], w: list[float], b: float, loss: str, label: str
-) -> list[float]:
-    """Same sums with NumPy over Arrow batches: one partial vector per partition, then a sum."""
+def _gradient_sums_blocks(train: DataFrame, d: int, w: list[float], b: float, loss: str, label: str, packed: str) -> list[float]:
+    """Same sums with NumPy over Arrow batches: one partial vector per partition, then a sum.
+
+    The features arrive as one ``array<double>`` column, flattened without a copy into an
+    n x d block (one list column crosses to Python far faster than d separate columns).
+    """
     import numpy as np
     import pyarrow as pa
 
-    d = len(features)
     wv = np.asarray(w, dtype=np.float64)
 
     def part(batches):
         total = np.zeros(d + 2)
         for batch in batches:
+            n = batch.num_rows
+            if n == 0:
+                continue
             y = batch.column(label).to_numpy(zero_copy_only=False).astype(np.float64)
-            cols = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.float64) for c in features]
-            x = np.column_stack(cols) if d else np.zeros((batch.num_rows, 0))
+            x = batch.column(packed).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, d)
             margin = x @ wv + b
             with np.errstate(over="ignore"):
                 if loss == "logistic":
@@ -110,11 +113,11 @@ def _gradient_sums_blocks(
                     m = np.where(s * margin < 1.0, -s, 0.0)
             total[:d] += m @ x
             total[d] += m.sum()
-            total[d + 1] += batch.num_rows
+            total[d + 1] += n
         # one partial vector per partition; the sums below combine them per task
         yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], type=pa.list_(pa.float64()))], ["g"])
 
-    parts = train.select(label, *features).mapInArrow(part, "g array<double>")
+    parts = train.select(label, packed).mapInArrow(part, "g array<double>")
     # element-wise sum of the partial vectors: (index, value) pairs summed per index, with
     # partial aggregation on every task; d + 2 rows reach the driver
     sums = parts.select(F.posexplode("g").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("s")).collect()
@@ -157,9 +160,14 @@ def sgd_fit(
     if len(exprs) != d:
         raise ValueError(f"{len(exprs)} input expressions for {d} features")
 
-    # Narrow rows (label + one double per feature, inputs evaluated once) are what is cached.
+    # Narrow rows (label + one double per feature, inputs evaluated once) are what is cached;
+    # the block form packs the features into one array column.
     names = [f"_f{i}" for i in range(d)]
-    data = train.select(col(label).cast("double").alias("_y"), *[x.alias(n) for x, n in zip(exprs, names)])
+    y = col(label).cast("double").alias("_y")
+    if block_gradient:
+        data = train.select(y, F.array(*[x.cast("double") for x in exprs]).alias("_x"))
+    else:
+        data = train.select(y, *[x.alias(n) for x, n in zip(exprs, names)])
     feats = [F.col(n) for n in names]
     if persist:
         data = data.persist(StorageLevel.MEMORY_AND_DISK)
@@ -171,7 +179,7 @@ def sgd_fit(
         for t in range(1, iterations + 1):
             b = w[d] if intercept else 0.0
             if block_gradient:
-                sums = _gradient_sums_blocks(data, names, w[:d], b, loss, "_y")
+                sums = _gradient_sums_blocks(data, d, w[:d], b, loss, "_y", "_x")
             else:
                 sums = _gradient_sums_columns(data, feats, dot(feats, w[:d], b), loss, "_y")
             n = sums[-1]
