@@ -22,6 +22,7 @@ with NumPy inside ``mapInArrow`` and adds the partial vectors; the rules are the
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -127,6 +128,26 @@ def _gradient_sums_blocks(train: DataFrame, d: int, w: list[float], b: float, lo
     return out
 
 
+def _loop_frame(data: DataFrame):
+    """The cached rows as seen from a sibling session with adaptive execution off.
+
+    Each step is a global aggregate over cached rows: adaptive execution has nothing to
+    re-plan there but splits every step into two jobs. A sibling session shares the
+    SparkContext and the cache, so the caller's session and its settings stay untouched.
+    Returns (frame, cleanup); falls back to ``data`` itself when no sibling can be made.
+    """
+    spark = data.sparkSession
+    name = f"linclass_sgd_{uuid.uuid4().hex}"
+    try:
+        data.createOrReplaceGlobalTempView(name)
+        loop = spark.newSession()
+        loop.conf.set("spark.sql.adaptive.enabled", "false")
+        db = spark.conf.get("spark.sql.globalTempDatabase", "global_temp")
+        return loop.table(f"{db}.{name}"), lambda: loop.catalog.dropGlobalTempView(name)
+    except Exception:  # e.g. a session kind without sibling sessions
+        return data, lambda: None
+
+
 def sgd_fit(
     train: DataFrame,
     features: Sequence[str],
@@ -175,6 +196,8 @@ def sgd_fit(
     w = [0.0] * d + ([1.0] if intercept else [])
     trace = SgdTrace()
     prev: list[float] | None = None
+    cached = data
+    data, release = _loop_frame(cached)
     try:
         for t in range(1, iterations + 1):
             b = w[d] if intercept else 0.0
@@ -197,8 +220,9 @@ def sgd_fit(
                     break
             prev = list(w)
     finally:
+        release()
         if persist:
-            data.unpersist()
+            cached.unpersist()
 
     model = LinearModel(
         features=features,
