@@ -194,3 +194,14 @@ def test_ml_transform_still_works_after_sgd_fit(spark, small):
     model = fit_pipeline(logistic_pipeline(["a", "b", "c"], reg=0.01), df)
     sgd_fit(df, ["a", "b", "c"], "label", "logistic", "l2", 0.01, 3)
     assert score(model, df, native=False).count() == df.count()
+
+
+def test_sgd_leaves_session_untouched(spark, small):
+    _, _, df = small
+    db = spark.conf.get("spark.sql.globalTempDatabase", "global_temp")
+    before = {t.name for t in spark.catalog.listTables(db)}
+    aqe = spark.conf.get("spark.sql.adaptive.enabled")
+    sgd_fit(df, ["a", "b", "c"], "label", "logistic", "l2", 0.01, 3)
+    sgd_fit(df, ["a", "b", "c"], "label", "logistic", "l2", 0.01, 3, block_gradient=True)
+    assert {t.name for t in spark.catalog.listTables(db)} == before
+    assert spark.conf.get("spark.sql.adaptive.enabled") == aqe
