@@ -106,8 +106,8 @@ def main(argv) -> None:
     one_pass = train.select(m.alias("_m"), *feats).agg(*[F.sum(F.col("_m") * f) for f in feats], F.sum("_m"))
     parts.append(
         section(
-            "one gradient pass (shown as an aggregate; the trainer observes the same sums on a "
-            "no-output pass, which has no exchange)",
+            "one gradient step: d + 1 sums over the train rows (the trainer runs it over its "
+            "cached rows, in a sibling session without adaptive execution)",
             one_pass,
         )
     )
