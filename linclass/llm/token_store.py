@@ -3,7 +3,7 @@
 A file holds the ids of consecutive documents in ascending ``doc_id`` order, end id included,
 cut into blocks of a fixed number of ids. Each block subtracts its minimum, packs the
 differences at the smallest width that covers a chosen share of its values (the percentile),
-bit plane by bit plane, and lists the rest as exceptions: position and high bits. A footer
+and lists the rest as exceptions: position and high bits. A footer
 gives the documents and the byte offset of every block, so a reader can start at any block.
 
 Files are written by the tasks of one range-partitioned job through ``pyarrow.fs`` under a
@@ -37,6 +37,26 @@ _TAIL = struct.Struct("<QQQQI")  # documents, ids, blocks, footer offset, block
 NO_ID = -(1 << 63)
 
 
+def _pack(v: np.ndarray, w: int) -> np.ndarray:
+    """The low ``w`` bits of each value, most significant first, row by row as bytes."""
+    if w in (0, 8, 16, 32):
+        return np.ascontiguousarray(v.astype(">u4").view(np.uint8).reshape(*v.shape, 4)[:, :, 4 - w // 8 :]).reshape(len(v), -1)
+    bits = np.unpackbits(v.astype(">u4").view(np.uint8).reshape(*v.shape, 4), axis=2)[:, :, 32 - w :]
+    return np.packbits(bits.reshape(len(v), -1), axis=1)
+
+
+def _unpack(raw: np.ndarray, size: int, w: int) -> np.ndarray:
+    """Reverse of :func:`_pack`."""
+    wide = np.zeros((len(raw), size, 4), np.uint8)
+    if w in (8, 16, 32):
+        wide[:, :, 4 - w // 8 :] = raw.reshape(len(raw), size, w // 8)
+    elif w:
+        bits = np.zeros((len(raw), size, 32), np.uint8)
+        bits[:, :, 32 - w :] = np.unpackbits(raw, axis=1).reshape(len(raw), size, w)
+        wide = np.packbits(bits, axis=2)
+    return wide.view(">u4")[:, :, 0].astype(np.uint32)
+
+
 def pack_blocks(values: np.ndarray, size: int, percentile: float) -> list[bytes]:
     """Packed blocks of a run of unsigned 32-bit ids; the last may hold fewer than ``size``."""
     if not len(values):
@@ -48,27 +68,24 @@ def pack_blocks(values: np.ndarray, size: int, percentile: float) -> list[bytes]
     low = grid.min(1)
     rest = grid - low[:, None]
     allowed = int((1 - percentile) * size)
-    width = np.zeros(n, np.int64)
-    open_ = np.ones(n, bool)
-    for w in range(33):  # the smallest width that leaves no more than the allowed exceptions
-        over = np.count_nonzero(rest[open_] >> np.uint32(w), 1) if w < 32 else np.zeros(int(open_.sum()), int)
-        done = np.flatnonzero(open_)[over <= allowed]
-        width[done] = w
-        open_[done] = False
-        if not open_.any():
-            break
+    width = np.frexp(rest.max(1).astype(np.float64))[1].astype(np.int64)  # bits of the largest
+    open_ = np.flatnonzero(width)
+    while len(open_):  # narrower while no more than the allowed values are exceptions
+        over = np.count_nonzero(rest[open_] >> (width[open_] - 1).astype(np.uint32)[:, None], axis=1)
+        open_ = open_[over <= allowed]
+        width[open_] -= 1
+        open_ = open_[width[open_] > 0]
     out: list[bytes] = [b""] * n
-    for w in np.unique(width):
+    for w in map(int, np.unique(width)):
         rows = np.flatnonzero(width == w)
         v = rest[rows]
-        planes = np.empty((len(rows), int(w), size // 8), np.uint8)
-        for j in range(int(w)):
-            planes[:, j] = np.packbits((v >> np.uint32(j)) & np.uint32(1) != 0, axis=1)
+        packed = _pack(v, w)
         high = v >> np.uint32(w) if w < 32 else np.zeros_like(v)
+        some = high.any(1)
         for k, r in enumerate(rows):
-            at = np.flatnonzero(high[k])
+            at = np.flatnonzero(high[k]) if some[k] else np.zeros(0, np.int64)
             count = min(size, len(values) - int(r) * size)
-            out[r] = _HEAD.pack(int(low[r]), int(w), 0, len(at), count) + planes[k].tobytes() + at.astype("<u2").tobytes() + high[k][at].astype("<u4").tobytes()
+            out[r] = _HEAD.pack(int(low[r]), w, 0, len(at), count) + packed[k].tobytes() + at.astype("<u2").tobytes() + high[k][at].astype("<u4").tobytes()
     return out
 
 
@@ -78,14 +95,9 @@ def unpack_blocks(data: bytes, offsets: np.ndarray, size: int) -> np.ndarray:
     raw = np.frombuffer(data, np.uint8)
     width = np.array([h[1] for h in heads])
     grid = np.zeros((len(heads), size), np.uint32)
-    for w in np.unique(width):
+    for w in map(int, np.unique(width)):
         rows = np.flatnonzero(width == w)
-        take = offsets[rows][:, None] + _HEAD.size + np.arange(int(w) * size // 8)
-        planes = raw[take].reshape(len(rows), int(w), size // 8)
-        v = np.zeros((len(rows), size), np.uint32)
-        for j in range(int(w)):
-            v |= np.unpackbits(planes[:, j], axis=1).astype(np.uint32) << np.uint32(j)
-        grid[rows] = v
+        grid[rows] = _unpack(raw[offsets[rows][:, None] + _HEAD.size + np.arange(w * size // 8)], size, w)
     for r, (o, (_, w, _, exceptions, _)) in enumerate(zip(offsets, heads, strict=True)):
         if exceptions:
             p = int(o) + _HEAD.size + w * size // 8

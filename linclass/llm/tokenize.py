@@ -16,7 +16,7 @@ from array import array
 import numpy as np
 
 #: Pieces in each half (young, old) of the cache of one Python worker.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 200_000
 
 
 def default_tokenizer() -> str:
