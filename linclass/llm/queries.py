@@ -7,9 +7,10 @@ from linclass.llm.fingerprint import op1_fingerprints
 from linclass.llm.packing import op4_length_buckets
 from linclass.llm.pii import op10_pii
 from linclass.llm.quality import op8_quality
+from linclass.llm.suffix_dedup import op9_suffix_dedup
 from linclass.llm.token_counts import op7_section_tokens
 from linclass.llm.token_store import op3_token_files
 from linclass.llm.toxicity import op6_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_decontaminate, op3_token_files, op4_length_buckets, op6_toxicity, op7_section_tokens, op8_quality, op10_pii)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_decontaminate, op3_token_files, op4_length_buckets, op6_toxicity, op7_section_tokens, op8_quality, op9_suffix_dedup, op10_pii)}
 ORACLE_SQL: dict[str, str] = {}

@@ -28,6 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from linclass.llm.shared_files import file_system
 from linclass.llm.text import id_text, scratch_folder, slices, staged
 from linclass.llm.tokenize import encoder
 
@@ -108,20 +109,12 @@ def unpack_blocks(data: bytes, offsets: np.ndarray, size: int) -> np.ndarray:
     return grid.reshape(-1) if min(counts, default=size) == size else np.concatenate([g[:c] for g, c in zip(grid, counts, strict=True)])
 
 
-def _file_system(folder: str):
-    from pyarrow import fs
-
-    if "://" in folder or folder.startswith("file:"):
-        return fs.FileSystem.from_uri(folder)
-    return fs.LocalFileSystem(), folder
-
-
 MANIFEST = "shard int, name string, n_docs long, n_tokens long, n_bytes long"
 
 
 def _write_shard(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, end_id: int, size: int, percentile: float) -> Iterator[pa.RecordBatch]:
     coder, end = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
-    files, root = _file_system(folder)
+    files, root = file_system(folder)
     shard, out, name = TaskContext.get().partitionId(), None, ""
     docs: list[bytes] = []
     index: list[int] = []
@@ -174,7 +167,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0,
 
 
 def _read_shards(batches: Iterator[pa.RecordBatch], folder: str, blocks_at_once: int) -> Iterator[pa.RecordBatch]:
-    files, root = _file_system(folder)
+    files, root = file_system(folder)
     for batch in batches:
         for name, start in zip(batch.column("name").to_pylist(), batch.column("start").to_pylist(), strict=True):
             with files.open_input_file(f"{root}/{name}") as f:
