@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from linclass.llm.decontaminate import op2_decontaminate
 from linclass.llm.fingerprint import op1_fingerprints
+from linclass.llm.jaccard_join import op5_jaccard_join
 from linclass.llm.packing import op4_length_buckets
 from linclass.llm.pii import op10_pii
 from linclass.llm.quality import op8_quality
@@ -12,5 +13,5 @@ from linclass.llm.token_counts import op7_section_tokens
 from linclass.llm.token_store import op3_token_files
 from linclass.llm.toxicity import op6_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_decontaminate, op3_token_files, op4_length_buckets, op6_toxicity, op7_section_tokens, op8_quality, op9_suffix_dedup, op10_pii)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_decontaminate, op3_token_files, op4_length_buckets, op5_jaccard_join, op6_toxicity, op7_section_tokens, op8_quality, op9_suffix_dedup, op10_pii)}
 ORACLE_SQL: dict[str, str] = {}
