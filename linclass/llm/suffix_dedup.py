@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from linclass.llm.shared_files import file_system, read_file, write_file
-from linclass.llm.text import BYTE_VALUE, Sums, id_text, mix64, scratch_folder, slices, staged
+from linclass.llm.text import BYTE_VALUE, Sums, distinct, id_text, mix64, scratch_folder, slices, staged
 
 LENGTH = 50
 PERIOD = 31
@@ -46,7 +46,7 @@ PERIOD = 31
 COVER = (1, 5, 11, 24, 25, 27)
 SAMPLE = LENGTH - PERIOD + 1
 SEED = 16
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 #: Sampled suffixes in a bucket, about.
 BUCKET_ROWS = 1 << 20
 NO_ID = np.iinfo(np.int64).max
@@ -130,7 +130,7 @@ def _answer(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
 def _sample_rows(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     """Distinct sample keys of each block, ascending, one row a bucket."""
     for b in Block.of(batches):
-        keys = np.unique(b.sample_keys(bits)[1])
+        keys = distinct(b.sample_keys(bits)[1])
         cut = np.searchsorted(keys, np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(32))
         low = keys.astype(np.uint32)
         yield _answer([(b.block, k, low[cut[k] : cut[k + 1]].tobytes()) for k in range(1 << bits) if cut[k] < cut[k + 1]])
@@ -259,9 +259,9 @@ def _piece_rows(batches: Iterator[pa.RecordBatch], bits: int, folder: str) -> It
         new[1:] = h[order][1:] != h[order][:-1]
         own = b.ids[b.document(at[order])]
         least = own[np.flatnonzero(new)][np.cumsum(new) - 1]
-        settled = np.sort(at[order[own > least]])
-        write_file(files, f"{root}/local/{b.block}", _runs(settled).tobytes())
+        write_file(files, f"{root}/local/{b.block}", _runs(np.sort(at[order[own > least]])).tobytes())
         at = np.sort(at[order[own == least]])
+        del order, new, own, least
         seeds = np.arange(len(b.raw) - SEED + 1)
         h = mix64(b.words(seeds, 8) ^ mix64(b.words(seeds, 8, 8) + np.uint64(3)))
         least = _sliding_least(h, LENGTH - SEED + 1)[at]

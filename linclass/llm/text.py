@@ -121,10 +121,24 @@ def word_spans(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return start, end, np.searchsorted(off, start, "right") - 1
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Distinct values, ascending, by sorting (the library's unique() builds a hash table)."""
+    values = np.sort(values)
+    keep = np.ones(len(values), bool)
+    keep[1:] = values[1:] != values[:-1]
+    return values[keep]
+
+
 def distinct_by_doc(doc: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (document, value) pairs, sorted by document, then value."""
-    order = np.lexsort((value, doc))
-    doc, value = doc[order], value[order]
+    if len(doc) and (doc[1:] < doc[:-1]).any():
+        order = np.argsort(doc, kind="stable")
+        doc, value = doc[order], value[order]
+    else:
+        value = value.copy()
+    edge = np.flatnonzero(np.diff(doc)) + 1
+    for a, b in zip([0, *edge.tolist()], [*edge.tolist(), len(doc)], strict=True):
+        value[a:b].sort()
     keep = np.ones(len(doc), bool)
     keep[1:] = (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])
     return doc[keep], value[keep]
