@@ -46,6 +46,8 @@ FREQUENT = 1 << 16
 #: Shingles counted at one time by a task, and the share of a batch's sets that makes one frequent.
 COUNTED, SHARE = 1 << 21, 0.0005
 TILE = 256
+#: Marks in the table that tells a scan which texts it may need.
+SPOTS = 1 << 24
 _STEP = mix64(np.arange(11, 11 + WORDS, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -130,12 +132,16 @@ SETS = "doc_id long, uid long, n int, key long, prefix array<long>, bits binary"
 def _sets(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, place: np.ndarray) -> Iterator[pa.RecordBatch]:
     """The set of each row; prefix and signature only with the first row of a set in the task."""
     seen: set[int] = set()
+    table = np.zeros(1 << 20, bool)
+    table[(frequent >> np.uint64(44)).astype(np.int64)] = True
     for rows, raw, off in slices(batches):
         doc, value = shingle_sets(raw, off)
         n, key = set_keys(doc, value, rows.num_rows)
-        at = np.minimum(np.searchsorted(frequent, value), max(0, len(frequent) - 1))
-        late = np.where(frequent[at] == value, place[at] + 1, 0) if len(frequent) else np.zeros(len(value), np.int64)
-        order = np.lexsort((value, late, doc))
+        late = np.zeros(len(value), np.int64)
+        maybe = np.flatnonzero(table[(value >> np.uint64(44)).astype(np.int64)])
+        if len(maybe):
+            at = np.minimum(np.searchsorted(frequent, value[maybe]), len(frequent) - 1)
+            late[maybe] = np.where(frequent[at] == value[maybe], place[at] + 1, 0)
         first = np.cumsum(n) - n
         prefixes, bits = [], []
         for k, x in enumerate(key.tolist()):
@@ -145,20 +151,25 @@ def _sets(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, place: np.nda
                 continue
             if len(seen) < 1_000_000:  # only spares repeats
                 seen.add(x)
-            prefixes.append(value[order[first[k] : first[k] + n[k] // 5 + 1]].view(np.int64))
-            bits.append(signature(value[first[k] : first[k] + n[k]]))
+            own, turn = value[first[k] : first[k] + n[k]], late[first[k] : first[k] + n[k]]
+            early = own[np.argsort(turn, kind="stable")] if turn.any() else own
+            prefixes.append(early[: n[k] // 5 + 1].view(np.int64))
+            bits.append(signature(own))
         yield pa.RecordBatch.from_arrays(
             [rows.column("doc_id"), rows.column("uid"), pa.array(n, pa.int32()), pa.array(key.view(np.int64)), pa.array(prefixes, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
             names=["doc_id", "uid", "n", "key", "prefix", "bits"],
         )
 
 
-def _arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted shingle arrays."""
-    for rows, raw, off in slices(batches):
-        doc, value = shingle_sets(raw, off)
-        cut = np.searchsorted(doc, np.arange(rows.num_rows + 1))
-        yield pa.RecordBatch.from_arrays([rows.column("key"), list_array(value.view(np.int64), cut, pa.int64())], names=["key", "shingles"])
+def _arrays(batches: Iterator[pa.RecordBatch], spots: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Sorted shingle arrays of the rows whose spot is marked."""
+    for batch in batches:
+        wanted = spots[batch.column("spot").to_numpy()]
+        for rows, raw, off in slices([batch.filter(pa.array(wanted))] if wanted.any() else []):
+            doc, value = shingle_sets(raw, off)
+            key = set_keys(doc, value, rows.num_rows)[1]
+            cut = np.searchsorted(doc, np.arange(rows.num_rows + 1))
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("uid"), pa.array(key.view(np.int64)), list_array(value.view(np.int64), cut, pa.int64())], names=["doc_id", "uid", "key", "shingles"])
 
 
 def _fold(bits: np.ndarray, size: int) -> np.ndarray:
@@ -175,6 +186,10 @@ def may_link(n_a: np.ndarray, n_b: np.ndarray, a: np.ndarray, b: np.ndarray) ->
     return 9 * most >= 4 * (n_a + n_b)
 
 
+def _spot():
+    return F.pmod(F.xxhash64("uid", "doc_id"), F.lit(SPOTS)).cast("int")
+
+
 def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose signatures allow a link."""
     for batch in batches:
@@ -269,18 +284,26 @@ def join_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     side = lambda s: marks.select(F.col("key").alias(s), F.col("n").alias(f"n_{s}"), F.col("bits").alias(f"bits_{s}"))
     near = staged(tried.join(side("a"), "a").join(side("b"), "b").mapInArrow(_bounded, "a long, b long"), folder, "near")
 
-    # sorted arrays of all sets that share a prefix shingle with another
-    some = firsts.select("key", "uid", "doc_id").dropDuplicates(["key"]).join(posted.select("key").distinct(), "key")
-    texts = rows.alias("d").join(some.alias("s"), F.expr("d.uid = s.uid and d.doc_id <=> s.doc_id")).select("s.key", "d.text").dropDuplicates(["key"])
-    arrays = staged(texts.mapInArrow(_arrays, "key long, shingles array<long>"), folder, "arrays")
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        """Pairs whose exact intersection reaches the bound."""
+    owner = firsts.select("key", "uid", "doc_id").dropDuplicates(["key"])
+
+    def linked(pairs: DataFrame, name: str) -> DataFrame:
+        """Pairs whose exact intersection reaches the bound. Only the sets in a pair are built
+        again, in a scan of the texts that leaves out the rows whose spot in a table of fixed
+        size isn't marked; an exact join takes care of the spots that others share."""
+        wanted = staged(owner.join(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "key"), folder, f"wanted-{name}")
+        marked = wanted.select(_spot().alias("spot")).select(F.expr("spot div 32").alias("word"), F.expr("shiftleft(1L, spot % 32)").alias("bit"))
+        words = marked.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most SPOTS / 32 rows
+        table = np.zeros(SPOTS // 32, np.uint32)
+        table[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+        spots = spark.sparkContext.broadcast(np.packbits(np.unpackbits(table.view(np.uint8), bitorder="little")))
+        built = rows.withColumn("spot", _spot()).mapInArrow(lambda b: _arrays(b, np.unpackbits(spots.value).astype(bool)), "doc_id long, uid long, key long, shingles array<long>")
+        arrays = built.alias("r").join(wanted.alias("w"), F.expr("r.key = w.key and r.uid = w.uid and r.doc_id <=> w.doc_id")).select("r.key", "r.shingles").dropDuplicates(["key"])
+        arrays = staged(arrays, folder, f"arrays-{name}")
         x, y = (arrays.select(F.col("key").alias(s), F.col("shingles").alias(f"of_{s}")) for s in ("a", "b"))
         both = F.size(F.array_intersect("of_a", "of_b"))
-        return pairs.join(x, "a").join(y, "b").where(9 * both >= 4 * (F.size("of_a") + F.size("of_b"))).select("a", "b")
+        return staged(pairs.join(x, "a").join(y, "b").where(9 * both >= 4 * (F.size("of_a") + F.size("of_b"))).select("a", "b"), folder, f"links-{name}")
 
-    first_links = staged(linked(near), folder, "links-1")
+    first_links = linked(near, "1")
     stars = connected_components(first_links, folder, "first")
 
     # tiles: all pairs of different components under each prefix shingle
@@ -292,7 +315,7 @@ def join_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     dealt = pairs.withColumn("tile", F.explode(F.array_distinct(F.array("left", "right")))).join(mixed, ["token", "tile"]).join(marks.select("key", "bits"), "key")
     dealt = dealt.select("token", "left", "right", "tile", "key", "n", "comp", "bits").repartition("token", "left", "right").sortWithinPartitions("token", "left", "right", "n", "key")
     more = staged(dealt.mapInArrow(_tiles, "a long, b long").distinct(), folder, "near-2")
-    links = first_links.union(staged(linked(more), folder, "links-2"))
+    links = first_links.union(linked(more, "2"))
     stars = connected_components(links, folder, "all")
 
     return sets, stars
