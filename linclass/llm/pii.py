@@ -96,21 +96,34 @@ def _long_hash(data: str | bytes) -> int:
     return int.from_bytes(hashlib.blake2b(data.encode() if isinstance(data, str) else data, digest_size=8).digest(), "little", signed=True)
 
 
-WORD = re.compile(r"[^\W\d_]{3,}")
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+MARKS = "".join(chr(i) for i in range(33, 127) if not chr(i).isalnum())
+
+
+def words(text: str, start: int, end: int) -> list[tuple[str, int, int]]:
+    """Whole words of a stretch of text without the punctuation at their ends (at most four
+    marks a side, as where the corpus is counted), three bytes and more, with their places."""
+    out = []
+    for m in WORD.finditer(text, start, end):
+        a, b = m.span()
+        if a == start > 0 and not text[a - 1].isspace() or b == end < len(text) and not text[b].isspace():
+            continue
+        a += min(4, len(m[0]) - len(m[0].lstrip(MARKS)))
+        b -= min(4, len(m[0]) - len(m[0].rstrip(MARKS)))
+        if a < b and len(text[a:b].encode()) >= 3:
+            out.append((text[a:b], a, b))
+    return out
 
 
 def contexts(text: str, spans: list[tuple[int, int, int]], window: int) -> list[dict]:
     """For each mention: its entity, a hash of its context, and the context's terms in place."""
     out = []
     for k, a, b in spans:
-        left = text[max(0, a - 32 * window) : a]
-        shift = a - len(left)
-        words = [(m[0], m.start() + shift, m.end() + shift) for m in WORD.finditer(left)][-window:]
-        words += [(m[0], m.start() + b, m.end() + b) for m in WORD.finditer(text[b : b + 32 * window])][:window]
-        words = [w for w in words if not any(x < w[2] and w[1] < y for _, x, y in spans)]
-        seen = _long_hash(" ".join(w[0] for w in words))
+        near = words(text, max(0, a - 32 * window), a)[-window:] + words(text, b, min(len(text), b + 32 * window))[:window]
+        near = [w for w in near if not any(x < w[2] and w[1] < y for _, x, y in spans)]
+        seen = _long_hash(" ".join(w[0] for w in near))
         entity = _long_hash(f"{k}:{text[a:b]}")
-        out += [{"entity": entity, "context": seen, "term": term_hash(w), "start": x, "end": y} for w, x, y in words]
+        out += [{"entity": entity, "context": seen, "term": term_hash(w), "start": x, "end": y} for w, x, y in near]
     return out
 
 
