@@ -12,11 +12,14 @@ from __future__ import annotations
 
 import os
 from array import array
+from operator import attrgetter
 
 import numpy as np
 
+_ID = attrgetter("id")
+
 #: Pieces in each half (young, old) of the cache of one Python worker.
-CACHE_PIECES = 200_000
+CACHE_PIECES = 300_000
 
 
 def default_tokenizer() -> str:
@@ -38,8 +41,9 @@ class _Pieces(dict):
         # the byte-level alphabet: a visible character for each byte, asked of the library
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.space = level.pre_tokenize_str(" ")[0][0]
-        self.shown = {i: level.pre_tokenize_str(chr(i))[0][0][-1] for i in range(128)}
-        self.level = level
+        self.shown: dict = {}
+        for c in map(chr, [*range(0x800), *range(0x800, 0xD800, 0x400), *range(0xE000, 0x110000, 0x1000)]):
+            self.shown.update(zip(c.encode(), level.pre_tokenize_str(c)[0][0], strict=True))
         self.old: dict = {}
         self.bare: dict = {}
         self.marks = {m: self.whole(m) for m in (",", ".", "\n")}
@@ -49,8 +53,8 @@ class _Pieces(dict):
 
     def letters(self, before: str, p: str) -> bytes:
         """Ids of one pre-token: letters only, with or without the space before them."""
-        shown = p if p.isascii() else self.level.pre_tokenize_str(p)[0][0]
-        return array("I", [t.id for t in self.model.tokenize(before + shown)]).tobytes()
+        shown = p if p.isascii() else p.encode().decode("latin-1").translate(self.shown)
+        return array("I", list(map(_ID, self.model.tokenize(before + shown)))).tobytes()
 
     def start(self, p: str) -> bytes:
         """Ids of a piece without a space before it."""
