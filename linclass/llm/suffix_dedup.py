@@ -46,9 +46,9 @@ PERIOD = 31
 COVER = (1, 5, 11, 24, 25, 27)
 SAMPLE = LENGTH - PERIOD + 1
 SEED = 16
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 #: Sampled suffixes in a bucket, about.
-BUCKET_ROWS = 1 << 20
+BUCKET_ROWS = 1 << 22
 NO_ID = np.iinfo(np.int64).max
 
 _SAMPLED = np.zeros(PERIOD, bool)
@@ -153,11 +153,12 @@ def _by_bucket(batches: Iterator[pa.RecordBatch], settle: Callable) -> Iterator[
 def _shared_ranks(bucket: int, held: list[tuple[int, bytes]]) -> list[tuple[int, int, bytes]]:
     """A bit for each key of each block: whether another block has it too."""
     parts = [np.frombuffer(p, np.uint32) for _, p in held]
-    value, at, count = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
-    shared, out, a = count[at] > 1, [], 0
+    value = np.sort(np.concatenate(parts))
+    shared, out = distinct(value[1:][value[1:] == value[:-1]]), []
     for (block, _), p in zip(held, parts, strict=True):
-        out.append((block, bucket, np.packbits(shared[a : a + len(p)]).tobytes()))
-        a += len(p)
+        at = np.minimum(np.searchsorted(shared, p), max(0, len(shared) - 1))
+        found = shared[at] == p if len(shared) else np.zeros(len(p), bool)
+        out.append((block, bucket, np.packbits(found).tobytes()))
     return out
 
 
