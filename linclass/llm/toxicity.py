@@ -173,14 +173,19 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_ROWS) -> LinearM
     terms = table[order]
     strength = np.array([r["gain"] if r["pos"] >= VOTER_REACH * pos and r["pos"] >= VOTER_PRECISION * (r["pos"] + r["neg"]) else 0.0 for r in chosen])[order]
     got = sample.mapInArrow(partial(_sample_rows, terms=terms), "label int, at array<int>").select("at").toArrow()  # at most limit rows
-    rows = [np.asarray(a, np.int64) for a in got.column("at").to_pylist()]
+    at = got.column("at").combine_chunks()
+    cut, values = at.offsets.to_numpy(), at.values.to_numpy()
+    rows = [values[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
     voters = np.argsort(-strength)[:VOTERS]
     voters = voters[strength[voters] > 0]
-    votes = np.zeros((len(rows), len(terms)), np.float32)
+    votes = np.zeros((len(rows), len(voters)), np.float32)
+    column = np.full(len(terms), -1)
+    column[voters] = np.arange(len(voters))
     for k, r in enumerate(rows):
-        votes[k, r] = 1
+        c = column[r]
+        votes[k, c[c >= 0]] = 1
     prior = pos / (pos + neg)
-    target = label_model(votes[:, voters], prior)[0] if len(voters) else np.full(len(rows), prior)
+    target = label_model(votes, prior)[0] if len(voters) else np.full(len(rows), prior)
     weights, bias = sparse_logistic(rows, target, len(terms))
     used = weights != 0
     return LinearModel(terms[used], weights[used], bias)
