@@ -46,6 +46,8 @@ FREQUENT = 1 << 16
 #: Shingles counted at one time by a task, and the share of a batch's sets that makes one frequent.
 COUNTED, SHARE = 1 << 21, 0.0005
 TILE = 256
+#: Signature bits for each shingle: the more, the closer the bound comes to the overlap itself.
+LOAD = 4
 #: Marks in the table that tells a scan which texts it may need.
 SPOTS = 1 << 24
 _STEP = mix64(np.arange(11, 11 + WORDS, dtype=np.uint64)) | np.uint64(1)
@@ -119,8 +121,8 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def signature(value: np.ndarray) -> bytes:
-    """Bitmap of a set: as many bits as shingles, rounded up to a power of two (64 at least)."""
-    bits = 1 << max(6, int(len(value) - 1).bit_length())
+    """Bitmap of a set: ``LOAD`` bits a shingle, rounded up to a power of two (64 at least)."""
+    bits = 1 << max(6, int(LOAD * len(value) - 1).bit_length())
     flags = np.zeros(bits, bool)
     flags[(value & np.uint64(bits - 1)).astype(np.int64)] = True
     return np.packbits(flags, bitorder="little").tobytes()
