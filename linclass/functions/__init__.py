@@ -7,7 +7,6 @@ from linclass.functions.expressions import (
     is_finite,
     non_letter_share,
     recode_label,
-    row_hash_unit,
     sigmoid,
 )
 
@@ -18,6 +17,5 @@ __all__ = [
     "is_finite",
     "non_letter_share",
     "recode_label",
-    "row_hash_unit",
     "sigmoid",
 ]

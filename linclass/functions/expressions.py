@@ -33,13 +33,14 @@ def is_finite(c: str | Column) -> Column:
 
 
 def dot(features: Sequence[str | Column], weights: Sequence[float], intercept: float = 0.0) -> Column:
-    """w . x + b as one arithmetic expression."""
+    """w . x + b as one arithmetic expression, added in pairs: its depth is the logarithm of
+    the number of features, so a wide model plans like a narrow one."""
     if len(features) != len(weights):
         raise ValueError(f"{len(features)} features against {len(weights)} weights")
-    acc: Column = F.lit(float(intercept))
-    for c, w in zip(features, weights):
-        acc = acc + F.lit(float(w)) * col(c).cast("double")
-    return acc
+    terms = [F.lit(float(intercept)), *[F.lit(float(w)) * col(c).cast("double") for c, w in zip(features, weights)]]
+    while len(terms) > 1:
+        terms = [terms[i] + terms[i + 1] if i + 1 < len(terms) else terms[i] for i in range(0, len(terms), 2)]
+    return terms[0]
 
 
 def sigmoid(c: Column) -> Column:
@@ -47,24 +48,20 @@ def sigmoid(c: Column) -> Column:
 
 
 def hash_unit(keys: Sequence[str | Column], seed: int) -> Column:
-    """Uniform value in [0, 1) from the md5 of 'seed:key1:key2...'.
+    """Uniform value in [0, 1) from the md5 of 'seed:key1:key2...'; null if a key is null.
 
     The first 32 bits of the digest, read as an unsigned number, over 2^32. Depends only on
-    the key, so a row keeps its fold under any partitioning, file layout or re-run.
+    the key, so a row keeps its fold under any partitioning, file layout or re-run. Of
+    several keys each has its backslashes and colons escaped, so no two lists of keys share
+    a text.
     """
-    text = F.concat_ws(":", F.lit(str(seed)), *[col(k).cast("string") for k in keys])
+    parts = [col(k).cast("string") for k in keys]
+    if len(parts) > 1:
+        parts = [F.replace(F.replace(p, F.lit("\\"), F.lit("\\\\")), F.lit(":"), F.lit("\\:")) for p in parts]
+    text = F.concat(F.lit(f"{seed}:"), *[x for p in parts for x in (F.lit(":"), p)][1:])
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(TWO_32)
 
 
-def row_hash_unit(columns: Sequence[str | Column], seed: int) -> Column:
-    """Uniform value in [0, 1) from xxhash64 of the whole row, for inputs without a key.
-
-    Equal rows land in one fold. Cheaper than md5; used when no key is named.
-    """
-    h = F.xxhash64(F.lit(seed), *[col(c) for c in columns])
-    return (F.pmod(h, F.lit(TWO_32).cast("long"))).cast("double") / F.lit(TWO_32)
-
-
 # The letters and the space that ``non_letter_share`` does not count, and the
 # white-space characters of Java's \s (space, tab, newline, vertical tab, form feed, return).
 ASCII_LETTERS_AND_SPACE = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ "

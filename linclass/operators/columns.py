@@ -33,8 +33,9 @@ class Columns:
 def resolve_columns(names: Sequence[str], target: str, excluded: Sequence[str] = ()) -> Columns:
     """Check the names and return the feature list (header - target - excluded)."""
     names = list(names)
-    seen: set[str] = set()
-    dups = sorted({n for n in names if n in seen or seen.add(n)})
+    folded = [n.lower() for n in names]  # Spark resolves names without case
+    dups = sorted({n for n in names if folded.count(n.lower()) > 1})
+    seen = set(names)
     if dups:
         raise ColumnError(f"duplicate column names in the input: {dups}")
     excl: list[str] = []
@@ -53,16 +54,6 @@ def resolve_columns(names: Sequence[str], target: str, excluded: Sequence[str] =
     return Columns(target=target, excluded=excl, features=features, all_columns=names)
 
 
-def feature_list(names: Sequence[str], response: str) -> list[str]:
-    """All columns but the response (the R script's rule, no exclusion list)."""
-    return resolve_columns(names, response).features
-
-
-def drop_columns(df: DataFrame, cols: Columns, keep: Sequence[str] = ()) -> DataFrame:
-    """Project the target and the features (excluded columns never reach a cast)."""
-    return df.select(*keep, cols.target, *cols.features)
-
-
 def prepare(
     df: DataFrame,
     cols: Columns,

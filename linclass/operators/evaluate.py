@@ -7,83 +7,56 @@ ROC curve over every distinct score, which is what ``BinaryClassificationEvaluat
     AUC = 1 - sum_s n(s) * (pos_below(s) + p(s)/2) / (P * N)
 
 pos_below(s) needs a running sum in score order. A window ordered over the whole table
-would run in one task, so the plan is:
-
-1. aggregate rows to one row per (group, distinct score) (partial aggregation; a score
-   held by a third of the rows becomes one row here, so no skew survives this step);
-2. approximate quantiles of the distinct scores give ``bins`` bucket edges (one small
-   job). ``bins`` grows with the number of distinct scores so that a bucket holds about
-   ``ROWS_PER_BUCKET`` of them, within [4 x shuffle partitions, ``MAX_BINS``]: the edge
-   list is bounded by that cap, never by the data. Up to ``SINGLE_BUCKET_UP_TO`` distinct
-   scores there is one bucket per group and no quantile job;
-3. per-bucket positive totals (groups x bins rows) give each bucket its offset by a small
-   window; the join back is planned by Spark (broadcast only under the size threshold,
-   checked at run time by AQE, else sort-merge);
+would run in one task, so the plan is, at every size:
+
+1. approximate quantiles of the scores give the edges of 4 buckets a shuffle partition (one
+   pass with a bounded sketch; the number follows the cluster's setting, not the data);
+2. rows are aggregated to one row per (group, bucket, distinct score) (partial aggregation: a
+   score held by a third of the rows becomes one row here, so no skew survives this step);
+3. per-bucket positive totals (groups x buckets rows) give each bucket its offset by a small
+   window; the join back is planned by Spark;
 4. a window partitioned by (group, bucket) adds the running sum inside each bucket.
 
-Every score of one value lands in one bucket, so ties stay exact. The per-score counts
-are persisted while the metric is computed (the quantile job, the bucket totals and the
-running sums all read them), so the scored input is scanned once; the result (one row
-per group) is returned as a small DataFrame.
+Every score of one value lands in one bucket, so ties stay exact. Nothing is cached and no
+group's rows reach the driver: the result is an ordinary DataFrame, one row per group.
+
+A row counts only if its label is 0 or 1 and its score (and prediction, where one is judged)
+is not null; the others are reported as ``n_dropped``, the same rows for every metric.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linclass.functions.expressions import col
 
-_S, _P, _N, _TP, _FP, _B = "_s", "_p", "_n", "_tp", "_fp", "_b"
-
-
-# Distinct-score rows per bucket (one window task sorts one bucket) and the most buckets
-# (the edge list and the relative error of the quantile sketch grow with it).
-ROWS_PER_BUCKET = 1_000_000
-MAX_BINS = 1 << 16
-# Up to this many distinct scores in all, one bucket per group: the quantile job is skipped
-# and a group's running sum is one bounded window task.
-SINGLE_BUCKET_UP_TO = 200_000
+_S, _P, _N, _D, _TP, _FP, _B = "_s", "_p", "_n", "_d", "_tp", "_fp", "_b"
 
 
 def default_bins(df: DataFrame) -> int:
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(16, min(4096, 4 * parts))
+    return max(16, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-def bins_for(n_distinct: int, floor: int) -> int:
-    """Enough buckets that one holds about ``ROWS_PER_BUCKET`` distinct scores (one
-    bucket for a small table)."""
-    if n_distinct <= SINGLE_BUCKET_UP_TO:
-        return 1
-    return max(floor, min(MAX_BINS, -(-n_distinct // ROWS_PER_BUCKET)))
-
-
-def _score_counts(
-    scored: DataFrame, label: str, score: str | Column, prediction: str | None, by: Sequence[str]
-) -> DataFrame:
-    y = col(label)
-    s = col(score)
-    aggs = [F.count_if(y == 1.0).alias(_P), F.count_if(y == 0.0).alias(_N)]
-    if prediction is not None:
-        p = col(prediction)
-        aggs += [F.count_if((y == 1.0) & (p == 1.0)).alias(_TP), F.count_if((y == 0.0) & (p == 1.0)).alias(_FP)]
-    return scored.where(y.isin(0.0, 1.0) & s.isNotNull()).groupBy(*by, s.cast("double").alias(_S)).agg(*aggs)
+def _valid(label: Column, *others: Column) -> Column:
+    ok = label.isin(0.0, 1.0)
+    for c in others:
+        ok = ok & c.isNotNull()
+    return F.coalesce(ok, F.lit(False))
 
 
-def _bucketed(counts: DataFrame, bins: int) -> DataFrame:
-    probs = [i / bins for i in range(1, bins)]
+def _bucketed(rows: DataFrame, bins: int) -> DataFrame:
     # rank error below half a bucket keeps every bucket under ~1.5x its share
-    edges = counts.approxQuantile(_S, probs, 1.0 / (2 * bins)) if bins > 1 else []
+    edges = rows.approxQuantile(_S, [i / bins for i in range(1, bins)], 1.0 / (2 * bins)) if bins > 1 else []
     inner = sorted({e for e in edges if e == e and abs(e) != float("inf")})
     splits = [float("-inf"), *inner, float("inf")]
     if len(splits) < 3:
-        return counts.withColumn(_B, F.lit(0.0))
-    return Bucketizer(splits=splits, inputCol=_S, outputCol=_B, handleInvalid="keep").transform(counts)
+        return rows.withColumn(_B, F.lit(0.0))
+    filled = rows.withColumn("_v", F.coalesce(F.col(_S), F.lit(float("nan"))))
+    return Bucketizer(splits=splits, inputCol="_v", outputCol=_B, handleInvalid="keep").transform(filled)
 
 
 def binary_metrics(
@@ -94,50 +67,45 @@ def binary_metrics(
     by: Sequence[str] = (),
     bins: int | None = None,
 ) -> DataFrame:
-    """DataFrame[*by, n_rows, n_pos, n_neg, auc, balanced_accuracy] (one row per group).
+    """DataFrame[*by, n_rows, n_pos, n_neg, n_dropped, auc, balanced_accuracy] (one row per group).
 
     ``auc`` ranks ``score``; ``balanced_accuracy`` = (TPR + TNR) / 2 of ``prediction``,
     equal to the AUC of the hard 0/1 prediction. Both are null for a group with one class.
-    Runs its jobs now and returns the computed rows.
+    One small job (the bucket edges) runs now, the rest with the result.
     """
     by = list(by)
-    counts = _score_counts(scored, label, score, prediction, by).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if bins is None:
-            bins = bins_for(counts.count(), default_bins(scored))  # materialises the counts
-        plan = _metrics_plan(counts, prediction, by, bins)
-        rows = plan.collect()
-    finally:
-        counts.unpersist()
-    return scored.sparkSession.createDataFrame(rows, plan.schema)
-
-
-def _metrics_plan(counts: DataFrame, prediction: str | None, by: list[str], bins: int) -> DataFrame:
-    bucketed = _bucketed(counts, bins)
+    y, s = col(label).cast("double"), col(score).cast("double")
+    p = col(prediction).cast("double") if prediction is not None else None
+    ok = _valid(y, s, *([p] if p is not None else []))
+    rows = scored.select(*by, F.when(ok, s).alias(_S), y.alias("_y"), ok.alias("_ok"), *([p.alias("_hat")] if p is not None else []))
+    bucketed = _bucketed(rows, default_bins(scored) if bins is None else bins)
+    hit = lambda v: F.col("_ok") & (F.col("_y") == v)
+    aggs = [F.count_if(hit(1.0)).alias(_P), F.count_if(hit(0.0)).alias(_N), F.count_if(~F.col("_ok")).alias(_D)]
+    if prediction is not None:
+        aggs += [F.count_if(hit(1.0) & (F.col("_hat") == 1.0)).alias(_TP), F.count_if(hit(0.0) & (F.col("_hat") == 1.0)).alias(_FP)]
+    counts = bucketed.groupBy(*by, _B, _S).agg(*aggs)
 
-    totals = bucketed.groupBy(*by, _B).agg(F.sum(_P).alias("_bp"))
+    totals = counts.groupBy(*by, _B).agg(F.sum(_P).alias("_bp"))
     w_off = Window.partitionBy(*by).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*by, _B, F.coalesce(F.sum("_bp").over(w_off), F.lit(0)).alias("_off"))
+    offsets = totals.select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], F.col(_B).alias("_ob"), F.coalesce(F.sum("_bp").over(w_off), F.lit(0)).alias("_off"))
 
     w_in = Window.partitionBy(*by, _B).orderBy(_S).rowsBetween(Window.unboundedPreceding, -1)
-    below = F.col("_off") + F.coalesce(F.sum(_P).over(w_in), F.lit(0))
-    ranked = bucketed.join(offsets, on=[*by, _B]).withColumn(
-        "_term", F.col(_N).cast("double") * (below.cast("double") + F.col(_P) / 2.0)
-    )
-
-    aggs = [
-        F.sum(_P).cast("long").alias("n_pos"),
-        F.sum(_N).cast("long").alias("n_neg"),
-        F.sum("_term").alias("_sum"),
-    ]
+    same = F.col(_B) == F.col("_ob")
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_by{i}"))
+    ranked = counts.withColumn("_in", F.coalesce(F.sum(_P).over(w_in), F.lit(0))).join(offsets, same)
+    below = (F.col("_off") + F.col("_in")).cast("double")
+    term = F.col(_N).cast("double") * (below + F.col(_P) / 2.0)
+
+    sums = [F.sum(_P).cast("long").alias("n_pos"), F.sum(_N).cast("long").alias("n_neg"), F.sum(_D).cast("long").alias("n_dropped"), F.sum(term).alias("_sum")]
     if prediction is not None:
-        aggs += [F.sum(_TP).cast("long").alias("_tp"), F.sum(_FP).cast("long").alias("_fp")]
-    g = ranked.groupBy(*by).agg(*aggs)
+        sums += [F.sum(_TP).cast("long").alias("_tp"), F.sum(_FP).cast("long").alias("_fp")]
+    g = ranked.groupBy(*by).agg(*sums)
 
     pos, neg = F.col("n_pos"), F.col("n_neg")
     both = (pos > 0) & (neg > 0)
     auc = F.when(both, F.lit(1.0) - F.col("_sum") / (pos.cast("double") * neg.cast("double")))
-    cols = [*by, (pos + neg).alias("n_rows"), "n_pos", "n_neg", auc.alias("auc")]
+    cols = [*by, (pos + neg).alias("n_rows"), "n_pos", "n_neg", "n_dropped", auc.alias("auc")]
     if prediction is not None:
         tpr = F.col("_tp") / pos
         tnr = (neg - F.col("_fp")) / neg
@@ -148,31 +116,29 @@ def _metrics_plan(counts: DataFrame, prediction: str | None, by: list[str], bins
 def auc(
     scored: DataFrame, label: str = "label", score: str | Column = "score", by: Sequence[str] = (), bins: int | None = None
 ) -> DataFrame:
-    """DataFrame[*by, n_rows, n_pos, n_neg, auc]: exact AUC of ``score`` per group."""
+    """DataFrame[*by, n_rows, n_pos, n_neg, n_dropped, auc]: exact AUC of ``score`` per group."""
     return binary_metrics(scored, label, score, None, by, bins)
 
 
 def balanced_accuracy(
     scored: DataFrame, label: str = "label", prediction: str = "prediction", by: Sequence[str] = ()
 ) -> DataFrame:
-    """DataFrame[*by, n_rows, n_pos, n_neg, tp, tn, balanced_accuracy] from one count pass.
+    """DataFrame[*by, n_rows, n_pos, n_neg, n_dropped, tp, tn, balanced_accuracy], one count pass.
 
     This is what an AUC on hard 0/1 predictions measures (the reference's train / test AUC).
     """
-    y, p = col(label), col(prediction)
-    g = (
-        scored.where(y.isin(0.0, 1.0))
-        .groupBy(*by)
-        .agg(
-            F.count_if(y == 1.0).alias("n_pos"),
-            F.count_if(y == 0.0).alias("n_neg"),
-            F.count_if((y == 1.0) & (p == 1.0)).alias("tp"),
-            F.count_if((y == 0.0) & (p == 0.0)).alias("tn"),
-        )
+    y, p = col(label).cast("double"), col(prediction).cast("double")
+    ok = _valid(y, p)
+    g = scored.groupBy(*by).agg(
+        F.count_if(ok & (y == 1.0)).alias("n_pos"),
+        F.count_if(ok & (y == 0.0)).alias("n_neg"),
+        F.count_if(~ok).alias("n_dropped"),
+        F.count_if(ok & (y == 1.0) & (p == 1.0)).alias("tp"),
+        F.count_if(ok & (y == 0.0) & (p == 0.0)).alias("tn"),
     )
     pos, neg = F.col("n_pos"), F.col("n_neg")
     ba = F.when((pos > 0) & (neg > 0), (F.col("tp") / pos + F.col("tn") / neg) / 2.0)
-    return g.select(*by, (pos + neg).alias("n_rows"), "n_pos", "n_neg", "tp", "tn", ba.alias("balanced_accuracy"))
+    return g.select(*by, (pos + neg).alias("n_rows"), "n_pos", "n_neg", "n_dropped", "tp", "tn", ba.alias("balanced_accuracy"))
 
 
 def evaluator_auc(scored: DataFrame, label: str = "label", raw: str = "rawPrediction") -> float:

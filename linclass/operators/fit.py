@@ -103,11 +103,3 @@ def coefficients(model) -> tuple[list[float], float]:
         return list(model.weights), float(model.intercept)
     last = model.stages[-1]
     return [float(v) for v in last.coefficients.toArray()], float(last.intercept)
-
-
-def feature_names(model) -> list[str]:
-    from linclass.operators.linear import LinearModel
-
-    if isinstance(model, LinearModel):
-        return list(model.features)
-    return list(model.stages[0].getInputCols())

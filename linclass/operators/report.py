@@ -60,10 +60,6 @@ def coefficient_table(
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
-def nonzero(report: DataFrame) -> DataFrame:
-    return report.where(F.col("coefficient") != 0.0)
-
-
 RUN_SCHEMA = T.StructType(
     [
         T.StructField("job", T.StringType()),

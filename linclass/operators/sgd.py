@@ -1,9 +1,10 @@
 """Gradient-descent trainer for logistic and hinge loss, as DataFrame aggregations.
 
-Each iteration is one aggregation over the cached train rows: a projection computes the
-per-row multiplier once, then d + 1 sums (plus the row count) are combined partially on
-every task and finally in one small reduce, so only d + 2 numbers per task travel per
-iteration. The weight update is d + 1 floating-point operations on the driver.
+Each iteration is one pass over the cached train rows: every task sums its gradient block by
+block with NumPy over Arrow batches, and one small reduce adds the partial vectors of d + 2
+numbers. The weights are data of that pass, not literals of its plan, so every step (and every
+number of features) runs the same plan. The update is d + 1 floating-point operations on the
+driver. Rows with nulls are an error, counted before the first step.
 
 Rules (those of the classic gradient-descent trainers the reference calls):
 
@@ -14,9 +15,6 @@ Rules (those of the classic gradient-descent trainers the reference calls):
   lambda step_t; none: w <- w - step_t g;
 * the intercept is a constant-1 feature: it starts at 1.0 and is penalised like the rest;
 * stop once ||w_t - w_(t-1)|| < tol * max(||w_t||, 1) (checked from the second step on).
-
-For wide inputs (many features) ``block_gradient=True`` sums the gradient per Arrow batch
-with NumPy inside ``mapInArrow`` and adds the partial vectors; the rules are the same.
 """
 
 from __future__ import annotations
@@ -30,16 +28,21 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linclass.functions.expressions import col, dot, sigmoid
+from linclass.functions.expressions import col
 from linclass.operators.linear import LinearModel
 
 PENALTIES = ("l2", "l1", "none")
-# Above this many features the per-iteration aggregate of d + 1 sums is planned and
-# compiled anew each step (weights are literals); the NumPy block form keeps one plan.
-BLOCK_ABOVE = 16
 LOSSES = ("logistic", "hinge")
 
 
+class NullRowsError(ValueError):
+    """Training rows with a null label or feature; ``n_rows`` of them."""
+
+    def __init__(self, n_rows: int):
+        super().__init__(f"{n_rows} training rows hold a null label or feature")
+        self.n_rows = n_rows
+
+
 @dataclass
 class SgdTrace:
     iterations: int = 0
@@ -48,13 +51,6 @@ class SgdTrace:
     history: list[list[float]] = field(default_factory=list)
 
 
-def multiplier(loss: str, margin: Column, label: Column) -> Column:
-    if loss == "logistic":
-        return sigmoid(margin) - label
-    scaled = label * 2.0 - 1.0
-    return F.when(scaled * margin < F.lit(1.0), -scaled).otherwise(F.lit(0.0))
-
-
 def update(
     w: list[float], g: list[float], step_t: float, penalty: str, reg: float
 ) -> list[float]:
@@ -72,21 +68,7 @@ def _norm(v: Sequence[float]) -> float:
     return math.sqrt(sum(x * x for x in v))
 
 
-def _gradient_sums_columns(train: DataFrame, feats: list[Column], margin: Column, loss: str, label: str) -> list[float]:
-    """[sum m*x_1, ..., sum m*x_d, sum m, n] by one aggregation (partial sums per task).
-
-    (Observed metrics would save the exchange, but once a session has used them, Spark ML
-    models holding a training summary can no longer be serialised into tasks.)
-    """
-    m = multiplier(loss, margin, F.col(label))
-    proj = train.select(m.alias("_m"), *[x.alias(f"_x{i}") for i, x in enumerate(feats)])
-    aggs = [F.sum(F.col("_m") * F.col(f"_x{i}")) for i in range(len(feats))]
-    aggs += [F.sum("_m"), F.count(F.lit(1))]
-    row = proj.agg(*aggs).collect()[0]  # one row; collect() plans no limit
-    return [float(v) if v is not None else 0.0 for v in row]
-
-
-def _gradient_sums_blocks(train: DataFrame, d: int, w: list[float], b: float, loss: str, label: str, packed: str) -> list[float]:
+def _gradient_sums(train: DataFrame, d: int, w: list[float], b: float, loss: str, label: str, packed: str) -> list[float]:
     """Same sums with NumPy over Arrow batches: one partial vector per partition, then a sum.
 
     The features arrive as one ``array<double>`` column, flattened without a copy into an
@@ -129,23 +111,29 @@ def _gradient_sums_blocks(train: DataFrame, d: int, w: list[float], b: float, lo
 
 
 def _loop_frame(data: DataFrame):
-    """The cached rows as seen from a sibling session with adaptive execution off.
+    """The cached rows as seen from a sibling session made for the steps: the caller's
+    settings, but adaptive execution off (there is nothing to re-plan, and it would split
+    every step into two jobs) and one reducer for the d + 2 sums.
 
-    Each step is a global aggregate over cached rows: adaptive execution has nothing to
-    re-plan there but splits every step into two jobs. A sibling session shares the
-    SparkContext and the cache, so the caller's session and its settings stay untouched.
-    Returns (frame, cleanup); falls back to ``data`` itself when no sibling can be made.
+    The sibling shares the SparkContext and the cache, so the caller's session stays as it
+    is. Returns (frame, cleanup); a session kind without siblings gives ``data`` itself.
     """
     spark = data.sparkSession
+    if not hasattr(spark, "_jsparkSession"):
+        return data, lambda: None
     name = f"linclass_sgd_{uuid.uuid4().hex}"
+    data.createOrReplaceGlobalTempView(name)
     try:
-        data.createOrReplaceGlobalTempView(name)
         loop = spark.newSession()
+        for key, value in spark.conf.getAll.items():
+            if spark.conf.isModifiable(key):
+                loop.conf.set(key, value)
         loop.conf.set("spark.sql.adaptive.enabled", "false")
-        db = spark.conf.get("spark.sql.globalTempDatabase", "global_temp")
-        return loop.table(f"{db}.{name}"), lambda: loop.catalog.dropGlobalTempView(name)
-    except Exception:  # e.g. a session kind without sibling sessions
-        return data, lambda: None
+        loop.conf.set("spark.sql.shuffle.partitions", "1")
+        return loop.table(f"{spark.conf.get('spark.sql.globalTempDatabase', 'global_temp')}.{name}"), lambda: loop.catalog.dropGlobalTempView(name)
+    except BaseException:
+        spark.catalog.dropGlobalTempView(name)
+        raise
 
 
 def sgd_fit(
@@ -160,14 +148,12 @@ def sgd_fit(
     intercept: bool = True,
     tol: float = 0.001,
     inputs: Sequence[Column] | None = None,
-    block_gradient: bool | None = None,
     persist: bool = True,
 ) -> tuple[LinearModel, SgdTrace]:
     """Fit by full-batch gradient descent; returns (model, trace).
 
     ``inputs`` may give one column expression per feature (e.g. standardised values);
     the model then scores with the same expressions through its ``means`` / ``stds``.
-    ``block_gradient``: None picks the NumPy block form above ``BLOCK_ABOVE`` features.
     """
     if loss not in LOSSES:
         raise ValueError(f"loss must be one of {LOSSES}")
@@ -175,21 +161,12 @@ def sgd_fit(
         raise ValueError(f"penalty must be one of {PENALTIES}, got {penalty!r}")
     features = list(features)
     d = len(features)
-    if block_gradient is None:
-        block_gradient = d > BLOCK_ABOVE
     exprs = list(inputs) if inputs is not None else [col(c).cast("double") for c in features]
     if len(exprs) != d:
         raise ValueError(f"{len(exprs)} input expressions for {d} features")
 
-    # Narrow rows (label + one double per feature, inputs evaluated once) are what is cached;
-    # the block form packs the features into one array column.
-    names = [f"_f{i}" for i in range(d)]
-    y = col(label).cast("double").alias("_y")
-    if block_gradient:
-        data = train.select(y, F.array(*[x.cast("double") for x in exprs]).alias("_x"))
-    else:
-        data = train.select(y, *[x.alias(n) for x, n in zip(exprs, names)])
-    feats = [F.col(n) for n in names]
+    # Narrow rows are what is cached: the label and the features (inputs evaluated once) as one array.
+    data = train.select(col(label).cast("double").alias("_y"), F.array(*[x.cast("double") for x in exprs]).alias("_x"))
     if persist:
         data = data.persist(StorageLevel.MEMORY_AND_DISK)
 
@@ -199,12 +176,12 @@ def sgd_fit(
     cached = data
     data, release = _loop_frame(cached)
     try:
+        nulls = data.where(F.col("_y").isNull() | F.exists("_x", lambda v: v.isNull())).count()
+        if nulls:
+            raise NullRowsError(nulls)
         for t in range(1, iterations + 1):
             b = w[d] if intercept else 0.0
-            if block_gradient:
-                sums = _gradient_sums_blocks(data, d, w[:d], b, loss, "_y", "_x")
-            else:
-                sums = _gradient_sums_columns(data, feats, dot(feats, w[:d], b), loss, "_y")
+            sums = _gradient_sums(data, d, w[:d], b, loss, "_y", "_x")
             n = sums[-1]
             if n <= 0:
                 break

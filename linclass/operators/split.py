@@ -2,8 +2,9 @@
 
 The default form is a fold column from a hash of a key: a pure expression, no shuffle,
 and the same fold for a row under any partitioning or re-run (a lost task recomputes the
-same rows into the same fold). ``random_split`` keeps Spark's ``randomSplit`` for users who
-want it; its folds depend on the partition layout.
+same rows into the same fold). A row without its key, and every row where no key is named,
+gets its fold from ``random_folds``: one seeded random number a row, so equal rows are not
+tied together; it repeats as long as the scan deals the rows out alike.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linclass.functions.expressions import col, hash_unit, row_hash_unit
+from linclass.functions.expressions import col, hash_unit
 
 FOLD = "fold"
 DEFAULT_WEIGHTS = {"train": 0.8, "test": 0.2}
@@ -50,13 +51,19 @@ def hash_split(
     seed: int = 11,
     fold_col: str = FOLD,
 ) -> DataFrame:
-    """Add ``fold_col`` from md5('seed:key') (or xxhash64 of the whole row when no key)."""
+    """Add ``fold_col`` from md5('seed:key'); rows with a null key (and all rows when there
+    is no key) by a seeded random number."""
     if key is None:
-        u = row_hash_unit(df.columns, seed)
-    else:
-        keys = [key] if isinstance(key, str) else list(key)
-        u = hash_unit(keys, seed)
-    return df.withColumn(fold_col, fold_expr(u, weights))
+        return random_folds(df, weights, seed, fold_col)
+    keys = [key] if isinstance(key, str) else list(key)
+    return df.withColumn(fold_col, fold_expr(F.coalesce(hash_unit(keys, seed), F.rand(seed)), weights))
+
+
+def random_folds(
+    df: DataFrame, weights: Mapping[str, float] = DEFAULT_WEIGHTS, seed: int = 11, fold_col: str = FOLD
+) -> DataFrame:
+    """Add ``fold_col`` from one seeded random number a row: all folds in one scan."""
+    return df.withColumn(fold_col, fold_expr(F.rand(seed), weights))
 
 
 def folds(df: DataFrame, fold_col: str = FOLD, names: Sequence[str] = ("train", "test")) -> dict[str, DataFrame]:
@@ -67,7 +74,7 @@ def folds(df: DataFrame, fold_col: str = FOLD, names: Sequence[str] = ("train",
 def random_split(
     df: DataFrame, weights: Mapping[str, float] = DEFAULT_WEIGHTS, seed: int = 11
 ) -> dict[str, DataFrame]:
-    """Spark's ``randomSplit`` under fold names. Not repeatable across partition layouts."""
-    names = list(weights)
-    parts = df.randomSplit([float(weights[n]) for n in names], seed=seed)
-    return dict(zip(names, parts))
+    """One DataFrame per fold name. They share the random number of a row, not a scan: to
+    read the input once, keep ``random_folds`` (cached or written) and filter it."""
+    tagged = random_folds(df, weights, seed, "__fold")
+    return {n: tagged.where(F.col("__fold") == n).drop("__fold") for n in weights}

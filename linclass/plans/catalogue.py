@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linclass.functions.expressions import distinct_word_share, non_letter_share, recode_label
-from linclass.operators.checks import data_checks, row_ok
+from linclass.operators.checks import data_checks, failures, row_ok, run_checks
 from linclass.operators.columns import LABEL, prepare, resolve_columns
 from linclass.operators.evaluate import auc, balanced_accuracy
 from linclass.operators.fit import coefficients, fit_pipeline, penalised_logistic, logistic_pipeline
@@ -22,11 +22,11 @@ from linclass.operators.profile import class_counts, class_profile, dimensions
 from linclass.operators.report import coefficient_frame, coefficient_table
 from linclass.operators.scale import fit_scaler, scaled_expr, scaler_stats_frame, apply_scaler
 from linclass.operators.score import score
-from linclass.operators.sgd import sgd_fit
-from linclass.operators.split import FOLD, hash_split, random_split
+from linclass.operators.sgd import NullRowsError, sgd_fit
+from linclass.operators.split import FOLD, hash_split, random_folds
 from linclass.plans.jobs import enet_job, logistic_job, ridge_job, svm_job
 from linclass.session import scratch_path
-from linclass.sources.delimited import lines_from_table, parse_lines
+from linclass.sources.delimited import CORRUPT, lines_from_table, load_csv_inferred, load_delimited, parse_lines
 from linclass.sources.models import load_model, save_model
 
 # ---- fixed values shared with oracle.py (query parameters) ---------------------------
@@ -162,11 +162,9 @@ def q_hash_split(spark, sf_dir):
 
 
 def q_random_split(spark, sf_dir):
-    """randomSplit's folds move with the partition layout; what is fixed is that they
-    cover every row once and that the train share is near its weight."""
-    parts = random_split(_t(spark, sf_dir, "orders").select("o_orderkey"), seed=SEED)
-    tagged = [df.select(F.lit(name).alias(FOLD)) for name, df in parts.items()]
-    counts = tagged[0].unionByName(tagged[1]).agg(
+    """Random folds move with the partition layout; what is fixed is that they cover every
+    row once and that the train share is near its weight."""
+    counts = random_folds(_t(spark, sf_dir, "orders").select("o_orderkey"), seed=SEED).agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(FOLD) == "train").alias("_train")
     )
     share = F.col("_train") / F.col("n_rows")
@@ -292,7 +290,6 @@ def _wide_query(loss: str, penalty: str) -> Callable[[SparkSession, str], DataFr
             SGD_ITERATIONS,
             intercept=(loss == "logistic"),
             inputs=inputs,
-            block_gradient=True,
         )
         if stats is not None:
             model.means, model.stds = stats.means, stats.stds
@@ -378,6 +375,143 @@ def q_run_record(spark, sf_dir):
     return res.run.select("job", "rows", "columns", "target", "train_rows", "test_rows", "model")
 
 
+# ---- files, outputs and defined cases -----------------------------------------------------
+def q_file_scan(spark, sf_dir):
+    """lineitem written as a folder of delimited files, each with its header, and read back."""
+    path = scratch_path(spark, "files")
+    _t(spark, sf_dir, "lineitem").select(*SCAN_COLUMNS).write.csv(path, sep=SPLIT_SEP, header=True)
+    rows, _ = load_delimited(spark, path, SPLIT_SEP, string_columns=["l_returnflag"])
+    return rows.where(F.col(CORRUPT).isNull()).select(*[r6(c).alias(c) for c in SCAN_COLUMNS[:-1]], "l_returnflag")
+
+
+def q_file_dimensions(spark, sf_dir):
+    path = scratch_path(spark, "files")
+    _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice").write.csv(path, header=True)
+    rows, header = load_delimited(spark, path)
+    return dimensions(rows, n_columns=len(header.names))
+
+
+def q_csv_inferred(spark, sf_dir):
+    """A column that is whole numbers in all but the rows of its last file is read as what it is."""
+    path = scratch_path(spark, "csv")
+    od = _t(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 997 == 0, F.lit("30.5")).otherwise(F.lit("7")).alias("amount"))
+    od.repartition(4).sortWithinPartitions("amount", ascending=False).write.csv(path, header=True)
+    rows = load_csv_inferred(spark, path)
+    return rows.select("o_orderkey", F.col("amount").cast("double").alias("amount"), F.col(CORRUPT).isNotNull().alias("is_corrupt"))
+
+
+def q_sgd_nulls(spark, sf_dir):
+    """A fit on rows with nulls is refused, and the error counts them."""
+    li = lineitem_folds(spark, sf_dir, LOGIT_FEATURES).where(F.col(FOLD) == "train")
+    holes = li.withColumn("l_tax", F.when(F.col("l_quantity") > 45, F.lit(None).cast("double")).otherwise(F.col("l_tax")))
+    try:
+        sgd_fit(holes, LOGIT_FEATURES, LABEL, "logistic", "l2", SGD_REG, SGD_ITERATIONS)
+        n = 0
+    except NullRowsError as e:
+        n = e.n_rows
+    return spark.createDataFrame([(n,)], "n_null_rows bigint")
+
+
+def q_auc_null_scores(spark, sf_dir):
+    """Rows without a score or with a label outside 0/1 are counted, not lost."""
+    li = _t(spark, sf_dir, "lineitem").select(
+        "l_linestatus",
+        F.when(F.col("l_quantity") == 50, F.lit(2.0)).otherwise(returnflag_label()).alias(LABEL),
+        F.when(F.col("l_discount") < 0.015, F.lit(None).cast("double")).otherwise(tie_score()).alias("score"),
+    )
+    res = auc(li, LABEL, "score", by=["l_linestatus"])
+    return res.select("l_linestatus", "n_rows", "n_pos", "n_neg", "n_dropped", r6("auc").alias("auc"))
+
+
+def q_fold_checks(spark, sf_dir):
+    """Checks that stop a strict run on a train fold with one class and keys that are null."""
+    ev = _t(spark, sf_dir, "events").select(
+        F.when(F.col("event_type") == "view", F.lit(None).cast("long")).otherwise(F.col("event_id")).alias("event_id"),
+        F.col("value"),
+        F.when(F.col("event_id") % 2 == 0, F.lit("train")).otherwise(F.lit("test")).alias(FOLD),
+        (F.col("event_id") % 2).cast("double").alias(LABEL),
+    )
+    rows, _ = run_checks(ev, LABEL, ["value"], fold_col=FOLD, key_columns=["event_id"])
+    fatal = {(r["check"], r["column"]) for r in failures(rows, train="train")}
+    out = [(r["check"], r["column"], r["n_bad"], (r["check"], r["column"]) in fatal) for r in rows if not r["ok"]]
+    return spark.createDataFrame(out, "check string, column string, n_bad bigint, is_fatal boolean")
+
+
+def q_hash_split_nulls(spark, sf_dir):
+    """Rows with a key keep the fold of the key; rows without one are spread at random."""
+    od = _t(spark, sf_dir, "orders").select(F.when(F.col("o_orderstatus") == "O", F.lit(None).cast("long")).otherwise(F.col("o_orderkey")).alias("k"))
+    train = F.count_if(F.col(FOLD) == "train")
+    has = F.col("k").isNotNull().alias("has_key")
+    got = hash_split(od, "k", seed=SEED).groupBy(has).agg(F.count(F.lit(1)).alias("n_rows"), train.alias("_t"))
+    exact = F.when(F.col("has_key"), F.col("_t"))
+    return got.select("has_key", "n_rows", exact.alias("n_train"), F.col("_t").between(0.7 * F.col("n_rows"), 0.9 * F.col("n_rows")).alias("share_ok"))
+
+
+def q_random_named(spark, sf_dir):
+    """Random partitions under the names of the R script."""
+    li = random_folds(_t(spark, sf_dir, "lineitem").select("l_orderkey"), {"training": 0.8, "test": 0.2}, R_SEED)
+    one = li.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(FOLD) == "training").alias("_a"), F.count_if(F.col(FOLD) == "test").alias("_b"))
+    return one.select("n_rows", (F.col("_a") + F.col("_b") == F.col("n_rows")).alias("covers"), F.col("_a").between(0.77 * F.col("n_rows"), 0.83 * F.col("n_rows")).alias("share_ok"))
+
+
+MARKED_REG = 0.02
+MARKED_MIX = {"logit_l2_exact": 0.0, "logit_l1_exact": 1.0, "enet_exact": 0.6, "ridge_exact": 0.0}
+
+
+def marked_docs(spark, sf_dir) -> DataFrame:
+    """Labelled documents with one 0/1 feature: whether the text holds a table bar or a run of marks."""
+    odd = F.col("text").contains(" | ") | F.col("text").contains("&&&")
+    docs = _t(spark, sf_dir, "documents").select("doc_id", F.when(odd, F.lit(1.0)).otherwise(F.lit(0.0)).alias("marked"))
+    return docs.join(_t(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("quality")), "doc_id")
+
+
+def _exact_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """Coefficients of a converged penalised fit, where four counts determine the optimum."""
+
+    def run(spark, sf_dir):
+        data = marked_docs(spark, sf_dir).select(F.col("quality").alias(LABEL), "marked")
+        pipe = logistic_pipeline(["marked"], reg=MARKED_REG, elastic_net=MARKED_MIX[name], tol=1e-13, max_iter=500)
+        w, b = coefficients(fit_pipeline(pipe, data))
+        rows = coefficient_frame(spark, ["marked"], w, b)
+        return rows.select("variable", (F.round("coefficient", 4) + F.lit(0.0)).alias("coefficient"))
+
+    return run
+
+
+def wide_weight(i: int) -> float:
+    return ((i * 37) % 11 - 5) / 10
+
+
+def q_wide_margins(spark, sf_dir):
+    """64 features scored with fixed weights."""
+    emb = embedding_folds(spark, sf_dir)
+    model = LinearModel(WIDE_FEATURES, [wide_weight(i) for i in range(WIDE_DIM)], 0.25)
+    return score(model, emb).select("vec_id", (F.round("margin", 4) + F.lit(0.0)).alias("margin"))
+
+
+def q_job_outputs(spark, sf_dir):
+    """An elastic-net job with its outputs on disk: the time-stamped model, saved twice to one
+    path, and the report tables, read back and compared with what the job returned."""
+    out = scratch_path(spark, "job")
+    res = enet_job(spark, doc_table(spark, sf_dir), out_dir=out, timestamped=True, **DOC_ARGS)
+    save_model(res.model, res.model_path, spark)
+    loaded = load_model(spark, res.model_path)
+    report = f"{out}/report.enet"
+    run, coeffs, checks = (spark.read.schema(df.schema).json(f"{report}/{t}") for t, df in (("run", res.run), ("coefficients", res.coefficients), ("checks", res.checks)))
+    now = res.run.first()
+    kept = run.first()
+    written = {r["variable"]: r["coefficient"] for r in coeffs.collect()}
+    same_fields = all(kept[f] == now[f] for f in ("auc_train", "auc_test", "train_rows", "test_rows", "n_nonzero", "model_path", "parameters"))
+    w, b = coefficients(loaded)
+    same_model = written == {**dict(zip(DOC_FEATURES, w)), "Intercept": b}
+    stamped = res.model_path.rsplit("/", 1)[1].startswith("model.reglog.")
+    nonzero = sum(v != 0 for v in written.values())
+    return spark.createDataFrame(
+        [(kept["job"], kept["rows"], kept["train_rows"], kept["test_rows"], len(written), nonzero == kept["n_nonzero"], same_fields, same_model, stamped, checks.count())],
+        "job string, rows bigint, train_rows bigint, test_rows bigint, n_coefficients int, nonzero_ok boolean, run_ok boolean, model_ok boolean, stamped boolean, n_checks bigint",
+    )
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Elastic net on document features: one row per fold with AUC, balanced accuracy and
     the number of non-zero coefficients."""
@@ -422,4 +556,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "wide_enet_fit": q_wide_enet_fit,
     "model_round_trip": q_model_round_trip,
     "run_record": q_run_record,
+    "file_scan": q_file_scan,
+    "file_dimensions": q_file_dimensions,
+    "csv_inferred": q_csv_inferred,
+    "sgd_nulls": q_sgd_nulls,
+    "auc_null_scores": q_auc_null_scores,
+    "fold_checks": q_fold_checks,
+    "hash_split_nulls": q_hash_split_nulls,
+    "random_named": q_random_named,
+    **{name: _exact_query(name) for name in MARKED_MIX},
+    "wide_margins": q_wide_margins,
+    "job_outputs": q_job_outputs,
 }

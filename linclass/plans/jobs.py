@@ -17,14 +17,14 @@ Training rows are persisted around the fit and released after it.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linclass.operators.checks import checks_frame, enforce, failures, run_checks, set_aside
+from linclass.operators.checks import checks_frame, enforce, failures, require_classes, run_checks, set_aside
 from linclass.functions.expressions import col
 from linclass.operators.columns import LABEL, Columns, prepare, resolve_columns, safe_names
 from linclass.operators.evaluate import binary_metrics
@@ -40,13 +40,15 @@ from linclass.operators.report import coefficient_table, run_record
 from linclass.operators.scale import fit_scaler, scaled_expr
 from linclass.operators.score import score
 from linclass.operators.sgd import sgd_fit
-from linclass.operators.split import FOLD, hash_split, random_split
+from linclass.operators.split import FOLD, hash_split, random_folds
 from linclass.session import checkpoint_root
 from linclass.sources.delimited import CORRUPT, load_csv_inferred, load_delimited
 from linclass.sources.models import save_model, timestamped_path
 from linclass.sources.reports import write_tables
 
-STAMP = "%b %d %Y %H:%M:%S"
+STAMP = "%Y-%m-%dT%H:%M:%S"
+# The names under which the jobs save their models, which users look for.
+MODEL_NAMES = {"logistic": "model.lr", "enet": "model.reglog", "svm": "model.svm"}
 
 
 @dataclass
@@ -60,7 +62,7 @@ class JobConfig:
     mix: float = 0.0  # elastic-net L1 share
     iterations: int = 100
     mode: str = "converged"  # converged | sgd
-    key: str | Sequence[str] | None = None  # hash-split key; None = hash of the whole row
+    key: str | Sequence[str] | None = None  # hash-split key; None = a seeded random number a row
     split: str = "hash"  # hash | random
     weights: Mapping[str, float] = field(default_factory=lambda: {"train": 0.8, "test": 0.2})
     seed: int = 11
@@ -106,7 +108,7 @@ def _load(spark: SparkSession, source, cfg: JobConfig) -> tuple[DataFrame, list[
         return source, names, (CORRUPT if CORRUPT in source.columns else None), "<DataFrame>"
     if cfg.job == "ridge":
         df = load_csv_inferred(spark, source, cfg.sep)
-        return df, list(df.columns), None, str(source)
+        return df, [c for c in df.columns if c != CORRUPT], CORRUPT, str(source)
     df, header = load_delimited(spark, source, cfg.sep, string_columns=cfg.excluded)
     return df, header.names, CORRUPT, str(source)
 
@@ -123,12 +125,16 @@ def _model_path(cfg: JobConfig) -> str | None:
     return f"{cfg.out_dir.rstrip('/')}/{cfg.model_prefix}"
 
 
+def used_mode(cfg: JobConfig) -> str:
+    """The mode asked for, except that there is no built-in linear SVM with an L1 penalty or
+    none: that is fitted by gradient descent."""
+    return "sgd" if cfg.job == "svm" and cfg.penalty in ("l1", "none") else cfg.mode
+
+
 def _fit(spark: SparkSession, train: DataFrame, features: list[str], cfg: JobConfig):
-    own_cache = cfg.stage == "none"  # the trainer caches its input only when the job does not
-    """(model, mode actually used, iterations run or None)."""
-    if cfg.job == "svm" and cfg.penalty in ("l1", "none") and cfg.mode == "converged":
-        cfg.mode = "sgd"  # no built-in L1 / unpenalised linear SVM: gradient descent
-    if cfg.mode == "sgd":
+    """(model, iterations run or None)."""
+    own_cache = cfg.stage != "persist"  # the trainer caches its input only when the job does not
+    if used_mode(cfg) == "sgd":
         if cfg.job == "logistic":
             model, trace = sgd_fit(
                 train, features, LABEL, "logistic", cfg.penalty, cfg.reg, cfg.iterations, intercept=True, persist=own_cache
@@ -165,6 +171,7 @@ def _fit(spark: SparkSession, train: DataFrame, features: list[str], cfg: JobCon
 
 def run_job(spark: SparkSession, source, cfg: JobConfig) -> JobResult:
     started = datetime.now().strftime(STAMP)
+    cfg = replace(cfg)
     raw, names, corrupt, input_name = _load(spark, source, cfg)
     cols = resolve_columns(names, cfg.target, cfg.excluded)
     keys = [] if cfg.key is None else ([cfg.key] if isinstance(cfg.key, str) else list(cfg.key))
@@ -172,25 +179,18 @@ def run_job(spark: SparkSession, source, cfg: JobConfig) -> JobResult:
     # features under names every ML stage accepts (reports use the original names)
     safe = safe_names(cols.features, reserved=[LABEL, FOLD, *carry])
     feats = [safe[c] for c in cols.features]
-    prepared = prepare(raw, cols, keep=carry, rename=safe)
+    # the R script fits its response as it is; the other jobs read -1 as 0
+    prepared = prepare(raw, cols, keep=carry, recode=cfg.job != "ridge", rename=safe)
 
-    fold_names = list(cfg.weights)
-    if len(fold_names) != 2:
+    if len(cfg.weights) != 2:
         raise ValueError("two folds are expected: train and test")
-    train_name, test_name = fold_names
+    split_cols: list[str] = []
     if cfg.split == "hash":
-        split_key = keys or None
-        if split_key is None:
-            data = hash_split(prepared.select(*[col(c) for c in [LABEL, *feats, *carry]]), None, cfg.weights, cfg.seed)
-        else:
-            # a key that is also a feature or the target is hashed under its prepared name
-            split_cols = [safe.get(k, LABEL if k == cfg.target else k) for k in split_key]
-            data = hash_split(prepared, split_cols, cfg.weights, cfg.seed)
+        # a key that is also a feature or the target is hashed under its prepared name
+        split_cols = [safe.get(k, LABEL if k == cfg.target else k) for k in keys]
+        data = hash_split(prepared, split_cols or None, cfg.weights, cfg.seed)
     elif cfg.split == "random":
-        parts = random_split(prepared, cfg.weights, cfg.seed)
-        data = parts[train_name].withColumn(FOLD, F.lit(train_name)).unionByName(
-            parts[test_name].withColumn(FOLD, F.lit(test_name))
-        )
+        data = random_folds(prepared, cfg.weights, cfg.seed)
     else:
         raise ValueError(f"split must be 'hash' or 'random', got {cfg.split!r}")
 
@@ -207,19 +207,19 @@ def run_job(spark: SparkSession, source, cfg: JobConfig) -> JobResult:
         # a written copy in the shared checkpoint folder: lineage cut, survives lost executors
         checkpoint_root(spark)
         data = data.checkpoint(eager=True)
-        return _run_prepared(spark, cfg, data, raw, names, cols, feats, corrupt, input_name, profile, started)
+        return _run_prepared(spark, cfg, data, raw, names, cols, feats, corrupt, input_name, profile, started, split_cols)
     if cfg.stage == "none":
-        return _run_prepared(spark, cfg, data, raw, names, cols, feats, corrupt, input_name, profile, started)
+        return _run_prepared(spark, cfg, data, raw, names, cols, feats, corrupt, input_name, profile, started, split_cols)
     if cfg.stage != "persist":
         raise ValueError(f"stage must be 'persist', 'checkpoint' or 'none', got {cfg.stage!r}")
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _run_prepared(spark, cfg, data, raw, names, cols, feats, corrupt, input_name, profile, started)
+        return _run_prepared(spark, cfg, data, raw, names, cols, feats, corrupt, input_name, profile, started, split_cols)
     finally:
         data.unpersist()
 
 
-def _run_prepared(spark, cfg, data, raw, names, cols, feats, corrupt, input_name, profile, started) -> JobResult:
+def _run_prepared(spark, cfg, data, raw, names, cols, feats, corrupt, input_name, profile, started, split_cols) -> JobResult:
     train_name, test_name = list(cfg.weights)
     fold_names = [train_name, test_name]
     check_rows, counts = run_checks(
@@ -229,6 +229,7 @@ def _run_prepared(spark, cfg, data, raw, names, cols, feats, corrupt, input_name
         fold_col=FOLD,
         fold_names=fold_names,
         corrupt_col=corrupt,
+        key_columns=split_cols,
         extra={
             "rows": F.count(F.lit(1)),
             **{
@@ -246,10 +247,11 @@ def _run_prepared(spark, cfg, data, raw, names, cols, feats, corrupt, input_name
     original = dict(zip(feats, cols.features))
     for r in check_rows:
         r["column"] = original.get(r["column"], r["column"])
-    enforce(check_rows, cfg.strict)
+    enforce(check_rows, cfg.strict, train_name)
     aside = None
     if not cfg.strict:
         data, aside = set_aside(data, LABEL, feats, corrupt)
+        require_classes(data, LABEL, FOLD, train_name)
 
     train = data.where(F.col(FOLD) == train_name).select(*[col(c) for c in [LABEL, *feats]])
     model, iterations = _fit(spark, train, feats, cfg)
@@ -259,8 +261,10 @@ def _run_prepared(spark, cfg, data, raw, names, cols, feats, corrupt, input_name
         save_model(model, path, spark)
 
     scored = score(model, data)
-    metrics = binary_metrics(scored, LABEL, "margin", "prediction", by=[FOLD])  # computed: one row per fold
-    by_fold = {r[FOLD]: r for r in metrics.collect()}
+    plan = binary_metrics(scored, LABEL, "margin", "prediction", by=[FOLD])
+    rows = plan.collect()  # one row per fold
+    metrics = spark.createDataFrame(rows, plan.schema)
+    by_fold = {r[FOLD]: r for r in rows}
 
     weights, intercept = coefficients(model)
     coeffs = coefficient_table(spark, cols.features, weights, intercept)
@@ -271,7 +275,7 @@ def _run_prepared(spark, cfg, data, raw, names, cols, feats, corrupt, input_name
         r = by_fold.get(fold)
         return None if r is None else r[name]
 
-    params = {"reg": cfg.reg, "iterations": cfg.iterations, "mode": cfg.mode, "seed": cfg.seed, "split": cfg.split}
+    params = {"reg": cfg.reg, "iterations": cfg.iterations, "mode": cfg.mode, "mode_used": used_mode(cfg), "seed": cfg.seed, "split": cfg.split}
     if cfg.job in ("enet", "ridge"):
         params["elastic_net"] = cfg.mix
     if iterations is not None:
@@ -344,7 +348,7 @@ def logistic_job(
     **kw,
 ) -> JobResult:
     """Penalised logistic regression (l1, l2 or none); model saved under a time stamp."""
-    kw.setdefault("model_prefix", "model.lr")
+    kw.setdefault("model_prefix", MODEL_NAMES["logistic"])
     kw.setdefault("timestamped", True)
     cfg = JobConfig("logistic", target, excluded, sep, penalty, reg, mode=mode, out_dir=out_dir, **kw)
     return run_job(spark, source, cfg)
@@ -363,7 +367,7 @@ def enet_job(
     **kw,
 ) -> JobResult:
     """Elastic-net logistic regression: ``reg`` = lambda, ``mix`` = L1 share."""
-    kw.setdefault("model_prefix", "model.reglog")
+    kw.setdefault("model_prefix", MODEL_NAMES["enet"])
     cfg = JobConfig("enet", target, excluded, sep, "elasticnet", reg, mix, iterations, out_dir=out_dir, **kw)
     return run_job(spark, source, cfg)
 
@@ -382,7 +386,7 @@ def svm_job(
     **kw,
 ) -> JobResult:
     """Standardised linear SVM without intercept; L1 runs by gradient descent."""
-    kw.setdefault("model_prefix", "model.svm")
+    kw.setdefault("model_prefix", MODEL_NAMES["svm"])
     cfg = JobConfig("svm", target, excluded, sep, penalty, reg, 0.0, iterations, mode, out_dir=out_dir, **kw)
     return run_job(spark, source, cfg)
 
@@ -394,16 +398,19 @@ def ridge_job(
     excluded: Sequence[str] = (),
     profile_column: str | None = None,
     reg: float = 0.01,
+    iterations: int = 100,
+    sep: str = ",",
     seed: int = 1099,
     out_dir: str | None = None,
     **kw,
 ) -> JobResult:
     """The R script: ridge logistic regression (alpha 0) on all columns but the response
     (and ``excluded``, e.g. a key), class profile of ``profile_column``, named partitions
-    ``training`` / ``test`` from seed 1099."""
+    ``training`` / ``test`` from seed 1099. The response must be 0 or 1: the script does not
+    recode it."""
     kw.setdefault("model_prefix", "model.ridge")
     kw.setdefault("weights", {"training": 0.8, "test": 0.2})
     cfg = JobConfig(
-        "ridge", response, excluded, ",", "l2", reg, 0.0, 100, seed=seed, out_dir=out_dir, profile_column=profile_column, **kw
+        "ridge", response, excluded, sep, "l2", reg, 0.0, iterations, seed=seed, out_dir=out_dir, profile_column=profile_column, **kw
     )
     return run_job(spark, source, cfg)

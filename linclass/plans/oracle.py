@@ -338,8 +338,110 @@ SELECT count(*)::BIGINT AS n_rows, 0::BIGINT AS n_mismatch
 FROM documents d JOIN labels l ON d.doc_id = l.doc_id"""
 
 
+CSV_INFERRED = """
+SELECT o_orderkey::INTEGER AS o_orderkey, CASE WHEN o_orderkey % 997 = 0 THEN 30.5 ELSE 7.0 END::DOUBLE AS amount, false AS is_corrupt FROM orders"""
+
+FILE_DIMENSIONS = "SELECT count(*)::BIGINT AS n_rows, 3 AS n_columns FROM orders"
+
+
+def sgd_nulls() -> str:
+    return f"SELECT count(*)::BIGINT AS n_null_rows FROM lineitem WHERE {fold_sql('l_orderkey')} = 'train' AND l_quantity > 45"
+
+
+def auc_null_scores() -> str:
+    return f"""WITH s AS (
+  SELECT l_linestatus AS g, CASE WHEN l_quantity = 50 THEN 2.0 ELSE {RETURNFLAG} END AS y,
+         CASE WHEN l_discount < 0.015 THEN NULL ELSE l_quantity + 100.0 * l_discount - 50.0 * l_tax END AS score FROM lineitem),
+k AS (SELECT * FROM s WHERE y IN (0.0, 1.0) AND score IS NOT NULL),
+r AS (
+  SELECT g, y, rank() OVER (PARTITION BY g ORDER BY score)
+             + (count(*) OVER (PARTITION BY g, score) - 1) / 2.0 AS avg_rank FROM k),
+a AS (
+  SELECT g, count(*) AS n, sum(y) AS p,
+         (sum(avg_rank) FILTER (WHERE y = 1.0) - sum(y) * (sum(y) + 1) / 2.0) / (sum(y) * (count(*) - sum(y))) AS auc FROM r GROUP BY g)
+SELECT s.g AS l_linestatus, any_value(a.n)::BIGINT AS n_rows, any_value(a.p)::BIGINT AS n_pos, any_value(a.n - a.p)::BIGINT AS n_neg,
+       (count(*) - any_value(a.n))::BIGINT AS n_dropped, {r6('any_value(a.auc)')} AS auc
+FROM s JOIN a ON s.g = a.g GROUP BY s.g"""
+
+
+FOLD_CHECKS = """
+SELECT 'single_class_fold' AS check, fold AS column, 1::BIGINT AS n_bad, fold = 'train' AS is_fatal FROM (VALUES ('train'), ('test')) f(fold)
+UNION ALL
+SELECT 'null_key', 'event_id', count(*), false FROM events WHERE event_type = 'view'"""
+
+HASH_SPLIT_NULLS = f"""
+SELECT has_key, count(*)::BIGINT AS n_rows, (CASE WHEN has_key THEN count(*) FILTER (WHERE fold = 'train') END)::BIGINT AS n_train, true AS share_ok
+FROM (SELECT o_orderstatus <> 'O' AS has_key, {fold_sql('o_orderkey')} AS fold FROM orders) GROUP BY has_key"""
+
+RANDOM_NAMED = "SELECT count(*)::BIGINT AS n_rows, true AS covers, true AS share_ok FROM lineitem"
+
+
+def exact_fit(mix: float, reg: float = C.MARKED_REG, steps: int = 60) -> str:
+    """The optimum of the penalised fit from its four counts, by Newton steps in the scaled
+    coefficient; the sign of the l1 part is that of the unpenalised effect, and a coefficient
+    that would cross zero is zero."""
+    l1, l2 = d(reg * mix), d(reg * (1 - mix))
+    if mix == 1:  # without a quadratic part the two optimality conditions give both rates
+        return f"""WITH t AS (
+  SELECT CASE WHEN contains(text, ' | ') OR contains(text, '&&&') THEN 1.0 ELSE 0.0 END::DOUBLE AS x, quality::DOUBLE AS y
+  FROM documents JOIN labels USING (doc_id)),
+c AS (
+  SELECT count(*)::DOUBLE AS n, sum(x) AS n1, sum(1 - x) AS n0, sum(x * y) AS p1, sum(y) AS p,
+         stddev_samp(x) AS sd, sign(sum(x * y) / sum(x) - sum((1 - x) * y) / sum(1 - x)) AS s FROM t),
+q AS (SELECT *, (p1 - {l1} * s * n * sd) / n1 AS q1, (p - p1 + {l1} * s * n * sd) / n0 AS q0 FROM c),
+e AS (SELECT CASE WHEN (q1 - q0) * s > 0 THEN ln(q1 / (1 - q1)) - ln(q0 / (1 - q0)) ELSE 0.0 END AS coefficient,
+             CASE WHEN (q1 - q0) * s > 0 THEN ln(q0 / (1 - q0)) ELSE ln(p / (n - p)) END AS intercept FROM q)
+SELECT 'marked' AS variable, round(coefficient, 4) + 0.0 AS coefficient FROM e
+UNION ALL
+SELECT 'Intercept', round(intercept, 4) + 0.0 FROM e"""
+    return f"""WITH RECURSIVE t AS (
+  SELECT CASE WHEN contains(text, ' | ') OR contains(text, '&&&') THEN 1.0 ELSE 0.0 END::DOUBLE AS x, quality::DOUBLE AS y
+  FROM documents JOIN labels USING (doc_id)),
+c AS (
+  SELECT count(*)::DOUBLE AS n, sum(x) AS n1, sum(1 - x) AS n0, sum(x * y) AS p1, sum((1 - x) * y) AS p0,
+         1 / stddev_samp(x) AS u, sign(sum(x * y) / sum(x) - sum((1 - x) * y) / sum(1 - x)) AS s, ln(sum(y) / (count(*) - sum(y))) AS b0 FROM t),
+w(i, a, b) AS (
+  SELECT 0, 0.0::DOUBLE, b0 FROM c
+  UNION ALL
+  SELECT i + 1, a - (gb2 * ga - gab * gb) / (ga2 * gb2 - gab * gab), b - (ga2 * gb - gab * ga) / (ga2 * gb2 - gab * gab)
+  FROM (
+    SELECT i, a, b, u * (n1 * q1 - p1) / n + {l1} * s + {l2} * a AS ga, (n1 * q1 - p1 + n0 * q0 - p0) / n AS gb,
+           u * u * n1 * q1 * (1 - q1) / n + {l2} AS ga2, u * n1 * q1 * (1 - q1) / n AS gab,
+           (n1 * q1 * (1 - q1) + n0 * q0 * (1 - q0)) / n AS gb2
+    FROM (SELECT w.*, c.*, 1 / (1 + exp(-(a * u + b))) AS q1, 1 / (1 + exp(-b)) AS q0 FROM w, c WHERE i < {steps})
+  )),
+e AS (SELECT CASE WHEN a * s > 0 THEN a * u ELSE 0.0 END AS coefficient, CASE WHEN a * s > 0 THEN b ELSE b0 END AS intercept FROM w, c WHERE i = {steps})
+SELECT 'marked' AS variable, round(coefficient, 4) + 0.0 AS coefficient FROM e
+UNION ALL
+SELECT 'Intercept', round(intercept, 4) + 0.0 FROM e"""
+
+
+def wide_margins() -> str:
+    terms = " + ".join(f"{d(C.wide_weight(i))} * CAST(embedding[{i + 1}] AS DOUBLE)" for i in range(C.WIDE_DIM))
+    return f"SELECT vec_id, round(0.25::DOUBLE + {terms}, 4) + 0.0 AS margin FROM embeddings"
+
+
+JOB_OUTPUTS = f"""
+WITH f AS (SELECT {fold_sql('doc_id')} AS fold FROM documents JOIN labels USING (doc_id))
+SELECT 'enet' AS job, count(*)::BIGINT AS rows, (count(*) FILTER (WHERE fold = 'train'))::BIGINT AS train_rows,
+       (count(*) FILTER (WHERE fold = 'test'))::BIGINT AS test_rows, {len(C.DOC_FEATURES) + 1} AS n_coefficients,
+       true AS nonzero_ok, true AS run_ok, true AS model_ok, true AS stamped, 18::BIGINT AS n_checks
+FROM f"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "file_scan": scan_delimited(),
+        "file_dimensions": FILE_DIMENSIONS,
+        "csv_inferred": CSV_INFERRED,
+        "sgd_nulls": sgd_nulls(),
+        "auc_null_scores": auc_null_scores(),
+        "fold_checks": FOLD_CHECKS,
+        "hash_split_nulls": HASH_SPLIT_NULLS,
+        "random_named": RANDOM_NAMED,
+        **{name: exact_fit(mix) for name, mix in C.MARKED_MIX.items()},
+        "wide_margins": wide_margins(),
+        "job_outputs": JOB_OUTPUTS,
         "scan_delimited": scan_delimited(),
         "label_recode": LABEL_RECODE,
         "drop_columns": DROP_COLUMNS,

@@ -7,7 +7,6 @@ from linclass.sources.delimited import (
     lines_from_table,
     load_csv_inferred,
     load_delimited,
-    load_table,
     parse_lines,
     read_header,
     read_lines,
@@ -23,7 +22,6 @@ __all__ = [
     "load_csv_inferred",
     "load_delimited",
     "load_model",
-    "load_table",
     "parse_lines",
     "read_header",
     "read_lines",

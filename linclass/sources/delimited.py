@@ -99,25 +99,12 @@ def load_delimited(
     return parse_lines(lines, header, string_columns), header
 
 
-def load_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Columnar table (Parquet by default): filters and projections reach the scan."""
-    return spark.read.format(fmt).load(path)
-
-
-GUESS_ROWS = 1000  # rows the R reader looks at to guess column types
-
-
-def load_csv_inferred(spark: SparkSession, path: str, sep: str = ",", guess_rows: int = GUESS_ROWS) -> DataFrame:
-    """CSV with a header line and column types guessed from its first ``guess_rows`` rows
-    (as the R script's reader does), then read in full with that explicit schema.
-
-    Only the head lines are read for the guess (not a full inference pass over the data);
-    every row is then read and parsed with the guessed types.
-    """
-    head = read_lines(spark, path).limit(guess_rows + 1).collect()  # header + guess rows
-    sample = spark.sparkContext.parallelize([r["value"] for r in head], 1)
-    schema = spark.read.csv(sample, sep=sep, header=True, inferSchema=True).schema
-    return spark.read.csv(path, sep=sep, header=True, schema=schema)
+def load_csv_inferred(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """CSV with a header line and column types inferred from all of its rows, read with that
+    schema and the corrupt-record column (rows with too few or too many fields are marked)."""
+    types = spark.read.csv(path, sep=sep, header=True, inferSchema=True).schema
+    schema = T.StructType([*types.fields, T.StructField(CORRUPT, T.StringType(), True)])
+    return spark.read.csv(path, sep=sep, header=True, schema=schema, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
 
 
 def lines_from_table(df: DataFrame, columns: Sequence[str], sep: str = ",") -> tuple[DataFrame, Header]:

@@ -18,6 +18,7 @@ from linclass.operators.linear import MODEL_CLASS, LinearModel
 
 def timestamped_path(base: str, prefix: str = "model.lr", now: datetime | None = None) -> str:
     """``base/prefix.<MonDDYYYYHHMMSS>``, the time-stamped name of the logistic job."""
+    # fixed value: the form of the stamp in saved model names
     stamp = (now or datetime.now()).strftime("%b%d%Y%H%M%S")
     return f"{base.rstrip('/')}/{prefix}.{stamp}"
 

@@ -79,13 +79,19 @@ def test_balanced_accuracy_is_hard_label_auc(spark):
     assert hard == pytest.approx(ba)
 
 
-def test_adaptive_bins_stay_exact(sample, monkeypatch):
-    import linclass.operators.evaluate as ev
-
+@pytest.mark.parametrize("bins", [1, 2, 16, 300])
+def test_any_number_of_buckets_is_exact(sample, bins):
     data, df = sample
-    monkeypatch.setattr(ev, "ROWS_PER_BUCKET", 3)  # ~ distinct scores / 3 buckets
-    monkeypatch.setattr(ev, "SINGLE_BUCKET_UP_TO", 0)
-    assert ev.bins_for(10_000, 16) == 3334 and ev.bins_for(10, 16) == 16
-    assert ev.bins_for(10**15, 16) == ev.MAX_BINS
-    got = auc(df, "label", "score").first().auc
+    got = auc(df, "label", "score", bins=bins).first().auc
     assert got == pytest.approx(brute_auc([(s, y) for _, y, s in data]), abs=1e-12)
+
+
+def test_rows_without_score_label_or_prediction_are_counted(spark):
+    rows = [(1.0, 0.9, 1.0), (0.0, 0.1, 0.0), (None, 0.5, 1.0), (2.0, 0.5, 1.0), (1.0, None, 1.0), (0.0, 0.3, None)]
+    df = spark.createDataFrame(rows, "label double, score double, prediction double")
+    r = auc(df).first()
+    assert (r.n_rows, r.n_dropped, r.auc) == (3, 3, 1.0)
+    m = binary_metrics(df).first()
+    assert (m.n_rows, m.n_dropped, m.auc, m.balanced_accuracy) == (2, 4, 1.0, 1.0)
+    b = balanced_accuracy(df).first()
+    assert (b.n_rows, b.n_dropped) == (3, 3)

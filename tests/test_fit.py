@@ -58,10 +58,9 @@ def small(spark):
     "loss,penalty,intercept",
     [("logistic", "l2", True), ("logistic", "l1", True), ("logistic", "none", True), ("hinge", "l2", False), ("hinge", "l1", False)],
 )
-@pytest.mark.parametrize("block", [False, True])
-def test_sgd_matches_numpy(small, loss, penalty, intercept, block):
+def test_sgd_matches_numpy(small, loss, penalty, intercept):
     x, y, df = small
-    model, trace = sgd_fit(df, ["a", "b", "c"], "label", loss, penalty, 0.01, 30, intercept=intercept, block_gradient=block)
+    model, trace = sgd_fit(df, ["a", "b", "c"], "label", loss, penalty, 0.01, 30, intercept=intercept)
     ref = numpy_sgd(x, y, loss, penalty, 0.01, 30, intercept)
     got = np.array(model.weights + ([model.intercept] if intercept else []))
     assert np.max(np.abs(got - ref)) < 1e-9
@@ -202,6 +201,6 @@ def test_sgd_leaves_session_untouched(spark, small):
     before = {t.name for t in spark.catalog.listTables(db)}
     aqe = spark.conf.get("spark.sql.adaptive.enabled")
     sgd_fit(df, ["a", "b", "c"], "label", "logistic", "l2", 0.01, 3)
-    sgd_fit(df, ["a", "b", "c"], "label", "logistic", "l2", 0.01, 3, block_gradient=True)
+    sgd_fit(df, ["a", "b", "c"], "label", "logistic", "l2", 0.01, 3)
     assert {t.name for t in spark.catalog.listTables(db)} == before
     assert spark.conf.get("spark.sql.adaptive.enabled") == aqe

@@ -46,10 +46,11 @@ def test_split_reads_only_the_key(spark):
     assert read_schemas(text) == ["o_orderkey:bigint"] and "Exchange" not in text
 
 
-def test_checks_are_one_aggregate(spark):
+def test_checks_are_two_small_aggregates(spark):
     text = plan_text(C.QUERIES["data_checks"](spark, SF01))
-    assert len(re.findall(r"\(\d+\) Exchange", text)) == 1
-    assert "props" not in read_schemas(text)[0] and "ts:" not in read_schemas(text)[0]
+    # one row of counts, and d partial rows a task for the features, whatever their number
+    assert len(re.findall(r"\(\d+\) Exchange", text)) == 2
+    assert all("props" not in r and "ts:" not in r for r in read_schemas(text))
 
 
 def test_fold_filter_runs_in_the_scan_stage(spark):
@@ -72,16 +73,13 @@ def test_document_text_never_shuffles(spark):
 
 
 def test_auc_plan_has_no_global_sort_of_rows(spark):
-    from pyspark.sql import functions as F
-
-    from linclass.operators.evaluate import _metrics_plan, _score_counts
-
-    li = spark.read.parquet(f"{SF01}/lineitem.parquet").select(
-        "l_linestatus", F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.0).alias("label"), C.tie_score().alias("score")
-    )
-    counts = _score_counts(li, "label", "score", None, ["l_linestatus"])
-    text = plan_text(_metrics_plan(counts, None, ["l_linestatus"], 16))
+    text = plan_text(C.q_auc_scores(spark, SF01))
     # the running sums are windows partitioned by (group, bucket), never one global order
     windows = re.findall(r"Arguments: \[.*windowspecdefinition.*\], \[(.*?)\], \[", text)
     assert len(windows) == 2 and all(w.strip() for w in windows)
-    assert "rangepartitioning" not in text and "SinglePartition" not in text
+    assert "rangepartitioning" not in text and "SinglePartition" not in text and "CartesianProduct" not in text
+
+
+def test_random_split_is_one_scan(spark):
+    text = plan_text(C.q_random_split(spark, SF01))
+    assert len(read_schemas(text)) == 1 and "Sort" not in text

@@ -8,6 +8,7 @@ from conftest import SF01
 from pyspark.sql import functions as F
 
 from linclass.operators.scale import apply_scaler, fit_scaler
+from linclass.functions.expressions import hash_unit
 from linclass.operators.split import hash_split, random_split
 
 
@@ -32,11 +33,22 @@ def test_hash_split_stable_under_repartition(spark):
     assert {r.fold for r in folds} == {"train", "test"}
 
 
-def test_row_hash_split_without_key(spark):
-    df = spark.range(0, 500).select((F.col("id") % 50).cast("double").alias("x"))
+def test_without_key_equal_rows_are_not_tied(spark):
+    df = spark.range(0, 10_000).select((F.col("id") % 10).cast("double").alias("x"))
     out = hash_split(df, None)
-    # equal rows share a fold
-    assert out.groupBy("x").agg(F.countDistinct("fold").alias("n")).where("n > 1").count() == 0
+    train = out.groupBy("x").agg(F.count_if(F.col("fold") == "train").alias("n")).collect()
+    assert len(train) == 10 and all(740 < r.n < 860 for r in train)
+
+
+def test_rows_without_key_are_spread(spark):
+    df = spark.range(0, 2000).select(F.lit(None).cast("string").alias("k"), "id")
+    n = hash_split(df, "k").where("fold = 'train'").count()
+    assert 1500 < n < 1700
+
+
+def test_lists_of_keys_do_not_share_a_text(spark):
+    df = spark.createDataFrame([("a:b", "c"), ("a", "b:c"), ("a\\", "b"), ("a", "\\b")], "x string, y string")
+    assert df.select(hash_unit(["x", "y"], 1).alias("u")).distinct().count() == 4
 
 
 def test_named_partition_weights(spark):
