@@ -3,8 +3,10 @@
 A document's set is the distinct hashes of its 5-word shingles, sorted. Two sets link when
 their Jaccard similarity is 0.8 or more. Three exact filters come before the intersection:
 
-* *Prefix*: under one global order of shingles, linked sets share one of the first
-  ``n // 5 + 1`` shingles of either. The order puts frequent shingles last (license lines,
+* *Prefix*: under one global order of shingles, linked sets share ``COMMON`` of the first
+  ``n // 5 + COMMON`` shingles of either (all they share, if that is less). So pairs under a
+  shingle that few sets have only count as long as they have met ``COMMON`` times; those that
+  meet under a frequent one go on to the tiles, where one meeting is enough. The order puts frequent shingles last (license lines,
   common passages), so they are in nobody's prefix; which ones count as frequent is found by
   counting every set and changes only cost, never results.
 * *Size*: linked sets differ in size by a quarter at most. The sets with one prefix shingle
@@ -13,11 +15,12 @@ their Jaccard similarity is 0.8 or more. Three exact filters come before the int
   bit counts bound the overlap from above.
 
 What passes is decided by the exact intersection of the sorted arrays. Only components are
-asked for, so the join runs in two rounds: first each set is tried with its neighbour in size
-and with the first set of its band, under each prefix shingle, and what links is joined into
-components; then the tiles compare only pairs of different components. Large groups of near
-copies thus cost links in proportion to their members, and no link between components is
-lost: every pair that shares a prefix shingle is either inside one component or compared.
+asked for, so the join runs in two rounds: first each set is tried with the most connected set
+of its size band, and with the next more connected one, that it meets under several prefix
+shingles, and what links is joined into components; then only pairs of different components
+are compared. Large groups of near copies thus cost links in proportion to their members, and
+no link between components is lost: every pair that meets often enough is either inside one
+component or compared.
 
 Sets are keyed by their content, so exact copies are one set however many there are. Keys and
 shingles are 64-bit hashes; two of them that differ are taken as different contents.
@@ -46,6 +49,10 @@ FREQUENT = 1 << 16
 #: Shingles counted at one time by a task, and the share of a batch's sets that makes one frequent.
 COUNTED, SHARE = 1 << 21, 0.0005
 TILE = 256
+#: Linked sets share so many of their first ``n // 5 + COMMON`` shingles (or all, if they have fewer).
+COMMON = 4
+#: Pairs under a shingle of at most so many sets are counted, beyond it they are compared in tiles.
+FEW = 8
 #: Signature bits for each shingle: the more, the closer the bound comes to the overlap itself.
 LOAD = 4
 #: Marks in the table that tells a scan which texts it may need.
@@ -155,7 +162,7 @@ def _sets(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, place: np.nda
                 seen.add(x)
             own, turn = value[first[k] : first[k] + n[k]], late[first[k] : first[k] + n[k]]
             early = own[np.argsort(turn, kind="stable")] if turn.any() else own
-            prefixes.append(early[: n[k] // 5 + 1].view(np.int64))
+            prefixes.append(early[: n[k] // 5 + COMMON].view(np.int64))
             bits.append(signature(own))
         yield pa.RecordBatch.from_arrays(
             [rows.column("doc_id"), rows.column("uid"), pa.array(n, pa.int32()), pa.array(key.view(np.int64)), pa.array(prefixes, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
@@ -274,17 +281,21 @@ def join_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     firsts = sets.where("prefix is not null")
     marks = firsts.select("key", "n", "bits").dropDuplicates(["key"])
 
-    # sets that share a prefix shingle with another, and first candidates
+    # sets that share prefix shingles with others; each shingle's most connected set of a size band
+    # is tried as the centre of the others, if it is that under several of their shingles
     token, band = Window.partitionBy("token"), F.floor(F.log("n") / F.log(F.lit(1.25))).cast("int")
-    by_size = token.orderBy("n", "key")
-    posted = firsts.select(F.explode("prefix").alias("token"), "key", "n").withColumn("band", band)
-    posted = posted.withColumns({"prev": F.lag("key").over(by_size), "prev_n": F.lag("n").over(by_size), "least": F.min("key").over(token), "most": F.max("key").over(token)}).where("least != most")
-    head = Window.partitionBy("token", "band").orderBy("n", "key")
-    posted = staged(posted.withColumns({"head": F.first("key").over(head), "head_n": F.first("n").over(head)}).drop("least", "most", "band"), folder, "posted")
-    tried = posted.select(F.inline(F.array(F.struct("key", "n", F.col("prev").alias("o"), F.col("prev_n").alias("o_n")), F.struct("key", "n", F.col("head").alias("o"), F.col("head_n").alias("o_n")))))
-    tried = tried.where("o is not null and key != o and 5 * least(n, o_n) >= 4 * greatest(n, o_n)").select(F.least("key", "o").alias("a"), F.greatest("key", "o").alias("b")).distinct()
+    posted = firsts.select(F.explode("prefix").alias("token"), "key", "n")
+    posted = posted.withColumns({"least": F.min("key").over(token), "most": F.max("key").over(token), "sets": F.count("key").over(token)}).where("least != most")
+    posted = staged(posted.select("token", "key", "n", "sets").distinct(), folder, "posted")
+    known = posted.join(posted.groupBy("key").agg(F.sum("sets").alias("links")), "key").withColumn("band", band)
+    central = Window.partitionBy("token", "band").orderBy(F.desc("links"), "key")
+    known = known.withColumns({"head": F.first("key").over(central), "head_n": F.first("n").over(central), "prev": F.lag("key").over(central), "prev_n": F.lag("n").over(central)})
+    tried = known.select(F.inline(F.array(F.struct("key", "n", F.col("prev").alias("o"), F.col("prev_n").alias("o_n")), F.struct("key", "n", F.col("head").alias("o"), F.col("head_n").alias("o_n")))))
+    tried = tried.where("o is not null and key != o and 5 * least(n, o_n) >= 4 * greatest(n, o_n)").groupBy(F.least("key", "o").alias("a"), F.greatest("key", "o").alias("b"))
+    tried = tried.agg(F.count("*").alias("shared"), F.min(F.least("n", "o_n")).alias("low")).where("20 * shared >= low")
     side = lambda s: marks.select(F.col("key").alias(s), F.col("n").alias(f"n_{s}"), F.col("bits").alias(f"bits_{s}"))
-    near = staged(tried.join(side("a"), "a").join(side("b"), "b").mapInArrow(_bounded, "a long, b long"), folder, "near")
+    bounded = lambda pairs: pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").mapInArrow(_bounded, "a long, b long")
+    near = staged(bounded(tried), folder, "near-1")
 
     owner = firsts.select("key", "uid", "doc_id").dropDuplicates(["key"])
 
@@ -308,15 +319,24 @@ def join_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     first_links = linked(near, "1")
     stars = connected_components(first_links, folder, "first")
 
-    # tiles: all pairs of different components under each prefix shingle
-    placed = posted.select("token", "key", "n").distinct().join(stars.withColumnRenamed("node", "key"), "key", "left").select("token", "key", "n", F.coalesce("root", "key").alias("comp"))
-    mixed = placed.withColumns({"least": F.min("comp").over(token), "most": F.max("comp").over(token), "at": F.row_number().over(by_size)}).where("least != most")
-    mixed = staged(mixed.select("token", "key", "n", "comp", F.floor((F.col("at") - 1) / TILE).cast("int").alias("tile")), folder, "mixed")
-    ranges = mixed.groupBy("token", "tile").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    # pairs of different components under the prefix shingles they share
+    placed = posted.select("token", "key", "n").join(stars.withColumnRenamed("node", "key"), "key", "left").select("token", "key", "n", F.coalesce("root", "key").alias("comp"))
+    mixed = placed.withColumns({"least": F.min("comp").over(token), "most": F.max("comp").over(token), "sets": F.count("key").over(token), "at": F.row_number().over(token.orderBy("n", "key"))}).where("least != most")
+    mixed = staged(mixed.select("token", "key", "n", "comp", "sets", F.floor((F.col("at") - 1) / TILE).cast("int").alias("tile")), folder, "mixed")
+
+    # shingles of few sets: their pairs are counted, a link needs COMMON of them
+    few = mixed.where(F.col("sets") <= FEW)
+    other = few.select("token", F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"))
+    counted = few.select("token", F.col("key").alias("a"), "n", "comp").join(other, "token").where("a < b and comp != comp_b and 5 * least(n, n_b) >= 4 * greatest(n, n_b)")
+    counted = counted.groupBy("a", "b").agg(F.count("*").alias("shared"), F.max(F.greatest("n", "n_b")).alias("high")).where(F.expr(f"shared >= least({COMMON}, (4 * high + 4) div 5)"))
+
+    # shingles of many: tiles
+    many = mixed.where(F.col("sets") > FEW)
+    ranges = many.groupBy("token", "tile").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     pairs = ranges.select("token", F.col("tile").alias("left"), F.col("high").alias("left_high")).join(ranges.select("token", F.col("tile").alias("right"), F.col("low").alias("right_low")), "token").where("left <= right and 5 * left_high >= 4 * right_low").select("token", "left", "right")
-    dealt = pairs.withColumn("tile", F.explode(F.array_distinct(F.array("left", "right")))).join(mixed, ["token", "tile"]).join(marks.select("key", "bits"), "key")
+    dealt = pairs.withColumn("tile", F.explode(F.array_distinct(F.array("left", "right")))).join(many, ["token", "tile"]).join(marks.select("key", "bits"), "key")
     dealt = dealt.select("token", "left", "right", "tile", "key", "n", "comp", "bits").repartition("token", "left", "right").sortWithinPartitions("token", "left", "right", "n", "key")
-    more = staged(dealt.mapInArrow(_tiles, "a long, b long").distinct(), folder, "near-2")
+    more = staged(dealt.mapInArrow(_tiles, "a long, b long").union(bounded(counted)).distinct(), folder, "near-2")
     links = first_links.union(linked(more, "2"))
     stars = connected_components(links, folder, "all")
 
