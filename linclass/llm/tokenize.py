@@ -20,6 +20,8 @@ _ID = attrgetter("id")
 
 #: Pieces in each half (young, old) of the cache of one Python worker.
 CACHE_PIECES = 300_000
+#: Whole texts whose ids are kept for exact copies that come soon after.
+CACHE_TEXTS = 2_000
 
 
 def default_tokenizer() -> str:
@@ -101,6 +103,7 @@ class Encoder:
         self.tokenizer = self.cache.tokenizer
         added = self.tokenizer.get_added_tokens_decoder()
         self.special = [t.content for t in added.values()]
+        self.texts: dict[str, bytes] = {}
         #: UTF-8 bytes of each id's text.
         self.n_bytes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
         for token, i in self.tokenizer.get_vocab().items():
@@ -128,12 +131,16 @@ class Encoder:
         """Little-endian unsigned 32-bit ids of each text."""
         get, out = self.cache.__getitem__, []
         for t in texts:
-            if not t:
-                out.append(b"")
-                continue
-            cut = self.pieces(t)
-            out.append(self.cache.start(cut[0]) + b"".join(map(get, cut[1:])))
-            self.cache.age()
+            got = self.texts.get(t) if t else b""
+            if got is None:
+                cut = self.pieces(t)
+                got = self.cache.start(cut[0]) + b"".join(map(get, cut[1:]))
+                self.cache.age()
+                if len(t) < 8192:
+                    if len(self.texts) >= CACHE_TEXTS:
+                        self.texts.clear()
+                    self.texts[t] = got
+            out.append(got)
         return out
 
 
