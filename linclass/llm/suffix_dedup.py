@@ -1,7 +1,7 @@
 """Removal of repeated byte strings by blockwise suffix sorting with a difference cover (operator 9).
 
 Every byte that is covered by a string of ``LENGTH`` bytes that also starts in a document with a
-smaller ``doc_id`` goes. Documents are kept as blocks of a few MB of bytes; what is sorted is
+smaller ``doc_id`` goes. Documents are kept as blocks of about half a MB; what is sorted is
 sorted one bucket at a time, so memory is bounded by the size of a block or a bucket.
 
 1. *Cover sample.* Of each document the positions whose residue modulo 31 is in a difference
@@ -46,8 +46,9 @@ PERIOD = 31
 COVER = (1, 5, 11, 24, 25, 27)
 SAMPLE = LENGTH - PERIOD + 1
 SEED = 16
-BLOCK_BYTES = 1 << 20
-#: Sampled suffixes in a bucket, about.
+BLOCK_BYTES = 1 << 19
+#: Sampled suffixes in a bucket, about. Blocks times buckets is the number of shuffled rows, so
+#: raise both sizes with the memory of a worker when the corpus grows to many TB.
 BUCKET_ROWS = 1 << 22
 NO_ID = np.iinfo(np.int64).max
 
@@ -110,7 +111,7 @@ def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held.clear()
         return pa.RecordBatch.from_arrays([pa.array([part << 32 | n], pa.int64()), pa.array([ids[order].tobytes()], pa.binary()), pa.array([off.tobytes()], pa.binary()), pa.array([data], pa.binary())], names=["block", "ids", "offsets", "data"])
 
-    for rows, raw, off in slices(batches):
+    for rows, raw, off in slices(batches, limit=BLOCK_BYTES // 2):
         if held and size + len(raw) > BLOCK_BYTES:
             yield block()
             size, n = 0, n + 1
