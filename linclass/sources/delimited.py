@@ -72,7 +72,10 @@ def parse_lines(
     ``_corrupt_record`` holds the raw line when it has too few or too many fields or a value
     that is not a number; it is null for a good line.
     """
-    schema = parse_schema(header.names, string_columns)
+    return _parse(lines, header, parse_schema(header.names, string_columns), value_col)
+
+
+def _parse(lines: DataFrame, header: Header, schema: T.StructType, value_col: str = "value") -> DataFrame:
     ddl = ", ".join(f"{_ddl_name(f.name)} {f.dataType.simpleString().upper()}" for f in schema.fields)
     options = {
         "sep": header.sep,
@@ -100,11 +103,13 @@ def load_delimited(
 
 
 def load_csv_inferred(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """CSV with a header line and column types inferred from all of its rows, read with that
-    schema and the corrupt-record column (rows with too few or too many fields are marked)."""
+    """CSV with a header line and column types inferred from all of its rows (one pass), then
+    parsed line by line with those types, so that short and long rows are marked as well."""
     types = spark.read.csv(path, sep=sep, header=True, inferSchema=True).schema
-    schema = T.StructType([*types.fields, T.StructField(CORRUPT, T.StringType(), True)])
-    return spark.read.csv(path, sep=sep, header=True, schema=schema, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+    lines = read_lines(spark, path)
+    header = read_header(lines, sep)
+    fields = [T.StructField(name, f.dataType, True) for name, f in zip(header.names, types.fields, strict=True)]
+    return _parse(lines, header, T.StructType([*fields, T.StructField(CORRUPT, T.StringType(), True)]))
 
 
 def lines_from_table(df: DataFrame, columns: Sequence[str], sep: str = ",") -> tuple[DataFrame, Header]:
