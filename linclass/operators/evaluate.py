@@ -54,9 +54,9 @@ def _bucketed(rows: DataFrame, bins: int) -> DataFrame:
     inner = sorted({e for e in edges if e == e and abs(e) != float("inf")})
     splits = [float("-inf"), *inner, float("inf")]
     if len(splits) < 3:
-        return rows.withColumn(_B, F.lit(0.0))
+        return rows.withColumn(_B, F.lit(0))
     filled = rows.withColumn("_v", F.coalesce(F.col(_S), F.lit(float("nan"))))
-    return Bucketizer(splits=splits, inputCol="_v", outputCol=_B, handleInvalid="keep").transform(filled)
+    return Bucketizer(splits=splits, inputCol="_v", outputCol=_B, handleInvalid="keep").transform(filled).withColumn(_B, F.col(_B).cast("int"))
 
 
 def binary_metrics(

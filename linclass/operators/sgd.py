@@ -68,8 +68,9 @@ def _norm(v: Sequence[float]) -> float:
     return math.sqrt(sum(x * x for x in v))
 
 
-def _gradient_sums(train: DataFrame, d: int, w: list[float], b: float, loss: str, label: str, packed: str) -> list[float]:
-    """Same sums with NumPy over Arrow batches: one partial vector per partition, then a sum.
+def _gradient_parts(train: DataFrame, d: int, w: list[float], b: float, loss: str, label: str, packed: str) -> DataFrame:
+    """DataFrame[i, s]: the sums m*x_1, ..., m*x_d, m and the rows, with NumPy over Arrow
+    batches: one partial vector per partition, then a sum by index.
 
     The features arrive as one ``array<double>`` column, flattened without a copy into an
     n x d block (one list column crosses to Python far faster than d separate columns).
@@ -103,9 +104,13 @@ def _gradient_sums(train: DataFrame, d: int, w: list[float], b: float, loss: str
     parts = train.select(label, packed).mapInArrow(part, "g array<double>")
     # element-wise sum of the partial vectors: (index, value) pairs summed per index, with
     # partial aggregation on every task; d + 2 rows reach the driver
-    sums = parts.select(F.posexplode("g").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("s")).collect()
+    return parts.select(F.posexplode("g").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("s"))
+
+
+def _gradient_sums(train: DataFrame, d: int, w: list[float], b: float, loss: str, label: str, packed: str) -> list[float]:
+    """[sum m*x_1, ..., sum m*x_d, sum m, n] of one pass."""
     out = [0.0] * (d + 2)
-    for r in sums:
+    for r in _gradient_parts(train, d, w, b, loss, label, packed).collect():
         out[r["i"]] = float(r["s"])
     return out
 

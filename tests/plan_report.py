@@ -74,9 +74,7 @@ def main(argv) -> None:
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     from pyspark.sql import functions as F
 
-    from linclass.functions.expressions import dot
-    from linclass.operators.evaluate import _metrics_plan, _score_counts
-    from linclass.operators.sgd import multiplier
+    from linclass.operators.sgd import _gradient_parts
     from linclass.plans import catalogue as C
     from linclass.session import local_session
 
@@ -101,29 +99,15 @@ def main(argv) -> None:
     parts += ["## Inside the fits", ""]
     parts.append(section("document features joined to labels (input of the document fits)", C.doc_table(spark, sf_dir)))
     train = C.lineitem_folds(spark, sf_dir, C.LOGIT_FEATURES).where(F.col("fold") == "train")
-    feats = [F.col(c) for c in C.LOGIT_FEATURES]
-    m = multiplier("logistic", dot(feats, [0.1, -1.0, 1.0], 1.0), F.col("label"))
-    one_pass = train.select(m.alias("_m"), *feats).agg(*[F.sum(F.col("_m") * f) for f in feats], F.sum("_m"))
+    packed = train.select(F.col("label").alias("_y"), F.array(*C.LOGIT_FEATURES).alias("_x"))
     parts.append(
         section(
-            "one gradient step: d + 1 sums over the train rows (the trainer runs it over its "
-            "cached rows, in a sibling session without adaptive execution)",
-            one_pass,
+            "one gradient step (the trainer runs it over its cached rows, in a sibling session "
+            "without adaptive execution and with one reducer)",
+            _gradient_parts(packed, len(C.LOGIT_FEATURES), [0.1, -1.0, 1.0], 1.0, "logistic", "_y", "_x"),
         )
     )
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
-        "l_linestatus", C.returnflag_label().alias("label"), C.tie_score().alias("score")
-    )
-    counts = _score_counts(li, "label", "score", None, ["l_linestatus"])
-    parts.append(section("per-score counts (built once, then persisted by the metric)", counts))
-    counts = counts.persist()  # as binary_metrics does
-    parts.append(
-        section(
-            "exact AUC per group over the persisted counts, 16 buckets (running sums by (group, bucket))",
-            _metrics_plan(counts, None, ["l_linestatus"], 16),
-        )
-    )
-    counts.unpersist()
+    parts.append(section("exact AUC per group (running sums by (group, bucket))", C.q_auc_scores(spark, sf_dir)))
     with open(os.path.join(ROOT, "PLANS.md"), "w") as f:
         f.write("\n".join(parts))
     print("wrote PLANS.md")
