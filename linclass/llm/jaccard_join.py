@@ -48,13 +48,16 @@ WORDS = 5
 FREQUENT = 1 << 16
 #: Shingles counted at one time by a task, and the share of a batch's sets that makes one frequent.
 COUNTED, SHARE = 1 << 21, 0.0005
-TILE = 256
+TILE = 1024
 #: Linked sets share so many of their first ``n // 5 + COMMON`` shingles (or all, if they have fewer).
-COMMON = 4
+COMMON = 10
 #: Pairs under a shingle of at most so many sets are counted, beyond it they are compared in tiles.
 FEW = 8
 #: Signature bits for each shingle: the more, the closer the bound comes to the overlap itself.
 LOAD = 4
+#: Words (of 64 bits) of the folded signature that goes with every row of a tile; the whole
+#: signature is asked afterwards.
+FOLDED_WORDS = 32
 #: Marks in the table that tells a scan which texts it may need.
 SPOTS = 1 << 24
 _STEP = mix64(np.arange(11, 11 + WORDS, dtype=np.uint64)) | np.uint64(1)
@@ -135,7 +138,7 @@ def signature(value: np.ndarray) -> bytes:
     return np.packbits(flags, bitorder="little").tobytes()
 
 
-SETS = "doc_id long, uid long, n int, key long, prefix array<long>, bits binary"
+SETS = "doc_id long, uid long, n int, key long, prefix array<long>, bits binary, folded binary"
 
 
 def _sets(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, place: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -152,11 +155,12 @@ def _sets(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, place: np.nda
             at = np.minimum(np.searchsorted(frequent, value[maybe]), len(frequent) - 1)
             late[maybe] = np.where(frequent[at] == value[maybe], place[at] + 1, 0)
         first = np.cumsum(n) - n
-        prefixes, bits = [], []
+        prefixes, bits, folded = [], [], []
         for k, x in enumerate(key.tolist()):
             if not n[k] or x in seen:
                 prefixes.append(None)
                 bits.append(None)
+                folded.append(None)
                 continue
             if len(seen) < 1_000_000:  # only spares repeats
                 seen.add(x)
@@ -164,9 +168,10 @@ def _sets(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, place: np.nda
             early = own[np.argsort(turn, kind="stable")] if turn.any() else own
             prefixes.append(early[: n[k] // 5 + COMMON].view(np.int64))
             bits.append(signature(own))
+            folded.append(_fold(np.frombuffer(bits[-1], np.uint64), FOLDED_WORDS).tobytes())
         yield pa.RecordBatch.from_arrays(
-            [rows.column("doc_id"), rows.column("uid"), pa.array(n, pa.int32()), pa.array(key.view(np.int64)), pa.array(prefixes, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
-            names=["doc_id", "uid", "n", "key", "prefix", "bits"],
+            [rows.column("doc_id"), rows.column("uid"), pa.array(n, pa.int32()), pa.array(key.view(np.int64)), pa.array(prefixes, pa.list_(pa.int64())), pa.array(bits, pa.binary()), pa.array(folded, pa.binary())],
+            names=["doc_id", "uid", "n", "key", "prefix", "bits", "folded"],
         )
 
 
@@ -287,7 +292,10 @@ def join_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     posted = firsts.select(F.explode("prefix").alias("token"), "key", "n")
     posted = posted.withColumns({"least": F.min("key").over(token), "most": F.max("key").over(token), "sets": F.count("key").over(token)}).where("least != most")
     posted = staged(posted.select("token", "key", "n", "sets").distinct(), folder, "posted")
-    known = posted.join(posted.groupBy("key").agg(F.sum("sets").alias("links")), "key").withColumn("band", band)
+    # a set with fewer shared shingles than a link needs has no link
+    met = posted.groupBy("key").agg(F.sum("sets").alias("links"), F.count("*").alias("met"))
+    posted = staged(posted.join(met, "key").where(F.expr(f"met >= least({COMMON}, (4 * n + 4) div 5)")).select("token", "key", "n", "links"), folder, "known")
+    known = posted.withColumn("band", band)
     central = Window.partitionBy("token", "band").orderBy(F.desc("links"), "key")
     known = known.withColumns({"head": F.first("key").over(central), "head_n": F.first("n").over(central), "prev": F.lag("key").over(central), "prev_n": F.lag("n").over(central)})
     tried = known.select(F.inline(F.array(F.struct("key", "n", F.col("prev").alias("o"), F.col("prev_n").alias("o_n")), F.struct("key", "n", F.col("head").alias("o"), F.col("head_n").alias("o_n")))))
@@ -334,9 +342,10 @@ def join_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     many = mixed.where(F.col("sets") > FEW)
     ranges = many.groupBy("token", "tile").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     pairs = ranges.select("token", F.col("tile").alias("left"), F.col("high").alias("left_high")).join(ranges.select("token", F.col("tile").alias("right"), F.col("low").alias("right_low")), "token").where("left <= right and 5 * left_high >= 4 * right_low").select("token", "left", "right")
-    dealt = pairs.withColumn("tile", F.explode(F.array_distinct(F.array("left", "right")))).join(many, ["token", "tile"]).join(marks.select("key", "bits"), "key")
+    small = firsts.select("key", F.col("folded").alias("bits")).dropDuplicates(["key"])
+    dealt = pairs.withColumn("tile", F.explode(F.array_distinct(F.array("left", "right")))).join(many, ["token", "tile"]).join(small, "key")
     dealt = dealt.select("token", "left", "right", "tile", "key", "n", "comp", "bits").repartition("token", "left", "right").sortWithinPartitions("token", "left", "right", "n", "key")
-    more = staged(dealt.mapInArrow(_tiles, "a long, b long").union(bounded(counted)).distinct(), folder, "near-2")
+    more = staged(bounded(dealt.mapInArrow(_tiles, "a long, b long").union(counted.select("a", "b")).distinct()), folder, "near-2")
     links = first_links.union(linked(more, "2"))
     stars = connected_components(links, folder, "all")
 
