@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
+from pyspark.sql import DataFrame, SparkSession
+
 from linclass.llm.decontaminate import op2_decontaminate
 from linclass.llm.fingerprint import op1_fingerprints
 from linclass.llm.jaccard_join import op5_jaccard_join
@@ -9,11 +14,23 @@ from linclass.llm.packing import op4_length_buckets
 from linclass.llm.pii import op10_pii
 from linclass.llm.quality import op8_quality
 from linclass.llm.suffix_dedup import op9_suffix_dedup
+from linclass.llm.text import small_batches
 from linclass.llm.token_counts import op7_section_tokens
 from linclass.llm.token_store import op3_token_files
 from linclass.llm.toxicity import op6_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_decontaminate, op3_token_files, op4_length_buckets, op5_jaccard_join, op6_toxicity, op7_section_tokens, op8_quality, op9_suffix_dedup, op10_pii)}
+
+
+def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(f)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return f(spark, sf_dir)
+
+    return run
+
+
+QUERIES = {f.__name__: _query(f) for f in (op1_fingerprints, op2_decontaminate, op3_token_files, op4_length_buckets, op5_jaccard_join, op6_toxicity, op7_section_tokens, op8_quality, op9_suffix_dedup, op10_pii)}
 
 #: All pairs with a common shingle are counted, links are followed to their components.
 JACCARD_JOIN = r"""

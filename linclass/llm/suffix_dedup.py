@@ -1,7 +1,7 @@
 """Removal of repeated byte strings by blockwise suffix sorting with a difference cover (operator 9).
 
 Every byte that is covered by a string of ``LENGTH`` bytes that also starts in a document with a
-smaller ``doc_id`` goes. Documents are kept as blocks of about half a MB; what is sorted is
+smaller ``doc_id`` goes. Documents are kept as blocks of about 1 MB; what is sorted is
 sorted one bucket at a time, so memory is bounded by the size of a block or a bucket.
 
 1. *Cover sample.* Of each document the positions whose residue modulo 31 is in a difference
@@ -46,7 +46,7 @@ PERIOD = 31
 COVER = (1, 5, 11, 24, 25, 27)
 SAMPLE = LENGTH - PERIOD + 1
 SEED = 16
-BLOCK_BYTES = 1 << 19
+BLOCK_BYTES = 1 << 20
 #: Sampled suffixes in a bucket, about. Blocks times buckets is the number of shuffled rows, so
 #: raise both sizes with the memory of a worker when the corpus grows to many TB.
 BUCKET_ROWS = 1 << 22
@@ -287,40 +287,53 @@ def _piece_rows(batches: Iterator[pa.RecordBatch], bits: int, folder: str) -> It
         yield _answer(rows)
 
 
-def _sorted_suffixes(bucket: int, held: list[tuple[int, bytes]]) -> list[tuple[int, int, bytes]]:
-    """Sort the suffixes of one bucket; answer each block with runs of positions whose 50 bytes
-    occur in a document with a smaller id."""
-    texts, ids, starts, counts, owner = [], [], [], [], []
-    for j, (_, p) in enumerate(held):
+def _suffixes(payloads: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First 8 bytes, hash of all 50, document id and position of every suffix of some pieces."""
+    texts, ids, starts, counts = [], [], [], []
+    for p in payloads:
         n = int(np.frombuffer(p, np.int64, 1)[0])
         ids.append(np.frombuffer(p, np.int64, n, 8))
         starts.append(np.frombuffer(p, np.uint32, n, 8 + 8 * n))
         counts.append(np.frombuffer(p, np.uint8, n, 8 + 12 * n))
         texts.append(np.frombuffer(p, np.uint8, offset=8 + 13 * n))
-        owner.append(np.full(n, j))
-    ids, starts, counts, owner = np.concatenate(ids), np.concatenate(starts).astype(np.int64), np.concatenate(counts).astype(np.int64), np.concatenate(owner)
-    raw = np.concatenate(texts)
-    total = np.cumsum(counts) - counts
-    place = np.cumsum(counts + LENGTH - 1) - counts - LENGTH + 1
-    step = np.arange(int(counts.sum())) - np.repeat(total, counts)
-    at = np.repeat(place, counts) + step
-    pos = np.repeat(starts, counts) + step
-    own = np.repeat(ids, counts)
+    raw, count = np.concatenate(texts), np.concatenate(counts).astype(np.int64)
+    total = np.cumsum(count) - count
+    place = np.cumsum(count + LENGTH - 1) - count - LENGTH + 1
+    step = np.arange(int(count.sum())) - np.repeat(total, count)
+    at = np.repeat(place, count) + step
     begin = np.ndarray((len(raw) - 7,), ">u8", raw, strides=(1,))[at].astype(np.uint64)
-    rank = Sums(raw, BYTE_VALUE).span(at, at + LENGTH)
+    pos = (np.repeat(np.concatenate(starts), count) + step).astype(np.uint32)
+    return begin, Sums(raw, BYTE_VALUE).span(at, at + LENGTH), np.repeat(np.concatenate(ids), count), pos
+
+
+def _sorted_suffixes(bucket: int, held: list[tuple[int, bytes]]) -> list[tuple[int, int, bytes]]:
+    """Sort the suffixes of one bucket; answer each block with runs of positions whose 50 bytes
+    occur in a document with a smaller id."""
+    parts, owners, some, size = [], [], [], 0
+    for j, (_, p) in enumerate(held):
+        some.append(p)
+        size += len(p)
+        n = int(np.frombuffer(p, np.int64, 1)[0])
+        owners.append(int(np.frombuffer(p, np.uint8, n, 8 + 12 * n).sum()))
+        if size > BLOCK_BYTES // 2 or j + 1 == len(held):
+            parts.append(_suffixes(some))
+            some, size = [], 0
+    begin, rank, own, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
+    owner = np.repeat(np.arange(len(held)), owners)
+    del parts
     order = np.lexsort((rank, begin))
     new = np.ones(len(order), bool)
     new[1:] = (begin[order][1:] != begin[order][:-1]) | (rank[order][1:] != rank[order][:-1])
     group = np.cumsum(new) - 1
     least = np.minimum.reduceat(own[order], np.flatnonzero(new))[group]
     gone = order[own[order] > least]
-    block = np.repeat(owner, counts)[gone]
+    block = owner[gone]
     out = []
     by = np.argsort(block, kind="stable")
     edge = np.searchsorted(block[by], np.arange(len(held) + 1))
     for j, (name, _) in enumerate(held):
         if edge[j] < edge[j + 1]:
-            out.append((name, bucket, _runs(np.sort(pos[gone[by[edge[j] : edge[j + 1]]]])).tobytes()))
+            out.append((name, bucket, _runs(np.sort(pos[gone[by[edge[j] : edge[j + 1]]]]).astype(np.int64)).tobytes()))
     return out
 
 

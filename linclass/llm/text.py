@@ -23,6 +23,16 @@ def id_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+#: Bytes of rows that Spark hands to a Python worker at one time.
+BATCH_BYTES = "4m"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound what a task holds of the rows on their way to Python. Whole texts make wide rows,
+    and the default of 64 MB is held several times over (in the JVM, in Arrow, as lists)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """New folder name under the shared folder of ``spark.checkpoint.dir``."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
@@ -86,7 +96,7 @@ _POWERS: dict[str, np.ndarray] = {}
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first ``n`` (at least) powers of an odd base modulo 2**64 and of its inverse."""
     if len(_POWERS.get("up", ())) < n:
-        size = 1 << max(16, int(n).bit_length())
+        size = -(-n // (1 << 16)) << 16
         for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
             table = np.full(size, base, np.uint64)
             table[0] = 1
