@@ -12,32 +12,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linclass.llm import decontaminate, jaccard_join, packing, pii, toxicity
-from linclass.llm.text import scratch_folder
+from linclass.llm.text import scratch_folder, small_batches
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go; it learns from the labels of the given rows."""
+    small_batches(spark)
     return toxicity.drop_toxic(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of the 5-shingle Jaccard join (0.8) the document with the least id stays."""
+    small_batches(spark)
     return jaccard_join.one_of_each(docs)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a benchmark item, or a piece of one, within the edit budget go."""
+    small_batches(spark)
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and the terms that disclose it are replaced; ``n_chars`` follows the text."""
+    small_batches(spark)
     clean = pii.sanitise(docs)
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bucket, batch and slot of every document that is left."""
+    small_batches(spark)
     return packing.length_buckets(docs)
 
 
