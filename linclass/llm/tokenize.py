@@ -18,6 +18,10 @@ import numpy as np
 
 _ID = attrgetter("id")
 
+#: White space other than the plain space and the line break: in ASCII, and beside it.
+_ODD_ASCII = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
+_ODD = _ODD_ASCII + "".join(c for c in map(chr, range(128, 0x3001)) if c.isspace())
+
 #: Pieces in each half (young, old) of the cache of one Python worker.
 CACHE_PIECES = 300_000
 #: Whole texts whose ids are kept for exact copies that come soon after.
@@ -95,6 +99,14 @@ class _Pieces(dict):
             self.clear()
 
 
+def _plain(text: str, special: list[str]) -> bool:
+    """Whether all white space of a text is single spaces and line breaks between other
+    characters, and no special token is in it."""
+    if "  " in text or "\n " in text or " \n" in text or "\n\n" in text or text[0] in " \n" or text[-1] in " \n" or any(s in text for s in special):
+        return False
+    return not any(c in text for c in (_ODD_ASCII if text.isascii() else _ODD))
+
+
 class Encoder:
     """Ids of texts, and the bytes that each token stands for, for a tokenizer file at ``path``."""
 
@@ -104,6 +116,7 @@ class Encoder:
         added = self.tokenizer.get_added_tokens_decoder()
         self.special = [t.content for t in added.values()]
         self.texts: dict[str, bytes] = {}
+        self.line_break = self.cache.marks["\n"]
         #: UTF-8 bytes of each id's text.
         self.n_bytes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
         for token, i in self.tokenizer.get_vocab().items():
@@ -129,12 +142,16 @@ class Encoder:
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        get, out = self.cache.__getitem__, []
+        get, start, out = self.cache.__getitem__, self.cache.start, []
         for t in texts:
             got = self.texts.get(t) if t else b""
             if got is None:
-                cut = self.pieces(t)
-                got = self.cache.start(cut[0]) + b"".join(map(get, cut[1:]))
+                if _plain(t, self.special):
+                    lines = [line.split(" ") for line in t.split("\n")]
+                    got = self.line_break.join([start(c[0]) + b"".join(map(get, c[1:])) for c in lines])
+                else:
+                    cut = self.pieces(t)
+                    got = start(cut[0]) + b"".join(map(get, cut[1:]))
                 self.cache.age()
                 if len(t) < 8192:
                     if len(self.texts) >= CACHE_TEXTS:
