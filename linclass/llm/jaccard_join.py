@@ -222,8 +222,10 @@ def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _tiles(batches: Iterator[pa.RecordBatch], most: int = 1 << 18) -> Iterator[pa.RecordBatch]:
     """Rows come ordered by tile pair and size. Within each, pairs of different components in
-    reach of one another's size whose signatures allow a link."""
+    reach of one another's size whose signatures allow a link. A pair that a task meets again
+    under another shingle is given once."""
     held: pa.Table | None = None
+    given: set[tuple[int, int]] = set()
 
     def compare(t: pa.Table) -> Iterator[pa.RecordBatch]:
         key, n, comp, left, right, tile, token = (t.column(c).to_numpy() for c in ("key", "n", "comp", "left", "right", "tile", "token"))
@@ -254,7 +256,11 @@ def _tiles(batches: Iterator[pa.RecordBatch], most: int = 1 << 18) -> Iterator[p
                     x, y = where[: len(p)][q], where[len(p) :][q]
                     keep[p[q]] = may_link(n[i[p[q]]], n[j[p[q]]], folded[x], folded[y])
             i, j = i[keep], j[keep]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(key[i], key[j])), pa.array(np.maximum(key[i], key[j]))], names=["a", "b"])
+            pairs = set(zip(np.minimum(key[i], key[j]).tolist(), np.maximum(key[i], key[j]).tolist(), strict=True)) - given
+            if len(given) > 500_000:  # only spares repeats
+                given.clear()
+            given.update(pairs)
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.int64()), pa.array([y for _, y in pairs], pa.int64())], names=["a", "b"])
             a = b
 
     for batch in batches:
