@@ -323,7 +323,7 @@ def join_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         table = np.zeros(SPOTS // 32, np.uint32)
         table[words.column("word").to_numpy()] = words.column("bits").to_numpy()
         spots = spark.sparkContext.broadcast(np.packbits(np.unpackbits(table.view(np.uint8), bitorder="little")))
-        built = rows.withColumn("spot", _spot()).mapInArrow(lambda b: _arrays(b, np.unpackbits(spots.value).astype(bool)), "doc_id long, uid long, key long, shingles array<long>")
+        built = rows.withColumn("spot", _spot()).mapInArrow(lambda b: _arrays(b, np.unpackbits(spots.value).view(bool)), "doc_id long, uid long, key long, shingles array<long>")
         arrays = built.alias("r").join(wanted.alias("w"), F.expr("r.key = w.key and r.uid = w.uid and r.doc_id <=> w.doc_id")).select("r.key", "r.shingles").dropDuplicates(["key"])
         arrays = staged(arrays, folder, f"arrays-{name}")
         x, y = (arrays.select(F.col("key").alias(s), F.col("shingles").alias(f"of_{s}")) for s in ("a", "b"))

@@ -36,6 +36,7 @@ def _lengths(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[pa.R
     for rows, _, _ in slices(batches):
         n = [len(g) // 4 + 1 for g in coder.ids([t or "" for t in rows.column("text").to_pylist()])]
         yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(n, pa.int64())], names=["doc_id", "n_tokens"])
+    coder.trim()
 
 
 def token_lengths(docs: DataFrame, tokenizer: str) -> DataFrame:

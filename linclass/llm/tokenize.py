@@ -140,6 +140,11 @@ class Encoder:
                 out[-1] = f"{last} {p}"
         return out
 
+    def trim(self) -> None:
+        """Keep only the younger half of the cache while the worker does other work."""
+        self.cache.old = {}
+        self.texts.clear()
+
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         get, start, out = self.cache.__getitem__, self.cache.start, []
