@@ -2,16 +2,18 @@
 
 Base spans (e-mail, IPv4 address, payment card, telephone number) come from fixed patterns.
 Each found value is a protected entity. Words near its mentions may reveal it: over the whole
-corpus, with n texts, n(e) of them with entity e, n(t) with term t and n(t, e) distinct
-contexts that hold both, the share of e's information that t discloses is
+corpus, with n texts, n(e) of them with entity e, n(t) with term t and n(t, e) with t near a
+mention of e, the share of e's information that t discloses is
 
     PMI(t; e) / IC(e) = log2(n(t, e) * n / (n(t) * n(e))) / log2(n / n(e)).
 
-Terms at or above ``GENERALISE`` in at least ``SUPPORT`` contexts become spans as well, kind
+Terms at or above ``GENERALISE`` in at least ``SUPPORT`` texts become spans as well, kind
 ``term``: they are generalised to a placeholder, and removed at or above ``REMOVE``.
 
-Everything is keyed by a hash of the text, so repeated rows and null or repeated ids cannot
-change a result; the contexts of one text are gathered once however often it is copied.
+All four numbers count distinct texts, by a hash of the text, so repeated rows and null or
+repeated ids cannot change a result. A table of fixed size marks the texts that several rows
+may have; only those are brought together to be counted once, all others are counted where
+they are read. The marks change cost, never results.
 
 Defined cases: null text is empty (no spans); an empty table gives an empty result; other
 columns are ignored by the finder and carried unchanged by :func:`sanitise`.
@@ -44,8 +46,12 @@ DIGIT = re.compile(r"[0-9]")
 
 #: Words on either side of a mention that are its context.
 WINDOW = 8
-#: Least number of distinct contexts, and the disclosure shares of the two actions.
+#: Least number of texts with both, and the disclosure shares of the two actions.
 SUPPORT, GENERALISE, REMOVE = 3, 0.8, 0.95
+#: Marks in a table that thins a scan; the more keys share one, the more rows pass in vain.
+SPOTS = 1 << 24
+#: Keys that a task remembers to spare repeats.
+SEEN = 1 << 20
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -116,37 +122,82 @@ def words(text: str, start: int, end: int) -> list[tuple[str, int, int]]:
 
 
 def contexts(text: str, spans: list[tuple[int, int, int]], window: int) -> list[dict]:
-    """For each mention: its entity, a hash of its context, and the context's terms in place."""
+    """For each mention: its entity and the terms of its context in place."""
     out = []
     for k, a, b in spans:
         near = words(text, max(0, a - 32 * window), a)[-window:] + words(text, b, min(len(text), b + 32 * window))[:window]
         near = [w for w in near if not any(x < w[2] and w[1] < y for _, x, y in spans)]
-        seen = _long_hash(" ".join(w[0] for w in near))
-        entity = _long_hash(f"{k}:{text[a:b]}")
-        out += [{"entity": entity, "context": seen, "term": term_hash(w), "start": x, "end": y} for w, x, y in near]
+        entity = entity_hash(text, k, a, b)
+        out += [{"entity": entity, "term": term_hash(w), "start": x, "end": y} for w, x, y in near]
     return out
 
 
+def entity_hash(text: str, kind: int, start: int, end: int) -> int:
+    return _long_hash(f"{kind}:{text[start:end]}")
+
+
 def term_hash(word: str) -> int:
     """The corpus counts hash words as bytes; this is the same value for one word."""
     raw = np.frombuffer(word.encode(), np.uint8)
     return int(Sums(raw).span(np.array([0]), np.array([len(raw)])).view(np.int64)[0])
 
 
-FOUND = "doc_id long, text_key long, base array<struct<kind:int,start:int,end:int>>, contexts array<struct<entity:long,context:long,term:long,start:int,end:int>>"
+FOUND = "doc_id long, text_key long, base array<struct<kind:int,start:int,end:int>>, entities array<long>, contexts array<struct<entity:long,term:long,start:int,end:int>>"
 _BASE = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
-_CONTEXTS = pa.list_(pa.struct([("entity", pa.int64()), ("context", pa.int64()), ("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32())]))
+_CONTEXTS = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32())]))
+
+
+def text_keys(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Hash of each text (a null one counts as empty)."""
+    data = memoryview(raw)
+    return np.array([_long_hash(data[a:b]) for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)], np.int64)
+
+
+def spot_table(keys: DataFrame) -> np.ndarray:
+    """A bit for each spot that a key (the only column) falls on, as bytes."""
+    spot = F.col(keys.columns[0]).bitwiseAND(F.lit(SPOTS - 1))
+    marked = keys.select(spot.alias("spot")).select(F.expr("spot div 32").alias("word"), F.expr("shiftleft(1L, cast(spot % 32 as int))").alias("bit"))
+    words = marked.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most SPOTS / 32 rows
+    table = np.zeros(SPOTS // 32, np.uint32)
+    table[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return table.view(np.uint8)
+
+
+def on_spot(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    spot = keys & (SPOTS - 1)
+    return (table[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1 == 1
 
 
 def _find(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    for rows, _, _ in slices(batches):
-        keys, base, near = [], [], []
+    for rows, raw, off in slices(batches):
+        base, entities, near = [], [], []
         for text in rows.column("text").to_pylist():
             spans = base_spans(text or "")
-            keys.append(_long_hash(text or "") if spans else None)
             base.append([{"kind": k, "start": a, "end": b} for k, a, b in spans])
+            entities.append(list({entity_hash(text, *s) for s in spans}) if spans else None)
             near.append(contexts(text, spans, window) if spans else None)
-        yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(keys, pa.int64()), pa.array(base, _BASE), pa.array(near, _CONTEXTS)], names=["doc_id", "text_key", "base", "contexts"])
+        columns = [rows.column("doc_id"), pa.array(text_keys(raw, off)), pa.array(base, _BASE), pa.array(entities, pa.list_(pa.int64())), pa.array(near, _CONTEXTS)]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "base", "entities", "contexts"])
+
+
+def _single(batches: Iterator[pa.RecordBatch], copied: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows whose text no other row has."""
+    for rows, raw, off in slices(batches):
+        yield rows.select(["text"]).filter(pa.array(~on_spot(copied, text_keys(raw, off))))
+
+
+def _copied(batches: Iterator[pa.RecordBatch], copied: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Key and text of the others, once a task as far as it remembers them."""
+    seen: set[int] = set()
+    for rows, raw, off in slices(batches):
+        key = text_keys(raw, off)
+        keep = on_spot(copied, key)
+        for k in np.flatnonzero(keep).tolist():
+            x = int(key[k])
+            keep[k] = x not in seen
+            if len(seen) < SEEN:
+                seen.add(x)
+        yield pa.RecordBatch.from_arrays([pa.array(key), rows.column("text")], names=["text_key", "text"]).filter(pa.array(keep))
 
 
 def _term_texts(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
@@ -179,11 +230,16 @@ def find(docs: DataFrame, window: int = WINDOW, support: int = SUPPORT, share: f
     spark = docs.sparkSession
     rows = id_text(docs)
     found = staged(rows.mapInArrow(lambda b: _find(b, window), FOUND), scratch_folder(spark, "op10"), "found")
-    n = max(2, found.count())
-    near = found.where("size(contexts) > 0").select("text_key", "contexts").dropDuplicates(["text_key"]).select("text_key", F.inline("contexts"))
-    entity_texts = found.where("text_key is not null").select("text_key", F.explode(F.array_distinct("contexts.entity")).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
-    pairs = near.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= support)
-    texts = rows.mapInArrow(_term_texts, "term long, texts long").groupBy("term").agg(F.sum("texts").alias("n_t"))
+    keys = found.groupBy("text_key").agg(F.count("*").alias("rows"))
+    n = max(2, keys.count())
+    once = found.where("size(entities) > 0").dropDuplicates(["text_key"])
+    near = once.select("text_key", F.inline("contexts"))
+    entity_texts = once.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
+    pairs = near.select("text_key", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= support)
+    copied = spark.sparkContext.broadcast(spot_table(keys.where("rows > 1").select("text_key")))
+    single = rows.mapInArrow(lambda b: _term_texts(_single(b, copied.value)), "term long, texts long")
+    several = rows.mapInArrow(lambda b: _copied(b, copied.value), "text_key long, text string").dropDuplicates(["text_key"]).mapInArrow(_term_texts, "term long, texts long")
+    texts = single.unionByName(several).groupBy("term").agg(F.sum("texts").alias("n_t"))
     told = F.log2(F.col("n_te") * n / (F.col("n_t") * F.col("n_e"))) / F.log2(n / F.col("n_e"))
     # a value in every second text or more carries no information that could be disclosed
     revealing = pairs.join(entity_texts, "entity").where(F.col("n_e") * 2 < n).join(texts, "term").select("entity", "term", F.least(F.lit(1.0), told).alias("share")).where(F.col("share") >= share)
@@ -205,9 +261,9 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, terms = find(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    # rows without findings have no key: they need no join
-    some = found.where("text_key is not null").select("doc_id", "text_key", "base").join(terms, "text_key", "left").select("doc_id", "base", "terms")
-    none = found.where("text_key is null").select("doc_id", "base", F.lit(None).cast("array<struct<start:int,end:int,share:double>>").alias("terms"))
+    # rows without findings need no join
+    some = found.where("size(base) > 0").select("doc_id", "text_key", "base").join(terms, "text_key", "left").select("doc_id", "base", "terms")
+    none = found.where("size(base) = 0").select("doc_id", "base", F.lit(None).cast("array<struct<start:int,end:int,share:double>>").alias("terms"))
     return some.unionByName(none).mapInArrow(_digest, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
 
 

@@ -94,3 +94,17 @@ def test_overlapping_spans_and_empty_tables(spark):
     assert pii.redact("abc", []) == "abc" and pii.redact("abc", [(0, 3, "")]) == ""
     found, terms = pii.find(table(spark, []))
     assert found.count() == 0 and terms.count() == 0 and pii.sanitise(table(spark, [])).count() == 0
+
+
+def revealed(spark, rows) -> dict:
+    _, terms = pii.find(table(spark, rows).repartition(3))
+    texts = {pii._long_hash(t or ""): t for _, t in rows}
+    return {texts[r.text_key]: {(texts[r.text_key][t.start : t.end], round(t.share, 9)) for t in r.terms} for r in terms.collect()}
+
+
+def test_exact_copies_leave_the_terms_as_they_are(spark):
+    rows = corpus() + awkward_rows()
+    want = revealed(spark, rows)
+    assert len(want) == 5
+    copies = [(1000 + k, rows[0][1]) for k in range(300)] + [(None, rows[70 - 1][1])] * 40 + [(7, rows[20][1])] * 30
+    assert revealed(spark, rows + copies) == want
