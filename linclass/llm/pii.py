@@ -7,8 +7,12 @@ mention of e, the share of e's information that t discloses is
 
     PMI(t; e) / IC(e) = log2(n(t, e) * n / (n(t) * n(e))) / log2(n / n(e)).
 
-Terms at or above ``GENERALISE`` in at least ``SUPPORT`` texts become spans as well, kind
-``term``: they are generalised to a placeholder, and removed at or above ``REMOVE``.
+Small counts are no sure sign, so the share is also taken with the lower confidence bound of
+n(t, e) / n(t) (Wilson, one-sided, ``QUANTILE``) instead of that ratio. Terms whose bounded share
+is at or above ``GENERALISE`` become spans as well, kind ``term``: they are generalised to a
+placeholder, and removed if the share itself is at or above ``REMOVE``. Every entity is judged by
+this, also one that is met once: what a term in a single text must outweigh is the bound of 1 of
+1, which it does if n / n(e) is some 700 or more.
 
 All four numbers count distinct texts, by a hash of the text, so repeated rows and null or
 repeated ids cannot change a result. A table of fixed size marks the texts that several rows
@@ -46,8 +50,10 @@ DIGIT = re.compile(r"[0-9]")
 
 #: Words on either side of a mention that are its context.
 WINDOW = 8
-#: Least number of texts with both, and the disclosure shares of the two actions.
-SUPPORT, GENERALISE, REMOVE = 3, 0.8, 0.95
+#: Disclosure shares of the two actions, and the normal quantile (95 %) of the confidence bound.
+GENERALISE, REMOVE, QUANTILE = 0.8, 0.95, 1.645
+#: A term in more than a share 1 / COMMON of all texts is judged without a shuffle.
+COMMON = 256
 #: Marks in a table that thins a scan; the more keys share one, the more rows pass in vain.
 SPOTS = 1 << 24
 #: Keys that a task remembers to spare repeats.
@@ -224,25 +230,38 @@ def _term_texts(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Itera
         yield merged()
 
 
-def find(docs: DataFrame, window: int = WINDOW, support: int = SUPPORT, share: float = GENERALISE) -> tuple[DataFrame, DataFrame]:
+def least_ratio(part: F.Column, whole: F.Column) -> F.Column:
+    """Lower confidence bound of the ratio of two counts (Wilson's interval)."""
+    z = QUANTILE * QUANTILE
+    return (part + z / 2 - QUANTILE * F.sqrt(part * (whole - part) / whole + z / 4)) / (whole + z)
+
+
+def find(docs: DataFrame, window: int = WINDOW, share: float = GENERALISE) -> tuple[DataFrame, DataFrame]:
     """All findings: one row of base spans for each document, and the revealing terms of each
     text (``text_key``, ``terms``: array of start, end and disclosure share)."""
     spark = docs.sparkSession
     rows = id_text(docs)
-    found = staged(rows.mapInArrow(lambda b: _find(b, window), FOUND), scratch_folder(spark, "op10"), "found")
+    folder = scratch_folder(spark, "op10")
+    found = staged(rows.mapInArrow(lambda b: _find(b, window), FOUND), folder, "found")
     keys = found.groupBy("text_key").agg(F.count("*").alias("rows"))
     n = max(2, keys.count())
     once = found.where("size(entities) > 0").dropDuplicates(["text_key"])
     near = once.select("text_key", F.inline("contexts"))
     entity_texts = once.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
-    pairs = near.select("text_key", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= support)
+    pairs = near.select("text_key", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_te"))
     copied = spark.sparkContext.broadcast(spot_table(keys.where("rows > 1").select("text_key")))
     single = rows.mapInArrow(lambda b: _term_texts(_single(b, copied.value)), "term long, texts long")
     several = rows.mapInArrow(lambda b: _copied(b, copied.value), "text_key long, text string").dropDuplicates(["text_key"]).mapInArrow(_term_texts, "term long, texts long")
-    texts = single.unionByName(several).groupBy("term").agg(F.sum("texts").alias("n_t"))
-    told = F.log2(F.col("n_te") * n / (F.col("n_t") * F.col("n_e"))) / F.log2(n / F.col("n_e"))
+    texts = staged(single.unionByName(several).groupBy("term").agg(F.sum("texts").alias("n_t")), folder, "texts")
+    information = F.log2(n / F.col("n_e"))
+    told = lambda ratio: F.log2(ratio * n / F.col("n_e")) / information
+    enough = lambda n_t: told(least_ratio(F.col("n_te"), F.col(n_t))) >= share
     # a value in every second text or more carries no information that could be disclosed
-    revealing = pairs.join(entity_texts, "entity").where(F.col("n_e") * 2 < n).join(texts, "term").select("entity", "term", F.least(F.lit(1.0), told).alias("share")).where(F.col("share") >= share)
+    judged = pairs.join(entity_texts, "entity").where(F.col("n_e") * 2 < n)
+    # words like "the" stand near every entity; there are few such terms, so they are judged here
+    common = texts.where(F.col("n_t") * COMMON > n).select("term", F.col("n_t").alias("often"))
+    judged = judged.join(F.broadcast(common), "term", "left").where(F.col("often").isNull() | enough("often"))
+    revealing = judged.join(texts, "term").where(enough("n_t")).select("entity", "term", F.least(F.lit(1.0), told(F.col("n_te") / F.col("n_t"))).alias("share"))
     terms = near.join(revealing, ["entity", "term"]).groupBy("text_key", "start", "end").agg(F.max("share").alias("share")).groupBy("text_key").agg(F.sort_array(F.collect_list(F.struct("start", "end", "share"))).alias("terms"))
     return found, terms
 

@@ -9,6 +9,7 @@ from conftest import SF01
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_cases import awkward_rows, sentence, table
+from pyspark.sql import functions as F
 
 from linclass.llm import pii
 
@@ -108,3 +109,24 @@ def test_exact_copies_leave_the_terms_as_they_are(spark):
     assert len(want) == 5
     copies = [(1000 + k, rows[0][1]) for k in range(300)] + [(None, rows[70 - 1][1])] * 40 + [(7, rows[20][1])] * 30
     assert revealed(spark, rows + copies) == want
+
+
+def wide(*texts: str) -> list[tuple]:
+    """Some texts among 3,000 others that hold common words and a word of their own."""
+    return list(enumerate([*texts, *[f"{sentence(k, 12)} own{k}" for k in range(3000)]]))
+
+
+def test_entities_of_one_and_two_texts_have_terms(spark):
+    one = f"{sentence(1, 4)} zanzibar 10.1.2.3 {sentence(2, 6)} amber"
+    two = [f"{sentence(k, 4)} quetzal li@x.org {sentence(k + 9, 6)}" for k in (3, 4)]
+    # obelisk: near one mention, and in enough other texts to be no sign of it
+    none = [f"{sentence(5, 4)} obelisk wu@x.org"] + [f"{sentence(k, 9)} obelisk" for k in range(20)]
+    got = revealed(spark, wide(one, *two, *none))
+    assert got == {one: {("zanzibar", 1.0)}, two[0]: {("quetzal", 1.0)}, two[1]: {("quetzal", 1.0)}}
+
+
+def test_confidence_bound(spark):
+    got = spark.range(1).select(*[pii.least_ratio(F.lit(a), F.lit(b)) for a, b in ((1, 1), (1, 2), (5, 5), (90, 100))]).first()
+    z = 1.645
+    for low, (a, b) in zip(got, ((1, 1), (1, 2), (5, 5), (90, 100)), strict=True):
+        assert 0 < low < a / b and abs((a / b - low) ** 2 - z * z * low * (1 - low) / b) < 1e-12  # what Wilson's bound solves
