@@ -10,7 +10,8 @@ mention of e, the share of e's information that t discloses is
 Small counts are no sure sign, so the share is also taken with the lower confidence bound of
 n(t, e) / n(t) (Wilson, one-sided, ``QUANTILE``) instead of that ratio. Terms whose bounded share
 is at or above ``GENERALISE`` become spans as well, kind ``term``: they are generalised to a
-placeholder, and removed if the share itself is at or above ``REMOVE``. Every entity is judged by
+placeholder, and removed if the share itself is at or above ``REMOVE``, wherever they stand in any
+text, near the entity or not. Every entity is judged by
 this, also one that is met once: what a term in a single text must outweigh is the bound of 1 of
 1, which it does if n / n(e) is some 700 or more.
 
@@ -48,12 +49,14 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 
-#: Words on either side of a mention that are its context.
+#: Terms on either side of a mention that are its context.
 WINDOW = 8
 #: Disclosure shares of the two actions, and the normal quantile (95 %) of the confidence bound.
 GENERALISE, REMOVE, QUANTILE = 0.8, 0.95, 1.645
 #: A term in more than a share 1 / COMMON of all texts is judged without a shuffle.
 COMMON = 256
+#: Parts into which the places of one term are dealt.
+PARTS = 16
 #: Marks in a table that thins a scan; the more keys share one, the more rows pass in vain.
 SPOTS = 1 << 24
 #: Keys that a task remembers to spare repeats.
@@ -108,49 +111,53 @@ def _long_hash(data: str | bytes) -> int:
     return int.from_bytes(hashlib.blake2b(data.encode() if isinstance(data, str) else data, digest_size=8).digest(), "little", signed=True)
 
 
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-MARKS = "".join(chr(i) for i in range(33, 127) if not chr(i).isalnum())
-
-
-def words(text: str, start: int, end: int) -> list[tuple[str, int, int]]:
-    """Whole words of a stretch of text without the punctuation at their ends (at most four
-    marks a side, as where the corpus is counted), three bytes and more, with their places."""
-    out = []
-    for m in WORD.finditer(text, start, end):
-        a, b = m.span()
-        if a == start > 0 and not text[a - 1].isspace() or b == end < len(text) and not text[b].isspace():
-            continue
-        a += min(4, len(m[0]) - len(m[0].lstrip(MARKS)))
-        b -= min(4, len(m[0]) - len(m[0].rstrip(MARKS)))
-        if a < b and len(text[a:b].encode()) >= 3:
-            out.append((text[a:b], a, b))
-    return out
+def term_places(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text number, start and end (code points) and hash of every term: words of three bytes and
+    more without the punctuation at their ends."""
+    start, end, doc = word_spans(raw, off)
+    if not len(start):
+        return doc, start, end, np.zeros(0, np.int64)
+    start, end = trimmed(raw, start, end)
+    keep = end - start >= 3
+    start, end, doc = start[keep], end[keep], doc[keep]
+    term = Sums(raw).span(start, end).view(np.int64)
+    at = np.zeros(len(raw) + 1, np.int64)
+    np.cumsum((raw & 0xC0) != 0x80, out=at[1:])
+    first = at[off[doc]]
+    return doc, at[start] - first, at[end] - first, term
+
+
+def covered(spans: list[tuple[int, int, int]], start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Whether places of a text overlap any of its base spans."""
+    if not spans:
+        return np.zeros(len(start), bool)
+    low, high = np.array(sorted((a, b) for _, a, b in spans)).T
+    reach = np.maximum.accumulate(high)
+    at = np.searchsorted(low, end) - 1  # the last span that starts before the end
+    return (at >= 0) & (reach[np.maximum(at, 0)] > start)
 
 
 def contexts(text: str, spans: list[tuple[int, int, int]], window: int) -> list[dict]:
-    """For each mention: its entity and the terms of its context in place."""
-    out = []
+    """Each entity of the text with each term of its contexts: ``window`` terms on either side of
+    a mention, however long, without those inside another mention."""
+    raw = np.frombuffer(text.encode(), np.uint8)
+    _, start, end, term = term_places(raw, np.array([0, len(raw)]))
+    free = ~covered(spans, start, end)
+    out = set()
     for k, a, b in spans:
-        near = words(text, max(0, a - 32 * window), a)[-window:] + words(text, b, min(len(text), b + 32 * window))[:window]
-        near = [w for w in near if not any(x < w[2] and w[1] < y for _, x, y in spans)]
-        entity = entity_hash(text, k, a, b)
-        out += [{"entity": entity, "term": term_hash(w), "start": x, "end": y} for w, x, y in near]
-    return out
+        entity, left, right = entity_hash(text, k, a, b), int(np.searchsorted(end, a, "right")), int(np.searchsorted(start, b))
+        for part in (slice(max(0, left - window), left), slice(right, right + window)):
+            out.update((entity, t) for t in term[part][free[part]].tolist())
+    return [{"entity": e, "term": t} for e, t in out]
 
 
 def entity_hash(text: str, kind: int, start: int, end: int) -> int:
     return _long_hash(f"{kind}:{text[start:end]}")
 
 
-def term_hash(word: str) -> int:
-    """The corpus counts hash words as bytes; this is the same value for one word."""
-    raw = np.frombuffer(word.encode(), np.uint8)
-    return int(Sums(raw).span(np.array([0]), np.array([len(raw)])).view(np.int64)[0])
-
-
-FOUND = "doc_id long, text_key long, base array<struct<kind:int,start:int,end:int>>, entities array<long>, contexts array<struct<entity:long,term:long,start:int,end:int>>"
+FOUND = "doc_id long, text_key long, base array<struct<kind:int,start:int,end:int>>, entities array<long>, contexts array<struct<entity:long,term:long>>"
 _BASE = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
-_CONTEXTS = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32())]))
+_CONTEXTS = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64())]))
 
 
 def text_keys(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -230,6 +237,26 @@ def _term_texts(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Itera
         yield merged()
 
 
+def _places(batches: Iterator[pa.RecordBatch], chosen: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Places outside base spans of the terms whose spot is marked, of every text; a text once a
+    task as far as it remembers them."""
+    seen: set[int] = set()
+    for rows, raw, off in slices(batches):
+        doc, start, end, term = term_places(raw, off)
+        hit = on_spot(chosen, term)
+        doc, start, end, term = doc[hit], start[hit], end[hit], term[hit]
+        keep, key = np.ones(len(doc), bool), np.zeros(len(doc), np.int64)
+        which, first, size = np.unique(doc, return_index=True, return_counts=True)
+        for k, a, b in zip(which.tolist(), first.tolist(), (first + size).tolist(), strict=True):
+            x = int(text_keys(raw, off[k : k + 2])[0])
+            key[a:b] = x
+            keep[a:b] = False if x in seen else ~covered(base_spans(rows.column("text")[k].as_py()), start[a:b], end[a:b])
+            if len(seen) < SEEN:
+                seen.add(x)
+        columns = [pa.array(key), pa.array(term), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))]
+        yield pa.RecordBatch.from_arrays(columns, names=["text_key", "term", "start", "end"]).filter(pa.array(keep))
+
+
 def least_ratio(part: F.Column, whole: F.Column) -> F.Column:
     """Lower confidence bound of the ratio of two counts (Wilson's interval)."""
     z = QUANTILE * QUANTILE
@@ -246,9 +273,8 @@ def find(docs: DataFrame, window: int = WINDOW, share: float = GENERALISE) -> tu
     keys = found.groupBy("text_key").agg(F.count("*").alias("rows"))
     n = max(2, keys.count())
     once = found.where("size(entities) > 0").dropDuplicates(["text_key"])
-    near = once.select("text_key", F.inline("contexts"))
     entity_texts = once.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
-    pairs = near.select("text_key", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_te"))
+    pairs = once.select(F.inline("contexts")).groupBy("entity", "term").agg(F.count("*").alias("n_te"))
     copied = spark.sparkContext.broadcast(spot_table(keys.where("rows > 1").select("text_key")))
     single = rows.mapInArrow(lambda b: _term_texts(_single(b, copied.value)), "term long, texts long")
     several = rows.mapInArrow(lambda b: _copied(b, copied.value), "text_key long, text string").dropDuplicates(["text_key"]).mapInArrow(_term_texts, "term long, texts long")
@@ -261,9 +287,15 @@ def find(docs: DataFrame, window: int = WINDOW, share: float = GENERALISE) -> tu
     # words like "the" stand near every entity; there are few such terms, so they are judged here
     common = texts.where(F.col("n_t") * COMMON > n).select("term", F.col("n_t").alias("often"))
     judged = judged.join(F.broadcast(common), "term", "left").where(F.col("often").isNull() | enough("often"))
-    revealing = judged.join(texts, "term").where(enough("n_t")).select("entity", "term", F.least(F.lit(1.0), told(F.col("n_te") / F.col("n_t"))).alias("share"))
-    terms = near.join(revealing, ["entity", "term"]).groupBy("text_key", "start", "end").agg(F.max("share").alias("share")).groupBy("text_key").agg(F.sort_array(F.collect_list(F.struct("start", "end", "share"))).alias("terms"))
-    return found, terms
+    revealing = judged.join(texts, "term").where(enough("n_t")).select("term", F.least(F.lit(1.0), told(F.col("n_te") / F.col("n_t"))).alias("share"))
+    chosen = staged(revealing.groupBy("term").agg(F.max("share").alias("share")), folder, "chosen")
+    # the decision holds for the term wherever it stands; a term of many texts has them in several parts
+    spots = spark.sparkContext.broadcast(spot_table(chosen.select("term")))
+    places = rows.mapInArrow(lambda b: _places(b, spots.value), "text_key long, term long, start int, end int").withColumn("part", F.pmod("text_key", F.lit(PARTS)))
+    parts = chosen.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))))
+    terms = places.join(parts, ["term", "part"]).groupBy("text_key", "start", "end").agg(F.max("share").alias("share"))
+    terms = terms.groupBy("text_key").agg(F.sort_array(F.collect_list(F.struct("start", "end", "share"))).alias("terms"))
+    return found, staged(terms, folder, "terms")
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,10 +312,7 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, terms = find(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    # rows without findings need no join
-    some = found.where("size(base) > 0").select("doc_id", "text_key", "base").join(terms, "text_key", "left").select("doc_id", "base", "terms")
-    none = found.where("size(base) = 0").select("doc_id", "base", F.lit(None).cast("array<struct<start:int,end:int,share:double>>").alias("terms"))
-    return some.unionByName(none).mapInArrow(_digest, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    return found.select("doc_id", "text_key", "base").join(terms, "text_key", "left").select("doc_id", "base", "terms").mapInArrow(_digest, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
 
 
 def redact(text: str, spans: list[tuple[int, int, str]]) -> str:
@@ -304,13 +333,13 @@ def sanitise(docs: DataFrame) -> DataFrame:
     """The table with its texts sanitised: base spans become ``[EMAIL]`` and so on, revealing
     terms ``[TERM]`` or nothing. All columns stay; only ``text`` changes."""
     _, terms = find(docs)
-    schema = docs.schema
+    schema, spots = docs.schema, docs.sparkSession.sparkContext.broadcast(spot_table(terms.select("text_key")))
     key, keyed = "__pii_key", "__pii_terms"
 
     def with_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, _, _ in slices(batches):
-            texts = rows.column("text").to_pylist()
-            yield rows.append_column(key, pa.array([_long_hash(t) if t and base_spans(t) else None for t in texts], pa.int64()))
+        for rows, raw, off in slices(batches):
+            own = text_keys(raw, off)
+            yield rows.append_column(key, pa.array(own, mask=~on_spot(spots.value, own)))
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, _, _ in slices(batches):
@@ -323,7 +352,7 @@ def sanitise(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema])
 
     marked = docs.mapInArrow(with_key, StructType([*schema.fields, StructField(key, LongType())]))
-    plain = marked.where(F.col(key).isNull()).drop(key)
+    # texts without terms need no join
+    plain = marked.where(F.col(key).isNull()).drop(key).withColumn(keyed, F.lit(None).cast(terms.schema["terms"].dataType))
     told = marked.where(F.col(key).isNotNull()).join(terms.select(F.col("text_key").alias(key), F.col("terms").alias(keyed)), key, "left").drop(key)
-    return plain.unionByName(told.mapInArrow(rewrite, schema))
-
+    return plain.unionByName(told).mapInArrow(rewrite, schema)

@@ -130,3 +130,22 @@ def test_confidence_bound(spark):
     z = 1.645
     for low, (a, b) in zip(got, ((1, 1), (1, 2), (5, 5), (90, 100)), strict=True):
         assert 0 < low < a / b and abs((a / b - low) ** 2 - z * z * low * (1 - low) / b) < 1e-12  # what Wilson's bound solves
+
+
+def test_terms_go_wherever_they_stand(spark):
+    url = "https://x.example/" + "a" * 90
+    near = [f"Zanzibar first.\n\n{sentence(k, 30)}\né {url} zanzibar {url} {url} {url} {url} jo@x.org" for k in range(5)]
+    plain_text = f"日本 {sentence(50, 9)} (zanzibar), zanzibars zan zibar"
+    inside = f"{sentence(51, 9)} zanzibar@x.org"
+    docs = wide(*near, plain_text, inside)
+    got = revealed(spark, docs)
+    assert [{t for t, _ in got[x]} for x in near] == [{"Zanzibar", "zanzibar", url}] * 5
+    assert {t for t, _ in got[plain_text]} == {"zanzibar"}
+    clean = {r.text for r in pii.sanitise(table(spark, [*docs, *docs[:6]])).collect()}
+    assert not any(re.search(r"\bzanzibar\b", t, re.IGNORECASE) for t in clean)
+    assert any("zanzibars zan zibar" in t for t in clean) and f"{sentence(51, 9)} [EMAIL]" in clean
+
+
+def test_many_mentions_take_linear_time():
+    text = "a@b.cd 1.2.3.4 " * 40_000
+    assert pii.contexts(text, pii.base_spans(text), 8) == []
