@@ -13,9 +13,10 @@ sorted one bucket at a time, so memory is bounded by the size of a block or a bu
    shared rank ties with no other over 50 bytes, and needs no comparison. The others are dealt
    to buckets by the least 16-byte hash in their 50 bytes (neighbours share it, so they travel
    as one piece of text), and each bucket is sorted by the suffixes' first 8 bytes, ties by a
-   64-bit hash of all 50. Repeats inside a block are settled before that: a very frequent
-   string leaves a block at most as often as the block's first document with it has it.
-3. *Removal.* Each block reads the positions settled for it and cuts.
+   64-bit hash of all 50. Repeats inside a block are settled before that: a string leaves a
+   block once, from its first place in the block's first document with it, however frequent.
+3. *Removal.* Each block reads the positions settled for it, adds the other places of those
+   strings in the first document, which share their fate, and cuts.
 
 Between the steps every block's answers are a small file in the shared folder, named after the
 block and written by rename: a task that runs again writes the same file again.
@@ -260,10 +261,14 @@ def _piece_rows(batches: Iterator[pa.RecordBatch], bits: int, folder: str) -> It
         new = np.ones(len(h), bool)
         new[1:] = h[order][1:] != h[order][:-1]
         own = b.ids[b.document(at[order])]
-        least = own[np.flatnonzero(new)][np.cumsum(new) - 1]
+        head = np.flatnonzero(new)[np.cumsum(new) - 1]  # the first place in the document with the least id
+        least = own[head]
         write_file(files, f"{root}/local/{b.block}", _runs(np.sort(at[order[own > least]])).tobytes())
-        at = np.sort(at[order[own == least]])
-        del order, new, own, least
+        other = np.flatnonzero(~new & (own == least))
+        if len(other):
+            write_file(files, f"{root}/same/{b.block}", np.stack([at[order[head[other]]], at[order[other]]]).astype(np.uint32).tobytes())
+        at = np.sort(at[order[new]])
+        del order, new, own, head, least, other
         seeds = np.arange(len(b.raw) - SEED + 1)
         h = mix64(b.words(seeds, 8) ^ mix64(b.words(seeds, 8, 8) + np.uint64(3)))
         least = _sliding_least(h, LENGTH - SEED + 1)[at]
@@ -341,6 +346,13 @@ def _cut(batches: Iterator[pa.RecordBatch], folder: str, keep_text: bool) -> Ite
     files, root = file_system(folder)
     for b in Block.of(batches):
         runs = [np.frombuffer(p, np.int64).reshape(-1, 2) for _, p in _answers(files, f"{root}/runs", b.block)]
+        same = read_file(files, f"{root}/same/{b.block}") if runs else None
+        if same is not None:
+            first, other = np.frombuffer(same, np.uint32).reshape(2, -1)
+            depth, r = np.zeros(len(b.raw) + 1, np.int32), np.concatenate(runs)
+            np.add.at(depth, r[:, 0], 1)
+            np.add.at(depth, r[:, 0] + r[:, 1], -1)
+            runs.append(_runs(np.sort(other[np.cumsum(depth)[first] > 0]).astype(np.int64)))
         local = read_file(files, f"{root}/local/{b.block}")
         if local is not None:
             runs.append(np.frombuffer(local, np.int64).reshape(-1, 2))

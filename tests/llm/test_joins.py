@@ -6,6 +6,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF001
 from llm_cases import awkward_rows, components, ordered, sentence, shingles, table
@@ -136,3 +137,37 @@ def test_op9_digest(spark):
 
 def test_every_difference_is_covered():
     assert {(a - b) % s.PERIOD for a in s.COVER for b in s.COVER} == set(range(s.PERIOD))
+
+
+def test_a_string_leaves_a_block_once(spark):
+    line = sentence(7, 14) + ".\n"
+    parts = [(line * 400 + sentence(8, 9)).encode(), line.encode()]
+    block = s.Block(5, np.array([1, 2]), np.array([0, len(parts[0]), len(parts[0] + parts[1])]), np.frombuffer(b"".join(parts), np.uint8))
+    columns = [pa.array([block.block]), *[pa.array([x.tobytes()], pa.binary()) for x in (block.ids, block.off.astype(np.int64), block.raw)]]
+    batch = pa.RecordBatch.from_arrays(columns, names=["block", "ids", "offsets", "data"])
+    sent = 0
+    for answer in s._piece_rows(iter([batch]), 8, scratch_folder(spark, "test")):
+        sent += sum(len(s._suffixes([p])[0]) for p in answer.column("payload").to_pylist())
+    assert 0 < sent <= len({parts[0][k : k + 50] for k in range(len(parts[0]) - 49)})
+
+
+def test_all_places_of_a_string_share_its_fate(spark):
+    line = sentence(7, 14) + ".\n"
+    rows = [(1, line), (2, line * 50 + "x" + line * 3), (2, line * 4), (3, "ab" * 400), (4, "ab" * 900), (None, "ab" * 100), (0, "ba" * 26)]
+    got = {}
+    for parts in (1, len(rows)):
+        got[parts] = sorted((99 if r.doc_id is None else r.doc_id, r.n_bytes, bytes(r.kept)) for r in s.remove_repeats(table(spark, rows).repartition(parts)).collect())
+        assert got[parts] == sorted((i if i is not None else 99, len(t), k) for (i, t), k in zip(rows, kept_by_rule(rows), strict=True))
+
+
+def kept_by_rule(rows) -> list[bytes]:
+    least: dict = {}
+    ids, texts = [i if i is not None else 99 for i, _ in rows], [t.encode() for _, t in rows]
+    for i, t in zip(ids, texts, strict=True):
+        for k in range(len(t) - 49):
+            least[t[k : k + 50]] = min(least.get(t[k : k + 50], i), i)
+    out = []
+    for i, t in zip(ids, texts, strict=True):
+        gone = {p for k in range(len(t) - 49) if least[t[k : k + 50]] < i for p in range(k, k + 50)}
+        out.append(bytes(c for p, c in enumerate(t) if p not in gone))
+    return out
