@@ -10,7 +10,9 @@ count as a symbol of their own before each level.
 
 The fingerprint samples the names of the levels from ``LOWEST`` up (phrases of some tens of
 bytes and more, and the name of the whole text) in ``SLOTS`` slots, the least name of each;
-an empty slot borrows from the next. The likeness of two fingerprints is the share of equal
+a slot without any takes the least name of the next finer level that has one for it, so short
+texts are sampled by their short phrases. An empty slot borrows from the next. Each slot follows
+this rule by itself, whatever the text's length. The likeness of two fingerprints is the share of equal
 slots, an estimate of the Jaccard similarity of the two sets of phrases.
 
 Defined cases: a null or empty text has the empty fingerprint (likeness 1 to another empty
@@ -111,24 +113,30 @@ def parse(raw: np.ndarray, off: np.ndarray) -> Iterator[tuple[np.ndarray, np.nda
 def fingerprints(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
     """``SLOTS`` 16-bit values for each text (all zero for an empty one)."""
     n = len(off) - 1
-    owners, names = [], []
+    owners, names, finer = [], [], []
     for level, (owner, name) in enumerate(parse(raw, off), 1):
         single = np.bincount(owner, minlength=n) == 1
         keep = slice(None) if level >= LOWEST else single[owner]
         owners.append(owner[keep])
         names.append(name[keep])
+        if level < LOWEST:
+            finer.append((owner, name))
     out = np.zeros((n, SLOTS), np.uint64)
     if not owners:
         return out.astype(np.uint16)
-    owner, name = np.concatenate(owners), np.concatenate(names)
-    slot = owner * SLOTS + (name >> np.uint64(58)).astype(np.int64)
-    order = np.lexsort((name, slot))
-    slot, name = slot[order], name[order]
-    head = np.ones(len(slot), bool)
-    head[1:] = slot[1:] != slot[:-1]
     taken = np.zeros(n * SLOTS, bool)
-    taken[slot[head]] = True
-    out.reshape(-1)[slot[head]] = name[head]
+    for owner, name in ((np.concatenate(owners), np.concatenate(names)), *finer[::-1]):
+        short = ~taken.reshape(n, SLOTS).all(1)[owner]
+        owner, name = owner[short], name[short]
+        slot = owner * SLOTS + (name >> np.uint64(58)).astype(np.int64)
+        free = ~taken[slot]
+        slot, name = slot[free], name[free]
+        order = np.lexsort((name, slot))
+        slot, name = slot[order], name[order]
+        head = np.ones(len(slot), bool)
+        head[1:] = slot[1:] != slot[:-1]
+        taken[slot[head]] = True
+        out.reshape(-1)[slot[head]] = name[head]
     taken = taken.reshape(n, SLOTS)
     # an empty slot takes the value of the next taken one, marked with the distance
     full = np.flatnonzero(taken.any(1))

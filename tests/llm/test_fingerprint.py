@@ -79,3 +79,13 @@ def test_small_tables(spark):
     assert len(one) == 1 and one[0].near_next == 1
     assert len(run([(None, "a"), (None, None)])) == 2
     assert fp.fingerprint(table(spark, awkward_rows())).count() == len(awkward_rows())
+
+
+def test_short_edited_texts_are_recognised():
+    near, far = [], []
+    for k in range(60):
+        t, other = sentence(k, 14)[:100], "".join(chr(97 + (7 * i * i + k * i) % 26) for i in range(100))
+        values, empty = prints([t, t[:50] + other[:50], other])
+        near.append(fp.likeness(values[[0]], values[[1]], empty[[0]], empty[[1]])[0])
+        far.append(fp.likeness(values[[0]], values[[2]], empty[[0]], empty[[2]])[0])
+    assert np.mean(near) > 0.3 and min(near) > 0.15 and np.mean(far) < 0.05
