@@ -46,3 +46,26 @@ chain(word, root, step) AS (
   UNION ALL SELECT chain.word, form, step + 1 FROM chain JOIN formed ON formed.word = root WHERE form IS NOT NULL)
 SELECT word, form, arg_max(root, step) AS root, any_value(n)::BIGINT AS n, any_value(n_near)::BIGINT AS n_near, any_value(form_n)::BIGINT AS form_n
 FROM chain JOIN formed USING (word) GROUP BY word, form"""
+
+#: Features of whole texts, without cutting them into lines.
+IMPORTANCE_RESAMPLING = rf"""
+WITH RECURSIVE told AS (
+  SELECT 'd' AS side, row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), {LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+  UNION ALL SELECT 'b', row_number() OVER (), NULL, regexp_extract_all(translate(coalesce(text, ''), {LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+features AS (
+  SELECT side, r, s, count(*) AS n FROM (
+    SELECT side, r, unnest(w) AS s FROM told
+    UNION ALL SELECT side, r, w[i] || ' ' || w[i + 1] FROM (SELECT side, r, w, unnest(range(1, len(w))) AS i FROM told)) GROUP BY ALL),
+texts AS (SELECT DISTINCT s FROM features),{CRC},
+hashed AS (SELECT side, r, crc % 10000 AS bucket, sum(n) AS n FROM features JOIN crcs USING (s) GROUP BY ALL),
+buckets AS (SELECT bucket, coalesce(sum(n) FILTER (side = 'd'), 0) AS s, coalesce(sum(n) FILTER (side = 'b'), 0) AS t FROM hashed GROUP BY bucket),
+gains AS (
+  SELECT bucket, floor(1000 * ln(((t + 1) * ((SELECT sum(s) FROM buckets) + 10000))::DOUBLE / ((s + 1) * ((SELECT sum(t) FROM buckets) + 10000))::DOUBLE))::BIGINT AS gain FROM buckets),
+sums AS (SELECT r, sum(n * gain) AS gain, sum(n) AS n FROM hashed JOIN gains USING (bucket) WHERE side = 'd' GROUP BY r),
+weighed AS (
+  SELECT r, doc_id, len(w) AS words, coalesce(n, 0)::BIGINT AS n_features,
+    CASE WHEN n IS NULL THEN 0 ELSE floor(gain / n) END::BIGINT AS weight, ('0x' || left(sha256('7:' || doc_id), 8))::BIGINT AS h
+  FROM told LEFT JOIN sums USING (r) WHERE side = 'd'),
+scored AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM weighed),
+ranked AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM scored WHERE words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 25 * n // 100 THEN rank END::BIGINT AS rank FROM scored LEFT JOIN ranked USING (r)"""

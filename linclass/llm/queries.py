@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from linclass.llm.decontaminate import op2_decontaminate
 from linclass.llm.fingerprint import op1_fingerprints
 from linclass.llm.jaccard_join import op5_jaccard_join
-from linclass.llm.oracle import SPELLING_VARIANTS
+from linclass.llm.oracle import IMPORTANCE_RESAMPLING, SPELLING_VARIANTS
 from linclass.llm.packing import op4_length_buckets
 from linclass.llm.pii import op10_pii
 from linclass.llm.quality import op8_quality
+from linclass.llm.resample import op12_importance_resampling
 from linclass.llm.suffix_dedup import op9_suffix_dedup
 from linclass.llm.text import small_batches
 from linclass.llm.token_counts import op7_section_tokens
@@ -31,7 +32,7 @@ def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return run
 
 
-QUERIES = {f.__name__: _query(f) for f in (op1_fingerprints, op2_decontaminate, op3_token_files, op4_length_buckets, op5_jaccard_join, op6_toxicity, op7_section_tokens, op8_quality, op9_suffix_dedup, op10_pii, op11_spelling_variants)}
+QUERIES = {f.__name__: _query(f) for f in (op1_fingerprints, op2_decontaminate, op3_token_files, op4_length_buckets, op5_jaccard_join, op6_toxicity, op7_section_tokens, op8_quality, op9_suffix_dedup, op10_pii, op11_spelling_variants, op12_importance_resampling)}
 
 #: All pairs with a common shingle are counted, links are followed to their components.
 JACCARD_JOIN = r"""
@@ -68,4 +69,4 @@ FROM d LEFT JOIN k USING (doc_id)"""
 
 #: The other operators are no SQL: tokenizers, trained models, fingerprints, edit distance and
 #: matches in place are tested against plain Python in tests/llm.
-ORACLE_SQL = {"op5_jaccard_join": JACCARD_JOIN, "op9_suffix_dedup": SUFFIX_DEDUP, "op11_spelling_variants": SPELLING_VARIANTS}
+ORACLE_SQL = {"op5_jaccard_join": JACCARD_JOIN, "op9_suffix_dedup": SUFFIX_DEDUP, "op11_spelling_variants": SPELLING_VARIANTS, "op12_importance_resampling": IMPORTANCE_RESAMPLING}

@@ -116,10 +116,10 @@ class Sums:
         return mix64((self.at[end] - self.at[start]) * self.down[start] + (end - start).astype(np.uint64))
 
 
-def word_spans(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and document number of every word (maximal run without white space)."""
+def word_spans(raw: np.ndarray, off: np.ndarray, between: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and document number of every word (maximal run without bytes ``between`` words)."""
     inside = np.zeros(len(raw) + 1, bool)
-    np.logical_not(IS_SPACE[raw], out=inside[:-1])
+    np.logical_not(between[raw], out=inside[:-1])
     starts = inside[:-1].copy()
     starts[1:] &= ~inside[:-2]
     heads = off[:-1][off[:-1] < off[1:]]
