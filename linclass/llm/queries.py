@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from linclass.llm.decontaminate import op2_decontaminate
 from linclass.llm.fingerprint import op1_fingerprints
 from linclass.llm.jaccard_join import op5_jaccard_join
+from linclass.llm.lm_score import op13_lm_score
 from linclass.llm.oracle import IMPORTANCE_RESAMPLING, SPELLING_VARIANTS
 from linclass.llm.packing import op4_length_buckets
 from linclass.llm.pii import op10_pii
@@ -32,7 +33,7 @@ def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return run
 
 
-QUERIES = {f.__name__: _query(f) for f in (op1_fingerprints, op2_decontaminate, op3_token_files, op4_length_buckets, op5_jaccard_join, op6_toxicity, op7_section_tokens, op8_quality, op9_suffix_dedup, op10_pii, op11_spelling_variants, op12_importance_resampling)}
+QUERIES = {f.__name__: _query(f) for f in (op1_fingerprints, op2_decontaminate, op3_token_files, op4_length_buckets, op5_jaccard_join, op6_toxicity, op7_section_tokens, op8_quality, op9_suffix_dedup, op10_pii, op11_spelling_variants, op12_importance_resampling, op13_lm_score)}
 
 #: All pairs with a common shingle are counted, links are followed to their components.
 JACCARD_JOIN = r"""

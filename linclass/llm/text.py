@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -104,16 +105,27 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"], _POWERS["down"]
 
 
+#: Spans of more bytes have a cryptographic hash: sums modulo a power of two are equal for some
+#: pairs of long regular spans, whatever the base.
+LONG_SPAN = 64
+
+
 class Sums:
-    """Prefix sums of weighted byte values: the hash of any byte span in constant time."""
+    """Prefix sums of weighted byte values: the hash of any byte span of up to ``LONG_SPAN`` bytes
+    in constant time."""
 
     def __init__(self, raw: np.ndarray, values: np.ndarray = FOLDED_VALUE):
+        self.raw, self.folded = raw, values is FOLDED_VALUE
         up, self.down = powers(len(raw) + 1)
         self.at = np.zeros(len(raw) + 1, np.uint64)
         np.cumsum(values[raw] * up[: len(raw)], out=self.at[1:])
 
     def span(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix64((self.at[end] - self.at[start]) * self.down[start] + (end - start).astype(np.uint64))
+        out = mix64((self.at[end] - self.at[start]) * self.down[start] + (end - start).astype(np.uint64))
+        for k in np.flatnonzero(end - start > LONG_SPAN).tolist():
+            own = self.raw[start[k] : end[k]]
+            out[k] = int.from_bytes(blake2b((FOLDED[own] if self.folded else own).tobytes(), digest_size=8).digest(), "little")
+        return out
 
 
 def word_spans(raw: np.ndarray, off: np.ndarray, between: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
