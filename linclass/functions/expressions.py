@@ -47,6 +47,11 @@ def sigmoid(c: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-c))
 
 
+def escaped(text: Column) -> Column:
+    """A text whose backslashes and colons are marked, so that texts can be joined by colons."""
+    return F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit(":"), F.lit("\\:"))
+
+
 def hash_unit(keys: Sequence[str | Column], seed: int) -> Column:
     """Uniform value in [0, 1) from the md5 of 'seed:key1:key2...'; null if a key is null.
 
@@ -57,7 +62,7 @@ def hash_unit(keys: Sequence[str | Column], seed: int) -> Column:
     """
     parts = [col(k).cast("string") for k in keys]
     if len(parts) > 1:
-        parts = [F.replace(F.replace(p, F.lit("\\"), F.lit("\\\\")), F.lit(":"), F.lit("\\:")) for p in parts]
+        parts = [escaped(p) for p in parts]
     text = F.concat(F.lit(f"{seed}:"), *[x for p in parts for x in (F.lit(":"), p)][1:])
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(TWO_32)
 

@@ -69,7 +69,7 @@ def returnflag_label() -> Column:
 
 def lineitem_folds(spark: SparkSession, sf_dir: str, features: list[str]) -> DataFrame:
     li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", returnflag_label().alias(LABEL), *features)
-    return hash_split(li, "l_orderkey", seed=SEED)
+    return hash_split(li, "l_orderkey", seed=SEED, nulls=False)
 
 
 def doc_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,7 +142,7 @@ def check_input(spark, sf_dir) -> DataFrame:
         F.when(v < 1, F.lit(None).cast("double")).otherwise(v).alias("gap"),
         F.lit(1.0).alias("flat"),
     )
-    return hash_split(df, "event_id", seed=SEED)
+    return hash_split(df, "event_id", seed=SEED, nulls=False)
 
 
 def q_data_checks(spark, sf_dir):
@@ -158,17 +158,28 @@ def q_set_aside(spark, sf_dir):
 
 # ---- split, scaling ----------------------------------------------------------------------
 def q_hash_split(spark, sf_dir):
-    return hash_split(_t(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", seed=SEED)
+    return hash_split(_t(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", seed=SEED, nulls=False)
+
+
+def fold_counts(rows: DataFrame, **names: str) -> DataFrame:
+    """Number of rows, and of those in each named fold."""
+    return rows.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count_if(F.col(FOLD) == fold).alias(c) for c, fold in names.items()])
 
 
 def q_random_split(spark, sf_dir):
-    """Random folds move with the partition layout; what is fixed is that they cover every
-    row once and that the train share is near its weight."""
-    counts = random_folds(_t(spark, sf_dir, "orders").select("o_orderkey"), seed=SEED).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(FOLD) == "train").alias("_train")
-    )
-    share = F.col("_train") / F.col("n_rows")
-    return counts.select("n_rows", ((share > 0.75) & (share < 0.85)).alias("share_ok"))
+    """Folds without a key: every row is one of a kind, so its content decides alone."""
+    return fold_counts(random_folds(_t(spark, sf_dir, "orders").select("o_orderkey"), seed=SEED), n_train="train", n_test="test")
+
+
+def q_random_folds_layout(spark, sf_dir):
+    """Rows that change their fold when the table is dealt to other partitions, in another order.
+    Equal rows are told apart by nothing, so what is compared is each content's number in each fold."""
+    rows = _t(spark, sf_dir, "lineitem").select("l_linestatus", "l_quantity", "l_linenumber")
+    count = lambda df, sign: random_folds(df, seed=SEED).groupBy("l_linestatus", "l_quantity", "l_linenumber", FOLD).agg((sign * F.count(F.lit(1))).alias("n"))
+    rows = rows.withColumn("l_quantity", F.col("l_quantity").cast("int"))
+    other = rows.repartition(7, "l_linenumber").sortWithinPartitions(F.desc("l_quantity"))
+    both = count(rows, 1).union(count(other, -1)).groupBy("l_linestatus", "l_quantity", "l_linenumber", FOLD).agg(F.max("n").alias("n"), F.sum("n").alias("moved"))
+    return both.agg(F.sum(F.abs("moved")).alias("n_moved"), F.sum("n").alias("n_rows"), F.sum(F.when(F.col(FOLD) == "train", F.col("n"))).alias("n_train"))
 
 
 def q_scaler_fit(spark, sf_dir):
@@ -268,7 +279,7 @@ def embedding_folds(spark, sf_dir) -> DataFrame:
         F.when(F.col("label") < WIDE_LABEL_BELOW, F.lit(1.0)).otherwise(F.lit(0.0)).alias(LABEL),
         *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(WIDE_FEATURES)],
     )
-    return hash_split(df, "vec_id", seed=SEED)
+    return hash_split(df, "vec_id", seed=SEED, nulls=False)
 
 
 def _wide_query(loss: str, penalty: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -438,20 +449,16 @@ def q_fold_checks(spark, sf_dir):
 
 
 def q_hash_split_nulls(spark, sf_dir):
-    """Rows with a key keep the fold of the key; rows without one are spread at random."""
+    """Rows with a key have the fold of the key; the others, all equal, are spread by their number."""
     od = _t(spark, sf_dir, "orders").select(F.when(F.col("o_orderstatus") == "O", F.lit(None).cast("long")).otherwise(F.col("o_orderkey")).alias("k"))
     train = F.count_if(F.col(FOLD) == "train")
-    has = F.col("k").isNotNull().alias("has_key")
-    got = hash_split(od, "k", seed=SEED).groupBy(has).agg(F.count(F.lit(1)).alias("n_rows"), train.alias("_t"))
-    exact = F.when(F.col("has_key"), F.col("_t"))
-    return got.select("has_key", "n_rows", exact.alias("n_train"), F.col("_t").between(0.7 * F.col("n_rows"), 0.9 * F.col("n_rows")).alias("share_ok"))
+    return hash_split(od, "k", seed=SEED).groupBy(F.col("k").isNotNull().alias("has_key")).agg(F.count(F.lit(1)).alias("n_rows"), train.alias("n_train"))
 
 
 def q_random_named(spark, sf_dir):
-    """Random partitions under the names of the R script."""
-    li = random_folds(_t(spark, sf_dir, "lineitem").select("l_orderkey"), {"training": 0.8, "test": 0.2}, R_SEED)
-    one = li.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(FOLD) == "training").alias("_a"), F.count_if(F.col(FOLD) == "test").alias("_b"))
-    return one.select("n_rows", (F.col("_a") + F.col("_b") == F.col("n_rows")).alias("covers"), F.col("_a").between(0.77 * F.col("n_rows"), 0.83 * F.col("n_rows")).alias("share_ok"))
+    """Partitions without a key under the names of the R script; rows of an order are equal here."""
+    rows = random_folds(_t(spark, sf_dir, "lineitem").select("l_orderkey"), {"training": 0.8, "test": 0.2}, R_SEED)
+    return fold_counts(rows, n_training="training", n_test="test")
 
 
 MARKED_REG = 0.02
@@ -531,6 +538,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "set_aside": q_set_aside,
     "hash_split": q_hash_split,
     "random_split": q_random_split,
+    "random_folds_layout": q_random_folds_layout,
     "scaler_fit": q_scaler_fit,
     "scaler_transform": q_scaler_transform,
     "score_logistic_hard": q_score_logistic_hard,

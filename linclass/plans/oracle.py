@@ -115,7 +115,19 @@ FROM d GROUP BY 1"""
 
 HASH_SPLIT = f"SELECT o_orderkey, {fold_sql('o_orderkey')} AS fold FROM orders"
 
-RANDOM_SPLIT = "SELECT count(*)::BIGINT AS n_rows, true AS share_ok FROM orders"
+def content_folds(content: str, source: str, seed: int = C.SEED) -> str:
+    """Rows of ``source`` with their fold from the text of their content and their number among equal rows."""
+    unit = f"('0x' || left(md5('{seed}:' || md5({content}) || ':' || (row_number() OVER (PARTITION BY {content}) - 1)), 8))::BIGINT / 4294967296.0"
+    return f"SELECT *, CASE WHEN {unit} < 0.8 THEN 'train' ELSE 'test' END AS fold FROM {source}"
+
+
+RANDOM_SPLIT = f"""
+SELECT count(*)::BIGINT AS n_rows, count(*) FILTER (fold = 'train')::BIGINT AS n_train, count(*) FILTER (fold = 'test')::BIGINT AS n_test
+FROM ({content_folds("'1:' || o_orderkey", "orders")})"""
+LAYOUT_CONTENT = "'3:' || replace(replace(l_linestatus, chr(92), chr(92) || chr(92)), ':', chr(92) || ':') || ':' || l_quantity::INT || ':' || l_linenumber"
+RANDOM_FOLDS_LAYOUT = f"""
+SELECT 0::BIGINT AS n_moved, count(*)::BIGINT AS n_rows, count(*) FILTER (fold = 'train')::BIGINT AS n_train
+FROM ({content_folds(LAYOUT_CONTENT, "lineitem")})"""
 
 
 # ---- scaling ---------------------------------------------------------------------------
@@ -369,11 +381,16 @@ SELECT 'single_class_fold' AS check, fold AS column, 1::BIGINT AS n_bad, fold =
 UNION ALL
 SELECT 'null_key', 'event_id', count(*), false FROM events WHERE event_type = 'view'"""
 
+KEY_OR_NONE = "(SELECT CASE WHEN o_orderstatus <> 'O' THEN o_orderkey END AS k, * FROM orders)"
+NO_KEY = "'1:' || chr(92) || 'N'"
 HASH_SPLIT_NULLS = f"""
-SELECT has_key, count(*)::BIGINT AS n_rows, (CASE WHEN has_key THEN count(*) FILTER (WHERE fold = 'train') END)::BIGINT AS n_train, true AS share_ok
-FROM (SELECT o_orderstatus <> 'O' AS has_key, {fold_sql('o_orderkey')} AS fold FROM orders) GROUP BY has_key"""
+SELECT k IS NOT NULL AS has_key, count(*)::BIGINT AS n_rows, count(*) FILTER (fold = 'train')::BIGINT AS n_train
+FROM (SELECT k, {fold_sql('k')} AS fold FROM {KEY_OR_NONE} WHERE k IS NOT NULL
+  UNION ALL SELECT k, fold FROM ({content_folds(NO_KEY, KEY_OR_NONE + " WHERE k IS NULL")})) GROUP BY has_key"""
 
-RANDOM_NAMED = "SELECT count(*)::BIGINT AS n_rows, true AS covers, true AS share_ok FROM lineitem"
+RANDOM_NAMED = f"""
+SELECT count(*)::BIGINT AS n_rows, count(*) FILTER (fold = 'train')::BIGINT AS n_training, count(*) FILTER (fold = 'test')::BIGINT AS n_test
+FROM ({content_folds("'1:' || l_orderkey", "lineitem", C.R_SEED)})"""
 
 
 def exact_fit(mix: float, reg: float = C.MARKED_REG, steps: int = 60) -> str:
@@ -452,6 +469,7 @@ def oracle_sql() -> dict[str, str]:
         "set_aside": set_aside(),
         "hash_split": HASH_SPLIT,
         "random_split": RANDOM_SPLIT,
+        "random_folds_layout": RANDOM_FOLDS_LAYOUT,
         "scaler_fit": scaler_fit(),
         "scaler_transform": scaler_transform(),
         "score_logistic_hard": score_logistic_hard(),

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from linclass.operators.scale import apply_scaler, fit_scaler
 from linclass.functions.expressions import hash_unit
-from linclass.operators.split import hash_split, random_split
+from linclass.operators import split
+from linclass.operators.split import hash_split, random_folds, random_split
 
 
 def test_hash_split_matches_python_md5(spark):
@@ -46,6 +47,43 @@ def test_rows_without_key_are_spread(spark):
     assert 1500 < n < 1700
 
 
+def counts(rows) -> dict:
+    return {tuple(r)[:-1]: r["count"] for r in rows.groupBy(*rows.columns).count().collect()}
+
+
+def test_folds_without_key_do_not_depend_on_the_layout(spark):
+    rows = spark.range(0, 20_000, 1, 4).select((F.col("id") % 15_000).alias("x"), F.when(F.col("id") % 3 > 0, F.col("id")).alias("k"))
+    layouts = [rows, rows.repartition(7), rows.coalesce(1), rows.orderBy(F.desc("x"))]
+    for split_rows in (random_folds, lambda r: hash_split(r, "k"), lambda r: hash_split(r, ["k", "x"])):
+        first, *others = [counts(split_rows(r)) for r in layouts]
+        assert all(c == first for c in others) and sum(first.values()) == 20_000
+        train = sum(n for r, n in first.items() if r[-1] == "train")
+        assert 15_700 < train < 16_300
+
+
+def test_many_equal_rows_are_written_out_in_chunks(spark, monkeypatch):
+    rows = spark.range(0, 3000, 1, 3).select(F.lit("same").alias("x"), F.lit(None).cast("double").alias("y"))
+    whole = counts(random_folds(rows))
+    monkeypatch.setattr(split, "CHUNK", 7)
+    assert counts(random_folds(rows)) == whole and sum(whole.values()) == 3000
+    assert 2300 < whole["same", None, "train"] < 2500
+
+
+def test_contents_differ_by_any_column_of_any_type(spark):
+    schema = "`a.b` int, _digest string, _row binary, l array<string>, m map<string,int>, s struct<u:double>"
+    data = [(1, None, b"x", ["null"], {"a": None}, (0.0,)), (1, None, b"x", [None], {"a": None}, (0.0,)), (None, "1", b"x", [None], {"a": None}, (0.0,)), (1, "\\N", b"x", [None], {"a": None}, (0.0,)), (1, None, b"y", [None], {}, (0.0,)), (1, None, b"y", [None], {}, None)]
+    rows = spark.createDataFrame(data * 2, schema)
+    got = random_folds(rows, {"a": 1, "b": 1}, fold_col="part")
+    assert got.columns == [*rows.columns, "part"] and got.count() == 12
+    assert rows.select(split.content_digest(rows).alias("d")).distinct().count() == 6
+    assert sorted(map(repr, got.drop("part").collect())) == sorted(map(repr, rows.collect()))
+
+
+def test_an_empty_table_has_no_folds(spark):
+    rows = spark.createDataFrame([], "x double, k long")
+    assert random_folds(rows).count() == 0 and hash_split(rows, "k").count() == 0
+
+
 def test_lists_of_keys_do_not_share_a_text(spark):
     df = spark.createDataFrame([("a:b", "c"), ("a", "b:c"), ("a\\", "b"), ("a", "\\b")], "x string, y string")
     assert df.select(hash_unit(["x", "y"], 1).alias("u")).distinct().count() == 4
