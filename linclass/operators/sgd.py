@@ -1,7 +1,8 @@
 """Gradient-descent trainer for logistic and hinge loss, as DataFrame aggregations.
 
-Each iteration is one pass over the cached train rows: every task sums its gradient block by
-block with NumPy over Arrow batches, and one small reduce adds the partial vectors of d + 2
+Each iteration is one pass over the cached train rows, packed once into blocks of samples
+(``blocks.packed_blocks``): every task sums its gradient block by block with NumPy on the packed
+bytes, so no step converts a row, and one small reduce adds the partial vectors of d + 2
 numbers. The weights are data of that pass, not literals of its plan, so every step (and every
 number of features) runs the same plan. The update is d + 1 floating-point operations on the
 driver. Rows with nulls are an error, counted before the first step.
@@ -20,15 +21,16 @@ Rules (those of the classic gradient-descent trainers the reference calls):
 from __future__ import annotations
 
 import math
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linclass.functions.expressions import col
+from linclass.operators.blocks import block_sums, collect_vector, loop_frame, packed_blocks
 from linclass.operators.linear import LinearModel
 
 PENALTIES = ("l2", "l1", "none")
@@ -68,77 +70,23 @@ def _norm(v: Sequence[float]) -> float:
     return math.sqrt(sum(x * x for x in v))
 
 
-def _gradient_parts(train: DataFrame, d: int, w: list[float], b: float, loss: str, label: str, packed: str) -> DataFrame:
-    """DataFrame[i, s]: the sums m*x_1, ..., m*x_d, m and the rows, with NumPy over Arrow
-    batches: one partial vector per partition, then a sum by index.
-
-    The features arrive as one ``array<double>`` column, flattened without a copy into an
-    n x d block (one list column crosses to Python far faster than d separate columns).
-    """
-    import numpy as np
-    import pyarrow as pa
-
+def _gradient_parts(blocks: DataFrame, d: int, w: list[float], b: float, loss: str) -> DataFrame:
+    """DataFrame[i, s]: the sums m*x_1, ..., m*x_d, m and the rows of one pass over the blocks."""
     wv = np.asarray(w, dtype=np.float64)
 
-    def part(batches):
-        total = np.zeros(d + 2)
-        for batch in batches:
-            n = batch.num_rows
-            if n == 0:
-                continue
-            y = batch.column(label).to_numpy(zero_copy_only=False).astype(np.float64)
-            x = batch.column(packed).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, d)
-            margin = x @ wv + b
-            with np.errstate(over="ignore"):
-                if loss == "logistic":
-                    m = 1.0 / (1.0 + np.exp(-margin)) - y
-                else:
-                    s = 2.0 * y - 1.0
-                    m = np.where(s * margin < 1.0, -s, 0.0)
-            total[:d] += m @ x
-            total[d] += m.sum()
-            total[d + 1] += n
-        # one partial vector per partition; the sums below combine them per task
-        yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], type=pa.list_(pa.float64()))], ["g"])
-
-    parts = train.select(label, packed).mapInArrow(part, "g array<double>")
-    # element-wise sum of the partial vectors: (index, value) pairs summed per index, with
-    # partial aggregation on every task; d + 2 rows reach the driver
-    return parts.select(F.posexplode("g").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("s"))
-
-
-def _gradient_sums(train: DataFrame, d: int, w: list[float], b: float, loss: str, label: str, packed: str) -> list[float]:
-    """[sum m*x_1, ..., sum m*x_d, sum m, n] of one pass."""
-    out = [0.0] * (d + 2)
-    for r in _gradient_parts(train, d, w, b, loss, label, packed).collect():
-        out[r["i"]] = float(r["s"])
-    return out
-
-
-def _loop_frame(data: DataFrame):
-    """The cached rows as seen from a sibling session made for the steps: the caller's
-    settings, but adaptive execution off (there is nothing to re-plan, and it would split
-    every step into two jobs) and one reducer for the d + 2 sums.
-
-    The sibling shares the SparkContext and the cache, so the caller's session stays as it
-    is. Returns (frame, cleanup); a session kind without siblings gives ``data`` itself.
-    """
-    spark = data.sparkSession
-    if not hasattr(spark, "_jsparkSession"):
-        return data, lambda: None
-    name = f"linclass_sgd_{uuid.uuid4().hex}"
-    data.createOrReplaceGlobalTempView(name)
-    try:
-        loop = spark.newSession()
-        for key, value in spark.conf.getAll.items():
-            if spark.conf.isModifiable(key):
-                loop.conf.set(key, value)
-        loop.conf.set("spark.sql.adaptive.enabled", "false")
-        loop.conf.set("spark.sql.shuffle.partitions", "1")
-        return loop.table(f"{spark.conf.get('spark.sql.globalTempDatabase', 'global_temp')}.{name}"), lambda: loop.catalog.dropGlobalTempView(name)
-    except BaseException:
-        spark.catalog.dropGlobalTempView(name)
-        raise
+    def add(total: np.ndarray, y: np.ndarray, x: np.ndarray) -> None:
+        margin = x @ wv + b
+        with np.errstate(over="ignore"):
+            if loss == "logistic":
+                m = 1.0 / (1.0 + np.exp(-margin)) - y
+            else:
+                s = 2.0 * y - 1.0
+                m = np.where(s * margin < 1.0, -s, 0.0)
+        total[:d] += m @ x
+        total[d] += m.sum()
+        total[d + 1] += len(y)
+
+    return block_sums(blocks, d, d + 2, add)
 
 
 def sgd_fit(
@@ -170,8 +118,8 @@ def sgd_fit(
     if len(exprs) != d:
         raise ValueError(f"{len(exprs)} input expressions for {d} features")
 
-    # Narrow rows are what is cached: the label and the features (inputs evaluated once) as one array.
-    data = train.select(col(label).cast("double").alias("_y"), F.array(*[x.cast("double") for x in exprs]).alias("_x"))
+    # Blocks are what is cached: the inputs are evaluated and converted once.
+    data = packed_blocks(train, exprs, label)
     if persist:
         data = data.persist(StorageLevel.MEMORY_AND_DISK)
 
@@ -179,14 +127,14 @@ def sgd_fit(
     trace = SgdTrace()
     prev: list[float] | None = None
     cached = data
-    data, release = _loop_frame(cached)
+    data, release = loop_frame(cached)
     try:
-        nulls = data.where(F.col("_y").isNull() | F.exists("_x", lambda v: v.isNull())).count()
+        nulls = data.agg(F.sum("n_null")).first()[0]
         if nulls:
             raise NullRowsError(nulls)
         for t in range(1, iterations + 1):
             b = w[d] if intercept else 0.0
-            sums = _gradient_sums(data, d, w[:d], b, loss, "_y", "_x")
+            sums = collect_vector(_gradient_parts(data, d, w[:d], b, loss), d + 2).tolist()
             n = sums[-1]
             if n <= 0:
                 break

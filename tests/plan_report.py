@@ -74,6 +74,7 @@ def main(argv) -> None:
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     from pyspark.sql import functions as F
 
+    from linclass.operators.blocks import packed_blocks
     from linclass.operators.sgd import _gradient_parts
     from linclass.plans import catalogue as C
     from linclass.session import local_session
@@ -99,12 +100,12 @@ def main(argv) -> None:
     parts += ["## Inside the fits", ""]
     parts.append(section("document features joined to labels (input of the document fits)", C.doc_table(spark, sf_dir)))
     train = C.lineitem_folds(spark, sf_dir, C.LOGIT_FEATURES).where(F.col("fold") == "train")
-    packed = train.select(F.col("label").alias("_y"), F.array(*C.LOGIT_FEATURES).alias("_x"))
+    packed = packed_blocks(train, C.LOGIT_FEATURES, "label")
     parts.append(
         section(
-            "one gradient step (the trainer runs it over its cached rows, in a sibling session "
+            "one gradient step (the trainer runs it over its cached blocks, in a sibling session "
             "without adaptive execution and with one reducer)",
-            _gradient_parts(packed, len(C.LOGIT_FEATURES), [0.1, -1.0, 1.0], 1.0, "logistic", "_y", "_x"),
+            _gradient_parts(packed, len(C.LOGIT_FEATURES), [0.1, -1.0, 1.0], 1.0, "logistic"),
         )
     )
     parts.append(section("exact AUC per group (running sums by (group, bucket))", C.q_auc_scores(spark, sf_dir)))
