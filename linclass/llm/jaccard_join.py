@@ -37,11 +37,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linclass.llm.components import connected_components
-from linclass.llm.text import Sums, distinct_by_doc, id_text, list_array, mix64, scratch_folder, slices, staged, word_spans
+from linclass.llm.text import Recent, Sums, distinct_by_doc, fresh_name, id_text, list_array, mix64, scratch_folder, slices, staged, word_spans
 
 WORDS = 5
 #: Shingles that the order may call frequent; more of them stay unmarked, at a cost in time.
@@ -104,28 +104,24 @@ def set_keys(doc: np.ndarray, value: np.ndarray, n: int) -> tuple[np.ndarray, np
 def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Shingles that stand out among some thousands of different sets, with their counts."""
     held: list[np.ndarray] = []
-    seen: set[int] = set()
-    size = 0
+    seen = Recent()
+    size = sets = 0
 
     def counted() -> pa.RecordBatch:
         value, count = np.unique(np.concatenate(held), return_counts=True)
-        often = count >= max(4, SHARE * len(seen))
+        often = count >= max(4, SHARE * sets)
         return pa.RecordBatch.from_arrays([pa.array(value[often].view(np.int64)), pa.array(count[often].astype(np.int64))], names=["shingle", "sets"])
 
     for _, raw, off in slices(batches):
         doc, value = shingle_sets(raw, off)
         n, key = set_keys(doc, value, len(off) - 1)
-        new = np.zeros(len(n), bool)
-        for k, x in enumerate(key.tolist()):
-            if x not in seen:
-                seen.add(x)
-                new[k] = True
+        new = seen.new(key)
         held.append(value[new[doc]])
         size += len(held[-1])
+        sets += int(new.sum())
         if size > COUNTED:
             yield counted()
-            held, size = [], 0
-            seen.clear()
+            held, size, sets, seen = [], 0, 0, Recent()
     if held:
         yield counted()
 
@@ -143,7 +139,7 @@ SETS = "doc_id long, uid long, n int, key long, prefix array<long>, bits binary,
 
 def _sets(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, place: np.ndarray) -> Iterator[pa.RecordBatch]:
     """The set of each row; prefix and signature only with the first row of a set in the task."""
-    seen: set[int] = set()
+    seen = Recent(slots=1 << 20)  # only spares repeats
     table = np.zeros(1 << 20, bool)
     table[(frequent >> np.uint64(44)).astype(np.int64)] = True
     for rows, raw, off in slices(batches):
@@ -156,14 +152,12 @@ def _sets(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, place: np.nda
             late[maybe] = np.where(frequent[at] == value[maybe], place[at] + 1, 0)
         first = np.cumsum(n) - n
         prefixes, bits, folded = [], [], []
-        for k, x in enumerate(key.tolist()):
-            if not n[k] or x in seen:
+        for k, new in enumerate((seen.new(key) & (n > 0)).tolist()):
+            if not new:
                 prefixes.append(None)
                 bits.append(None)
                 folded.append(None)
                 continue
-            if len(seen) < 1_000_000:  # only spares repeats
-                seen.add(x)
             own, turn = value[first[k] : first[k] + n[k]], late[first[k] : first[k] + n[k]]
             early = own[np.argsort(turn, kind="stable")] if turn.any() else own
             prefixes.append(early[: n[k] // 5 + COMMON].view(np.int64))
@@ -177,9 +171,8 @@ def _sets(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, place: np.nda
 
 def _arrays(batches: Iterator[pa.RecordBatch], spots: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Sorted shingle arrays of the rows whose spot is marked."""
-    for batch in batches:
-        wanted = spots[batch.column("spot").to_numpy()]
-        for rows, raw, off in slices([batch.filter(pa.array(wanted))] if wanted.any() else []):
+    for batch in _marked(batches, spots):
+        for rows, raw, off in slices([batch]):
             doc, value = shingle_sets(raw, off)
             key = set_keys(doc, value, rows.num_rows)[1]
             cut = np.searchsorted(doc, np.arange(rows.num_rows + 1))
@@ -200,8 +193,24 @@ def may_link(n_a: np.ndarray, n_b: np.ndarray, a: np.ndarray, b: np.ndarray) ->
     return 9 * most >= 4 * (n_a + n_b)
 
 
-def _spot():
-    return F.pmod(F.xxhash64("uid", "doc_id"), F.lit(SPOTS)).cast("int")
+def _spot(*columns: str) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(SPOTS)).cast("int")
+
+
+def _spot_table(spots: DataFrame) -> np.ndarray:
+    """Marks of a column ``spot`` as ``SPOTS`` bits, whatever the number of rows."""
+    marked = spots.select(F.expr("spot div 32").alias("word"), F.expr("shiftleft(1L, spot % 32)").alias("bit"))
+    words = marked.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most SPOTS / 32 rows
+    table = np.zeros(SPOTS // 32, np.uint32)
+    table[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return table.view(np.uint8)
+
+
+def _marked(batches: Iterator[pa.RecordBatch], spots: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows whose spot is marked."""
+    for batch in batches:
+        spot = batch.column("spot").to_numpy()
+        yield batch.filter(pa.array((spots[spot >> 3] >> (spot & 7)) & 1 > 0))
 
 
 def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,12 +229,24 @@ def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(keep)), batch.column("b").filter(pa.array(keep))], names=["a", "b"])
 
 
+def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose sorted arrays have enough in common: both are merged, and a value of both
+    stands beside itself."""
+    for batch in batches:
+        keep = np.zeros(batch.num_rows, bool)
+        for k, (x, y) in enumerate(zip(batch.column("of_a"), batch.column("of_b"), strict=True)):
+            merged = np.concatenate([x.values.to_numpy(), y.values.to_numpy()])
+            merged.sort(kind="stable")  # two sorted runs: one merge
+            keep[k] = 9 * int((merged[1:] == merged[:-1]).sum()) >= 4 * len(merged)
+        yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+
 def _tiles(batches: Iterator[pa.RecordBatch], most: int = 1 << 18) -> Iterator[pa.RecordBatch]:
     """Rows come ordered by tile pair and size. Within each, pairs of different components in
     reach of one another's size whose signatures allow a link. A pair that a task meets again
     under another shingle is given once."""
     held: pa.Table | None = None
-    given: set[tuple[int, int]] = set()
+    given = Recent(2)  # only spares repeats
 
     def compare(t: pa.Table) -> Iterator[pa.RecordBatch]:
         key, n, comp, left, right, tile, token = (t.column(c).to_numpy() for c in ("key", "n", "comp", "left", "right", "tile", "token"))
@@ -256,11 +277,9 @@ def _tiles(batches: Iterator[pa.RecordBatch], most: int = 1 << 18) -> Iterator[p
                     x, y = where[: len(p)][q], where[len(p) :][q]
                     keep[p[q]] = may_link(n[i[p[q]]], n[j[p[q]]], folded[x], folded[y])
             i, j = i[keep], j[keep]
-            pairs = set(zip(np.minimum(key[i], key[j]).tolist(), np.maximum(key[i], key[j]).tolist(), strict=True)) - given
-            if len(given) > 500_000:  # only spares repeats
-                given.clear()
-            given.update(pairs)
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.int64()), pa.array([y for _, y in pairs], pa.int64())], names=["a", "b"])
+            x, y = np.minimum(key[i], key[j]), np.maximum(key[i], key[j])
+            new = given.new(x.view(np.uint64), y.view(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(x[new]), pa.array(y[new])], names=["a", "b"])
             a = b
 
     for batch in batches:
@@ -290,7 +309,7 @@ def join_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     shared = spark.sparkContext.broadcast((frequent[order], place))
     sets = staged(rows.mapInArrow(lambda b: _sets(b, *shared.value), SETS), folder, "sets")
     firsts = sets.where("prefix is not null")
-    marks = firsts.select("key", "n", "bits").dropDuplicates(["key"])
+    held = [shared]
 
     # sets that share prefix shingles with others; each shingle's most connected set of a size band
     # is tried as the centre of the others, if it is that under several of their shingles
@@ -307,9 +326,26 @@ def join_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     tried = known.select(F.inline(F.array(F.struct("key", "n", F.col("prev").alias("o"), F.col("prev_n").alias("o_n")), F.struct("key", "n", F.col("head").alias("o"), F.col("head_n").alias("o_n")))))
     tried = tried.where("o is not null and key != o and 5 * least(n, o_n) >= 4 * greatest(n, o_n)").groupBy(F.least("key", "o").alias("a"), F.greatest("key", "o").alias("b"))
     tried = tried.agg(F.count("*").alias("shared"), F.min(F.least("n", "o_n")).alias("low")).where("20 * shared >= low")
-    side = lambda s: marks.select(F.col("key").alias(s), F.col("n").alias(f"n_{s}"), F.col("bits").alias(f"bits_{s}"))
-    bounded = lambda pairs: pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").mapInArrow(_bounded, "a long, b long")
-    near = staged(bounded(tried), folder, "near-1")
+
+    def of_sets(wanted: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
+        """``key`` and ``columns`` of the sets whose spot is marked by a key of ``wanted``: all of
+        those and a few more, without dealing out the others."""
+        spots = spark.sparkContext.broadcast(_spot_table(wanted.select(_spot("key").alias("spot"))))  # SPOTS bits
+        held.append(spots)
+        rows = table.select("key", *columns, _spot("key").alias("spot"))
+        return rows.mapInArrow(lambda b: _marked(b, spots.value), rows.schema).select("key", *columns).dropDuplicates(["key"])
+
+    def bounded(pairs: DataFrame, name: str) -> DataFrame:
+        """Pairs whose signatures allow a link: the folded ones first, then the whole."""
+        pairs = staged(pairs.select("a", "b"), folder, f"tried-{name}")
+        for step, bits in enumerate(("folded", "bits")):
+            marks = of_sets(pairs.select(F.explode(F.array("a", "b")).alias("key")), firsts, "n", bits)
+            with_a = pairs.select(F.col("a").alias("key"), "b").join(marks, "key").select(F.col("key").alias("a"), F.col("b").alias("key"), F.col("n").alias("n_a"), F.col(bits).alias("bits_a"))
+            both = with_a.join(marks, "key").select("a", F.col("key").alias("b"), "n_a", F.col("n").alias("n_b"), "bits_a", F.col(bits).alias("bits_b"))
+            pairs = staged(both.mapInArrow(_bounded, "a long, b long"), folder, f"near-{name}-{step}")
+        return pairs
+
+    near = bounded(tried, "1")
 
     owner = firsts.select("key", "uid", "doc_id").dropDuplicates(["key"])
 
@@ -318,17 +354,14 @@ def join_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         again, in a scan of the texts that leaves out the rows whose spot in a table of fixed
         size isn't marked; an exact join takes care of the spots that others share."""
         wanted = staged(owner.join(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "key"), folder, f"wanted-{name}")
-        marked = wanted.select(_spot().alias("spot")).select(F.expr("spot div 32").alias("word"), F.expr("shiftleft(1L, spot % 32)").alias("bit"))
-        words = marked.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most SPOTS / 32 rows
-        table = np.zeros(SPOTS // 32, np.uint32)
-        table[words.column("word").to_numpy()] = words.column("bits").to_numpy()
-        spots = spark.sparkContext.broadcast(np.packbits(np.unpackbits(table.view(np.uint8), bitorder="little")))
-        built = rows.withColumn("spot", _spot()).mapInArrow(lambda b: _arrays(b, np.unpackbits(spots.value).view(bool)), "doc_id long, uid long, key long, shingles array<long>")
-        arrays = built.alias("r").join(wanted.alias("w"), F.expr("r.key = w.key and r.uid = w.uid and r.doc_id <=> w.doc_id")).select("r.key", "r.shingles").dropDuplicates(["key"])
+        spots = spark.sparkContext.broadcast(_spot_table(wanted.select(_spot("uid", "doc_id").alias("spot"))))
+        held.append(spots)
+        built = rows.withColumn("spot", _spot("uid", "doc_id")).mapInArrow(lambda b: _arrays(b, spots.value), "doc_id long, uid long, key long, shingles array<long>")
+        arrays = built.select("key", "shingles").join(wanted.select("key"), "key").dropDuplicates(["key"])  # rows of a key have one set
         arrays = staged(arrays, folder, f"arrays-{name}")
-        x, y = (arrays.select(F.col("key").alias(s), F.col("shingles").alias(f"of_{s}")) for s in ("a", "b"))
-        both = F.size(F.array_intersect("of_a", "of_b"))
-        return staged(pairs.join(x, "a").join(y, "b").where(9 * both >= 4 * (F.size("of_a") + F.size("of_b"))).select("a", "b"), folder, f"links-{name}")
+        with_a = pairs.select(F.col("a").alias("key"), "b").join(arrays, "key").select(F.col("key").alias("a"), F.col("b").alias("key"), F.col("shingles").alias("of_a"))
+        both = with_a.join(arrays, "key").select("a", F.col("key").alias("b"), "of_a", F.col("shingles").alias("of_b"))
+        return staged(both.mapInArrow(_linked, "a long, b long"), folder, f"links-{name}")
 
     first_links = linked(near, "1")
     stars = connected_components(first_links, folder, "first")
@@ -348,13 +381,14 @@ def join_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     many = mixed.where(F.col("sets") > FEW)
     ranges = many.groupBy("token", "tile").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     pairs = ranges.select("token", F.col("tile").alias("left"), F.col("high").alias("left_high")).join(ranges.select("token", F.col("tile").alias("right"), F.col("low").alias("right_low")), "token").where("left <= right and 5 * left_high >= 4 * right_low").select("token", "left", "right")
-    small = firsts.select("key", F.col("folded").alias("bits")).dropDuplicates(["key"])
+    small = of_sets(many.select("key"), firsts, "folded").withColumnRenamed("folded", "bits")
     dealt = pairs.withColumn("tile", F.explode(F.array_distinct(F.array("left", "right")))).join(many, ["token", "tile"]).join(small, "key")
     dealt = dealt.select("token", "left", "right", "tile", "key", "n", "comp", "bits").repartition("token", "left", "right").sortWithinPartitions("token", "left", "right", "n", "key")
-    more = staged(bounded(dealt.mapInArrow(_tiles, "a long, b long").union(counted.select("a", "b")).distinct()), folder, "near-2")
+    more = bounded(dealt.mapInArrow(_tiles, "a long, b long").union(counted.select("a", "b")).distinct(), "2")
     links = first_links.union(linked(more, "2"))
     stars = connected_components(links, folder, "all")
-
+    for broadcast in held:
+        broadcast.unpersist()
     return sets, stars
 
 
@@ -376,11 +410,13 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")).alias("first")
     owned = sets.where("n > 0").groupBy("key").agg(first).join(stars.withColumnRenamed("node", "key"), "key", "left")
     keep = owned.groupBy(F.coalesce("root", "key").alias("root")).agg(F.min("first").alias("first")).select(F.col("first.uid").alias("keep_uid"), F.col("first.doc_id").alias("keep_id"))
-    marked = docs.withColumn("__uid", F.xxhash64(F.col("text").cast("string")))
+    uid, at, keep_uid, keep_id = (fresh_name(c, docs.columns) for c in ("uid", "at", "keep_uid", "keep_id"))
+    marked = docs.withColumn(uid, F.xxhash64(F.col("text").cast("string")))
     wordless = F.coalesce(~F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(True))
-    kept = marked.where(~wordless).join(keep, F.expr("__uid = keep_uid and cast(doc_id as long) <=> keep_id"), "left_semi")
-    single = kept.withColumn("__at", F.row_number().over(Window.partitionBy("__uid", "doc_id").orderBy("__uid"))).where("__at = 1").drop("__at")
-    return single.unionByName(marked.where(wordless)).drop("__uid")
+    keep = keep.toDF(keep_uid, keep_id)
+    kept = marked.where(~wordless).join(keep, (F.col(uid) == F.col(keep_uid)) & F.col("doc_id").cast("long").eqNullSafe(F.col(keep_id)), "left_semi")
+    single = kept.withColumn(at, F.row_number().over(Window.partitionBy(uid, "doc_id").orderBy(uid))).where(F.col(at) == 1).drop(at)
+    return single.unionByName(marked.where(wordless)).drop(uid)
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,6 +39,14 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def fresh_name(name: str, taken: Iterable[str]) -> str:
+    """A column name that a table does not have, whatever the case."""
+    low = {t.lower() for t in taken}
+    while name.lower() in low:
+        name += "_"
+    return name
+
+
 def staged(df: DataFrame, folder: str, name: str) -> DataFrame:
     """Write a table under a scratch folder and read it back: cuts the lineage, so that a lost
     executor costs a reread of files instead of the work before them."""
@@ -143,6 +151,34 @@ def word_spans(raw: np.ndarray, off: np.ndarray, between: np.ndarray = IS_SPACE)
     return start, end, np.searchsorted(off, start, "right") - 1
 
 
+class Recent:
+    """Rows of 64-bit keys that a task has met lately, in a table of fixed size: a key may be
+    forgotten when another takes its place, but no other key is ever taken for it."""
+
+    def __init__(self, columns: int = 1, slots: int = 1 << 18):
+        self.table = np.zeros((columns, slots), np.uint64)
+        self.used = np.zeros(slots, bool)
+
+    def new(self, *keys: np.ndarray) -> np.ndarray:
+        """Which rows are not known, the first of equal rows only; they are known from now on."""
+        n = len(keys[0])
+        order = np.lexsort(keys)
+        same = np.logical_and.reduce([k[order][1:] == k[order][:-1] for k in keys]) if n else np.zeros(0, bool)
+        first = np.zeros(n, bool)
+        first[order[np.concatenate([[True], ~same])] if n else order] = True
+        at = np.flatnonzero(first)
+        slot = keys[0][at].copy()
+        for k in keys[1:]:
+            slot = mix64(slot) ^ k[at]
+        slot = (mix64(slot) & np.uint64(len(self.used) - 1)).astype(np.int64)
+        known = self.used[slot] & np.logical_and.reduce([t[slot] == k[at] for t, k in zip(self.table, keys, strict=True)])
+        for t, k in zip(self.table, keys, strict=True):
+            t[slot[::-1]] = k[at[::-1]]  # of rows with one slot the first stays, in all columns
+        self.used[slot] = True
+        first[at[known]] = False
+        return first
+
+
 def distinct(values: np.ndarray) -> np.ndarray:
     """Distinct values, ascending, by sorting (the library's unique() builds a hash table)."""
     values = np.sort(values)
