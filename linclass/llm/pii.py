@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from linclass.llm.labels import trimmed
-from linclass.llm.text import Sums, distinct_by_doc, id_text, scratch_folder, slices, staged, word_spans
+from linclass.llm.text import Sums, distinct_by_doc, fresh_name, id_text, scratch_folder, slices, staged, word_spans
 
 # Fixed patterns of the result contract.
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -93,7 +93,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     out = [(0, a, b) for a, b in emails(text)]
     if DIGIT.search(text):
         if "." in text:
-            out += [(1, m.start(), m.end()) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+            out += [(1, m.start(), m.end()) for m in IP.finditer(text) if all(len(q) <= 3 and int(q or "0") <= 255 for q in (p.lstrip("0") for p in m[0].split(".")))]
         for m in CARD.finditer(text):
             digits = re.sub("[^0-9]", "", m[0])
             if 16 <= len(digits) <= 19 and luhn(digits):
@@ -334,7 +334,8 @@ def sanitise(docs: DataFrame) -> DataFrame:
     terms ``[TERM]`` or nothing. All columns stay; only ``text`` changes."""
     _, terms = find(docs)
     schema, spots = docs.schema, docs.sparkSession.sparkContext.broadcast(spot_table(terms.select("text_key")))
-    key, keyed = "__pii_key", "__pii_terms"
+    key = fresh_name("pii_key", schema.names)
+    keyed = fresh_name("pii_terms", schema.names)
 
     def with_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, raw, off in slices(batches):
