@@ -97,11 +97,12 @@ def pack(lengths: DataFrame, buckets: int = 16, budget: int = 65_536) -> DataFra
         here = n <= bounds[b]
         bucket, boundary = F.when(here, F.lit(b)).otherwise(bucket), F.when(here, F.lit(bounds[b]).cast("long")).otherwise(boundary)
         parts = F.when(here, F.lit(-(-rows[b] // PART_ROWS)).cast("long")).otherwise(parts)
-    marked = lengths.select("doc_id", "n_tokens", bucket.alias("bucket"), boundary.alias("boundary"), F.pmod(F.xxhash64("doc_id", "n_tokens"), parts).alias("part"))
-    inside = marked.where("bucket >= 0").withColumn("at", F.row_number().over(Window.partitionBy("bucket", "part").orderBy(F.desc("n_tokens"), "doc_id")) - 1)
+    # a row's own number spreads rows of one id and length, and tells them apart
+    marked = lengths.withColumn("row", F.monotonically_increasing_id()).select("doc_id", "n_tokens", bucket.alias("bucket"), boundary.alias("boundary"), F.pmod(F.xxhash64("row"), parts).alias("part"), "row")
+    inside = marked.where("bucket >= 0").withColumn("at", F.row_number().over(Window.partitionBy("bucket", "part").orderBy(F.desc("n_tokens"), "doc_id", "row")) - 1)
     per = F.greatest(F.lit(1), F.floor(F.lit(budget) / F.col("boundary")))
     inside = inside.select("doc_id", "n_tokens", "bucket", "boundary", F.concat_ws("-", "bucket", "part", F.floor(F.col("at") / per)).alias("batch"), F.pmod(F.col("at").cast("long"), per).alias("slot"))
-    alone = marked.where("bucket < 0").select("doc_id", "n_tokens", "bucket", "boundary", F.concat_ws("-", F.lit("long"), "doc_id").alias("batch"), F.lit(0).cast("long").alias("slot"))
+    alone = marked.where("bucket < 0").select("doc_id", "n_tokens", "bucket", "boundary", F.concat_ws("-", F.lit("long"), "row").alias("batch"), F.lit(0).cast("long").alias("slot"))
     return inside.unionByName(alone)
 
 
