@@ -35,6 +35,8 @@ PIECE, STRIDE = 80, 40
 #: Edits allowed, as a share of a piece's characters.
 EDITS = 0.08
 BLOCK_CHARS = 2_000_000
+#: Meetings of a text's q-grams with the pieces' that are held at one time.
+MEETINGS = 1 << 20
 
 _LIMIT = 0x250
 FOLD = np.arange(_LIMIT, dtype=np.uint32)
@@ -124,15 +126,55 @@ def _aligned(index: Index, cp: np.ndarray, piece: np.ndarray, low: np.ndarray, w
     return best, end
 
 
+def _shortened(cp: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A text whose long runs of one character are cut in the middle, the places of the cuts in
+    what is left and the characters left out up to each. A run keeps so many characters that
+    every window as long as an occurrence is still there, at its first place."""
+    most = 4 * PIECE
+    edge = np.flatnonzero(np.diff(cp)) + 1
+    start, end = np.concatenate([[0], edge]), np.concatenate([edge, [len(cp)]])
+    long = np.flatnonzero(end - start > most)
+    keep = np.ones(len(cp), bool)
+    for k in long.tolist():
+        keep[start[k] + most // 2 : end[k] - most // 2] = False
+    out = (end - start)[long] - most
+    before = np.cumsum(out)
+    return cp[keep], start[long] + most // 2 - (before - out), before
+
+
+def _candidates(index: Index, p: np.ndarray, at: np.ndarray, span: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pieces and bands of diagonals in which enough shared q-grams meet. Meetings are counted for
+    ``MEETINGS`` at a time; a count goes on to the next part only while its band can still grow."""
+    many = index.first[at + 1] - index.first[at]
+    total = np.concatenate([[0], np.cumsum(many)])
+    key, count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    a = 0
+    while a < len(p):
+        b = max(a + 1, int(np.searchsorted(total, total[a] + MEETINGS, "right")) - 1)
+        own = many[a:b]
+        place = np.repeat(index.first[at[a:b]] - (total[a:b] - total[a]), own) + np.arange(total[b] - total[a])
+        piece, diagonal = index.piece[place], np.repeat(p[a:b], own) - index.offset[place]
+        band = np.floor_divide(diagonal, index.edits[piece] + 1)
+        new, met = np.unique(np.concatenate([piece * span + band + 2 * PIECE, piece * span + band - 1 + 2 * PIECE]), return_counts=True)
+        both, which = np.unique(np.concatenate([key, new]), return_inverse=True)
+        sums = np.bincount(which, np.concatenate([count, met]), len(both)).astype(np.int64)
+        piece, band = both // span, both % span - 2 * PIECE
+        ended = (band + 2) * (index.edits[piece] + 1) <= p[b] - PIECE if b < len(p) else np.ones(len(both), bool)
+        enough = ended & (sums >= np.maximum(1, index.least[piece]))
+        yield piece[enough], band[enough]
+        key, count, a = both[~ended], sums[~ended], b
+
+
 def search(index: Index, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
     """(text number, item number, start, end, edits) of the best occurrence of each item that
     has one in each text; code points, start as if without indels."""
     if not len(index.codes):
         return []
     gap = np.zeros(int(index.edits.max()) + 1, np.uint32)  # NUL is in no piece: no match crosses it
-    parts, off = [], [0]
+    parts, off, cuts = [], [0], []
     for t in texts:
-        cp = code_points(t)
+        cp, where, out = _shortened(code_points(t))
+        cuts.append((where, np.concatenate([[0], out])))
         parts += [cp, gap]
         off.append(off[-1] + len(cp) + len(gap))
     cp = np.concatenate([np.zeros(0, np.uint32), *parts])
@@ -151,32 +193,22 @@ def search(index: Index, texts: list[str]) -> list[tuple[int, int, int, int, int
     p, at = p[keep], at[keep]
     if not len(p):
         return []
-    many = index.first[at + 1] - index.first[at]
-    total = np.concatenate([[0], np.cumsum(many)])
-    place = np.repeat(index.first[at] - total[:-1], many) + np.arange(total[-1])
-    piece, diagonal = index.piece[place], np.repeat(p, many) - index.offset[place]
-    width = index.edits[piece] + 1
-    band = np.floor_divide(diagonal, width)
-    span = len(cp) + 4 * PIECE
-    keys = np.concatenate([piece * span + band + 2 * PIECE, piece * span + band - 1 + 2 * PIECE])
-    key, count = np.unique(keys, return_counts=True)
-    piece, band = key // span, key % span - 2 * PIECE
-    keep = count >= np.maximum(1, index.least[piece])
-    piece, band = piece[keep], band[keep]
     found: dict[tuple[int, int], tuple[int, int, int]] = {}
     starts = np.array(off[:-1])
-    for k in np.unique(index.edits[piece]):
-        rows = np.flatnonzero(index.edits[piece] == k)
-        for a in range(0, len(rows), 4096):
-            r = rows[a : a + 4096]
-            edits, end = _aligned(index, cp, piece[r], band[r] * (k + 1), 2 * int(k + 1))
-            for i in np.flatnonzero(edits <= k):
-                begin = int(end[i]) - len(index.codes[piece[r[i]]])
-                text = int(np.searchsorted(starts, end[i] - 1, "right")) - 1
-                value = (int(edits[i]), max(0, begin - off[text]), int(end[i]) - off[text])
-                where = (text, int(index.item[piece[r[i]]]))
-                found[where] = min(found.get(where, value), value)
-    return [(text, item, v[1], v[2], v[0]) for (text, item), v in sorted(found.items())]
+    for piece, band in _candidates(index, p, at, len(cp) + 4 * PIECE):
+        for k in np.unique(index.edits[piece]):
+            rows = np.flatnonzero(index.edits[piece] == k)
+            for a in range(0, len(rows), 4096):
+                r = rows[a : a + 4096]
+                edits, end = _aligned(index, cp, piece[r], band[r] * (k + 1), 2 * int(k + 1))
+                for i in np.flatnonzero(edits <= k):
+                    begin = int(end[i]) - len(index.codes[piece[r[i]]])
+                    text = int(np.searchsorted(starts, end[i] - 1, "right")) - 1
+                    value = (int(edits[i]), max(0, begin - off[text]), int(end[i]) - off[text])
+                    where = (text, int(index.item[piece[r[i]]]))
+                    found[where] = min(found.get(where, value), value)
+    whole = lambda text, at: at + int(cuts[text][1][np.searchsorted(cuts[text][0], at, "right")])
+    return [(text, item, whole(text, v[1]), whole(text, v[2] - 1) + 1, v[0]) for (text, item), v in sorted(found.items())]
 
 
 def blocks(benchmark: DataFrame) -> Iterator[Index]:
