@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import random
+import time
 
 import numpy as np
+import pytest
 from conftest import SF01
 from llm_cases import awkward_rows, sentence, table
 
@@ -90,3 +92,27 @@ def test_awkward_rows_and_blocks(spark, monkeypatch):
     empty = bench.limit(0)
     assert d.find_leaks(docs, empty).count() == 0 and d.drop_contaminated(docs, empty).count() == len(awkward_rows())
     assert d.find_leaks(table(spark, []), bench).count() == 0
+
+
+@pytest.mark.parametrize("meetings", [50, 1 << 20])
+def test_periodic_texts_in_bounded_parts(monkeypatch, meetings):
+    r = random.Random(9)
+    items = ["a" * 90, "ab" * 60, "=" * 30 + "a heading that a benchmark has" + "=" * 30, "".join(r.choices("ab", k=120))]
+    whole = d.Index.build(list(enumerate(items)))
+    for text in ("a" * 3000, "x" * 700 + "a" * 2000 + "y" * 900, "ab" * 900, "=" * 1000 + "a heading that a benchmark has" + "=" * 500, "b" * 600 + items[3] + "a" * 600):
+        plain = d.search(whole, [text])
+        monkeypatch.setattr(d, "MEETINGS", meetings)
+        monkeypatch.setattr(d, "_shortened", lambda cp: (cp, np.zeros(0, np.int64), np.zeros(0, np.int64)))
+        assert d.search(whole, [text]) == plain and plain
+        monkeypatch.undo()
+
+
+def test_a_megabyte_of_one_character_costs_little():
+    import resource
+
+    index = d.Index.build([(k, "a" * 200) for k in range(20)])
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    began = time.time()
+    got = d.search(index, ["a" * (1 << 20) + "b"])
+    assert [g[1:] for g in got] == [(k, 0, 80, 0) for k in range(20)]
+    assert time.time() - began < 20 and resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 1 << 20  # KB
