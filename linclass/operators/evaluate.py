@@ -6,19 +6,20 @@ ROC curve over every distinct score, which is what ``BinaryClassificationEvaluat
 
     AUC = 1 - sum_s n(s) * (pos_below(s) + p(s)/2) / (P * N)
 
-pos_below(s) needs a running sum in score order. A window ordered over the whole table
-would run in one task, so the plan is, at every size:
+pos_below(s) needs a running sum in score order, which is a distributed prefix sum:
 
-1. approximate quantiles of the scores give the edges of 4 buckets a shuffle partition (one
-   pass with a bounded sketch; the number follows the cluster's setting, not the data);
-2. rows are aggregated to one row per (group, bucket, distinct score) (partial aggregation: a
-   score held by a third of the rows becomes one row here, so no skew survives this step);
-3. per-bucket positive totals (groups x buckets rows) give each bucket its offset by a small
-   window; the join back is planned by Spark;
-4. a window partitioned by (group, bucket) adds the running sum inside each bucket.
+1. each task counts positives and negatives of equal (group, score) among a batch of its rows,
+   so a score that a third of all rows have is a row a batch;
+2. these counts are dealt to range partitions of (group, score) - the one exchange that grows
+   with the data - and sorted; a task runs through its range once, with a constant state, and
+   gives one row for each group in it: its counts, and its part of the sum as if nothing lay
+   before;
+3. those rows (at most groups and range partitions together) meet by group; the positives of
+   the earlier ranges are each range's offset.
 
-Every score of one value lands in one bucket, so ties stay exact. Nothing is cached and no
-group's rows reach the driver: the result is an ordinary DataFrame, one row per group.
+Equal scores are in one range, so ties stay exact. The number of ranges is that of Spark's
+shuffle partitions (``bins`` for another), and a range may be of any size. Nothing is cached
+and no group's rows reach one task or the driver.
 
 A row counts only if its label is 0 or 1 and its score (and prediction, where one is judged)
 is not null; the others are reported as ``n_dropped``, the same rows for every metric.
@@ -26,19 +27,20 @@ is not null; the others are reported as ``n_dropped``, the same rows for every m
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from linclass.functions.expressions import col
 
-_S, _P, _N, _D, _TP, _FP, _B = "_s", "_p", "_n", "_d", "_tp", "_fp", "_b"
-
-
-def default_bins(df: DataFrame) -> int:
-    return max(16, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+_S, _P, _N, _D, _TP, _FP = "_s", "_p", "_n", "_d", "_tp", "_fp"
+COUNTS = (_P, _N, _D, _TP, _FP)
 
 
 def _valid(label: Column, *others: Column) -> Column:
@@ -48,15 +50,83 @@ def _valid(label: Column, *others: Column) -> Column:
     return F.coalesce(ok, F.lit(False))
 
 
-def _bucketed(rows: DataFrame, bins: int) -> DataFrame:
-    # rank error below half a bucket keeps every bucket under ~1.5x its share
-    edges = rows.approxQuantile(_S, [i / bins for i in range(1, bins)], 1.0 / (2 * bins)) if bins > 1 else []
-    inner = sorted({e for e in edges if e == e and abs(e) != float("inf")})
-    splits = [float("-inf"), *inner, float("inf")]
-    if len(splits) < 3:
-        return rows.withColumn(_B, F.lit(0))
-    filled = rows.withColumn("_v", F.coalesce(F.col(_S), F.lit(float("nan"))))
-    return Bucketizer(splits=splits, inputCol="_v", outputCol=_B, handleInvalid="keep").transform(filled).withColumn(_B, F.col(_B).cast("int"))
+def _combined(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """Counts of the equal keys of each batch."""
+    for batch in batches:
+        sums = pa.Table.from_batches([batch]).group_by(keys).aggregate([(c, "sum") for c in COUNTS])
+        yield from sums.select([*keys, *(f"{c}_sum" for c in COUNTS)]).rename_columns(batch.schema.names).to_batches()
+
+
+def _changes(column: pa.Array) -> np.ndarray:
+    """Where a value differs from the one before it; nulls are equal to each other."""
+    a, b = column.slice(1), column.slice(0, len(column) - 1)
+    differ = pc.fill_null(pc.not_equal(a, b), False)
+    return pc.or_(differ, pc.xor(a.is_null(), b.is_null())).to_numpy(zero_copy_only=False)
+
+
+class _Range:
+    """State of one group in a pass over a range: counts so far, and the tie not ended yet."""
+
+    def __init__(self) -> None:
+        self.counts = np.zeros(len(COUNTS), np.int64)
+        self.sum, self.below = 0.0, 0
+        self.tie: tuple[float, int, int] | None = None
+
+    def add(self, score: np.ndarray, counts: np.ndarray) -> None:
+        self.counts += counts.sum(1)
+        p, n = counts[0], counts[1]
+        used = (p + n) > 0
+        score, p, n = score[used], p[used], n[used]
+        if not len(score):
+            return
+        if self.tie is not None:
+            score, p, n = np.append(self.tie[0], score), np.append(self.tie[1], p), np.append(self.tie[2], n)
+        new = np.flatnonzero(np.append(True, (score[1:] != score[:-1]) & ~(np.isnan(score[1:]) & np.isnan(score[:-1]))))
+        p, n = np.add.reduceat(p, new), np.add.reduceat(n, new)
+        self.tie = (float(score[new[-1]]), int(p[-1]), int(n[-1]))
+        self._close(p[:-1], n[:-1])
+
+    def _close(self, p: np.ndarray, n: np.ndarray) -> None:
+        before = self.below + np.cumsum(p) - p
+        self.sum += float((n * (before + p / 2.0)).sum())
+        self.below += int(p.sum())
+
+    def end(self) -> list:
+        if self.tie is not None:
+            self._close(np.array([self.tie[1]]), np.array([self.tie[2]]))
+        return [*self.counts.tolist(), self.sum]
+
+
+def _prefix_sums(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.RecordBatch]:
+    """One row for each group of a sorted range."""
+    part, key, state = TaskContext.get().partitionId(), None, None
+    names = [*by, "_part", *COUNTS, "_sum"]
+
+    def row(schema: pa.Schema) -> pa.RecordBatch:
+        own = [part, *state.end()]
+        kinds = [pa.int32(), *[pa.int64()] * len(COUNTS), pa.float64()]
+        return pa.RecordBatch.from_arrays([*(pa.array([v], schema.field(c).type) for c, v in zip(by, key, strict=True)), *(pa.array([v], t) for v, t in zip(own, kinds, strict=True))], names=names)
+
+    schema = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        schema = batch.schema
+        score = batch.column(_S).to_numpy(zero_copy_only=False).astype(np.float64)
+        counts = np.stack([batch.column(c).to_numpy() for c in COUNTS])
+        edge = np.zeros(batch.num_rows - 1, bool)
+        for c in by:
+            edge |= _changes(batch.column(c))
+        cuts = [0, *(np.flatnonzero(edge) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            own = tuple(batch.column(c)[a].as_py() for c in by)
+            if state is not None and own != key:
+                yield row(schema)
+                state = None
+            key, state = own, state or _Range()
+            state.add(score[a:b], counts[:, a:b])
+    if state is not None:
+        yield row(schema)
 
 
 def binary_metrics(
@@ -71,36 +141,28 @@ def binary_metrics(
 
     ``auc`` ranks ``score``; ``balanced_accuracy`` = (TPR + TNR) / 2 of ``prediction``,
     equal to the AUC of the hard 0/1 prediction. Both are null for a group with one class.
-    One small job (the bucket edges) runs now, the rest with the result.
+    Lazy: the ranges' bounds are sampled when the result is asked for.
     """
     by = list(by)
     y, s = col(label).cast("double"), col(score).cast("double")
-    p = col(prediction).cast("double") if prediction is not None else None
-    ok = _valid(y, s, *([p] if p is not None else []))
-    rows = scored.select(*by, F.when(ok, s).alias(_S), y.alias("_y"), ok.alias("_ok"), *([p.alias("_hat")] if p is not None else []))
-    bucketed = _bucketed(rows, default_bins(scored) if bins is None else bins)
-    hit = lambda v: F.col("_ok") & (F.col("_y") == v)
-    aggs = [F.count_if(hit(1.0)).alias(_P), F.count_if(hit(0.0)).alias(_N), F.count_if(~F.col("_ok")).alias(_D)]
-    if prediction is not None:
-        aggs += [F.count_if(hit(1.0) & (F.col("_hat") == 1.0)).alias(_TP), F.count_if(hit(0.0) & (F.col("_hat") == 1.0)).alias(_FP)]
-    counts = bucketed.groupBy(*by, _B, _S).agg(*aggs)
-
-    totals = counts.groupBy(*by, _B).agg(F.sum(_P).alias("_bp"))
-    w_off = Window.partitionBy(*by).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], F.col(_B).alias("_ob"), F.coalesce(F.sum("_bp").over(w_off), F.lit(0)).alias("_off"))
-
-    w_in = Window.partitionBy(*by, _B).orderBy(_S).rowsBetween(Window.unboundedPreceding, -1)
-    same = F.col(_B) == F.col("_ob")
-    for i, c in enumerate(by):
-        same = same & F.col(c).eqNullSafe(F.col(f"_by{i}"))
-    ranked = counts.withColumn("_in", F.coalesce(F.sum(_P).over(w_in), F.lit(0))).join(offsets, same)
-    below = (F.col("_off") + F.col("_in")).cast("double")
-    term = F.col(_N).cast("double") * (below + F.col(_P) / 2.0)
-
-    sums = [F.sum(_P).cast("long").alias("n_pos"), F.sum(_N).cast("long").alias("n_neg"), F.sum(_D).cast("long").alias("n_dropped"), F.sum(term).alias("_sum")]
-    if prediction is not None:
-        sums += [F.sum(_TP).cast("long").alias("_tp"), F.sum(_FP).cast("long").alias("_fp")]
-    g = ranked.groupBy(*by).agg(*sums)
+    p = col(prediction).cast("double") if prediction is not None else F.lit(None).cast("double")
+    ok = _valid(y, s, *([p] if prediction is not None else []))
+    rows = scored.select(*by, F.when(ok, s).alias(_S), ok.alias("_ok"), (y == 1.0).alias("_pos"), (p == 1.0).alias("_hit"))
+    yes = lambda c: F.coalesce(c, F.lit(False)).cast("long")
+    own, hit = F.col("_ok") & F.col("_pos"), F.col("_ok") & F.col("_hit")
+    rows = rows.select(*by, _S, yes(own).alias(_P), yes(F.col("_ok") & ~F.col("_pos")).alias(_N), yes(~F.col("_ok")).alias(_D), yes(own & hit).alias(_TP), yes(hit & ~F.col("_pos")).alias(_FP))
+    keys = [*by, _S]
+    counts = rows.mapInArrow(lambda b: _combined(b, keys), rows.schema)
+    ranged = counts.repartitionByRange(*([bins] if bins else []), *keys).sortWithinPartitions(*keys)
+    fields = [rows.schema[c] for c in by]
+    partial = T.StructType([*fields, T.StructField("_part", T.IntegerType()), *[T.StructField(c, T.LongType()) for c in COUNTS], T.StructField("_sum", T.DoubleType())])
+    parts = ranged.mapInArrow(lambda b: _prefix_sums(b, by), partial)
+
+    each = parts.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("_part", _P, _N, "_sum"))).alias("_each"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTS])
+    # the sum over the ranges in order; below counts the positives of the ranges before
+    start = F.struct(F.lit(0).cast("long").alias("below"), F.lit(0.0).alias("total"))
+    step = lambda a, x: F.struct((a["below"] + x[_P]).alias("below"), (a["total"] + x["_sum"] + x[_N] * a["below"].cast("double")).alias("total"))
+    g = each.select(*by, F.col(_P).alias("n_pos"), F.col(_N).alias("n_neg"), F.col(_D).alias("n_dropped"), _TP, _FP, F.aggregate("_each", start, step)["total"].alias("_sum"))
 
     pos, neg = F.col("n_pos"), F.col("n_neg")
     both = (pos > 0) & (neg > 0)

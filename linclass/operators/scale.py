@@ -59,7 +59,8 @@ def _moments(batches: Iterator[pa.RecordBatch], d: int) -> Iterator[pa.RecordBat
         with np.errstate(invalid="ignore", over="ignore"):
             mean = np.where(given, value, 0.0).sum(0) / np.maximum(n, 1)
             off = np.where(given, value - mean, 0.0)
-            total = merge_moments(total, (n, mean, (off * off).sum(0)))
+            rest = off.sum(0) / np.maximum(n, 1)  # what rounding left of the mean
+            total = merge_moments(total, (n, mean + rest, (off * off).sum(0) - rest * rest * n))
     for k in range(0, d, STRETCH):
         yield _stretch(k // STRETCH, [v[k : k + STRETCH] for v in total])
 

@@ -67,7 +67,7 @@ def test_moments_leave_nulls_out_and_keep_small_spreads(spark, monkeypatch):
         assert [got[k].n for k in range(5)] == [0, 40, 40, 1, 40]
         assert (got[0].mean, got[0].std, got[3].mean, got[3].std) == (None, None, 2.0, None)
         assert (got[1].mean, got[1].std) == (5.0, 0.0) and math.isnan(got[4].mean)
-        assert got[2].std == pytest.approx(np.std([k % 3 for k in range(40)], ddof=1), rel=1e-9)
+        assert got[2].std == pytest.approx(np.std([k % 3 for k in range(40)], ddof=1), rel=1e-7)  # a mean of 1e9 has 7 digits behind the point
     stats = fit_scaler(rows, ["same", "one"])
     assert (stats.means, stats.stds, stats.inverse_stds()) == ([5.0, 2.0], [0.0, 0.0], [0.0, 0.0])
     assert fit_scaler(rows, []) == ScalerStats([], [], [])

@@ -95,3 +95,31 @@ def test_rows_without_score_label_or_prediction_are_counted(spark):
     assert (m.n_rows, m.n_dropped, m.auc, m.balanced_accuracy) == (2, 4, 1.0, 1.0)
     b = balanced_accuracy(df).first()
     assert (b.n_rows, b.n_dropped) == (3, 3)
+
+
+def test_groups_of_any_key_and_ties_across_batches(spark):
+    """One score over many Arrow batches and ranges, null and text keys, nan and signed zeros."""
+    from pyspark.sql import functions as F
+
+    rows = spark.range(0, 6000, 1, 5).select(
+        F.when(F.col("id") % 3 > 0, F.concat(F.lit("g"), F.col("id") % 3)).alias("g"),
+        (F.col("id") % 7).cast("int").alias("h"),
+        F.when(F.col("id") % 2 == 0, 0.5).when(F.col("id") % 5 == 0, F.lit("NaN").cast("double")).when(F.col("id") % 11 == 0, -0.0).when(F.col("id") % 13 == 0, 0.0).otherwise((F.col("id") % 101) / 100).alias("score"),
+        (F.xxhash64("id") % 2 != 0).cast("double").alias("label"),
+    )
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "13")
+    try:
+        got = {(r.g, r.h): r for r in auc(rows, "label", "score", by=["g", "h"], bins=9).collect()}
+        whole = auc(rows, "label", "score").first()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    data = [(r.g, r.h, float("inf") if r.score != r.score else r.score + 0.0, r.label) for r in rows.collect()]
+
+    def brute(some):
+        pos, neg = [s for *_, s, y in some if y], [s for *_, s, y in some if not y]
+        return sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
+
+    assert len(got) == 21 and abs(whole.auc - brute(data)) < 1e-12
+    for (g, h), r in got.items():
+        own = [d for d in data if d[:2] == (g, h)]
+        assert r.n_rows == len(own) and abs(r.auc - brute(own)) < 1e-12

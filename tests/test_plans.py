@@ -72,12 +72,11 @@ def test_document_text_never_shuffles(spark):
             assert inputs and "text" not in inputs.group(1), block
 
 
-def test_auc_plan_has_no_global_sort_of_rows(spark):
+def test_auc_is_one_scan_and_two_exchanges(spark):
     text = plan_text(C.q_auc_scores(spark, SF01))
-    # the running sums are windows partitioned by (group, bucket), never one global order
-    windows = re.findall(r"Arguments: \[.*windowspecdefinition.*\], \[(.*?)\], \[", text)
-    assert len(windows) == 2 and all(w.strip() for w in windows)
-    assert "rangepartitioning" not in text and "SinglePartition" not in text and "CartesianProduct" not in text
+    # counts go to ranges of (group, score) once; a row for each range and group meets by group
+    assert len(re.findall(r"\(\d+\) Exchange", text)) == 2 and len(read_schemas(text)) == 1
+    assert "rangepartitioning" in text and "Window" not in text and "SinglePartition" not in text and "Join" not in text
 
 
 def test_folds_without_a_key_number_no_rows_by_a_window(spark):
