@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linclass.llm.text import mix64, slices
+from linclass.llm.text import mix64, slices, tidy
 
 Q = 10
 PIECE, STRIDE = 80, 40
@@ -230,6 +230,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for index in blocks(benchmark):
         shared = spark.sparkContext.broadcast(index)
 
+        @tidy
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for part, _, _ in slices(batches):
                 got = search(shared.value, [t or "" for t in part.column("text").to_pylist()])
@@ -247,6 +248,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for index in blocks(benchmark):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
+        @tidy
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for part, _, _ in slices(batches):
                 keep = np.ones(part.num_rows, bool)

@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linclass.llm.components import connected_components
-from linclass.llm.text import Recent, Sums, distinct_by_doc, fresh_name, id_text, list_array, mix64, scratch_folder, slices, staged, word_spans
+from linclass.llm.text import Recent, Sums, distinct_by_doc, fresh_name, id_text, list_array, mix64, scratch_folder, slices, staged, tidy, word_spans
 
 WORDS = 5
 #: Shingles that the order may call frequent; more of them stay unmarked, at a cost in time.
@@ -101,6 +101,7 @@ def set_keys(doc: np.ndarray, value: np.ndarray, n: int) -> tuple[np.ndarray, np
     return size, key
 
 
+@tidy
 def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Shingles that stand out among some thousands of different sets, with their counts."""
     held: list[np.ndarray] = []
@@ -137,6 +138,7 @@ def signature(value: np.ndarray) -> bytes:
 SETS = "doc_id long, uid long, n int, key long, prefix array<long>, bits binary, folded binary"
 
 
+@tidy
 def _sets(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, place: np.ndarray) -> Iterator[pa.RecordBatch]:
     """The set of each row; prefix and signature only with the first row of a set in the task."""
     seen = Recent(slots=1 << 20)  # only spares repeats
@@ -169,6 +171,7 @@ def _sets(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, place: np.nda
         )
 
 
+@tidy
 def _arrays(batches: Iterator[pa.RecordBatch], spots: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Sorted shingle arrays of the rows whose spot is marked."""
     for batch in _marked(batches, spots):
@@ -213,6 +216,7 @@ def _marked(batches: Iterator[pa.RecordBatch], spots: np.ndarray) -> Iterator[pa
         yield batch.filter(pa.array((spots[spot >> 3] >> (spot & 7)) & 1 > 0))
 
 
+@tidy
 def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose signatures allow a link."""
     for batch in batches:
@@ -229,6 +233,7 @@ def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(keep)), batch.column("b").filter(pa.array(keep))], names=["a", "b"])
 
 
+@tidy
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose sorted arrays have enough in common: both are merged, and a value of both
     stands beside itself."""
@@ -241,6 +246,7 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
+@tidy
 def _tiles(batches: Iterator[pa.RecordBatch], most: int = 1 << 18) -> Iterator[pa.RecordBatch]:
     """Rows come ordered by tile pair and size. Within each, pairs of different components in
     reach of one another's size whose signatures allow a link. A pair that a task meets again

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from linclass.llm.labels import trimmed
-from linclass.llm.text import Sums, distinct_by_doc, fresh_name, id_text, scratch_folder, slices, staged, word_spans
+from linclass.llm.text import Sums, distinct_by_doc, fresh_name, id_text, scratch_folder, slices, staged, tidy, word_spans
 
 # Fixed patterns of the result contract.
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -181,6 +181,7 @@ def on_spot(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (table[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1 == 1
 
 
+@tidy
 def _find(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     for rows, raw, off in slices(batches):
         base, entities, near = [], [], []
@@ -193,12 +194,14 @@ def _find(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "base", "entities", "contexts"])
 
 
+@tidy
 def _single(batches: Iterator[pa.RecordBatch], copied: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Rows whose text no other row has."""
     for rows, raw, off in slices(batches):
         yield rows.select(["text"]).filter(pa.array(~on_spot(copied, text_keys(raw, off))))
 
 
+@tidy
 def _copied(batches: Iterator[pa.RecordBatch], copied: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Key and text of the others, once a task as far as it remembers them."""
     seen: set[int] = set()
@@ -213,6 +216,7 @@ def _copied(batches: Iterator[pa.RecordBatch], copied: np.ndarray) -> Iterator[p
         yield pa.RecordBatch.from_arrays([pa.array(key), rows.column("text")], names=["text_key", "text"]).filter(pa.array(keep))
 
 
+@tidy
 def _term_texts(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Number of texts with each term, summed over slices while they fit a bounded buffer."""
     held: list[np.ndarray] = []
@@ -237,6 +241,7 @@ def _term_texts(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Itera
         yield merged()
 
 
+@tidy
 def _places(batches: Iterator[pa.RecordBatch], chosen: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Places outside base spans of the terms whose spot is marked, of every text; a text once a
     task as far as it remembers them."""
@@ -298,6 +303,7 @@ def find(docs: DataFrame, window: int = WINDOW, share: float = GENERALISE) -> tu
     return found, staged(terms, folder, "terms")
 
 
+@tidy
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         counts, digests, strings = [], [], []
@@ -337,11 +343,13 @@ def sanitise(docs: DataFrame) -> DataFrame:
     key = fresh_name("pii_key", schema.names)
     keyed = fresh_name("pii_terms", schema.names)
 
+    @tidy
     def with_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, raw, off in slices(batches):
             own = text_keys(raw, off)
             yield rows.append_column(key, pa.array(own, mask=~on_spot(spots.value, own)))
 
+    @tidy
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, _, _ in slices(batches):
             out = []

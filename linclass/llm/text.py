@@ -3,8 +3,10 @@ and the shared folder for tables between stages."""
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
 from hashlib import blake2b
 
 import numpy as np
@@ -54,6 +56,27 @@ def staged(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
 
 
+def give_back() -> None:
+    """Hand memory that is free, but still held by the allocators, back to the system: a worker
+    that waits for its next task counts against its executor with all it has ever touched."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(f: Callable[..., Iterator]) -> Callable[..., Iterator]:
+    """A task's generator that gives memory back before it starts and when its state is gone."""
+
+    @wraps(f)
+    def run(*args, **named):
+        give_back()
+        yield from f(*args, **named)
+        give_back()
+
+    return run
+
+
 def string_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string or binary column and its n + 1 offsets; null reads as empty."""
     if isinstance(col, pa.ChunkedArray):

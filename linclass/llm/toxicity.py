@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linclass.llm.labels import SAMPLE_ROWS, held_out, sigmoid, trimmed, training_rows
-from linclass.llm.text import Sums, distinct_by_doc, id_text, list_array, scratch_folder, slices, staged, word_spans
+from linclass.llm.text import Sums, distinct_by_doc, id_text, list_array, scratch_folder, slices, staged, tidy, word_spans
 
 #: Lengths (bytes) of the word beginnings that are terms beside the whole word.
 PREFIXES = (4, 5, 6)
@@ -61,6 +61,7 @@ def text_terms(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.concatenate(docs), np.concatenate(terms)
 
 
+@tidy
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each term: texts with label 1 and 0, summed within a slice."""
     for rows, raw, off in slices(batches):
@@ -89,6 +90,7 @@ class Matcher:
         return distinct_by_doc(doc[hit], at[hit])
 
 
+@tidy
 def _sample_rows(batches: Iterator[pa.RecordBatch], terms: np.ndarray) -> Iterator[pa.RecordBatch]:
     match = Matcher(terms)
     for rows, raw, off in slices(batches):
@@ -191,6 +193,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_ROWS) -> LinearM
     return LinearModel(terms[used], weights[used], bias)
 
 
+@tidy
 def _score(batches: Iterator[pa.RecordBatch], model: LinearModel) -> Iterator[pa.RecordBatch]:
     match = Matcher(model.terms)
     for rows, raw, off in slices(batches):
@@ -205,6 +208,7 @@ def score(docs: DataFrame, model: LinearModel) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@tidy
 def _keep(batches: Iterator[pa.RecordBatch], model: LinearModel, column: str) -> Iterator[pa.RecordBatch]:
     match = Matcher(model.terms)
     for rows, raw, off in slices(batches, column):
