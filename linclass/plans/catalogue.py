@@ -7,6 +7,7 @@ values exactly; counts are bigint.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +25,7 @@ from linclass.operators.scale import fit_scaler, scaled_expr, scaler_stats_frame
 from linclass.operators.score import score
 from linclass.operators.sgd import NullRowsError, sgd_fit
 from linclass.operators.split import FOLD, hash_split, random_folds
+from linclass.operators.svm import bundle_fit
 from linclass.plans.jobs import enet_job, logistic_job, ridge_job, svm_job
 from linclass.session import scratch_path
 from linclass.sources.delimited import CORRUPT, lines_from_table, load_csv_inferred, load_delimited, parse_lines
@@ -485,6 +487,37 @@ def _exact_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def q_svm_exact(spark, sf_dir):
+    """Weight of the standardised feature in a linear SVM with each penalty, by planes."""
+    data = marked_docs(spark, sf_dir).select(F.col("quality").alias(LABEL), "marked")
+    stats = fit_scaler(data, ["marked"])
+    rows = []
+    for penalty in ("l1", "l2", "none"):
+        model, _ = bundle_fit(data, ["marked"], LABEL, penalty, MARKED_REG, tol=1e-10, inputs=[scaled_expr(stats, 0)])
+        rows.append((penalty, model.weights[0]))
+    return spark.createDataFrame(rows, "penalty string, weight double").select("penalty", (F.round("weight", 4) + F.lit(0.0)).alias("weight"))
+
+
+def q_fit_certificates(spark, sf_dir):
+    """How each kind of job ended, from its run record: whether the optimum's conditions are met
+    to 1e-3 by the returned weights (for an SVM by planes: to the duality gap asked for)."""
+    docs = marked_docs(spark, sf_dir)
+    own = {"target": "quality", "excluded": ["doc_id"], "key": "doc_id", "save": False}
+    runs = {
+        "enet": lambda: enet_job(spark, docs, reg=MARKED_REG, iterations=100, **own),
+        "logistic_l1": lambda: logistic_job(spark, docs, penalty="l1", reg=MARKED_REG, **own),
+        "logistic_l2": lambda: logistic_job(spark, docs, penalty="l2", reg=MARKED_REG, **own),
+        "svm_l1": lambda: svm_job(spark, docs, penalty="l1", reg=MARKED_REG, **own),
+        "svm_none": lambda: svm_job(spark, docs, penalty="none", **own),
+    }
+    ends = []
+    for name, run in runs.items():
+        record = run().run.first()
+        p = json.loads(record["parameters"])
+        ends.append((name, record["train_rows"], bool(p["converged"]), 0 <= p["optimality"] < 1e-3, 0 < p["iterations_run"] <= 100))
+    return spark.createDataFrame(ends, "fit string, train_rows bigint, converged boolean, optimal boolean, iterations_ok boolean")
+
+
 def wide_weight(i: int) -> float:
     return ((i * 37) % 11 - 5) / 10
 
@@ -572,6 +605,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fold_checks": q_fold_checks,
     "hash_split_nulls": q_hash_split_nulls,
     "random_named": q_random_named,
+    "svm_exact": q_svm_exact,
+    "fit_certificates": q_fit_certificates,
     **{name: _exact_query(name) for name in MARKED_MIX},
     "wide_margins": q_wide_margins,
     "job_outputs": q_job_outputs,

@@ -5,7 +5,8 @@ score -> evaluate -> report.
   fit; ``mode="sgd"`` runs the gradient-descent rules);
 * ``enet_job``      elastic-net logistic regression, 10 iterations, model saved;
 * ``svm_job``       standardise with train statistics, then a linear SVM (L2 by the
-  built-in trainer, L1 by gradient descent); penalty and lambda are honoured;
+  built-in trainer, L1 and none by planes to a duality gap; ``mode="sgd"`` runs the
+  gradient-descent rules); penalty and lambda are honoured;
 * ``ridge_job``     the R script: CSV with inferred types, class profile of one column,
   named 80/20 partitions, ridge logistic regression.
 
@@ -24,6 +25,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linclass.operators.certificate import logistic_residual
 from linclass.operators.checks import checks_frame, enforce, failures, require_classes, run_checks, set_aside
 from linclass.functions.expressions import col
 from linclass.operators.columns import LABEL, Columns, prepare, resolve_columns, safe_names
@@ -41,6 +43,7 @@ from linclass.operators.scale import fit_scaler, scaled_expr
 from linclass.operators.score import score
 from linclass.operators.sgd import sgd_fit
 from linclass.operators.split import FOLD, hash_split, random_folds
+from linclass.operators.svm import bundle_fit
 from linclass.session import checkpoint_root
 from linclass.sources.delimited import CORRUPT, load_csv_inferred, load_delimited
 from linclass.sources.models import save_model, timestamped_path
@@ -62,7 +65,7 @@ class JobConfig:
     mix: float = 0.0  # elastic-net L1 share
     iterations: int = 100
     mode: str = "converged"  # converged | sgd
-    key: str | Sequence[str] | None = None  # hash-split key; None = a seeded random number a row
+    key: str | Sequence[str] | None = None  # hash-split key; None = the content of each row
     split: str = "hash"  # hash | random
     weights: Mapping[str, float] = field(default_factory=lambda: {"train": 0.8, "test": 0.2})
     seed: int = 11
@@ -125,37 +128,35 @@ def _model_path(cfg: JobConfig) -> str | None:
     return f"{cfg.out_dir.rstrip('/')}/{cfg.model_prefix}"
 
 
-def used_mode(cfg: JobConfig) -> str:
-    """The mode asked for, except that there is no built-in linear SVM with an L1 penalty or
-    none: that is fitted by gradient descent."""
-    return "sgd" if cfg.job == "svm" and cfg.penalty in ("l1", "none") else cfg.mode
+def _iterations(model) -> int | None:
+    """Iterations of a built-in trainer, as its summary has them."""
+    last = model.stages[-1]
+    if not getattr(last, "hasSummary", False):
+        return None
+    summary = last.summary() if callable(last.summary) else last.summary
+    return int(summary.totalIterations)
 
 
 def _fit(spark: SparkSession, train: DataFrame, features: list[str], cfg: JobConfig):
-    """(model, iterations run or None)."""
-    if used_mode(cfg) == "sgd":
-        if cfg.job == "logistic":
-            model, trace = sgd_fit(
-                train, features, LABEL, "logistic", cfg.penalty, cfg.reg, cfg.iterations, intercept=True
-            )
-            return model, trace.iterations
-        if cfg.job == "svm":
-            stats = fit_scaler(train, features)
-            inputs = [scaled_expr(stats, i) for i in range(len(features))]
-            model, trace = sgd_fit(
-                train,
-                features,
-                LABEL,
-                "hinge",
-                cfg.penalty,
-                cfg.reg,
-                cfg.iterations,
-                intercept=False,
-                inputs=inputs,
-            )
-            model.means, model.stds = stats.means, stats.stds
-            return model, trace.iterations
+    """(model, how the fit ended: ``iterations_run``, ``converged``, and for planes ``optimality``)."""
+    if cfg.mode not in ("converged", "sgd"):
+        raise ValueError(f"mode must be 'converged' or 'sgd', got {cfg.mode!r}")
+    if cfg.mode == "sgd" and cfg.job not in ("logistic", "svm"):
         raise ValueError(f"sgd mode is for the logistic and svm jobs, not {cfg.job!r}")
+    if cfg.mode == "sgd" and cfg.job == "logistic":
+        model, trace = sgd_fit(train, features, LABEL, "logistic", cfg.penalty, cfg.reg, cfg.iterations, intercept=True)
+        return model, {"iterations_run": trace.iterations, "converged": trace.converged}
+    if cfg.job == "svm" and (cfg.mode == "sgd" or cfg.penalty != "l2"):
+        stats = fit_scaler(train, features)
+        inputs = [scaled_expr(stats, i) for i in range(len(features))]
+        if cfg.mode == "sgd":
+            model, trace = sgd_fit(train, features, LABEL, "hinge", cfg.penalty, cfg.reg, cfg.iterations, intercept=False, inputs=inputs)
+            end = {"iterations_run": trace.iterations, "converged": trace.converged}
+        else:
+            model, trace = bundle_fit(train, features, LABEL, cfg.penalty, cfg.reg, cfg.iterations, inputs=inputs)
+            end = {"iterations_run": trace.passes, "converged": trace.converged, "optimality": trace.gap}
+        model.means, model.stds = stats.means, stats.stds
+        return model, end
     if cfg.job == "logistic":
         pipe = penalised_logistic(features, cfg.penalty, cfg.reg, max_iter=cfg.iterations)
     elif cfg.job in ("enet", "ridge"):
@@ -164,7 +165,21 @@ def _fit(spark: SparkSession, train: DataFrame, features: list[str], cfg: JobCon
         pipe = svm_pipeline(features, reg=cfg.reg, max_iter=cfg.iterations)
     else:
         raise ValueError(f"unknown job {cfg.job!r}")
-    return fit_pipeline(pipe, train, persist=False), None
+    model = fit_pipeline(pipe, train, persist=False)
+    run = _iterations(model)
+    return model, {"iterations_run": run, "converged": None if run is None else run < cfg.iterations}
+
+
+def optimality(train: DataFrame, features: list[str], model, cfg: JobConfig) -> float | None:
+    """Residual of a logistic fit's optimality conditions at the returned weights; None for a hinge
+    loss, whose slope jumps (fits by planes report their duality gap)."""
+    if cfg.job == "svm":
+        return None
+    weights, intercept = coefficients(model)
+    share = cfg.mix if cfg.job in ("enet", "ridge") else {"l1": 1.0, "l2": 0.0, "none": 0.0}[cfg.penalty]
+    reg = 0.0 if cfg.job == "logistic" and cfg.penalty == "none" else cfg.reg
+    by_steps = cfg.mode == "sgd"
+    return logistic_residual(train, features, weights, intercept, LABEL, reg * share, reg * (1 - share), scaled_penalty=not by_steps, intercept_penalty=by_steps)
 
 
 def run_job(spark: SparkSession, source, cfg: JobConfig) -> JobResult:
@@ -252,7 +267,9 @@ def _run_prepared(spark, cfg, data, raw, names, cols, feats, corrupt, input_name
         require_classes(data, LABEL, FOLD, train_name)
 
     train = data.where(F.col(FOLD) == train_name).select(*[col(c) for c in [LABEL, *feats]])
-    model, iterations = _fit(spark, train, feats, cfg)
+    model, end = _fit(spark, train, feats, cfg)
+    if "optimality" not in end:
+        end["optimality"] = optimality(train, feats, model, cfg)
 
     path = _model_path(cfg)
     if path is not None:
@@ -273,11 +290,9 @@ def _run_prepared(spark, cfg, data, raw, names, cols, feats, corrupt, input_name
         r = by_fold.get(fold)
         return None if r is None else r[name]
 
-    params = {"reg": cfg.reg, "iterations": cfg.iterations, "mode": cfg.mode, "mode_used": used_mode(cfg), "seed": cfg.seed, "split": cfg.split}
+    params = {"reg": cfg.reg, "iterations": cfg.iterations, "mode": cfg.mode, "seed": cfg.seed, "split": cfg.split, **end}
     if cfg.job in ("enet", "ridge"):
         params["elastic_net"] = cfg.mix
-    if iterations is not None:
-        params["iterations_run"] = iterations
     model_kind = {
         "logistic": "logistic regression",
         "enet": "elastic-net logistic regression",
@@ -328,7 +343,7 @@ def _run_prepared(spark, cfg, data, raw, names, cols, feats, corrupt, input_name
         model_path=path,
         set_aside=aside,
         profile=profile,
-        sgd_iterations=iterations,
+        sgd_iterations=end["iterations_run"] if cfg.mode == "sgd" else None,
         class_counts=class_counts,
     )
 
@@ -383,7 +398,7 @@ def svm_job(
     out_dir: str | None = None,
     **kw,
 ) -> JobResult:
-    """Standardised linear SVM without intercept; L1 runs by gradient descent."""
+    """Standardised linear SVM without intercept; ``iterations`` bounds the passes of any trainer."""
     kw.setdefault("model_prefix", MODEL_NAMES["svm"])
     cfg = JobConfig("svm", target, excluded, sep, penalty, reg, 0.0, iterations, mode, out_dir=out_dir, **kw)
     return run_job(spark, source, cfg)

@@ -433,6 +433,29 @@ UNION ALL
 SELECT 'Intercept', round(intercept, 4) + 0.0 FROM e"""
 
 
+#: The objective is convex, with kinks where a margin is 1 and, between them, the square of the l2
+#: penalty or straight lines: its least value is at a kink, at zero or where a piece's slope is zero.
+SVM_EXACT = f"""
+WITH t AS (
+  SELECT CASE WHEN contains(text, ' | ') OR contains(text, '&&&') THEN 1.0 ELSE 0.0 END::DOUBLE AS x, 2.0::DOUBLE * quality - 1 AS s
+  FROM documents JOIN labels USING (doc_id)),
+m AS (SELECT avg(x) AS mean, stddev_samp(x) AS sd, count(*)::DOUBLE AS n FROM t),
+g AS (SELECT s * (x - mean) / sd AS z, count(*) / any_value(n) AS share FROM t, m GROUP BY ALL),
+p AS (SELECT * FROM (VALUES ('l1', {d(C.MARKED_REG)}, 0.0::DOUBLE), ('l2', 0.0::DOUBLE, {d(C.MARKED_REG)}), ('none', 0.0::DOUBLE, 0.0::DOUBLE)) AS v(penalty, l1, l2)),
+kinks AS (SELECT 1 / z AS w FROM g UNION SELECT 0.0),
+pieces AS (SELECT w, coalesce(lead(w) OVER (ORDER BY w), w + 2) AS upper, coalesce(lag(w) OVER (ORDER BY w), w - 2) AS lower FROM kinks),
+middles AS (SELECT (w + upper) / 2 AS w FROM pieces UNION SELECT (w + lower) / 2 FROM pieces),
+slopes AS (SELECT middles.w, coalesce(sum(-z * share) FILTER (WHERE z * middles.w < 1), 0) AS slope FROM middles, g GROUP BY middles.w),
+tried AS (SELECT penalty, l1, l2, w FROM p, kinks UNION SELECT penalty, l1, l2, -slope / l2 FROM p, slopes WHERE l2 > 0),
+costs AS (SELECT penalty, w, sum(share * greatest(0, 1 - z * w)) + any_value(l1) * abs(w) + any_value(l2) / 2 * w * w AS cost FROM tried, g GROUP BY penalty, w)
+SELECT penalty, round(arg_min(w, cost), 4) + 0.0 AS weight FROM costs GROUP BY penalty"""
+
+FIT_CERTIFICATES = f"""
+WITH f AS (SELECT count(*)::BIGINT AS n FROM documents JOIN labels USING (doc_id) WHERE {fold_sql('doc_id')} = 'train')
+SELECT fit, n AS train_rows, true AS converged, true AS optimal, true AS iterations_ok
+FROM f, (VALUES ('enet'), ('logistic_l1'), ('logistic_l2'), ('svm_l1'), ('svm_none')) AS v(fit)"""
+
+
 def wide_margins() -> str:
     terms = " + ".join(f"{d(C.wide_weight(i))} * CAST(embedding[{i + 1}] AS DOUBLE)" for i in range(C.WIDE_DIM))
     return f"SELECT vec_id, round(0.25::DOUBLE + {terms}, 4) + 0.0 AS margin FROM embeddings"
@@ -456,6 +479,8 @@ def oracle_sql() -> dict[str, str]:
         "fold_checks": FOLD_CHECKS,
         "hash_split_nulls": HASH_SPLIT_NULLS,
         "random_named": RANDOM_NAMED,
+        "svm_exact": SVM_EXACT,
+        "fit_certificates": FIT_CERTIFICATES,
         **{name: exact_fit(mix) for name, mix in C.MARKED_MIX.items()},
         "wide_margins": wide_margins(),
         "job_outputs": JOB_OUTPUTS,

@@ -95,7 +95,7 @@ def test_names_are_compared_as_spark_does():
 def test_a_job_leaves_its_configuration_alone(spark):
     rows = spark.range(200).select("id", (F.col("id") % 13 * 1.0).alias("x"), (F.col("id") % 2).cast("double").alias("y"))
     res = svm_job(spark, rows, target="y", excluded=["id"], key="id", penalty="l1", iterations=3, save=False)
-    assert res.config.mode == "converged" and '"mode_used": "sgd"' in res.run.first().parameters
+    assert res.config.mode == "converged" and res.config.iterations == 3 and '"mode": "converged"' in res.run.first().parameters
 
 
 @pytest.mark.parametrize("argv", [["ridge", "-p", "l1"], ["ridge", "--mode", "sgd"], ["enet", "-p", "l2"], ["enet", "--mode", "sgd"], ["logistic", "-l", "0.5"], ["svm", "--profile", "x"], ["svm", "--iterations", "0"]])
