@@ -58,6 +58,8 @@ LOAD = 4
 #: Words (of 64 bits) of the folded signature that goes with every row of a tile; the whole
 #: signature is asked afterwards.
 FOLDED_WORDS = 32
+#: Keys of so many pairs at most are broadcast (16 bytes a pair).
+BROADCAST_PAIRS = 1 << 19
 #: Marks in the table that tells a scan which texts it may need.
 SPOTS = 1 << 24
 _STEP = mix64(np.arange(11, 11 + WORDS, dtype=np.uint64)) | np.uint64(1)
@@ -333,25 +335,20 @@ def join_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     tried = tried.where("o is not null and key != o and 5 * least(n, o_n) >= 4 * greatest(n, o_n)").groupBy(F.least("key", "o").alias("a"), F.greatest("key", "o").alias("b"))
     tried = tried.agg(F.count("*").alias("shared"), F.min(F.least("n", "o_n")).alias("low")).where("20 * shared >= low")
 
-    def of_sets(wanted: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
-        """``key`` and ``columns`` of the sets whose spot is marked by a key of ``wanted``: all of
-        those and a few more, without dealing out the others."""
-        spots = spark.sparkContext.broadcast(_spot_table(wanted.select(_spot("key").alias("spot"))))  # SPOTS bits
-        held.append(spots)
-        rows = table.select("key", *columns, _spot("key").alias("spot"))
-        return rows.mapInArrow(lambda b: _marked(b, spots.value), rows.schema).select("key", *columns).dropDuplicates(["key"])
-
-    def bounded(pairs: DataFrame, name: str) -> DataFrame:
-        """Pairs whose signatures allow a link: the folded ones first, then the whole."""
+    def bounded(pairs: DataFrame, name: str, steps: tuple[str, ...]) -> DataFrame:
+        """Pairs whose signatures allow a link. Only the signatures of sets in a pair are dealt out;
+        their keys are broadcast if they are few, and joined otherwise."""
         pairs = staged(pairs.select("a", "b"), folder, f"tried-{name}")
-        for step, bits in enumerate(("folded", "bits")):
-            marks = of_sets(pairs.select(F.explode(F.array("a", "b")).alias("key")), firsts, "n", bits)
+        for bits in steps:
+            keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+            keys = F.broadcast(keys) if pairs.count() <= BROADCAST_PAIRS else keys
+            marks = firsts.select("key", "n", bits).join(keys, "key", "left_semi").dropDuplicates(["key"])
             with_a = pairs.select(F.col("a").alias("key"), "b").join(marks, "key").select(F.col("key").alias("a"), F.col("b").alias("key"), F.col("n").alias("n_a"), F.col(bits).alias("bits_a"))
             both = with_a.join(marks, "key").select("a", F.col("key").alias("b"), "n_a", F.col("n").alias("n_b"), "bits_a", F.col(bits).alias("bits_b"))
-            pairs = staged(both.mapInArrow(_bounded, "a long, b long"), folder, f"near-{name}-{step}")
+            pairs = staged(both.mapInArrow(_bounded, "a long, b long"), folder, f"near-{name}-{bits}")
         return pairs
 
-    near = bounded(tried, "1")
+    near = bounded(tried, "1", ("bits",))
 
     owner = firsts.select("key", "uid", "doc_id").dropDuplicates(["key"])
 
@@ -387,10 +384,10 @@ def join_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     many = mixed.where(F.col("sets") > FEW)
     ranges = many.groupBy("token", "tile").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     pairs = ranges.select("token", F.col("tile").alias("left"), F.col("high").alias("left_high")).join(ranges.select("token", F.col("tile").alias("right"), F.col("low").alias("right_low")), "token").where("left <= right and 5 * left_high >= 4 * right_low").select("token", "left", "right")
-    small = of_sets(many.select("key"), firsts, "folded").withColumnRenamed("folded", "bits")
+    small = firsts.select("key", F.col("folded").alias("bits")).dropDuplicates(["key"])
     dealt = pairs.withColumn("tile", F.explode(F.array_distinct(F.array("left", "right")))).join(many, ["token", "tile"]).join(small, "key")
     dealt = dealt.select("token", "left", "right", "tile", "key", "n", "comp", "bits").repartition("token", "left", "right").sortWithinPartitions("token", "left", "right", "n", "key")
-    more = bounded(dealt.mapInArrow(_tiles, "a long, b long").union(counted.select("a", "b")).distinct(), "2")
+    more = bounded(dealt.mapInArrow(_tiles, "a long, b long").union(counted.select("a", "b")).distinct(), "2", ("folded", "bits"))
     links = first_links.union(linked(more, "2"))
     stars = connected_components(links, folder, "all")
     for broadcast in held:
