@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from linclass.llm.shared_files import file_system, read_file, write_file
+from linclass.llm.shared_files import file_system, qualified, read_file, write_file
 from linclass.llm.text import BYTE_VALUE, Sums, distinct, id_text, mix64, scratch_folder, slices, staged
 
 LENGTH = 50
@@ -189,15 +189,14 @@ def _to_files(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.Rec
 
 
 def _answers(files, root: str, block: int) -> list[tuple[int, memoryview]]:
-    """Answers of a block; none if no bucket had any for it."""
+    """Answers of a block, by bucket. Every block has a file, also one without answers."""
     data = read_file(files, f"{root}/{block}")
-    if data is None:
-        return []
     n = int(np.frombuffer(data, np.int64, 1)[0])
     head = np.frombuffer(data, np.int64, 2 * n, 8).reshape(-1, 2)
     out, at = [], 8 + 16 * n
     for b, size in head.tolist():
-        out.append((b, memoryview(data)[at : at + size]))
+        if b >= 0:
+            out.append((b, memoryview(data)[at : at + size]))
         at += size
     return out
 
@@ -255,6 +254,8 @@ def _piece_rows(batches: Iterator[pa.RecordBatch], bits: int, folder: str) -> It
     for b in Block.of(batches):
         at = _tied(b, bits, _answers(files, f"{root}/ranks", b.block))
         if not len(at):
+            for name in ("local", "same"):
+                write_file(files, f"{root}/{name}/{b.block}", b"")
             continue
         h = Sums(b.raw, BYTE_VALUE).span(at, at + LENGTH)
         order = np.argsort(h, kind="stable")
@@ -265,8 +266,7 @@ def _piece_rows(batches: Iterator[pa.RecordBatch], bits: int, folder: str) -> It
         least = own[head]
         write_file(files, f"{root}/local/{b.block}", _runs(np.sort(at[order[own > least]])).tobytes())
         other = np.flatnonzero(~new & (own == least))
-        if len(other):
-            write_file(files, f"{root}/same/{b.block}", np.stack([at[order[head[other]]], at[order[other]]]).astype(np.uint32).tobytes())
+        write_file(files, f"{root}/same/{b.block}", np.stack([at[order[head[other]]], at[order[other]]]).astype(np.uint32).tobytes())
         at = np.sort(at[order[new]])
         del order, new, own, head, least, other
         seeds = np.arange(len(b.raw) - SEED + 1)
@@ -346,16 +346,14 @@ def _cut(batches: Iterator[pa.RecordBatch], folder: str, keep_text: bool) -> Ite
     files, root = file_system(folder)
     for b in Block.of(batches):
         runs = [np.frombuffer(p, np.int64).reshape(-1, 2) for _, p in _answers(files, f"{root}/runs", b.block)]
-        same = read_file(files, f"{root}/same/{b.block}") if runs else None
-        if same is not None:
+        same = read_file(files, f"{root}/same/{b.block}")
+        if runs and same:
             first, other = np.frombuffer(same, np.uint32).reshape(2, -1)
             depth, r = np.zeros(len(b.raw) + 1, np.int32), np.concatenate(runs)
             np.add.at(depth, r[:, 0], 1)
             np.add.at(depth, r[:, 0] + r[:, 1], -1)
             runs.append(_runs(np.sort(other[np.cumsum(depth)[first] > 0]).astype(np.int64)))
-        local = read_file(files, f"{root}/local/{b.block}")
-        if local is not None:
-            runs.append(np.frombuffer(local, np.int64).reshape(-1, 2))
+        runs.append(np.frombuffer(read_file(files, f"{root}/local/{b.block}"), np.int64).reshape(-1, 2))
         depth = np.zeros(len(b.raw) + 1, np.int32)
         if runs:
             r = np.concatenate(runs)
@@ -387,14 +385,15 @@ def remove_repeats(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     from pyspark.sql import functions as F
 
     spark = docs.sparkSession
-    folder = scratch_folder(spark, "op9")
+    folder = qualified(spark, scratch_folder(spark, "op9"))
     blocks = staged(id_text(docs).mapInArrow(_build, BLOCKS), folder, "blocks")
     total = blocks.agg(F.coalesce(F.sum(F.length("data")), F.lit(0))).first()[0]
     bits = min(20, max(8, int(total * len(COVER) / PERIOD / BUCKET_ROWS).bit_length()))
 
     def settled(rows: DataFrame, how: Callable, name: str) -> None:
         answers = rows.repartition("bucket").sortWithinPartitions("bucket", "block").mapInArrow(partial(_by_bucket, settle=how), ANSWERS)
-        answers.repartition("block").sortWithinPartitions("block", "bucket").mapInArrow(partial(_to_files, folder=f"{folder}/{name}"), "block long").count()
+        every = blocks.select("block", F.lit(-1).alias("bucket"), F.lit(b"").alias("payload"))  # a file for each block
+        answers.union(every).repartition("block").sortWithinPartitions("block", "bucket").mapInArrow(partial(_to_files, folder=f"{folder}/{name}"), "block long").count()
 
     settled(blocks.mapInArrow(partial(_sample_rows, bits=bits), ANSWERS), _shared_ranks, "ranks")
     settled(blocks.mapInArrow(partial(_piece_rows, bits=bits, folder=folder), ANSWERS), _sorted_suffixes, "runs")

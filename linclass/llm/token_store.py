@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from linclass.llm.shared_files import file_system
+from linclass.llm.shared_files import file_system, qualified
 from linclass.llm.text import id_text, scratch_folder, slices, staged
 from linclass.llm.tokenize import encoder
 
@@ -161,6 +161,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0,
     (one row for each file), itself kept as a table beside them."""
     if block % 8 or block > 1 << 16:
         raise ValueError("block must be a multiple of 8, at most 65536")
+    folder = qualified(docs.sparkSession, folder)
     ordered = id_text(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     rows = ordered.mapInArrow(partial(_write_shard, folder=f"{folder}/ids", tokenizer=tokenizer, end_id=end_id, size=block, percentile=percentile), MANIFEST)
     return staged(rows, folder, "manifest")
@@ -199,6 +200,7 @@ def _read_shards(batches: Iterator[pa.RecordBatch], folder: str, blocks_at_once:
 def read_tokens(spark: SparkSession, folder: str, blocks_at_once: int = 256) -> DataFrame:
     """Documents of the files under ``folder``: ``doc_id``, ``start`` (ids of all documents
     before it) and ``ids`` (binary, little-endian unsigned 32-bit, end id included)."""
+    folder = qualified(spark, folder)
     manifest = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
     shards = max(1, manifest.count())
     before = F.coalesce(F.sum("n_tokens").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -14,6 +14,7 @@ from llm_cases import awkward_rows, components, ordered, sentence, shingles, tab
 from linclass.llm import jaccard_join as j
 from linclass.llm import suffix_dedup as s
 from linclass.llm.components import connected_components
+from linclass.llm.shared_files import file_system, qualified, read_file, write_file
 from linclass.llm.text import scratch_folder
 
 
@@ -146,7 +147,10 @@ def test_a_string_leaves_a_block_once(spark):
     columns = [pa.array([block.block]), *[pa.array([x.tobytes()], pa.binary()) for x in (block.ids, block.off.astype(np.int64), block.raw)]]
     batch = pa.RecordBatch.from_arrays(columns, names=["block", "ids", "offsets", "data"])
     sent = 0
-    for answer in s._piece_rows(iter([batch]), 8, scratch_folder(spark, "test")):
+    folder = qualified(spark, scratch_folder(spark, "test"))
+    files, root = file_system(folder)
+    write_file(files, f"{root}/ranks/{batch.column('block')[0].as_py()}", np.zeros(1, np.int64).tobytes())
+    for answer in s._piece_rows(iter([batch]), 8, folder):
         sent += sum(len(s._suffixes([p])[0]) for p in answer.column("payload").to_pylist())
     assert 0 < sent <= len({parts[0][k : k + 50] for k in range(len(parts[0]) - 49)})
 
@@ -171,3 +175,15 @@ def kept_by_rule(rows) -> list[bytes]:
         gone = {p for k in range(len(t) - 49) if least[t[k : k + 50]] < i for p in range(k, k + 50)}
         out.append(bytes(c for p, c in enumerate(t) if p not in gone))
     return out
+
+
+def test_a_lost_file_is_an_error_and_folders_have_a_scheme(spark, workdir):
+    folder = qualified(spark, f"{workdir}/shared")
+    assert folder.startswith("file:/") and qualified(spark, folder) == folder and qualified(spark, "s3a://b/x") == "s3a://b/x"
+    files, root = file_system(folder)
+    write_file(files, f"{root}/runs/7", np.zeros(1, np.int64).tobytes())
+    assert read_file(files, f"{root}/runs/7") and s._answers(files, f"{root}/runs", 7) == []
+    with pytest.raises(FileNotFoundError):
+        s._answers(files, f"{root}/runs", 8)
+    with pytest.raises(ValueError, match="no scheme"):
+        file_system(f"{workdir}/shared")
