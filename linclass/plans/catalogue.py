@@ -26,6 +26,7 @@ from linclass.operators.score import score
 from linclass.operators.sgd import NullRowsError, sgd_fit
 from linclass.operators.split import FOLD, hash_split, random_folds
 from linclass.operators.svm import bundle_fit
+from linclass.plans import cli, jobs
 from linclass.plans.jobs import enet_job, logistic_job, ridge_job, svm_job
 from linclass.session import scratch_path
 from linclass.sources.delimited import CORRUPT, lines_from_table, load_csv_inferred, load_delimited, parse_lines
@@ -404,6 +405,38 @@ def q_file_dimensions(spark, sf_dir):
     return dimensions(rows, n_columns=len(header.names))
 
 
+def q_local_table(spark, sf_dir):
+    """A local table (one row for each nation) copied to Spark by the jobs' loader and joined to the
+    customers, whose account balances are profiled by the local table's column."""
+    local = _t(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey").toPandas()  # 25 rows at every size
+    nations, names, corrupt, _ = jobs._load(spark, local, jobs.JobConfig("logistic"))
+    rows = nations.select(*names).join(_t(spark, sf_dir, "customer"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return rows.groupBy(F.col("n_regionkey").cast("int").alias("n_regionkey")).agg(F.count(F.lit(1)).alias("n_customers"), F.count_if(F.col("c_acctbal") < 0).alias("n_in_debt"))
+
+
+def q_cli_options(spark, sf_dir):
+    """A job as the command line starts it: every option of the logistic job on a delimited file
+    of the labelled documents, and what its run record says of them."""
+    path, out = scratch_path(spark, "cli"), scratch_path(spark, "cli-out")
+    doc_table(spark, sf_dir).withColumn("note", F.lit("left out")).write.csv(path, sep="|", header=True)
+    argv = ["logistic", "-f", path, "-s", "|", "-t", "quality", "-c", "doc_id", "note", "-p", "l1", "-r", "0.02", "-d", out, "--key", "doc_id", "--iterations", "60"]
+    record = cli.run(spark, cli.options(argv)).run.first()
+    p = json.loads(record["parameters"])
+    saved = load_model(spark, record["model_path"])
+    row = (record["job"], record["rows"], record["columns"], record["target"], ",".join(record["excluded"]), record["penalty"], record["train_rows"], record["test_rows"], p["reg"], p["iterations"], p["split"], coefficients(saved)[0] != [])
+    return spark.createDataFrame([row], "job string, rows bigint, columns int, target string, excluded string, penalty string, train_rows bigint, test_rows bigint, reg double, iterations bigint, split string, model_saved boolean")
+
+
+def q_csv_quoted(spark, sf_dir):
+    """Customers written with line breaks, separators and quotes inside quoted names, over several
+    files and splits, and read back: whole records, none marked as bad."""
+    path = scratch_path(spark, "csv")
+    name = F.concat("c_name", F.when(F.col("c_custkey") % 3 == 0, F.lit('\nsecond, "line"\n\nlast')).otherwise(F.lit("")))
+    _t(spark, sf_dir, "customer").select("c_custkey", name.alias("name"), "c_nationkey").repartition(3, "c_custkey").write.csv(path, header=True, escape='"', quoteAll=True)
+    rows = load_csv_inferred(spark, path)
+    return rows.select("c_custkey", F.length("name").alias("n_chars"), F.size(F.split("name", "\n")).alias("n_lines"), "c_nationkey", F.col(CORRUPT).isNotNull().alias("is_corrupt"))
+
+
 def q_csv_inferred(spark, sf_dir):
     """A column that is whole numbers in all but the rows of its last file is read as what it is."""
     path = scratch_path(spark, "csv")
@@ -600,6 +633,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "file_scan": q_file_scan,
     "file_dimensions": q_file_dimensions,
     "csv_inferred": q_csv_inferred,
+    "csv_quoted": q_csv_quoted,
+    "local_table": q_local_table,
+    "cli_options": q_cli_options,
     "sgd_nulls": q_sgd_nulls,
     "auc_null_scores": q_auc_null_scores,
     "fold_checks": q_fold_checks,

@@ -353,6 +353,21 @@ FROM documents d JOIN labels l ON d.doc_id = l.doc_id"""
 CSV_INFERRED = """
 SELECT o_orderkey::INTEGER AS o_orderkey, CASE WHEN o_orderkey % 997 = 0 THEN 30.5 ELSE 7.0 END::DOUBLE AS amount, false AS is_corrupt FROM orders"""
 
+LOCAL_TABLE = """
+SELECT n_regionkey, count(*)::BIGINT AS n_customers, count(*) FILTER (WHERE c_acctbal < 0)::BIGINT AS n_in_debt
+FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_regionkey"""
+
+CLI_OPTIONS = f"""
+SELECT 'logistic' AS job, count(*)::BIGINT AS rows, 6 AS columns, 'quality' AS target, 'doc_id,note' AS excluded, 'l1' AS penalty,
+       count(*) FILTER (WHERE fold = 'train')::BIGINT AS train_rows, count(*) FILTER (WHERE fold = 'test')::BIGINT AS test_rows,
+       0.02::DOUBLE AS reg, 60::BIGINT AS iterations, 'hash' AS split, true AS model_saved
+FROM (SELECT {fold_sql('doc_id')} AS fold FROM documents JOIN labels USING (doc_id))"""
+
+CSV_QUOTED = """
+SELECT c_custkey::INTEGER AS c_custkey, (length(c_name) + CASE WHEN c_custkey % 3 = 0 THEN 21 ELSE 0 END)::INTEGER AS n_chars,
+       CASE WHEN c_custkey % 3 = 0 THEN 4 ELSE 1 END AS n_lines, c_nationkey, false AS is_corrupt
+FROM customer"""
+
 FILE_DIMENSIONS = "SELECT count(*)::BIGINT AS n_rows, 3 AS n_columns FROM orders"
 
 
@@ -474,6 +489,9 @@ def oracle_sql() -> dict[str, str]:
         "file_scan": scan_delimited(),
         "file_dimensions": FILE_DIMENSIONS,
         "csv_inferred": CSV_INFERRED,
+        "csv_quoted": CSV_QUOTED,
+        "local_table": LOCAL_TABLE,
+        "cli_options": CLI_OPTIONS,
         "sgd_nulls": sgd_nulls(),
         "auc_null_scores": auc_null_scores(),
         "fold_checks": FOLD_CHECKS,
