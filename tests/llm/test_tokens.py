@@ -136,3 +136,40 @@ def test_section_counts_add_up(spark, tokenizer):
     assert ordered((r.doc_id, r.n_tokens, r.n_sections) for r in got) == want
     assert all(sum(r.section_tokens) == r.n_tokens and len(r.section_tokens) == r.n_sections for r in got)
     assert token_counts.section_token_counts(table(spark, [])).count() == 0
+
+
+def test_token_intervals_are_those_of_the_tokenizer(tokenizer):
+    coder = encoder(default_tokenizer())
+    for text in ODD + [t or "" for _, t in awkward_rows()]:
+        start, end = token_counts.token_characters(text.encode(), coder.n_bytes[np.frombuffer(coder.ids([text])[0], np.uint32)])
+        assert list(zip(start.tolist(), end.tolist(), strict=True)) == tokenizer.encode(text, add_special_tokens=False).offsets, text[:40]
+
+
+def test_tokens_of_given_sections(spark, tokenizer):
+    """Against the tokenizer's offsets: the section with most of a token, the earliest of equals."""
+    r = random.Random(8)
+    rows = awkward_rows() + [(60, "é" * 30 + "日本語🎉 naïve " * 9)]
+    sections = []
+    for i in sorted({i for i, _ in rows if i is not None}):
+        size = max(len(t or "") for j, t in rows if j == i)
+        cuts = sorted(r.choices(range(size + 1), k=2 * r.randrange(5)))
+        sections += [(i, f"s{k}", a, b) for k, (a, b) in enumerate(zip(cuts[::2], cuts[1::2], strict=True))]
+    sections += [(1, None, None, 3), (None, "x", 0, 1), (999, "x", 0, 1)]
+    given = spark.createDataFrame([(*x, "clash") for x in sections], "doc_id long, section string, start long, end long, text string")
+    want = []
+    for i, t in rows:
+        own = [x[1:] for x in sections if x[0] == i and i is not None and x[2] is not None]
+        n, crossing, none = [0] * len(own), [0] * len(own), 0
+        for a, b in tokenizer.encode(t or "", add_special_tokens=False).offsets:
+            held = [max(0, min(b, y) - max(a, x)) for _, x, y in own]
+            if not held or max(held) == 0:
+                none += 1
+            else:
+                k = held.index(max(held))
+                n[k] += 1
+                crossing[k] += held[k] < b - a
+        want += [(i, None, none, 0)] * (none > 0 or not own) + [(i, s, n[k], crossing[k]) for k, (s, _, _) in enumerate(own)]
+    assert ordered(token_counts.tokens_of_sections(table(spark, rows), given).collect()) == ordered(want)
+    assert token_counts.tokens_of_sections(table(spark, []), given).count() == 0
+    with pytest.raises(Exception, match="overlap"):
+        token_counts.tokens_of_sections(table(spark, rows), spark.createDataFrame([(1, "a", 0, 9), (1, "b", 5, 12)], "doc_id long, section string, start long, end long")).collect()
