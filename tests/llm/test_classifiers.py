@@ -32,6 +32,29 @@ def test_label_model_recovers_the_class_from_votes():
     assert got_hit[4] / got_false[4] < got_hit[1] / got_false[1]
 
 
+def test_posteriors_are_those_of_enumeration():
+    """Every pattern of votes that occurs: both classes' joint probability by the learned rates,
+    one factor a voter that fires, and one for a row on which none does."""
+    rng = np.random.default_rng(11)
+    prior, y = 0.2, rng.random(20_000) < 0.2
+    rates = np.where(y[:, None], [0.5, 0.35, 0.25, 0.4], [0.02, 0.01, 0.03, 0.005])
+    votes = (rng.random((20_000, 4)) < rates).astype(np.float32)
+    post, hit, false = toxicity.label_model(votes, prior, rounds=400)
+    some = votes.any(1)
+    fires = [(post[some].sum() + 1) / (post.sum() + 2), ((1 - post)[some].sum() + 1) / ((1 - post).sum() + 2)]
+    for pattern in np.unique(votes, axis=0):
+        joint = [prior, 1 - prior]
+        for j, fired in enumerate(pattern):
+            if fired:
+                joint = [joint[0] * hit[j], joint[1] * false[j]]
+        if not pattern.any():
+            joint = [joint[0] * (1 - fires[0]), joint[1] * (1 - fires[1])]
+        own = (votes == pattern).all(1)
+        assert np.ptp(post[own]) < 1e-9 and post[own][0] == pytest.approx(joint[0] / sum(joint), abs=2e-3)
+    # the rates are the classes' shares of votes, weighed by the posteriors
+    assert hit == pytest.approx((votes.T @ post + 0.5 * prior) / (post.sum() + 1), abs=2e-3)
+
+
 def test_sum_of_squares_equals_all_pairs():
     rng = np.random.default_rng(0)
     m = quality.Machine(0.3, rng.normal(size=quality.N_FEATURES).astype(np.float32), rng.normal(size=(quality.N_FEATURES, quality.FACTORS)).astype(np.float32))
