@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linclass.llm.text import mix64, slices, tidy
+from linclass.llm.text import SMALL_SLICE, mix64, slices, tidy
 
 Q = 10
 PIECE, STRIDE = 80, 40
@@ -232,7 +232,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         @tidy
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for part, _, _ in slices(batches):
+            for part, _, _ in slices(batches, limit=SMALL_SLICE):
                 got = search(shared.value, [t or "" for t in part.column("text").to_pylist()])
                 ids, items = part.column("doc_id").to_pylist(), shared.value.items
                 columns = [[ids[g[0]] for g in got], [items[g[1]] for g in got], *([g[j] for g in got] for j in (2, 3, 4))]
@@ -250,7 +250,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         @tidy
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for part, _, _ in slices(batches):
+            for part, _, _ in slices(batches, limit=SMALL_SLICE):
                 keep = np.ones(part.num_rows, bool)
                 keep[[g[0] for g in search(shared.value, [t or "" for t in part.column("text").to_pylist()])]] = False
                 yield part.filter(pa.array(keep))

@@ -34,6 +34,7 @@ table gives an empty result; other columns are ignored or carried unchanged.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linclass.llm.components import connected_components
-from linclass.llm.text import Recent, Sums, distinct_by_doc, fresh_name, id_text, list_array, mix64, scratch_folder, slices, staged, tidy, word_spans
+from linclass.llm.text import SMALL_SLICE, Recent, Sums, distinct_by_doc, fresh_name, id_text, list_array, mix64, scratch_folder, slices, staged, tidy, values_met, word_spans
 
 WORDS = 5
 #: Shingles that the order may call frequent; more of them stay unmarked, at a cost in time.
@@ -58,6 +59,8 @@ LOAD = 4
 #: Words (of 64 bits) of the folded signature that goes with every row of a tile; the whole
 #: signature is asked afterwards.
 FOLDED_WORDS = 32
+#: Words of the signatures that a tile compares at one time, on either side.
+COMPARED = 1 << 19
 #: Keys of so many pairs at most are broadcast (16 bytes a pair).
 BROADCAST_PAIRS = 1 << 19
 #: Marks in the table that tells a scan which texts it may need.
@@ -111,11 +114,10 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     size = sets = 0
 
     def counted() -> pa.RecordBatch:
-        value, count = np.unique(np.concatenate(held), return_counts=True)
-        often = count >= max(4, SHARE * sets)
-        return pa.RecordBatch.from_arrays([pa.array(value[often].view(np.int64)), pa.array(count[often].astype(np.int64))], names=["shingle", "sets"])
+        value, count = values_met(held, max(4, ceil(SHARE * sets)))
+        return pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(count.astype(np.int64))], names=["shingle", "sets"])
 
-    for _, raw, off in slices(batches):
+    for _, raw, off in slices(batches, limit=SMALL_SLICE):
         doc, value = shingle_sets(raw, off)
         n, key = set_keys(doc, value, len(off) - 1)
         new = seen.new(key)
@@ -124,7 +126,7 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets += int(new.sum())
         if size > COUNTED:
             yield counted()
-            held, size, sets, seen = [], 0, 0, Recent()
+            size, sets, seen = 0, 0, Recent()
     if held:
         yield counted()
 
@@ -146,7 +148,7 @@ def _sets(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, place: np.nda
     seen = Recent(slots=1 << 20)  # only spares repeats
     table = np.zeros(1 << 20, bool)
     table[(frequent >> np.uint64(44)).astype(np.int64)] = True
-    for rows, raw, off in slices(batches):
+    for rows, raw, off in slices(batches, limit=SMALL_SLICE):
         doc, value = shingle_sets(raw, off)
         n, key = set_keys(doc, value, rows.num_rows)
         late = np.zeros(len(value), np.int64)
@@ -177,7 +179,7 @@ def _sets(batches: Iterator[pa.RecordBatch], frequent: np.ndarray, place: np.nda
 def _arrays(batches: Iterator[pa.RecordBatch], spots: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Sorted shingle arrays of the rows whose spot is marked."""
     for batch in _marked(batches, spots):
-        for rows, raw, off in slices([batch]):
+        for rows, raw, off in slices([batch], limit=SMALL_SLICE):
             doc, value = shingle_sets(raw, off)
             key = set_keys(doc, value, rows.num_rows)[1]
             cut = np.searchsorted(doc, np.arange(rows.num_rows + 1))
@@ -279,7 +281,7 @@ def _tiles(batches: Iterator[pa.RecordBatch], most: int = 1 << 18) -> Iterator[p
                 p = np.flatnonzero(width[i] == w)
                 used, where = np.unique(np.concatenate([i[p], j[p]]), return_inverse=True)
                 folded = np.stack([_fold(bits[k], int(w)) for k in used])
-                step = max(1, (1 << 22) // int(w))
+                step = max(1, COMPARED // int(w))
                 for c in range(0, len(p), step):
                     q = slice(c, c + step)
                     x, y = where[: len(p)][q], where[len(p) :][q]

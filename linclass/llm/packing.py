@@ -25,13 +25,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linclass.llm.text import id_text, scratch_folder, slices, staged, tidy
-from linclass.llm.tokenize import default_tokenizer, encoder
+from linclass.llm.tokenize import TOKENS, default_tokenizer, encoder
 
 #: Rows in a salted part of a bucket, about.
 PART_ROWS = 8192
 
 
-@tidy
+@partial(tidy, kind=TOKENS)
 def _lengths(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[pa.RecordBatch]:
     coder = encoder(tokenizer)
     for rows, _, _ in slices(batches):

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from linclass.llm.labels import trimmed
-from linclass.llm.text import Sums, distinct_by_doc, fresh_name, id_text, scratch_folder, slices, staged, tidy, word_spans
+from linclass.llm.text import SMALL_SLICE, Sums, distinct_by_doc, fresh_name, id_text, scratch_folder, slices, staged, tidy, word_spans
 
 # Fixed patterns of the result contract.
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -183,7 +183,7 @@ def on_spot(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 @tidy
 def _find(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    for rows, raw, off in slices(batches):
+    for rows, raw, off in slices(batches, limit=SMALL_SLICE):
         base, entities, near = [], [], []
         for text in rows.column("text").to_pylist():
             spans = base_spans(text or "")
@@ -197,7 +197,7 @@ def _find(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordB
 @tidy
 def _single(batches: Iterator[pa.RecordBatch], copied: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Rows whose text no other row has."""
-    for rows, raw, off in slices(batches):
+    for rows, raw, off in slices(batches, limit=SMALL_SLICE):
         yield rows.select(["text"]).filter(pa.array(~on_spot(copied, text_keys(raw, off))))
 
 
@@ -205,7 +205,7 @@ def _single(batches: Iterator[pa.RecordBatch], copied: np.ndarray) -> Iterator[p
 def _copied(batches: Iterator[pa.RecordBatch], copied: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Key and text of the others, once a task as far as it remembers them."""
     seen: set[int] = set()
-    for rows, raw, off in slices(batches):
+    for rows, raw, off in slices(batches, limit=SMALL_SLICE):
         key = text_keys(raw, off)
         keep = on_spot(copied, key)
         for k in np.flatnonzero(keep).tolist():
@@ -227,7 +227,7 @@ def _term_texts(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Itera
         held.clear()
         return pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(count.astype(np.int64))], names=["term", "texts"])
 
-    for _, raw, off in slices(batches):
+    for _, raw, off in slices(batches, limit=SMALL_SLICE):
         start, end, doc = word_spans(raw, off)
         if len(start):
             start, end = trimmed(raw, start, end)
@@ -246,7 +246,7 @@ def _places(batches: Iterator[pa.RecordBatch], chosen: np.ndarray) -> Iterator[p
     """Places outside base spans of the terms whose spot is marked, of every text; a text once a
     task as far as it remembers them."""
     seen: set[int] = set()
-    for rows, raw, off in slices(batches):
+    for rows, raw, off in slices(batches, limit=SMALL_SLICE):
         doc, start, end, term = term_places(raw, off)
         hit = on_spot(chosen, term)
         doc, start, end, term = doc[hit], start[hit], end[hit], term[hit]
@@ -343,25 +343,35 @@ def sanitise(docs: DataFrame) -> DataFrame:
     key = fresh_name("pii_key", schema.names)
     keyed = fresh_name("pii_terms", schema.names)
 
+    def rewritten(rows: pa.RecordBatch, told: list) -> pa.RecordBatch:
+        out = []
+        for text, terms in zip(rows.column("text").to_pylist(), told, strict=True):
+            spans = [(a, b, f"[{KINDS[k].upper()}]") for k, a, b in base_spans(text or "")]
+            spans += [(t["start"], t["end"], "" if t["share"] >= REMOVE else "[TERM]") for t in terms or []]
+            out.append(redact(text, spans) if spans else text)
+        columns = [pa.array(out, pa.string()) if f.name == "text" else rows.column(f.name) for f in schema]
+        return pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema])
+
+    @tidy
+    def without_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, raw, off in slices(batches, limit=SMALL_SLICE):
+            rows = rows.filter(pa.array(~on_spot(spots.value, text_keys(raw, off))))
+            yield rewritten(rows, [None] * rows.num_rows)
+
     @tidy
     def with_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, raw, off in slices(batches):
+        for rows, raw, off in slices(batches, limit=SMALL_SLICE):
             own = text_keys(raw, off)
-            yield rows.append_column(key, pa.array(own, mask=~on_spot(spots.value, own)))
+            yield rows.append_column(key, pa.array(own)).filter(pa.array(on_spot(spots.value, own)))
 
     @tidy
-    def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, _, _ in slices(batches):
-            out = []
-            for text, told in zip(rows.column("text").to_pylist(), rows.column(keyed).to_pylist(), strict=True):
-                spans = [(a, b, f"[{KINDS[k].upper()}]") for k, a, b in base_spans(text or "")]
-                spans += [(t["start"], t["end"], "" if t["share"] >= REMOVE else "[TERM]") for t in told or []]
-                out.append(redact(text, spans) if spans else text)
-            columns = [pa.array(out, pa.string()) if f.name == "text" else rows.column(f.name) for f in schema]
-            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema])
+    def with_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, _, _ in slices(batches, limit=SMALL_SLICE):
+            yield rewritten(rows, rows.column(keyed).to_pylist())
 
+    # texts without terms need no join; the others are dealt for theirs, so that no task has two
+    # Python workers, one behind the other, with the memory of both
+    plain = docs.mapInArrow(without_terms, schema)
     marked = docs.mapInArrow(with_key, StructType([*schema.fields, StructField(key, LongType())]))
-    # texts without terms need no join
-    plain = marked.where(F.col(key).isNull()).drop(key).withColumn(keyed, F.lit(None).cast(terms.schema["terms"].dataType))
-    told = marked.where(F.col(key).isNotNull()).join(terms.select(F.col("text_key").alias(key), F.col("terms").alias(keyed)), key, "left").drop(key)
-    return plain.unionByName(told).mapInArrow(rewrite, schema)
+    told = marked.join(terms.select(F.col("text_key").alias(key), F.col("terms").alias(keyed)).hint("merge"), key, "left").drop(key)
+    return plain.unionByName(told.mapInArrow(with_terms, schema))

@@ -4,6 +4,7 @@ and the shared folder for tables between stages."""
 from __future__ import annotations
 
 import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 from functools import wraps
@@ -18,6 +19,9 @@ from linclass.session import checkpoint_root
 
 #: Bytes of text that a task holds as NumPy arrays at one time (a single longer text is taken alone).
 SLICE_BYTES = 1 << 20
+#: The same in the pipeline's stages: 64-bit arrays of a slice are several times eight times its
+#: size, and their tasks take no longer over smaller ones.
+SMALL_SLICE = 1 << 18
 
 
 def id_text(docs: DataFrame) -> DataFrame:
@@ -56,23 +60,36 @@ def staged(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
 
 
-def give_back() -> None:
-    """Hand memory that is free, but still held by the allocators, back to the system: a worker
-    that waits for its next task counts against its executor with all it has ever touched."""
+#: What a worker keeps between tasks of one kind, by the kind. Tasks of any other kind let it go.
+KEPT: dict[str, dict] = {}
+
+
+def give_back(kind: str = "") -> None:
+    """Hand memory that is free, but still held by the allocators, back to the system, and with it
+    what tasks of another kind than the given one have kept: a worker that waits for its next
+    task counts against its executor with all it has ever touched."""
+    others = KEPT.keys() - {kind}
+    for other in others:
+        del KEPT[other]
+    if others:
+        gc.collect()  # part of it is in cycles
+    if any(len(table) > MOST_POWERS for table in _POWERS.values()):
+        _POWERS.clear()  # of a single long text; made again where they are needed
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)
 
 
-def tidy(f: Callable[..., Iterator]) -> Callable[..., Iterator]:
-    """A task's generator that gives memory back before it starts and when its state is gone."""
+def tidy(f: Callable[..., Iterator], kind: str = "") -> Callable[..., Iterator]:
+    """A task's generator that gives memory back before it starts and when its state is gone.
+    What is :data:`KEPT` for its own kind stays."""
 
     @wraps(f)
     def run(*args, **named):
-        give_back()
+        give_back(kind)
         yield from f(*args, **named)
-        give_back()
+        give_back(kind)
 
     return run
 
@@ -123,6 +140,8 @@ IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
 _BASE = 0x5851F42D4C957F2D
 _POWERS: dict[str, np.ndarray] = {}
+#: Longer tables aren't kept between tasks.
+MOST_POWERS = 2 * SLICE_BYTES
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -210,6 +229,18 @@ def distinct(values: np.ndarray) -> np.ndarray:
     return values[keep]
 
 
+def values_met(parts: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Values that the parts hold ``least`` times or more, ascending, and how often. The parts are
+    used up: one sorted copy of them is all that is held beside the result."""
+    values = np.concatenate(parts)
+    parts.clear()
+    values.sort()
+    often = values[least - 1 :] == values[: max(0, len(values) - least + 1)]
+    often[1:] &= values[1 : len(often)] != values[: max(0, len(often) - 1)]  # the first of its value
+    start = np.flatnonzero(often)
+    return values[start], np.searchsorted(values, values[start], "right") - start
+
+
 def distinct_by_doc(doc: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (document, value) pairs, sorted by document, then value."""
     if len(doc) and (doc[1:] < doc[:-1]).any():

@@ -16,6 +16,8 @@ from operator import attrgetter
 
 import numpy as np
 
+from linclass.llm.text import KEPT
+
 _ID = attrgetter("id")
 
 #: White space other than the plain space and the line break: in ASCII, and beside it.
@@ -166,11 +168,14 @@ class Encoder:
         return out
 
 
-_ENCODERS: dict[str, Encoder] = {}
+#: The kind of tasks for which a worker keeps its encoders.
+TOKENS = "tokens"
 
 
 def encoder(path: str) -> Encoder:
-    """The worker's encoder for a file; reused Python workers keep its cache between tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    """The worker's encoder for a file; reused Python workers keep its cache between tasks, until
+    one of another kind."""
+    encoders = KEPT.setdefault(TOKENS, {})
+    if path not in encoders:
+        encoders[path] = Encoder(path)
+    return encoders[path]

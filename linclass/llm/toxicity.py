@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linclass.llm.labels import SAMPLE_ROWS, held_out, sigmoid, trimmed, training_rows
-from linclass.llm.text import Sums, distinct_by_doc, id_text, list_array, scratch_folder, slices, staged, tidy, word_spans
+from linclass.llm.text import SMALL_SLICE, Sums, distinct_by_doc, id_text, list_array, scratch_folder, slices, staged, tidy, word_spans
 
 #: Lengths (bytes) of the word beginnings that are terms beside the whole word.
 PREFIXES = (4, 5, 6)
@@ -64,7 +64,7 @@ def text_terms(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
 @tidy
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each term: texts with label 1 and 0, summed within a slice."""
-    for rows, raw, off in slices(batches):
+    for rows, raw, off in slices(batches, limit=SMALL_SLICE):
         doc, term = distinct_by_doc(*text_terms(raw, off))
         label = rows.column("label").to_numpy(zero_copy_only=False)[doc]
         value, at = np.unique(term, return_inverse=True)
@@ -93,7 +93,7 @@ class Matcher:
 @tidy
 def _sample_rows(batches: Iterator[pa.RecordBatch], terms: np.ndarray) -> Iterator[pa.RecordBatch]:
     match = Matcher(terms)
-    for rows, raw, off in slices(batches):
+    for rows, raw, off in slices(batches, limit=SMALL_SLICE):
         doc, at = match(raw, off)
         yield pa.RecordBatch.from_arrays([rows.column("label"), list_array(at, np.searchsorted(doc, np.arange(rows.num_rows + 1)), pa.int32())], names=["label", "at"])
 
@@ -196,7 +196,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_ROWS) -> LinearM
 @tidy
 def _score(batches: Iterator[pa.RecordBatch], model: LinearModel) -> Iterator[pa.RecordBatch]:
     match = Matcher(model.terms)
-    for rows, raw, off in slices(batches):
+    for rows, raw, off in slices(batches, limit=SMALL_SLICE):
         doc, at = match(raw, off)
         margin = model.bias + np.bincount(doc, weights=model.weights[at], minlength=rows.num_rows)
         yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(sigmoid(margin))], names=["doc_id", "score"])
@@ -211,7 +211,7 @@ def score(docs: DataFrame, model: LinearModel) -> DataFrame:
 @tidy
 def _keep(batches: Iterator[pa.RecordBatch], model: LinearModel, column: str) -> Iterator[pa.RecordBatch]:
     match = Matcher(model.terms)
-    for rows, raw, off in slices(batches, column):
+    for rows, raw, off in slices(batches, column, SMALL_SLICE):
         doc, at = match(raw, off)
         margin = model.bias + np.bincount(doc, weights=model.weights[at], minlength=rows.num_rows)
         yield rows.filter(pa.array(sigmoid(margin) < 0.5))
